@@ -1,0 +1,219 @@
+"""Edge cases and brute-force comparisons of the ten operators on small tables."""
+
+import hashlib
+import random
+import re
+
+import pytest
+
+from lociflow.llm import decontam, html_text, jaccard, langid, mixing, quality, sharding, suffix, tokens, toxicity
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size string, score string, shard string"
+WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa the of and to".split()
+
+
+def rows(seed=1, n=60):
+    rng = random.Random(seed)
+    texts = [" ".join(rng.choice(WORDS) + str(rng.randrange(40)) for _ in range(rng.randrange(4, 80))) for _ in range(n)]
+    texts += [None, "", " \n\t ", "one", texts[0], texts[0], texts[1] + " more", texts[2].upper(), "long " * 3000 + texts[3]]
+    out = [(i, t, [None, "en", "fr"][i % 3], [None, "src0", "src1", "web"][i % 4], 1, "x", "y", "z") for i, t in enumerate(texts)]
+    out.append(out[5])  # a repeated row
+    out.append((None, "null id text with some words in it to read", None, None, None, None, None, None))
+    return out
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(rows(), SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def test_sharding(docs, empty):
+    got = [r.asDict() for r in sharding.histogram_shards(docs, 5).collect()]
+    assert len(got) == len(rows())
+    total = sum(r["size"] for r in got)
+    keyed = sorted(got, key=lambda r: (int(hashlib.md5((r["text"] or "").encode()).hexdigest()[:15], 16), -1 if r["doc_id"] is None else r["doc_id"]))
+    below, seen, groups = 0, 0, {}
+    for r in keyed:
+        k = (r["doc_id"], r["text"])
+        groups.setdefault(k, below)
+        assert r["shard"] == groups[k] * 5 // total
+        assert r["size"] == len((r["text"] or "").encode()) + 8
+        below += r["size"]
+        seen += 1
+    for s in range(5):
+        slots = sorted(r["slot"] for r in got if r["shard"] == s)
+        assert slots == list(range(len(slots)))
+    assert sharding.histogram_shards(empty, 5).count() == 0
+    loose = sharding.histogram_shards(docs, 3, tolerance=0.5)
+    assert loose.count() == len(rows())
+
+
+def test_quality(docs, empty):
+    got = {(r.doc_id, r.text): r for r in quality.with_quality(docs).collect()}
+    for (_, text), r in got.items():
+        w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+        counts = {}
+        for i in range(len(w) - 4):
+            counts.setdefault(tuple(w[i : i + 5]), []).append(i)
+        hit = {k for v in counts.values() if len(v) > 1 for i in v for k in range(i, i + 5)}
+        lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        assert (r.n_words, r.word_chars, r.n_repeat_words, r.n_dup_lines) == (len(w), sum(map(len, w)), len(hit), len(lines) - len(set(lines)))
+        assert r.base_failed == (len(w) < 10 or 100 * len(hit) > 20 * len(w))
+        assert not (r.base_failed and r.kept)
+    assert quality.with_quality(empty).count() == 0
+
+
+def test_tokens(docs, empty):
+    table = tokens.context_table(tokens.length_histogram(tokens.encoded_lengths(docs)))
+    encode = tokens.encoder(tokens.TOKENIZER_DIR, tokens.VOCABULARY).encode_ordinary
+    lengths = [len(encode(r[1])) if r[1] else 0 for r in rows()]
+    for r in table.collect():
+        assert r.n_docs == lengths.count(r.n_tokens)
+        assert r.docs_at_least == sum(x >= r.n_tokens for x in lengths)
+        assert r.tokens_within_limit == sum(min(x, r.n_tokens) for x in lengths)
+    for r in tokens.answer_limits(table, [0, 7, 50, 10**6]).collect():
+        assert r.tokens_within_limit == sum(min(x, r.context_limit) for x in lengths)
+    assert tokens.context_table(tokens.length_histogram(tokens.encoded_lengths(empty))).count() == 0
+
+
+def test_mixing(docs, empty):
+    got = mixing.mix_sources(docs, budget_percent=150, max_epochs=2).collect()
+    words = sum(len((r[1] or "").split()) for r in rows())
+    assert 0 < sum(r.n_tokens for r in got) <= words * 150 // 100
+    by_leaf = {}
+    for r in got:
+        by_leaf.setdefault((r.domain, r.lang, r.source), []).append(r)
+    for leaf in by_leaf.values():
+        assert sum(r.n_tokens for r in leaf) <= leaf[0].leaf_budget
+    everything = mixing.mix_sources(docs, budget_percent=100, max_epochs=1).collect()
+    assert len(everything) == len(rows())
+    assert mixing.mix_sources(empty).count() == 0
+
+
+def test_language_id(spark, empty):
+    en, fr = "the house of the king and the people with them ", "la maison du roi et les gens avec eux dans "
+    train = spark.createDataFrame([(i, (en if i % 2 else fr) * 8, "en" if i % 2 else "fr") for i in range(20)] + [(99, None, "en"), (98, en, None)], "doc_id long, text string, lang string")
+    model = langid.fit_dictionaries(train)
+    assert sorted(model) == ["en", "fr"]
+    check = spark.createDataFrame([(1, en * 2, "q"), (2, fr * 2, "q"), (3, None, "q"), (4, "", "q"), (5, "12 34 !!", "q"), (6, "x" * 200_000, "q")], "doc_id long, text string, score string")
+    got = {r.doc_id: r for r in langid.identify(check, model).collect()}
+    assert (got[1].lang_pred, got[2].lang_pred) == ("en", "fr")
+    assert all(got[i].lang_pred == "und" and got[i].rejected for i in (3, 4, 5))
+    assert all(0 <= r.score <= 1 for r in got.values())
+    assert langid.fit_dictionaries(empty) == {} and langid.identify(check, {}).where("lang_pred = 'und'").count() == 6
+
+
+def brute_components(texts, words, percent):
+    sets = {}
+    for i, t in texts.items():
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        sets[i] = {tuple(w[k : k + words]) for k in range(len(w) - words + 1)} or ({tuple(w)} if w else set())
+    label = {i: i for i in texts}
+    changed = True
+    while changed:
+        changed = False
+        for a in sets:
+            for b in sets:
+                if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]) and label[a] != label[b]:
+                    label[a] = label[b] = min(label[a], label[b])
+                    changed = True
+    return sets, label
+
+
+@pytest.mark.parametrize(("words", "percent"), [(4, 85), (2, 60)])
+def test_jaccard(spark, words, percent):
+    rng = random.Random(5)
+    base = [[rng.choice(WORDS) + str(rng.randrange(9)) for _ in range(60)] for _ in range(3)]
+    texts = {}
+    for i in range(70):
+        w = list(rng.choice(base))
+        for _ in range(rng.choice([0, 0, 1, 2, 3, 6])):
+            w[rng.randrange(len(w))] = f"edit{rng.randrange(30)}"
+        texts[i + 10] = " ".join(w)
+    texts |= {1: None, 2: "", 3: "A b", 4: "a B", 5: "solo"}
+    frame = spark.createDataFrame([*texts.items(), (12, texts[12])], "doc_id long, text string").repartition(3)
+    got = jaccard.jaccard_components(frame, words, percent).collect()
+    sets, label = brute_components(texts, words, percent)
+    assert len(got) == len(texts) + 1
+    for r in got:
+        assert (r.n_shingles, r.component_id) == (len(sets[r.doc_id]), label[r.doc_id])
+    assert jaccard.jaccard_components(frame.where("doc_id < 0"), words, percent).count() == 0
+
+
+def test_suffix(spark):
+    rng = random.Random(3)
+    passage = ["".join(rng.choice("abcd é") for _ in range(rng.randrange(40, 160))) for _ in range(6)]
+    texts = {i: "".join(rng.choice([rng.choice(passage), "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(5, 90)))]) for _ in range(5)) for i in range(40)}
+    texts |= {50: None, 51: "", 52: "x" * 400, 53: "x" * 120, 54: texts[3], 55: "y" * 49, 56: "y" * 49}
+    frame = spark.createDataFrame([*texts.items(), (7, texts[7])], "doc_id long, text string").repartition(3)
+    got = suffix.suffix_digest(frame).collect()
+    assert len(got) == len(texts) + 1
+    seen, want = set(), {}
+    for i in sorted(texts):
+        b = (texts[i] or "").encode()
+        mark, own = bytearray(len(b)), [b[k : k + 50] for k in range(len(b) - 49)]
+        for k, s in enumerate(own):
+            if s in seen:
+                mark[k : k + 50] = b"\1" * 50
+        seen.update(own)
+        spans = sum(1 for k in range(len(b)) if mark[k] and (not k or not mark[k - 1]))
+        want[i] = (len(b), sum(mark), spans, hashlib.sha256(bytes(c for c, m in zip(b, mark) if not m)).hexdigest())
+    for r in got:
+        assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == want[r.doc_id]
+    assert suffix.suffix_digest(frame.where("doc_id < 0")).count() == 0
+
+
+def test_suffix_without_broadcast(spark, monkeypatch):
+    frame = spark.createDataFrame([(1, "z" * 30 + "shared passage of some more than fifty bytes, really so"), (2, "q" * 9 + "shared passage of some more than fifty bytes, really so")], "doc_id long, text string")
+    with_hint = sorted(suffix.suffix_digest(frame).collect())
+    monkeypatch.setattr(suffix, "BROADCAST_RANKS", -1)
+    assert sorted(suffix.suffix_digest(frame).collect()) == with_hint
+    assert with_hint[1].n_removed > 50
+
+
+def test_html(spark, empty):
+    page = '<html><head><title>T</title></head><body><nav><a>Home page here</a></nav><div class="ad">Buy now cheap</div><article><h1>Head &amp; line</h1><p>First  words\nof text.<p><b>Second</b> one &eacute;.<aside>side</aside><p>Third.</article><div id="comments"><p>nice post indeed</p></div><footer>foot</footer>'
+    frame = spark.createDataFrame([(1, "u", page, "t"), (2, "u", None, "t"), (3, "u", "", "t"), (4, "u", "<p>" + "word " * 50_000, "t"), (5, "u", "<!-- open <p>a b c", "t"), (6, None, page, "t")], "page_id long, url string, html string, text string")
+    weights = html_text.fit_weights(frame)
+    got = {r.page_id: r for r in html_text.extract(frame, weights).collect()}
+    want = "Head & line\nFirst words of text.\nSecond one é.\nThird."
+    assert got[1].text == got[6].text == want and got[1].n_chars == len(want)
+    assert got[2].text == got[3].text == got[5].text == ""
+    assert got[4].text == ("word " * 50_000).strip()
+    assert html_text.fit_weights(frame.where("page_id = 2")) == {}
+
+
+def test_decontamination(spark, docs, monkeypatch):
+    bench = [("i1", "one two three four five six seven eight nine ten eleven twelve"), ("i2", "Short Item"), ("i3", None), ("i4", "..."), ("i2", "Short Item"), ("i5", "aa bb cc dd ee ff gg hh ii jj")]
+    texts = [(1, "x one two three four five six seven eight nine ten eleven y short item"), (2, None), (3, ""), (4, "ONE-two,three four five six seven eight nine TEN"), (5, "aa bb cc zz dd ee ff gg hh ii jj"), (6, "short, item short item"), (6, "short, item short item")]
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    benchmark = spark.createDataFrame(bench, "item_id string, text string")
+    for limit in (decontam.BLOCK_WORDS, 3):  # one block, and several
+        monkeypatch.setattr(decontam, "BLOCK_WORDS", limit)
+        got = sorted(decontam.contamination_digest(decontam.contamination(frame, benchmark)).collect())
+        assert [(r.doc_id, r.n_hit, r.n_items) for r in got] == [(1, 13, 2), (2, 0, 0), (3, 0, 0), (4, 10, 1), (5, 0, 0), (6, 4, 1), (6, 4, 1)]
+        assert got[0].items_sha256 == hashlib.sha256(b"i1,i2").hexdigest()
+        assert got[4].n_near == 1
+    none = decontam.contamination_digest(decontam.contamination(frame, benchmark.where("false"))).collect()
+    assert len(none) == 7 and not any(r.contaminated for r in none)
+
+
+def test_toxicity(spark, empty):
+    rng = random.Random(2)
+    plain = lambda: " ".join(rng.choice(WORDS) + rng.choice(["", "an", "er", "ly"]) for _ in range(30)) + ". "
+    texts = [(i, plain() + (rng.choice(["you blockhead ", "what a nitwit "]) + plain() if i % 4 == 0 else "you what a " + plain())) for i in range(160)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(120)], "doc_id long, toxic int")
+    model = toxicity.fit(frame, labels)
+    probe = spark.createDataFrame([(1, plain() + "nitwit"), (2, plain() + "n.i.t.w.i.t"), (3, plain() + "bloockhead"), (4, plain()), (5, None), (6, ""), (7, plain() * 400)], "doc_id long, text string")
+    got = {r.doc_id: r for r in toxicity.score(probe, model).collect()}
+    assert [got[i].predicted for i in (1, 2, 3, 4, 5, 6, 7)] == [1, 1, 1, 0, 0, 0, 0]
+    assert all(0 <= r.score <= 1 for r in got.values())
+    held = toxicity.score(frame.where("doc_id >= 120"), model).collect()
+    assert sum(r.predicted == int(r.doc_id % 4 == 0) for r in held) >= 0.95 * len(held)
+    assert not any(r.predicted for r in toxicity.score(probe, toxicity.fit(empty, labels)).collect())
