@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zlib
@@ -47,6 +48,21 @@ def discard(df: DataFrame | None) -> None:
         target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of finished rounds now instead of at a later collection."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+def keep_ids(df: DataFrame, ids: DataFrame, column: str, most: int = 1_000_000) -> DataFrame:
+    """Rows of ``df`` whose ``column`` is in ``ids`` (one distinct column of that name).
+
+    The ids are counted first: up to ``most`` they are broadcast and ``df`` is not shuffled;
+    beyond that both sides are.
+    """
+    return df.join(F.broadcast(ids) if ids.count() <= most else ids, column, "left_semi")
+
+
 def small_batches(spark: SparkSession, rows: int = 512) -> None:
     """Bound what one Arrow batch of whole texts can hold, in rows and in bytes."""
     for key, value in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20)):

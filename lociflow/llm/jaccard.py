@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lociflow.llm.common import discard, materialize, small_batches
+from lociflow.llm.common import discard, keep_ids, materialize, release, small_batches
 from lociflow.llm.graph import components
 
 BUCKETS, RANGES, PARTS = 1 << 22, 64, 16
@@ -77,7 +77,7 @@ def _bucket(shingles: np.ndarray) -> np.ndarray:
 
 
 def shingle_counts(docs: DataFrame, words: int) -> np.ndarray:
-    """Documents per hash bucket over all of ``docs`` (text): a table of fixed size."""
+    """Documents per hash bucket over all of ``docs`` (text), saturating at 65,535: a table of fixed size."""
     width = BUCKETS // RANGES
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,22 +90,22 @@ def shingle_counts(docs: DataFrame, words: int) -> np.ndarray:
                 salt = (salt + int(flat.sum())) % 32
                 at, n = np.unique(flat, return_counts=True)
                 total[at] += n
-        counts = np.minimum(total, 2**31 - 1).astype("<i4").reshape(RANGES, width)
+        counts = np.minimum(total, 65535).astype("<u2").reshape(RANGES, width)
         some = [r for r in range(RANGES) if counts[r].any()]
         yield pa.record_batch([pa.array(some, pa.int32()), pa.array([salt] * len(some), pa.int32()), pa.array([counts[r].tobytes() for r in some], pa.binary())], ["range", "salt", "counts"])
 
     def added(key: tuple, table: pa.Table) -> pa.Table:
         total = np.zeros(width, np.int64)
         for blob in table.column("counts").to_pylist():
-            total += np.frombuffer(blob, "<i4")
-        return pa.table({"range": pa.array([key[0].as_py()], pa.int32()), "salt": pa.array([0], pa.int32()), "counts": pa.array([np.minimum(total, 2**31 - 1).astype("<i4").tobytes()], pa.binary())})
+            total += np.frombuffer(blob, "<u2")
+        return pa.table({"range": pa.array([key[0].as_py()], pa.int32()), "salt": pa.array([0], pa.int32()), "counts": pa.array([np.minimum(total, 65535).astype("<u2").tobytes()], pa.binary())})
 
     schema = "range int, salt int, counts binary"
     partial = docs.select("text").mapInArrow(count, schema).groupBy("range", "salt").applyInArrow(added, schema)
     out = np.zeros((RANGES, width), np.int64)
     for r in partial.groupBy("range").applyInArrow(added, schema).collect():  # RANGES rows at most
-        out[r.range] = np.frombuffer(r.counts, "<i4")
-    return np.minimum(out.reshape(-1), 65535).astype(np.uint16)
+        out[r.range] = np.frombuffer(r.counts, "<u2")
+    return out.reshape(-1).astype(np.uint16)
 
 
 def _needed(n, percent: int):
@@ -180,31 +180,41 @@ def _close(a: str, b: str, percent: int):
 def class_links(docs: DataFrame, members: DataFrame, words: int, percent: int) -> DataFrame:
     """Components (id, component) over the class representatives that have links."""
     # every shingle of every representative's prefix, with its place in the order
+    spark = docs.sparkSession
     rows = members.select(F.col("doc_id").alias("id"), "n", F.posexplode("prefix").alias("pos", "token"))
     groups = rows.groupBy("token").agg(F.count("*").alias("c"), F.min(F.struct("id", "n", "pos")).alias("p")).where("c > 1")
     rows = materialize(rows.join(groups, "token").select("token", "id", "n", "pos", F.col("p.id").alias("p_id"), F.col("p.n").alias("p_n"), F.col("p.pos").alias("p_pos")), "prefixes")
+    release(spark)
     star = rows.select("id", F.col("n").alias("x_n"), F.col("pos").alias("x_pos"), "p_id", F.col("p_n").alias("y_n"), F.col("p_pos").alias("y_pos")).where("id <> p_id")
     first = materialize(star.where(_close("x_", "y_", percent)).select(F.col("p_id").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
-    wanted = rows.select(F.col("id").alias("doc_id")).distinct()
-    sets = materialize(shingle_sets(docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), words), "sets")
-    links = materialize(verify(first, sets, percent), "links")
+    links = materialize(verify(first, sets_of(docs, first, words), percent), "links")
+    release(spark)
     comp = components(links)
     tagged = rows.select("token", "id", "n", "pos").join(comp, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
     per = tagged.groupBy("token", "comp").agg(F.count("*").alias("c"))
     mixed = per.groupBy("token").agg(F.count("*").alias("k"), F.max_by("comp", F.struct("c", "comp")).alias("main")).where("k > 1").select("token", "main")
     tagged = materialize(tagged.join(mixed, "token"), "mixed")
+    discard(rows)
+    release(spark)
     x = tagged.where("comp <> main").select("token", *[F.col(c).alias(f"x_{c}") for c in ("id", "n", "pos", "comp")], "main")
     y = tagged.select("token", *[F.col(c).alias(f"y_{c}") for c in ("id", "n", "pos", "comp")])
     crossing = x.join(y, "token").where((F.col("x_comp") != F.col("y_comp")) & ((F.col("y_comp") == F.col("main")) | (F.col("x_comp") < F.col("y_comp"))) & _close("x_", "y_", percent))
-    second = crossing.select(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-    found = materialize(verify(materialize(second, "pairs"), sets, percent), "links")
+    second = materialize(crossing.select(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b")).distinct().join(first, ["a", "b"], "left_anti"), "pairs")
+    found = materialize(verify(second, sets_of(docs, second, words), percent), "links")
     if found.limit(1).count():
         comp = components(links.unionByName(found))
-    for t in (rows, first, sets, tagged):
+    for t in (first, second, tagged, links, found):
         discard(t)
+    release(spark)
     return comp
 
 
+def sets_of(docs: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
+    """Whole sets of the documents in ``pairs``, one row per document."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    return shingle_sets(keep_ids(docs, ids, "doc_id"), words)
+
+
 def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, class_size (rows with an equal set).
 
@@ -214,6 +224,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, text:
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     signed = materialize(signatures(docs, shingle_counts(docs, words), words, percent), "signatures")
     classes = signed.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("class_size"))
+    release(docs.sparkSession)
     members = signed.join(classes.select(F.col("rep").alias("doc_id"), "key"), ["doc_id", "key"], "left_semi").dropDuplicates(["doc_id", "key"])
     comp = class_links(docs, members, words, percent)
     labelled = classes.join(comp.withColumnRenamed("id", "rep"), "rep", "left").select("key", F.coalesce("component", "rep").alias("component_id"), "class_size")

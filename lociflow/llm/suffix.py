@@ -31,10 +31,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lociflow.llm.common import discard, materialize, small_batches
+from lociflow.llm.common import discard, materialize, release, small_batches
 
 THRESHOLD = 50
 #: Shared ranks that may be broadcast (8 bytes each), bytes of text per bucket, bytes ranked at once.
@@ -369,36 +369,28 @@ def _as_done(records: DataFrame) -> DataFrame:
     return records.where("kind = 0").select("kind", F.col("a").alias("ids"), F.col("b").alias("sizes"), F.col("c").alias("starts"), F.col("d").alias("ends"))
 
 
-def _release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of finished rounds now instead of at a later collection."""
-    import gc
-
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def removed_spans(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """(o_id, o_size, spans): per document the covered spans as sorted (start, end) structs."""
     spark = docs.sparkSession
     n_buckets = _buckets_of(docs)
     ranks = materialize(shared_ranks(docs, threshold, n_buckets), "ranks")
-    _release(spark)
+    release(spark)
     n = ranks.agg(F.sum("n")).first()[0] or 0
     shared = None
     if n <= BROADCAST_RANKS:
         shared = np.sort(np.frombuffer(b"".join(bytes(r.ranks) for r in ranks.where("n > 0").select("ranks").collect()), np.uint64))
     records = materialize(anchor_records(docs, shared, threshold, n_buckets), "anchors")
     settled = materialize(settle_anchors(records, threshold), "settled")
-    _release(spark)
+    release(spark)
     open_anchors = _rows(settled, 2).groupBy("o_id", "o_size").agg(F.collect_list("start").alias("anchors"))
     strings = materialize(string_records(docs, open_anchors, threshold, n_buckets), "strings")
     last = materialize(settle_strings(strings, threshold), "settled")
-    _release(spark)
+    release(spark)
     done = _as_done(records).unionByName(settled.where("kind = 0")).unionByName(_as_done(strings)).unionByName(last.where("kind = 0"))
     spans = materialize(_rows(done, 0).groupBy("o_id", "o_size").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans")), "spans")
     for t in (ranks, records, settled, strings, last):
         discard(t)
-    _release(spark)
+    release(spark)
     return spans
 
 
