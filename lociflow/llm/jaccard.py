@@ -6,11 +6,12 @@
    (``BUCKETS`` hash buckets, a fixed size; a shared bucket only changes the order, never a
    result).  Two sets that are similar enough share one of their first n - ceil(t n) + 1
    shingles: the prefix.
-3. Prefix shingles are joined in two passes.  First every member of a shingle's group meets
-   the smallest member only, which joins large groups of near copies at linear cost.  Then,
-   where a group still holds several components, members outside its largest component meet
-   the members of other components.  Both passes filter by length and by position; pairs
-   are made distinct, so each is verified once.
+3. Prefix shingles are joined in three passes.  First every member meets one document only,
+   the smallest head of its shingles' groups, which joins large groups of near copies at
+   linear cost.  Then, where a group still holds several components, its members meet the
+   heads of the largest component (and that component's members the other heads).  Last,
+   members outside a group's largest component meet all members of other components.  All
+   passes filter by length and position; pairs are made distinct, so each is verified once.
 4. Verification compares set sizes per hash range first (the suffix filter: the ranges bound
    the overlap) and then intersects the whole sets.
 
@@ -186,8 +187,8 @@ def class_links(docs: DataFrame, members: DataFrame, words: int, percent: int) -
     rows = materialize(rows.join(groups, "token").select("token", "id", "n", "pos", F.col("p.id").alias("p_id"), F.col("p.n").alias("p_n"), F.col("p.pos").alias("p_pos")), "prefixes")
     release(spark)
     star = rows.select("id", F.col("n").alias("x_n"), F.col("pos").alias("x_pos"), "p_id", F.col("p_n").alias("y_n"), F.col("p_pos").alias("y_pos")).where("id <> p_id")
-    first = materialize(star.where(_close("x_", "y_", percent)).select(F.col("p_id").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
-    links = materialize(verify(first, sets_of(docs, first, words), percent), "links")
+    tried = materialize(star.where(_close("x_", "y_", percent)).groupBy(F.col("id").alias("b")).agg(F.min("p_id").alias("a")).select("a", "b"), "pairs")
+    links = materialize(verify(tried, sets_of(docs, tried, words), percent), "links")
     release(spark)
     comp = components(links)
     tagged = rows.select("token", "id", "n", "pos").join(comp, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
@@ -196,19 +197,40 @@ def class_links(docs: DataFrame, members: DataFrame, words: int, percent: int) -
     tagged = materialize(tagged.join(mixed, "token"), "mixed")
     discard(rows)
     release(spark)
+    # the rows of one component in a group meet the other components' smallest members only
+    heads = tagged.groupBy("token", "comp").agg(F.min(F.struct("id", "n", "pos")).alias("h")).select("token", F.col("comp").alias("y_comp"), *[F.col(f"h.{c}").alias(f"y_{c}") for c in ("id", "n", "pos")])
+    x = tagged.select("token", *[F.col(c).alias(f"x_{c}") for c in ("id", "n", "pos", "comp")], "main")
+    headed = x.join(heads, "token").where((F.col("x_comp") != F.col("y_comp")) & ((F.col("y_comp") == F.col("main")) | (F.col("x_comp") == F.col("main"))) & _close("x_", "y_", percent))
+    nearest = headed.groupBy("x_id", "y_comp").agg(F.min("y_id").alias("y_id"))
+    second = materialize(_new_pairs(nearest, tried), "pairs")
+    more = materialize(verify(second, sets_of(docs, second, words), percent), "links")
+    release(spark)
+    joined, seen = links.unionByName(more), tried.unionByName(second)
+    if more.limit(1).count():
+        comp = components(joined)
+        tagged = tagged.drop("comp").join(comp, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component", "main")
+        mixed = tagged.groupBy("token", "comp").agg(F.count("*").alias("c")).groupBy("token").agg(F.count("*").alias("k"), F.max_by("comp", F.struct("c", "comp")).alias("main")).where("k > 1").select("token", "main")
+        tagged = materialize(tagged.join(mixed, "token"), "mixed")
+        release(spark)
+    # what is left: every pair of different components that shares a shingle and passes the filters
     x = tagged.where("comp <> main").select("token", *[F.col(c).alias(f"x_{c}") for c in ("id", "n", "pos", "comp")], "main")
     y = tagged.select("token", *[F.col(c).alias(f"y_{c}") for c in ("id", "n", "pos", "comp")])
     crossing = x.join(y, "token").where((F.col("x_comp") != F.col("y_comp")) & ((F.col("y_comp") == F.col("main")) | (F.col("x_comp") < F.col("y_comp"))) & _close("x_", "y_", percent))
-    second = materialize(crossing.select(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b")).distinct().join(first, ["a", "b"], "left_anti"), "pairs")
-    found = materialize(verify(second, sets_of(docs, second, words), percent), "links")
+    third = materialize(_new_pairs(crossing, seen), "pairs")
+    found = materialize(verify(third, sets_of(docs, third, words), percent), "links")
     if found.limit(1).count():
-        comp = components(links.unionByName(found))
-    for t in (first, second, tagged, links, found):
+        comp = components(joined.unionByName(found))
+    for t in (tried, second, third, tagged, links, more, found):
         discard(t)
     release(spark)
     return comp
 
 
+def _new_pairs(crossing: DataFrame, seen: DataFrame) -> DataFrame:
+    """Distinct ordered pairs that no earlier pass has verified."""
+    return crossing.select(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b")).distinct().join(seen, ["a", "b"], "left_anti")
+
+
 def sets_of(docs: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
     """Whole sets of the documents in ``pairs``, one row per document."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
