@@ -34,11 +34,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lociflow.llm.common import discard, materialize, release, small_batches
+from lociflow.llm.common import discard, keep_ids, materialize, release, small_batches
 
 THRESHOLD = 50
 #: Shared ranks that may be broadcast (8 bytes each), bytes of text per bucket, bytes ranked at once.
-BROADCAST_RANKS, BUCKET_BYTES, PIECE = 8_000_000, 1 << 20, 4 << 20
+BROADCAST_RANKS, BUCKET_BYTES, PIECE = 8_000_000, 1 << 20, 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -165,10 +165,10 @@ def shared_ranks(docs: DataFrame, threshold: int, n_buckets: int) -> DataFrame:
             at = np.flatnonzero(first)
             last = np.append(at[1:], len(rank)) - 1
             many = doc[at] != doc[last]
-            rows = list(_split(rank[at], n_buckets, [rank[at], doc[at], many]))
+            rows = list(_split(rank[at], n_buckets, [rank[at], many]))
             ranks.clear()
             owners.clear()
-            yield pa.record_batch([pa.array([b for b, _ in rows], pa.int32())] + [pa.array([x[k] for _, x in rows], pa.binary()) for k in range(3)], ["bucket", "ranks", "docs", "many"])
+            yield pa.record_batch([pa.array([b for b, _ in rows], pa.int32())] + [pa.array([x[k] for _, x in rows], pa.binary()) for k in range(2)], ["bucket", "ranks", "many"])
 
         held = 0
         for batch in batches:
@@ -178,23 +178,22 @@ def shared_ranks(docs: DataFrame, threshold: int, n_buckets: int) -> DataFrame:
                 ranks.append(rank)
                 owners.append(ids[np.searchsorted(r.starts, at, side="right") - 1] if len(at) else np.zeros(0, np.int64))
                 held += len(at)
-                if held > 4_000_000:
+                if held > 1_500_000:
                     yield from flush()
                     held = 0
         yield from flush()
 
     def merged(key: tuple, table: pa.Table) -> pa.Table:
         rank = np.concatenate([np.frombuffer(x, np.uint64) for x in table.column("ranks").to_pylist()])
-        doc = np.concatenate([np.frombuffer(x, np.int64) for x in table.column("docs").to_pylist()])
         many = np.concatenate([np.frombuffer(x, bool) for x in table.column("many").to_pylist()])
-        order = np.lexsort((doc, rank))
-        rank, doc, many = rank[order], doc[order], many[order]
+        order = np.argsort(rank, kind="stable")
+        rank, many = rank[order], many[order]
         at = np.flatnonzero(_first_of(rank))
-        last = np.append(at[1:], len(rank)) - 1
-        keep = rank[at][(doc[at] != doc[last]) | np.logical_or.reduceat(many, at)]
+        # two tasks, or two documents of one task (a row repeated in two tasks only adds work)
+        keep = rank[at][(np.diff(np.append(at, len(rank))) > 1) | np.logical_or.reduceat(many, at)]
         return pa.table({"bucket": pa.array([key[0].as_py()], pa.int32()), "ranks": pa.array([keep.tobytes()], pa.binary()), "n": pa.array([len(keep)], pa.int64())})
 
-    rows = docs.mapInArrow(local, "bucket int, ranks binary, docs binary, many binary")
+    rows = docs.mapInArrow(local, "bucket int, ranks binary, many binary")
     return rows.groupBy("bucket").applyInArrow(merged, "bucket int, ranks binary, n long")
 
 
@@ -209,6 +208,14 @@ def _flow(kind: int, rows: list) -> pa.RecordBatch:
     return pa.record_batch(columns, ["kind", "bucket", "a", "b", "c", "d", "e"])
 
 
+def _packed(records, own: np.ndarray, n_buckets: int) -> list:
+    """Own records by bucket; sizes and places in 32 bits, an all-zero detail left out."""
+    rank, detail, ids, sizes, at = (x[own] for x in records)
+    blank = not detail.any()
+    rows = _split(rank, n_buckets, [rank, detail, ids, sizes.astype(np.int32), at.astype(np.int32)])
+    return [(b, [x[0], None if blank else x[1], *x[2:]]) for b, x in rows]
+
+
 def _settle(rank, detail, ids, sizes, at):
     """Records sorted by (rank, detail, id): which belong to the smallest id of their (rank, detail)."""
     order = np.lexsort((at, ids, detail, rank))
@@ -240,8 +247,7 @@ def anchor_records(docs: DataFrame, shared: np.ndarray | None, threshold: int, n
             done = _spans(tuple(x[~own] for x in records), before, after)
             if len(done[0]):
                 yield _flow(0, [(-1, [x.astype(np.int64).tobytes() for x in done])])
-            mine = [x[own] for x in records]
-            yield _flow(1, list(_split(mine[0], n_buckets, mine)))
+            yield _flow(1, _packed(records, own, n_buckets))
 
         count = 0
         for batch in batches:
@@ -261,7 +267,7 @@ def anchor_records(docs: DataFrame, shared: np.ndarray | None, threshold: int, n
                 detail = _mix(r.of(left, right) + _mix((at - left).astype(np.uint64) * np.uint64(1000) + (right - at).astype(np.uint64)))
                 held.append((rank, detail, ids[row], r.lengths[row], at - lo))
                 count += len(at)
-                if count > 2_000_000:
+                if count > 800_000:
                     yield from flush()
                     count = 0
         yield from flush()
@@ -270,8 +276,9 @@ def anchor_records(docs: DataFrame, shared: np.ndarray | None, threshold: int, n
 
 
 def _unpack(table: pa.Table) -> list[np.ndarray]:
-    kinds = (np.uint64, np.uint64, np.int64, np.int64, np.int64)
-    return [np.concatenate([np.frombuffer(x, k) for x in table.column(c).to_pylist()]) for c, k in zip("abcde", kinds, strict=True)]
+    rank, detail, ids = (np.concatenate([np.frombuffer(x or b"", k) for x in table.column(c).to_pylist()]) for c, k in (("a", np.uint64), ("b", np.uint64), ("c", np.int64)))
+    sizes, at = (np.concatenate([np.frombuffer(x, np.int32) for x in table.column(c).to_pylist()]).astype(np.int64) for c in "de")
+    return [rank, detail if len(detail) else np.zeros(len(rank), np.uint64), ids, sizes, at]
 
 
 def _done(kind: int, columns) -> pa.Table:
@@ -310,8 +317,7 @@ def string_records(docs: DataFrame, open_anchors: DataFrame, threshold: int, n_b
             done = _spans(tuple(x[~own] for x in records), 0, threshold)
             if len(done[0]):
                 yield _flow(0, [(-1, [x.astype(np.int64).tobytes() for x in done])])
-            mine = [x[own] for x in records]
-            yield _flow(1, list(_split(mine[0], n_buckets, mine)))
+            yield _flow(1, _packed(records, own, n_buckets))
 
         count = 0
         for batch in batches:
@@ -329,12 +335,14 @@ def string_records(docs: DataFrame, open_anchors: DataFrame, threshold: int, n_b
                     rank = _mix(first * _M2 + second)
                     held.append((rank, np.zeros(len(at), np.uint64), np.full(len(at), ids[i]), np.full(len(at), size), at))
                     count += len(at)
-                if count > 1_500_000:
+                if count > 800_000:
                     yield from flush()
                     count = 0
         yield from flush()
 
-    rows = docs.join(open_anchors, (docs["doc_id"].eqNullSafe(open_anchors["o_id"])) & (F.length(docs["text"]) == open_anchors["o_size"])).select("doc_id", "text", "anchors")
+    few = open_anchors.select(F.col("o_id").alias("doc_id")).distinct().where("doc_id is not null")
+    some = keep_ids(docs, few, "doc_id").unionByName(docs.where("doc_id is null"))
+    rows = some.join(open_anchors, some["doc_id"].eqNullSafe(open_anchors["o_id"]) & (F.length(some["text"]) == open_anchors["o_size"])).select("doc_id", "text", "anchors")
     return rows.mapInArrow(run, _FLOW)
 
 
@@ -380,15 +388,19 @@ def removed_spans(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     if n <= BROADCAST_RANKS:
         shared = np.sort(np.frombuffer(b"".join(bytes(r.ranks) for r in ranks.where("n > 0").select("ranks").collect()), np.uint64))
     records = materialize(anchor_records(docs, shared, threshold, n_buckets), "anchors")
-    settled = materialize(settle_anchors(records, threshold), "settled")
+    settled = materialize(settle_anchors(records, threshold).unionByName(_as_done(records)), "settled")
+    discard(records)
+    discard(ranks)
+    release(spark)
+    open_anchors = materialize(_rows(settled, 2).groupBy("o_id", "o_size").agg(F.collect_list("start").alias("anchors")), "open")
     release(spark)
-    open_anchors = _rows(settled, 2).groupBy("o_id", "o_size").agg(F.collect_list("start").alias("anchors"))
     strings = materialize(string_records(docs, open_anchors, threshold, n_buckets), "strings")
-    last = materialize(settle_strings(strings, threshold), "settled")
     release(spark)
-    done = _as_done(records).unionByName(settled.where("kind = 0")).unionByName(_as_done(strings)).unionByName(last.where("kind = 0"))
-    spans = materialize(_rows(done, 0).groupBy("o_id", "o_size").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans")), "spans")
-    for t in (ranks, records, settled, strings, last):
+    last = materialize(settle_strings(strings, threshold).unionByName(_as_done(strings)), "settled")
+    discard(strings)
+    release(spark)
+    spans = materialize(_rows(settled.unionByName(last), 0).groupBy("o_id", "o_size").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans")), "spans")
+    for t in (open_anchors, settled, last):
         discard(t)
     release(spark)
     return spans
