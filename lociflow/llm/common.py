@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 import zlib
 
@@ -49,9 +50,15 @@ def discard(df: DataFrame | None) -> None:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of finished rounds now instead of at a later collection."""
-    gc.collect()
-    spark._jvm.System.gc()
+    """Let Spark drop the shuffle files of finished rounds now instead of at a later collection.
+
+    Python lets go of its handles first; Spark's cleaner then follows the JVM's collection on
+    its own thread, so a second round catches what the first one has only made unreachable.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def keep_ids(df: DataFrame, ids: DataFrame, column: str, most: int = 1_000_000) -> DataFrame:
