@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 
 from lociflow.llm.common import small_batches
 
-SAMPLE_DOCS, SAMPLE_CHARS = 3000, 8_000_000
+SAMPLE_DOCS, SAMPLE_CHARS = 1500, 2_000_000
 CLASSES, SPAN, DECAY = 64, 5, 0.6
 LANDMARKS, ROUNDS, NEGATIVES = 320, 4, 12_000
 #: Signs and digits read as letters (fixed values).
@@ -200,8 +200,10 @@ class Model:
 
 
 def _seed_scores(f: Folded, label: np.ndarray) -> np.ndarray:
-    """Start of the witness search: mean log-odds of a word's close triples by the documents that have them."""
-    rows, codes, _ = _sparse_rows(f)
+    """Start of the witness search: mean log-odds of a word's adjacent triples by the documents that have them."""
+    word = np.repeat(np.arange(len(f.starts), dtype=np.int32), f.lengths)
+    at, codes, _ = next(_places(f), (np.zeros(0, np.int64), np.zeros(0, np.int32), 0.0))
+    rows = word[at]
     docs = f.doc[rows].astype(np.int64)
     n = [max(1, int((label == v).sum())) for v in (0, 1)]
     pairs = np.unique(docs * CLASSES**3 + codes)
@@ -231,8 +233,8 @@ def _fit_machine(train: Folded, y: np.ndarray, weight: np.ndarray, landmarks: Fo
     tr, tc, tv = tr[inside], place[tc[inside]], tv[inside]
     order = np.argsort(tr, kind="stable")
     tr, tc, tv = tr[order], tc[order], tv[order]
-    for lo in range(0, len(tr), 200_000):
-        part = slice(lo, lo + 200_000)
+    for lo in range(0, len(tr), 20_000):  # pieces of bounded memory
+        part = slice(lo, lo + 20_000)
         r = tr[part]
         first = np.flatnonzero(np.append(True, r[1:] != r[:-1]))
         z[r[first]] += np.add.reduceat(basis[tc[part]] * tv[part, None], first)
