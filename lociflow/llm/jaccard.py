@@ -11,9 +11,9 @@
    linear cost.  Then, where a group still holds several components, its members meet the
    heads of the largest component (and that component's members the other heads).  Last,
    members outside a group's largest component meet all members of other components.  All
-   passes filter by length and position; pairs are made distinct, so each is verified once.
-4. Verification compares set sizes per hash range first (the suffix filter: the ranges bound
-   the overlap) and then intersects the whole sets.
+   passes filter by length and position, the last two also by suffix (bitmaps of the whole
+   sets bound the overlap); pairs are made distinct, so each is verified once.
+4. Verification compares set sizes per hash range first and then intersects the whole sets.
 
 Links that pass 3 leaves out lie inside one component already, so components are exact.
 
@@ -37,6 +37,8 @@ from lociflow.llm.common import discard, keep_ids, materialize, release, small_b
 from lociflow.llm.graph import components
 
 BUCKETS, RANGES, PARTS = 1 << 22, 64, 16
+#: Bits of a set's parity bitmap.
+SKETCH_BITS = 512
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -114,25 +116,30 @@ def _needed(n, percent: int):
 
 
 def signatures(docs: DataFrame, counts: np.ndarray, words: int, percent: int) -> DataFrame:
-    """(doc_id, n, key, prefix): set size, identity of the set, rare-first prefix shingles."""
+    """(doc_id, n, key, prefix, sketch): set size, identity of the set, rare-first prefix shingles, parity bitmap."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, table = Shingler(words), shared.value
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).to_pylist()
-            n, keys, prefixes = [], [], []
+            n, keys, prefixes, sketches = [], [], [], []
             for t in texts:
                 s = shingles(t)
                 n.append(len(s))
                 keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                 order = np.lexsort((s, table[_bucket(s)]))[: len(s) - _needed(len(s), percent) + 1] if len(s) else []
                 prefixes.append(s[order].view(np.int64) if len(s) else np.zeros(0, np.int64))
+                parity = np.bincount((s & np.uint64(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS) & 1
+                sketches.append(np.packbits(parity.astype(np.uint8)).view(np.int64))
             ends = np.cumsum([0, *(len(p) for p in prefixes)], dtype=np.int32)
             flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
-            yield pa.record_batch([ids, pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["doc_id", "n", "key", "prefix"])
+            bits = pa.array(np.concatenate(sketches) if sketches else np.zeros(0, np.int64))
+            bit_ends = pa.array(np.arange(len(n) + 1, dtype=np.int32) * (SKETCH_BITS // 64))
+            lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.ListArray.from_arrays(bit_ends, bits)]
+            yield pa.record_batch([ids, pa.array(n, pa.int64()), pa.array(keys, pa.binary()), *lists], ["doc_id", "n", "key", "prefix", "sketch"])
 
-    return docs.select("doc_id", "text").mapInArrow(sign, "doc_id long, n long, key binary, prefix array<long>")
+    return docs.select("doc_id", "text").mapInArrow(sign, "doc_id long, n long, key binary, prefix array<long>, sketch array<long>")
 
 
 def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
@@ -178,11 +185,19 @@ def _close(a: str, b: str, percent: int):
     return (F.least(n1, n2) * 100 >= F.greatest(n1, n2) * percent) & (most * (100 + percent) >= (n1 + n2) * percent)
 
 
+def _alike(a: str, b: str, percent: int):
+    """Suffix filter: sets differ in at least as many shingles as their parity bitmaps differ in bits."""
+    apart = sum((F.bit_count(F.col(f"{a}sketch")[k].bitwiseXOR(F.col(f"{b}sketch")[k])) for k in range(SKETCH_BITS // 64)), F.lit(0))
+    both = F.col(f"{a}n") + F.col(f"{b}n")
+    return (both - apart) * (100 + percent) >= both * (2 * percent)
+
+
 def class_links(docs: DataFrame, members: DataFrame, words: int, percent: int) -> DataFrame:
     """Components (id, component) over the class representatives that have links."""
     # every shingle of every representative's prefix, with its place in the order
     spark = docs.sparkSession
     rows = members.select(F.col("doc_id").alias("id"), "n", F.posexplode("prefix").alias("pos", "token"))
+    sketches = members.select(F.col("doc_id").alias("id"), "sketch")
     groups = rows.groupBy("token").agg(F.count("*").alias("c"), F.min(F.struct("id", "n", "pos")).alias("p")).where("c > 1")
     rows = materialize(rows.join(groups, "token").select("token", "id", "n", "pos", F.col("p.id").alias("p_id"), F.col("p.n").alias("p_n"), F.col("p.pos").alias("p_pos")), "prefixes")
     release(spark)
@@ -194,13 +209,14 @@ def class_links(docs: DataFrame, members: DataFrame, words: int, percent: int) -
     tagged = rows.select("token", "id", "n", "pos").join(comp, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
     per = tagged.groupBy("token", "comp").agg(F.count("*").alias("c"))
     mixed = per.groupBy("token").agg(F.count("*").alias("k"), F.max_by("comp", F.struct("c", "comp")).alias("main")).where("k > 1").select("token", "main")
-    tagged = materialize(tagged.join(mixed, "token"), "mixed")
+    tagged = materialize(tagged.join(mixed, "token").join(sketches, "id"), "mixed")
     discard(rows)
     release(spark)
     # the rows of one component in a group meet the other components' smallest members only
-    heads = tagged.groupBy("token", "comp").agg(F.min(F.struct("id", "n", "pos")).alias("h")).select("token", F.col("comp").alias("y_comp"), *[F.col(f"h.{c}").alias(f"y_{c}") for c in ("id", "n", "pos")])
-    x = tagged.select("token", *[F.col(c).alias(f"x_{c}") for c in ("id", "n", "pos", "comp")], "main")
-    headed = x.join(heads, "token").where((F.col("x_comp") != F.col("y_comp")) & ((F.col("y_comp") == F.col("main")) | (F.col("x_comp") == F.col("main"))) & _close("x_", "y_", percent))
+    heads = tagged.groupBy("token", "comp").agg(F.min(F.struct("id", "n", "pos", "sketch")).alias("h")).select("token", F.col("comp").alias("y_comp"), *[F.col(f"h.{c}").alias(f"y_{c}") for c in ("id", "n", "pos", "sketch")])
+    x = tagged.select("token", *[F.col(c).alias(f"x_{c}") for c in ("id", "n", "pos", "comp", "sketch")], "main")
+    filters = _close("x_", "y_", percent) & _alike("x_", "y_", percent)
+    headed = x.join(heads, "token").where((F.col("x_comp") != F.col("y_comp")) & ((F.col("y_comp") == F.col("main")) | (F.col("x_comp") == F.col("main"))) & filters)
     nearest = headed.groupBy("x_id", "y_comp").agg(F.min("y_id").alias("y_id"))
     second = materialize(_new_pairs(nearest, tried), "pairs")
     more = materialize(verify(second, sets_of(docs, second, words), percent), "links")
@@ -213,9 +229,9 @@ def class_links(docs: DataFrame, members: DataFrame, words: int, percent: int) -
         tagged = materialize(tagged.join(mixed, "token"), "mixed")
         release(spark)
     # what is left: every pair of different components that shares a shingle and passes the filters
-    x = tagged.where("comp <> main").select("token", *[F.col(c).alias(f"x_{c}") for c in ("id", "n", "pos", "comp")], "main")
-    y = tagged.select("token", *[F.col(c).alias(f"y_{c}") for c in ("id", "n", "pos", "comp")])
-    crossing = x.join(y, "token").where((F.col("x_comp") != F.col("y_comp")) & ((F.col("y_comp") == F.col("main")) | (F.col("x_comp") < F.col("y_comp"))) & _close("x_", "y_", percent))
+    x = tagged.where("comp <> main").select("token", *[F.col(c).alias(f"x_{c}") for c in ("id", "n", "pos", "comp", "sketch")], "main")
+    y = tagged.select("token", *[F.col(c).alias(f"y_{c}") for c in ("id", "n", "pos", "comp", "sketch")])
+    crossing = x.join(y, "token").where((F.col("x_comp") != F.col("y_comp")) & ((F.col("y_comp") == F.col("main")) | (F.col("x_comp") < F.col("y_comp"))) & filters)
     third = materialize(_new_pairs(crossing, seen), "pairs")
     found = materialize(verify(third, sets_of(docs, third, words), percent), "links")
     if found.limit(1).count():
