@@ -12,7 +12,8 @@
    heads of the largest component (and that component's members the other heads).  Last,
    members outside a group's largest component meet all members of other components.  All
    passes filter by length and position, the last two also by suffix (bitmaps of the whole
-   sets bound the overlap); pairs are made distinct, so each is verified once.
+   sets bound the overlap); pairs are made distinct, so each is verified once.  Shingles that
+   only one document has in its prefix are dropped before, by a bitmap of fixed size.
 4. Verification compares set sizes per hash range first and then intersects the whole sets.
 
 Links that pass 3 leaves out lie inside one component already, so components are exact.
@@ -37,8 +38,8 @@ from lociflow.llm.common import discard, keep_ids, materialize, release, small_b
 from lociflow.llm.graph import components
 
 BUCKETS, RANGES, PARTS = 1 << 22, 64, 16
-#: Bits of a set's parity bitmap.
-SKETCH_BITS = 512
+#: Bits of a set's parity bitmap, and of the table of shared prefix shingles (16 MB at any input).
+SKETCH_BITS, SHARED_BITS = 512, 27
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -142,6 +143,79 @@ def signatures(docs: DataFrame, counts: np.ndarray, words: int, percent: int) ->
     return docs.select("doc_id", "text").mapInArrow(sign, "doc_id long, n long, key binary, prefix array<long>, sketch array<long>")
 
 
+def shared_tokens(members: DataFrame) -> np.ndarray:
+    """Bitmap over the leading ``SHARED_BITS`` bits of prefix shingles that two or more rows have.
+
+    Tasks send each of their distinct shingles once, packed by range; a hot shingle costs one
+    record per task.  The bitmap has a fixed size; a shared bit only lets a row through.
+    """
+    total = members.agg(F.sum(F.size("prefix"))).first()[0] or 0
+    n_buckets = 1 << max(6, min(20, (total * 8 >> 20).bit_length()))
+    shift = np.uint64(64 - n_buckets.bit_length() + 1)
+
+    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if not held:
+                return
+            token, n = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            bucket = (token >> shift).astype(np.int64)
+            cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
+            spans = list(zip(cut, np.append(cut[1:], len(bucket)), strict=True))
+            many = n > 1
+            columns = [pa.array([int(bucket[a]) for a, _ in spans], pa.int32())] + [pa.array([c[a:b].tobytes() for a, b in spans], pa.binary()) for c in (token, many)]
+            yield pa.record_batch(columns, ["bucket", "tokens", "many"])
+
+        size = 0
+        for batch in batches:
+            flat = batch.column(0).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            held.append(flat)
+            size += len(flat)
+            if size > 3_000_000:
+                yield from flush()
+                size = 0
+        yield from flush()
+
+    def merged(key: tuple, table: pa.Table) -> pa.Table:
+        token = np.concatenate([np.frombuffer(x, np.uint64) for x in table.column("tokens").to_pylist()])
+        many = np.concatenate([np.frombuffer(x, bool) for x in table.column("many").to_pylist()])
+        order = np.argsort(token, kind="stable")
+        token, many = token[order], many[order]
+        many[1:] |= token[1:] == token[:-1]
+        width = (1 << SHARED_BITS) // n_buckets
+        bits = np.zeros(width, bool)
+        bits[((token[many] >> np.uint64(64 - SHARED_BITS)) % np.uint64(width)).astype(np.int64)] = True
+        return pa.table({"bucket": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
+
+    packed = members.select("prefix").mapInArrow(local, "bucket int, tokens binary, many binary")
+    out = np.zeros((n_buckets, (1 << SHARED_BITS) // n_buckets // 8), np.uint8)
+    for r in packed.groupBy("bucket").applyInArrow(merged, "bucket int, bits binary").collect():  # 16 MB at most
+        out[r.bucket] = np.frombuffer(r.bits, np.uint8)
+    return out.reshape(-1)
+
+
+def prefix_rows(members: DataFrame, shared: np.ndarray) -> DataFrame:
+    """(id, n, pos, token) of the prefix shingles whose bit is set in ``shared``."""
+    table = members.sparkSession.sparkContext.broadcast(shared)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap = table.value
+        for batch in batches:
+            lists = batch.column(2)
+            lengths = np.diff(lists.offsets.to_numpy())
+            token = lists.flatten().to_numpy(zero_copy_only=False)
+            bit = (token.view(np.uint64) >> np.uint64(64 - SHARED_BITS)).astype(np.int64)
+            keep = np.flatnonzero(bitmap[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8) & 1)
+            row = np.repeat(np.arange(len(lengths)), lengths)[keep]
+            pos = keep - (np.cumsum(lengths) - lengths)[row]
+            at = pa.array(row)
+            yield pa.record_batch([batch.column(0).take(at), batch.column(1).take(at), pa.array(pos, pa.int32()), pa.array(token[keep], pa.int64())], ["id", "n", "pos", "token"])
+
+    return members.select("doc_id", "n", "prefix").mapInArrow(run, "id long, n long, pos int, token long")
+
+
 def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
     """(doc_id, shingles): the whole sorted sets as packed 64-bit values."""
 
@@ -196,7 +270,7 @@ def class_links(docs: DataFrame, members: DataFrame, words: int, percent: int) -
     """Components (id, component) over the class representatives that have links."""
     # every shingle of every representative's prefix, with its place in the order
     spark = docs.sparkSession
-    rows = members.select(F.col("doc_id").alias("id"), "n", F.posexplode("prefix").alias("pos", "token"))
+    rows = prefix_rows(members, shared_tokens(members))
     sketches = members.select(F.col("doc_id").alias("id"), "sketch")
     groups = rows.groupBy("token").agg(F.count("*").alias("c"), F.min(F.struct("id", "n", "pos")).alias("p")).where("c > 1")
     rows = materialize(rows.join(groups, "token").select("token", "id", "n", "pos", F.col("p.id").alias("p_id"), F.col("p.n").alias("p_n"), F.col("p.pos").alias("p_pos")), "prefixes")
@@ -263,7 +337,8 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, text:
     signed = materialize(signatures(docs, shingle_counts(docs, words), words, percent), "signatures")
     classes = signed.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("class_size"))
     release(docs.sparkSession)
-    members = signed.join(classes.select(F.col("rep").alias("doc_id"), "key"), ["doc_id", "key"], "left_semi").dropDuplicates(["doc_id", "key"])
+    members = materialize(signed.join(classes.select(F.col("rep").alias("doc_id"), "key"), ["doc_id", "key"], "left_semi").dropDuplicates(["doc_id", "key"]), "members")
+    release(docs.sparkSession)
     comp = class_links(docs, members, words, percent)
     labelled = classes.join(comp.withColumnRenamed("id", "rep"), "rep", "left").select("key", F.coalesce("component", "rep").alias("component_id"), "class_size")
     out = signed.where("n > 0").select("doc_id", "n", "key").join(labelled, "key")
