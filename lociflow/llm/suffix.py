@@ -197,7 +197,7 @@ def shared_ranks(docs: DataFrame, threshold: int, n_buckets: int) -> DataFrame:
     return rows.groupBy("bucket").applyInArrow(merged, "bucket int, ranks binary, n long")
 
 
-#: Records on the way to their bucket (kind 1: rank, detail, id, size, position) or settled (kind 0: id, size, start, end).
+#: Records on the way to their bucket (kind 1: rank, detail, id, size, position) or settled (kind 0: id, size, start, end; by document).
 _FLOW = "kind int, bucket int, a binary, b binary, c binary, d binary, e binary"
 _DONE = "kind int, ids binary, sizes binary, starts binary, ends binary"
 
@@ -230,6 +230,31 @@ def _spans(records, before: int, after: int):
     return ids, sizes, np.maximum(at - before, 0), np.minimum(at + after, sizes)
 
 
+def _merged(ids, sizes, starts, ends):
+    """Spans sorted by document, neighbours and overlaps made one."""
+    order = np.lexsort((ends, starts, sizes, ids))
+    ids, sizes, starts, ends = ids[order], sizes[order], starts[order], ends[order]
+    if not len(ids):
+        return ids, sizes, starts, ends
+    # the furthest end so far within the document, by a running maximum over (document number, end)
+    number = np.cumsum(_first_of(ids, sizes)).astype(np.int64)
+    reach = np.maximum.accumulate((number << 32) + ends)
+    fresh = np.append(True, (number[1:] << 32) + starts[1:] > reach[:-1])
+    at = np.flatnonzero(fresh)
+    return ids[at], sizes[at], starts[at], np.maximum.reduceat(ends, at)
+
+
+def _by_document(spans, n_buckets: int) -> list:
+    """(bucket, packed spans) with all spans of a document in one bucket."""
+    ids, sizes, starts, ends = _merged(*spans)
+    return list(_split(_mix(_mix(ids.view(np.uint64))), n_buckets, [ids, sizes.astype(np.int32), starts.astype(np.int32), ends.astype(np.int32)]))
+
+
+def _spans_in(table: pa.Table | pa.RecordBatch, columns) -> list[np.ndarray]:
+    kinds = (np.int64, np.int32, np.int32, np.int32)
+    return [np.concatenate([np.zeros(0, k), *(np.frombuffer(x, k) for x in table.column(c).to_pylist())]).astype(np.int64) for c, k in zip(columns, kinds, strict=True)]
+
+
 def anchor_records(docs: DataFrame, shared: np.ndarray | None, threshold: int, n_buckets: int) -> DataFrame:
     """Round 2a in each task: surroundings of shared anchors, settled inside the task."""
     half = threshold // 2
@@ -246,7 +271,7 @@ def anchor_records(docs: DataFrame, shared: np.ndarray | None, threshold: int, n
             held.clear()
             done = _spans(tuple(x[~own] for x in records), before, after)
             if len(done[0]):
-                yield _flow(0, [(-1, [x.astype(np.int64).tobytes() for x in done])])
+                yield _flow(0, _by_document(done, n_buckets))
             yield _flow(1, _packed(records, own, n_buckets))
 
         count = 0
@@ -276,14 +301,20 @@ def anchor_records(docs: DataFrame, shared: np.ndarray | None, threshold: int, n
 
 
 def _unpack(table: pa.Table) -> list[np.ndarray]:
-    rank, detail, ids = (np.concatenate([np.frombuffer(x or b"", k) for x in table.column(c).to_pylist()]) for c, k in (("a", np.uint64), ("b", np.uint64), ("c", np.int64)))
-    sizes, at = (np.concatenate([np.frombuffer(x, np.int32) for x in table.column(c).to_pylist()]).astype(np.int64) for c in "de")
+    rank, detail, ids = (np.concatenate([np.zeros(0, k), *(np.frombuffer(x or b"", k) for x in table.column(c).to_pylist())]) for c, k in (("a", np.uint64), ("b", np.uint64), ("c", np.int64)))
+    sizes, at = (np.concatenate([np.zeros(0, np.int32), *(np.frombuffer(x, np.int32) for x in table.column(c).to_pylist())]).astype(np.int64) for c in "de")
     return [rank, detail if len(detail) else np.zeros(len(rank), np.uint64), ids, sizes, at]
 
 
 def _done(kind: int, columns) -> pa.Table:
-    names = ("ids", "sizes", "starts", "ends")
-    return pa.table({"kind": pa.array([kind], pa.int32())} | {n: pa.array([c.astype(np.int64).tobytes()], pa.binary()) for n, c in zip(names, columns, strict=True)})
+    names, kinds = ("ids", "sizes", "starts", "ends"), (np.int64, np.int32, np.int32, np.int32)
+    return pa.table({"kind": pa.array([kind], pa.int32())} | {n: pa.array([c.astype(k).tobytes()], pa.binary()) for n, k, c in zip(names, kinds, columns, strict=True)})
+
+
+def _parts(table: pa.Table) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Ranked records and settled spans of a bucket."""
+    kinds = table.column("kind").to_numpy()
+    return _unpack(table.filter(pa.array(kinds == 1))), _spans_in(table.filter(pa.array(kinds == 0)), "abcd")
 
 
 def settle_anchors(records: DataFrame, threshold: int) -> DataFrame:
@@ -291,15 +322,16 @@ def settle_anchors(records: DataFrame, threshold: int) -> DataFrame:
     before, after = threshold - threshold // 2, threshold
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        (rank, detail, ids, sizes, at), own = _settle(*_unpack(table))
+        ranked, known = _parts(table)
+        (rank, detail, ids, sizes, at), own = _settle(*ranked)
         starts = np.flatnonzero(_first_of(rank))
-        varied = np.repeat(detail[starts] != detail[np.append(starts[1:], len(rank)) - 1], np.diff(np.append(starts, len(rank))))
+        varied = np.repeat(detail[starts] != detail[np.append(starts[1:], len(rank)) - 1], np.diff(np.append(starts, len(rank)))) if len(rank) else np.zeros(0, bool)
         all_ = (rank, detail, ids, sizes, at)
         done = _spans(tuple(x[~own] for x in all_), before, after)
         left = own & varied
-        return pa.concat_tables([_done(0, done), _done(2, (ids[left], sizes[left], at[left], at[left]))])
+        return pa.concat_tables([_done(0, _merged(*(np.concatenate(x) for x in zip(known, done, strict=True)))), _done(2, (ids[left], sizes[left], at[left], at[left]))])
 
-    return records.where("kind = 1").groupBy("bucket").applyInArrow(run, _DONE)
+    return records.groupBy("bucket").applyInArrow(run, _DONE)
 
 
 def string_records(docs: DataFrame, open_anchors: DataFrame, threshold: int, n_buckets: int) -> DataFrame:
@@ -316,7 +348,7 @@ def string_records(docs: DataFrame, open_anchors: DataFrame, threshold: int, n_b
             held.clear()
             done = _spans(tuple(x[~own] for x in records), 0, threshold)
             if len(done[0]):
-                yield _flow(0, [(-1, [x.astype(np.int64).tobytes() for x in done])])
+                yield _flow(0, _by_document(done, n_buckets))
             yield _flow(1, _packed(records, own, n_buckets))
 
         count = 0
@@ -347,38 +379,56 @@ def string_records(docs: DataFrame, open_anchors: DataFrame, threshold: int, n_b
 
 
 def settle_strings(records: DataFrame, threshold: int) -> DataFrame:
+    """Round 2b over all tasks: covered spans (kind 0)."""
+
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        sorted_, own = _settle(*_unpack(table))
-        return _done(0, _spans(tuple(x[~own] for x in sorted_), 0, threshold))
+        ranked, known = _parts(table)
+        sorted_, own = _settle(*ranked)
+        return _done(0, _merged(*(np.concatenate(x) for x in zip(known, _spans(tuple(x[~own] for x in sorted_), 0, threshold), strict=True))))
 
-    return records.where("kind = 1").groupBy("bucket").applyInArrow(run, _DONE)
+    return records.groupBy("bucket").applyInArrow(run, _DONE)
 
 
-def _rows(done: DataFrame, kind: int) -> DataFrame:
-    """Packed records as rows (o_id, o_size, start, end), neighbours of one document merged."""
+def open_rows(done: DataFrame) -> DataFrame:
+    """Anchors of kind 2 as rows (o_id, o_size, start)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for blobs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                ids, sizes, starts, ends = (np.frombuffer(b, np.int64) for b in blobs)
-                if kind == 0 and len(ids):
-                    order = np.lexsort((ends, starts, sizes, ids))
-                    ids, sizes, starts, ends = ids[order], sizes[order], starts[order], ends[order]
-                    fresh = _first_of(ids, sizes)
-                    fresh[1:] |= starts[1:] > ends[:-1]
-                    at = np.flatnonzero(fresh)
-                    ids, sizes, starts, ends = ids[at], sizes[at], starts[at], np.maximum.reduceat(ends, at)
-                yield pa.record_batch([pa.array(ids, mask=ids == _NULL_ID), pa.array(sizes), pa.array(starts), pa.array(ends)], ["o_id", "o_size", "start", "end"])
+            ids, sizes, starts = _spans_in(batch, ("ids", "sizes", "starts", "ends"))[:3]
+            yield pa.record_batch([pa.array(ids, mask=ids == _NULL_ID), pa.array(sizes), pa.array(starts)], ["o_id", "o_size", "start"])
 
-    return done.where(f"kind = {kind}").select("ids", "sizes", "starts", "ends").mapInArrow(run, "o_id long, o_size long, start long, end long")
+    return done.where("kind = 2").select("ids", "sizes", "starts", "ends").mapInArrow(run, "o_id long, o_size long, start long")
 
 
-def _as_done(records: DataFrame) -> DataFrame:
-    return records.where("kind = 0").select("kind", F.col("a").alias("ids"), F.col("b").alias("sizes"), F.col("c").alias("starts"), F.col("d").alias("ends"))
+def document_spans(done: DataFrame, n_buckets: int) -> DataFrame:
+    """(o_id, o_size, spans): all covered spans of a document, merged, as pairs of 32-bit numbers."""
+
+    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+        count = 0
+        for batch in batches:
+            held.append(_spans_in(batch, ("ids", "sizes", "starts", "ends")))
+            count += len(held[-1][0])
+            if count > 800_000:
+                yield _flow(0, _by_document([np.concatenate(x) for x in zip(*held, strict=True)], n_buckets))
+                held.clear()
+                count = 0
+        if count:
+            yield _flow(0, _by_document([np.concatenate(x) for x in zip(*held, strict=True)], n_buckets))
+
+    def merged(key: tuple, table: pa.Table) -> pa.Table:
+        ids, sizes, starts, ends = _merged(*_spans_in(table, "abcd"))
+        at = np.flatnonzero(_first_of(ids, sizes))
+        pairs = np.stack([starts, ends], axis=1).astype(np.int32)
+        blobs = [pairs[a:b].tobytes() for a, b in zip(at, np.append(at[1:], len(ids)), strict=True)]
+        return pa.table({"o_id": pa.array(ids[at], mask=ids[at] == _NULL_ID), "o_size": pa.array(sizes[at], pa.int64()), "spans": pa.array(blobs, pa.binary())})
+
+    rows = done.where("kind = 0").select("ids", "sizes", "starts", "ends").mapInArrow(local, _FLOW)
+    return rows.groupBy("bucket").applyInArrow(merged, "o_id long, o_size long, spans binary")
 
 
 def removed_spans(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """(o_id, o_size, spans): per document the covered spans as sorted (start, end) structs."""
+    """(o_id, o_size, spans): per document the covered spans, sorted, packed as (start, end) in 32 bits."""
     spark = docs.sparkSession
     n_buckets = _buckets_of(docs)
     ranks = materialize(shared_ranks(docs, threshold, n_buckets), "ranks")
@@ -387,19 +437,14 @@ def removed_spans(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     shared = None
     if n <= BROADCAST_RANKS:
         shared = np.sort(np.frombuffer(b"".join(bytes(r.ranks) for r in ranks.where("n > 0").select("ranks").collect()), np.uint64))
-    records = materialize(anchor_records(docs, shared, threshold, n_buckets), "anchors")
-    settled = materialize(settle_anchors(records, threshold).unionByName(_as_done(records)), "settled")
-    discard(records)
+    settled = materialize(settle_anchors(anchor_records(docs, shared, threshold, n_buckets), threshold), "settled")
     discard(ranks)
     release(spark)
-    open_anchors = materialize(_rows(settled, 2).groupBy("o_id", "o_size").agg(F.collect_list("start").alias("anchors")), "open")
-    release(spark)
-    strings = materialize(string_records(docs, open_anchors, threshold, n_buckets), "strings")
+    open_anchors = materialize(open_rows(settled).groupBy("o_id", "o_size").agg(F.collect_list("start").alias("anchors")), "open")
     release(spark)
-    last = materialize(settle_strings(strings, threshold).unionByName(_as_done(strings)), "settled")
-    discard(strings)
+    last = materialize(settle_strings(string_records(docs, open_anchors, threshold, n_buckets), threshold), "settled")
     release(spark)
-    spans = materialize(_rows(settled.unionByName(last), 0).groupBy("o_id", "o_size").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans")), "spans")
+    spans = materialize(document_spans(settled.unionByName(last), n_buckets), "spans")
     for t in (open_anchors, settled, last):
         discard(t)
     release(spark)
@@ -416,12 +461,7 @@ def remove_repeats(docs: DataFrame, threshold: int = THRESHOLD, text: str = "tex
         for batch in batches:
             kept, merged = [], []
             for t, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                runs: list[list[int]] = []
-                for s in found or ():
-                    if runs and s["start"] <= runs[-1][1]:
-                        runs[-1][1] = max(runs[-1][1], s["end"])
-                    else:
-                        runs.append([s["start"], s["end"]])
+                runs = np.frombuffer(found or b"", np.int32).reshape(-1, 2).tolist()
                 at, out = 0, []
                 for a, b in runs:
                     out.append(t[at:a])
