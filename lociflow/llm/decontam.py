@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -66,19 +67,19 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[str, list[bytes]]]]:
 def build_index(docs: DataFrame, terms: set[bytes], text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Postings of ``terms`` in every document (documents without any keep an empty row)."""
     small_batches(docs.sparkSession)
+    vocabulary = sorted(terms)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code = {w: i for i, w in enumerate(vocabulary)}.get
         for batch in batches:
             out: list[list] = [[], [], [], [], [], []]
             for doc, row, t in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = words_of(t)
-                lists: dict[bytes, list[int]] = {}
-                for at, w in enumerate(words):
-                    if w in terms:
-                        lists.setdefault(w, []).append(at)
-                found = list(lists)
-                flat = np.fromiter((p for w in found for p in lists[w]), dtype="<i4")
-                for column, value in zip(out, (doc, row, len(words), found, [len(lists[w]) for w in found], flat.tobytes()), strict=True):
+                codes = np.fromiter(map(code, words, repeat(-1)), np.int32, len(words))
+                at = np.flatnonzero(codes >= 0)
+                at = at[np.argsort(codes[at], kind="stable")]
+                found, counts = np.unique(codes[at], return_counts=True)
+                for column, value in zip(out, (doc, row, len(words), [vocabulary[i] for i in found], counts, at.astype("<i4").tobytes()), strict=True):
                     column.append(value)
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.binary())
             yield pa.record_batch([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["doc_id", "row", "n_words", "terms", "counts", "positions"])
@@ -134,16 +135,18 @@ def search_index(index: DataFrame, windows: dict, slop: int = SLOP) -> DataFrame
                 spans, exact, near = [], set(), set()
                 for term in lists.keys() & windows.keys():
                     for item, order, length in windows[term]:
+                        if not all(t in lists for t, _ in order):
+                            continue
                         starts = lists[term] - order[0][1]
                         found = starts[(starts >= 0) & (starts + length <= n_words)]
                         for t, offset in order[1:]:
                             if not len(found):
                                 break
-                            found = found[_has(lists[t], found + offset)] if t in lists else found[:0]
+                            found = found[_has(lists[t], found + offset)]
                         if len(found):
                             exact.add(item)
                             spans += [(int(s), length) for s in found]
-                        elif slop and item not in near and all(t in lists for t, _ in order):
+                        elif slop and item not in near:
                             for t, offset in order[1:]:
                                 starts = starts[_near(lists[t], starts + offset, slop)]
                                 if not len(starts):
