@@ -120,14 +120,13 @@ def mix_sources(
     )
     plan = budgets.join(ends, ["domain", "__l", "__s"], "left")
     selected = rows.join(plan, ["domain", "__l", "__s"])
-    whole = selected.where("whole > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("whole") - 1)))
-    partial = selected.where(f"whole < {max_epochs}").withColumn("epoch", F.col("whole")).withColumn("place", placed(F.col("whole"))).withColumn("__b", F.substring("place", 1, 3))
     out = [*keep, "domain", "epoch", "n_tokens", "leaf_budget"]
-    below = partial.where("end_bucket is null or __b < end_bucket")
-    at_end = partial.where("__b = end_bucket")
+    passes = selected.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.least(F.col("whole"), F.lit(max_epochs - 1).cast("long")))))
+    below = passes.where((F.col("epoch") < F.col("whole")) | F.col("end_bucket").isNull() | (F.substring(placed(F.col("epoch")), 1, 3) < F.col("end_bucket")))
+    at_end = selected.where(f"whole < {max_epochs}").withColumn("epoch", F.col("whole")).withColumn("place", placed(F.col("whole"))).where(F.substring("place", 1, 3) == F.col("end_bucket"))
     prefix = Window.partitionBy("domain", "__l", "__s").orderBy("place", F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))).rowsBetween(Window.unboundedPreceding, 0)
     at_end = at_end.withColumn("__run", F.sum("n_tokens").over(prefix)).where("before + __run <= rest")
-    return whole.select(*out).unionByName(below.select(*out)).unionByName(at_end.select(*out))
+    return below.select(*out).unionByName(at_end.select(*out))
 
 
 def mixing_sql(budget_percent: int = BUDGET_PERCENT, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> str:
