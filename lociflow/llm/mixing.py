@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lociflow.llm.common import SPACE_CLASS
+from lociflow.llm.common import SPACE_CLASS, discard, materialize
 
 #: Production parameters: weights per domain and language (others get 1), budget and epochs.
 DOMAIN_WEIGHTS = {"d0": 4, "d1": 3, "d2": 2, "d3": 1}
@@ -107,6 +107,8 @@ def mix_sources(
         F.expr("case when avail > 0 then budget div avail else 0 end").alias("whole"),
         F.expr("case when avail > 0 then budget % avail else 0 end").alias("rest"),
     )
+    # one row per leaf: written, so that its size is known and Spark broadcasts it only where it is small
+    budgets = materialize(budgets, "budgets")
     # tokens per leaf and bucket of the epoch that the budget ends in
     narrow = rows.select(*leaf, ids.alias("__id"), "n_tokens").join(budgets, ["domain", "__l", "__s"])
     next_place = F.md5(F.concat(F.lit(f"{seed}:"), F.col("whole").cast("string"), F.lit(":"), F.col("__id")).cast("binary"))
@@ -118,7 +120,8 @@ def mix_sources(
         .groupBy("domain", "__l", "__s")
         .agg(F.min_by("bucket", "bucket").alias("end_bucket"), F.min_by(F.col("through") - F.col("t"), "bucket").alias("before"))
     )
-    plan = budgets.join(ends, ["domain", "__l", "__s"], "left")
+    plan = materialize(budgets.join(ends, ["domain", "__l", "__s"], "left"), "plan")
+    discard(budgets)
     selected = rows.join(plan, ["domain", "__l", "__s"])
     out = [*keep, "domain", "epoch", "n_tokens", "leaf_budget"]
     passes = selected.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.least(F.col("whole"), F.lit(max_epochs - 1).cast("long")))))
