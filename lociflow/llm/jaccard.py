@@ -271,9 +271,10 @@ def class_links(docs: DataFrame, members: DataFrame, words: int, percent: int) -
     # every shingle of every representative's prefix, with its place in the order
     spark = docs.sparkSession
     rows = prefix_rows(members, shared_tokens(members))
-    sketches = members.select(F.col("doc_id").alias("id"), "sketch")
+    sketches = materialize(members.select(F.col("doc_id").alias("id"), "sketch"), "sketches")
     groups = rows.groupBy("token").agg(F.count("*").alias("c"), F.min(F.struct("id", "n", "pos")).alias("p")).where("c > 1")
     rows = materialize(rows.join(groups, "token").select("token", "id", "n", "pos", F.col("p.id").alias("p_id"), F.col("p.n").alias("p_n"), F.col("p.pos").alias("p_pos")), "prefixes")
+    discard(members)
     release(spark)
     star = rows.select("id", F.col("n").alias("x_n"), F.col("pos").alias("x_pos"), "p_id", F.col("p_n").alias("y_n"), F.col("p_pos").alias("y_pos")).where("id <> p_id")
     tried = materialize(star.where(_close("x_", "y_", percent)).groupBy(F.col("id").alias("b")).agg(F.min("p_id").alias("a")).select("a", "b"), "pairs")
@@ -327,6 +328,11 @@ def sets_of(docs: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
     return shingle_sets(keep_ids(docs, ids, "doc_id"), words)
 
 
+def _classes(signed: DataFrame) -> DataFrame:
+    """(key, rep, class_size): equal sets, with the smallest document of each."""
+    return signed.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("class_size"))
+
+
 def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, class_size (rows with an equal set).
 
@@ -335,9 +341,13 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, text:
     small_batches(docs.sparkSession)
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     signed = materialize(signatures(docs, shingle_counts(docs, words), words, percent), "signatures")
-    classes = signed.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("class_size"))
+    classes = _classes(signed)
     release(docs.sparkSession)
     members = materialize(signed.join(classes.select(F.col("rep").alias("doc_id"), "key"), ["doc_id", "key"], "left_semi").dropDuplicates(["doc_id", "key"]), "members")
+    # prefixes are kept once, and no longer than they are read
+    whole, signed = signed, materialize(signed.select("doc_id", "n", "key"), "sizes")
+    discard(whole)
+    classes = _classes(signed)
     release(docs.sparkSession)
     comp = class_links(docs, members, words, percent)
     labelled = classes.join(comp.withColumnRenamed("id", "rep"), "rep", "left").select("key", F.coalesce("component", "rep").alias("component_id"), "class_size")
