@@ -12,6 +12,8 @@ from lociflow.functions import patterns as P
 SENTENCE_SPLIT = r"(?<=[.!?])\s+(?=[A-Z0-9\"'(\[])"
 NEGATIVE_SENTENCE_SPLIT = r"(?<=[.!?])\s+(?=[A-Z0-9(])"
 LOCAL_RADIUS = 180
+#: Runs of white space as Python's ``\s`` has it (Java's ``\s`` is ASCII only); the same in RE2.
+WHITE = r"[\s\x0B\x1C-\x1F\x{85}\pZ]+"
 
 
 def blank(c: Column) -> Column:
@@ -119,8 +121,9 @@ def normalize_pmcid(value: Column) -> Column:
 
 
 def clip(text: Column, n: int = 700) -> Column:
-    flat = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", " "))
-    return F.when(F.length(flat) > n, F.concat(F.rtrim(F.substring(flat, 1, n - 1)), F.lit("…"))).otherwise(flat)
+    """White space collapsed; more than ``n`` characters are cut to ``n - 1`` and an ellipsis."""
+    flat = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), WHITE, " "))
+    return F.when(F.length(flat) > n, F.concat(F.substring(flat, 1, n - 1), F.lit("…"))).otherwise(flat)
 
 
 def first_snippet(text: Column, word: Column, radius: int = 42) -> Column:

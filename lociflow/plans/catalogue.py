@@ -127,6 +127,12 @@ def clip_text(spark, sf_dir):
     return t(spark, sf_dir, "documents").select("doc_id", F.when(F.length(F.trim("text")) > 700, F.lit(None)).otherwise(F.length(flat)).cast("long").alias("short_length"))
 
 
+@query(f"SELECT doc_id, CASE WHEN length(flat) > 700 THEN left(flat, 699) || '…' ELSE flat END AS clipped FROM (SELECT doc_id, trim(regexp_replace(coalesce(text, ''), '{text.WHITE}', ' ', 'g')) AS flat FROM documents)")
+def clipped_text(spark, sf_dir):
+    """Every document clipped; ``clip_text`` has lengths of short ones only."""
+    return t(spark, sf_dir, "documents").select("doc_id", text.clip(F.col("text")).alias("clipped"))
+
+
 @query(
     """SELECT o_orderkey, strftime(o_orderdate, '%Y') || CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE '-' || strftime(o_orderdate, '%m') END AS date_key FROM orders"""
 )

@@ -77,3 +77,21 @@ def test_html_text(spark):
     assert values(spark, text.html_to_text(F.col("x")), ["<p>a&nbsp;b</p><script>x</script><p>c</p>"]) == ["a b\nc"]
     assert values(spark, text.section_type(F.col("x")), ["Materials and methods", "Results", "Foo"]) == ["METHODS", "RESULTS", "OTHER"]
     assert values(spark, text.usable_passage(F.lit("REF"), F.lit("p"), F.col("x")), ["y" * 50]) == [False]
+
+
+def test_clip(spark):
+    cut = values(spark, text.clip(F.col("x"), 5), ["ab cdef", "abc  \n de", "abc d", " \u00a0a\u2003\x1cb ", None])
+    assert cut == ["ab c…", "abc …", "abc d", "a b", ""]
+
+
+def test_clipped_text_query(spark, tmp_path):
+    import duckdb
+
+    import __spark_entry__ as entry
+
+    rows = [(1, "x " * 400), (2, "y" * 700), (3, "z" * 701), (4, "a\u00a0\x0b b"), (5, None), (6, "w" * 698 + " tail")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: r.clipped for r in entry.queries()["clipped_text"](spark, str(tmp_path)).collect()}
+    documents = duckdb.read_parquet(f"{tmp_path}/documents.parquet/*.parquet")  # noqa: F841
+    assert found == dict(duckdb.sql(entry.oracle_sql()["clipped_text"]).fetchall())
+    assert found[2] == "y" * 700 and found[3] == "z" * 699 + "…" and found[6] == "w" * 698 + " …"
