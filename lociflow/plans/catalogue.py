@@ -201,6 +201,42 @@ def negative_evidence(spark, sf_dir):
     return rows.where("n.rule = 'classify_paren'").select("id", "n.variant", "n.label")
 
 
+#: Per p_partkey % 10 a text ({v} the anchor, {w} another variant, {r} an rs name) and its hits (rule, label, role, confidence).
+#: As in the reference, a loose token that keeps the full stop or parenthesis behind it is not the nearest variant and gives no row.
+_NEGATIVE_CASES = (
+    ("We studied {v}. The change was likely benign ({w}).", [("classify_paren", "likely_benign", "", "high"), ("window_classify_paren", "likely_benign", "", "medium")]),
+    ("{w} was later reclassified as benign.", [("reclassified_lb", "benign", "", "high"), ("variant_then_label", "benign", "", "medium")]),
+    ("It was classified as benign, namely {w}.", [("classify_then_nearby_var", "benign", "", "high")]),
+    ("{w} in our second cohort was classified by two laboratories as benign.", [("were_classified_lb", "benign", "", "high")]),
+    ("{w} was again seen and classified as VUS.", [("variant_then_vus", "uncertain", "", "high"), ("variant_then_label", "uncertain", "", "medium")]),
+    ("{w} is a non-pathogenic change.", [("variant_then_label", "not_pathogenic", "", "medium")]),
+    ("A benign polymorphism, {w}, was seen.", [("label_then_variant", "benign", "", "medium")]),
+    ("{w} is benign beside {v}.", [("nearest_other_to_label", "benign", "", "low")]),
+    ("As a negative control we used {w} beside {v}.", [("control_cue_with_variant", "benign", "control_variant", "medium")]),
+    ("The site {r} may not be related to risk.", [("rs_null_association", "association_null", "association_null_site", "medium")]),
+)
+_NEGATIVE_NAMES = {"{v}": "', concat('c.', p_partkey, 'A>G'), '", "{w}": "', concat('c.', p_partkey + 1, 'C>T'), '", "{r}": "', concat('rs', 100000 + p_partkey), '"}
+
+
+def _negative_text_sql() -> str:
+    def case(x: str) -> str:
+        for name, sql in _NEGATIVE_NAMES.items():
+            x = x.replace(name, sql)
+        return f"concat('{x}')"
+
+    return "CASE p_partkey % 10 " + " ".join(f"WHEN {i} THEN {case(x)}" for i, (x, _) in enumerate(_NEGATIVE_CASES)) + " END"
+
+
+_NEGATIVE_HITS = ", ".join(f"({i}, '{rule}', '{label}', '{role or 'same_paper_other_site'}', '{sure}')" for i, (_, hits) in enumerate(_NEGATIVE_CASES) for rule, label, role, sure in hits)
+
+
+@query(f"SELECT p_partkey AS id, CASE k WHEN 9 THEN 'rs' || (100000 + p_partkey) ELSE 'c.' || (p_partkey + 1) || 'C>T' END AS variant, label, role, confidence, rule FROM part JOIN (VALUES {_NEGATIVE_HITS}) h(k, rule, label, role, confidence) ON k = p_partkey % 10")
+def negative_evidence_rules(spark, sf_dir):
+    """Rows of all ten rules, each on texts that trigger it."""
+    found = spans.negatives(F.expr(_negative_text_sql()), F.expr("concat('c.', p_partkey, 'A>G')"))
+    return t(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.explode(found).alias("n")).select("id", "n.variant", "n.label", "n.role", "n.confidence", "n.rule")
+
+
 # -- joins -----------------------------------------------------------------------------
 @query("SELECT e.event_id, p.p_partkey FROM events e JOIN part p ON (e.user_id % 25) = (p.p_size % 25) AND e.event_id BETWEEN p.p_partkey * 7 AND p.p_partkey * 7 + 40")
 def interval_overlap(spark, sf_dir):

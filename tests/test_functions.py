@@ -95,3 +95,16 @@ def test_clipped_text_query(spark, tmp_path):
     documents = duckdb.read_parquet(f"{tmp_path}/documents.parquet/*.parquet")  # noqa: F841
     assert found == dict(duckdb.sql(entry.oracle_sql()["clipped_text"]).fetchall())
     assert found[2] == "y" * 700 and found[3] == "z" * 699 + "…" and found[6] == "w" * 698 + " …"
+
+
+def test_negative_rules():
+    hits = lambda text, anchor="c.1A>G": [(n["rule"], n["variant"], n["label"]) for n in spans.negatives_in(text, anchor)]
+    assert hits("The alleles c.10A>G and c.11C>T in our second cohort were classified by two laboratories as benign.") == [("were_classified_lb", "c.11C>T", "benign")]
+    assert hits("As a negative control we used c.55G>A.") == [("control_cue_with_variant", "c.55G>A", "benign")]
+    assert ("classify_then_nearby_var", "c.7C>T", "uncertain") in hits("It was classified as a VUS: c.7C>T.")
+    assert ("variant_then_vus", "c.7C>T", "uncertain") in hits("c.7C>T was seen twice and classified as a VUS.")
+    assert hits("c.7C>T is benign beside c.1A>G.") == [("nearest_other_to_label", "c.7C>T", "benign")]
+    assert not hits("c.7C>T was classified as a VUS despite a VUS call.") and not hits("The benign tumor had c.7C>T, a control variant.")
+    for words in ("may not be related", "is not related to risk", "no association was found", "no association observed", "not significantly associated", "no significant associations"):
+        assert hits(f"The site rs12345 {words}.") == [("rs_null_association", "rs12345", "association_null")]
+    assert hits("The site rs12345 is not related to risk.", "rs12345") == [("rs_null_association", "rs12345", "association_null")]
