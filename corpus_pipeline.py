@@ -25,18 +25,36 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.identify(docs, dictionaries).where("not rejected").select(docs.columns)
 
 
+def _with_row_key(docs: DataFrame) -> DataFrame:
+    """``__row``: a 64-bit hash of id and text, which stands for the row where ids are null or repeated.
+
+    Rows that share it have equal ids and texts (two others share one with a chance of about
+    n^2 / 2^65), so every decision about a row holds for its repeats.
+    """
+    return docs.withColumn("__row", F.xxhash64("doc_id", "text"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest document of each component; rows repeated under one id keep one row."""
-    found = jaccard.jaccard_components(docs, SHINGLE_WORDS, SIMILARITY_PERCENT)
-    first = found.where("doc_id = component_id or doc_id is null").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(first, docs["doc_id"].eqNullSafe(first["__id"]), "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    """The document with the smallest id of each component (null ids last).
+
+    Rows that repeat one id and text keep one row; wordless texts without an id stay.
+    """
+    keyed = _with_row_key(docs)
+    found = jaccard.jaccard_components(keyed, SHINGLE_WORDS, SIMILARITY_PERCENT, doc_id="__row")
+    ids = keyed.select("__row", "doc_id").distinct()
+    ranked = found.select(F.col("doc_id").alias("__row"), "component_id").distinct().join(ids, "__row")
+    first = ranked.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row")).alias("m")).select("m.__row")
+    wordless = ~F.coalesce("text", F.lit("")).rlike("[^\\x09-\\x0D\\x20]")
+    kept = keyed.join(first, "__row", "left_semi").withColumn("__alone", F.when(F.col("doc_id").isNull() & wordless, F.monotonically_increasing_id()))
+    return kept.dropDuplicates(["__row", "__alone"]).select(docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark window."""
-    hits = decontam.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    bad = hits.where(F.size("exact_items") > 0).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["__id"]), "left_anti").select(docs.columns)
+    keyed = _with_row_key(docs)
+    hits = decontam.contamination(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), doc_id="__row")
+    bad = hits.where(F.size("exact_items") > 0).select(F.col("doc_id").alias("__row")).distinct()
+    return keyed.join(bad, "__row", "left_anti").select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

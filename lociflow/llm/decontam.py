@@ -17,7 +17,7 @@ bounds what each task holds; every block meets all documents.
 
 Edge cases: null texts have no words; an item without words has no window and is never hit;
 empty tables give documents without hits; repeated documents and items are kept as they
-are; repeated item ids count once; texts of any length are indexed whole.
+are; repeated item ids count once, and items without an id as one of the empty name; texts of any length are indexed whole.
 """
 
 from __future__ import annotations
@@ -51,7 +51,7 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[str, list[bytes]]]]:
     """Items in blocks of bounded words, in the order of their ids."""
     block: list[tuple[str, list[bytes]]] = []
     held = 0
-    for row in benchmark.select(F.col("item_id").cast("string").alias("i"), F.col("text").alias("t")).where("i is not null").sort("i", "t").toLocalIterator():
+    for row in benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("i"), F.col("text").alias("t")).sort("i", "t").toLocalIterator():
         words = words_of(row.t)
         if not words:
             continue

@@ -217,12 +217,21 @@ def prefix_rows(members: DataFrame, shared: np.ndarray) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, shingles): the whole sorted sets as packed 64-bit values."""
+    """(doc_id, shingles): the whole sorted sets as packed 64-bit values; a task gives a repeated row once."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingler(words)
+        shingles, seen = Shingler(words), set()
         for batch in batches:
-            yield pa.record_batch([batch.column(0), pa.array([shingles(t).tobytes() for t in batch.column(1).to_pylist()], pa.binary())], ["doc_id", "shingles"])
+            if len(seen) > 300_000:
+                seen.clear()
+            ids, packed = [], []
+            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                row = (i, xxhash.xxh3_128_intdigest((t or "").encode("utf-8", "surrogatepass")))
+                if row not in seen:
+                    seen.add(row)
+                    ids.append(i)
+                    packed.append(shingles(t).tobytes())
+            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(packed, pa.binary())], ["doc_id", "shingles"])
 
     return docs.select("doc_id", "text").mapInArrow(sets, "doc_id long, shingles binary")
 

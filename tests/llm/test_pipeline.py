@@ -39,3 +39,28 @@ def test_pipeline(spark, tmp_path):
     assert set(kept["shard"]) == set(kept["mix"])
     assert {r.shard for r in kept["shard"].values()} <= set(range(24))
     assert {r.doc_id for r in cp.run(spark, str(tmp_path)).collect()} == set(kept["shard"])
+
+
+def _unlike(rng):
+    return " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(60))
+
+
+def test_null_and_repeated_ids(spark, tmp_path):
+    rng = random.Random(5)
+    item = "quick brown foxes jump over eleven lazy dogs by noon today"
+    nameless = "seven small ships sail past the grey rocks before the storm"
+    clean = [_unlike(rng) for _ in range(12)]
+    rows = [(None, x, "en", "s", 1) for x in clean[:6]]
+    rows += [(None, clean[0] + " more", "en", "s", 1), (7, clean[1] + " more", "en", "s", 1), (None, clean[2], "en", "s", 1)]
+    rows += [(8, x, "en", "s", 1) for x in clean[6:9]] + [(8, clean[6], "en", "s", 1)]
+    rows += [(None, " ", "en", "s", 1), (None, None, "en", "s", 1), (9, "", "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = sorted((r.doc_id or 0, r.text or "") for r in cp.near_duplicates(spark, docs, str(tmp_path)).collect())
+    first = [x for x in kept if x in [(0, clean[0]), (0, clean[0] + " more")]]
+    assert len(first) == 1
+    assert [x for x in kept if x not in first] == sorted([(0, x) for x in clean[2:6]] + [(7, clean[1] + " more")] + [(8, x) for x in clean[6:9]] + [(0, " "), (0, ""), (9, "")])
+
+    spark.createDataFrame([("b", item), (None, nameless)], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, clean[0], "en", "s", 1), (None, clean[1] + " " + item, "en", "s", 1), (None, clean[2], "en", "s", 1), (8, clean[3] + " " + nameless, "en", "s", 1), (8, clean[4], "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert {(r.doc_id, r.text) for r in cp.decontaminate(spark, docs, str(tmp_path)).collect()} == {(None, clean[0]), (None, clean[2]), (8, clean[4])}
