@@ -2,78 +2,148 @@
 
 from __future__ import annotations
 
-import gc
+import contextlib
 import tempfile
-import time
 import uuid
 import zlib
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _LOCAL_DIR: str | None = None
 #: White space that separates words: space and U+0009 to U+000D.
 SPACE_CLASS = "[\\x20\\x09-\\x0D]+"
+#: Bits of the table of wanted keys (8 MB at any input).
+WANTED_BITS = 26
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; one of our own only where that is unset."""
+    """The folder named by ``spark.checkpoint.dir``.
+
+    Where that is unset a temporary folder serves, but only for a local master: on a cluster
+    each executor would write to its own disk, so that is an error.
+    """
     global _LOCAL_DIR
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if _LOCAL_DIR is None:
         _LOCAL_DIR = "file://" + tempfile.mkdtemp(prefix="lociflow-")
     return _LOCAL_DIR
 
 
+@contextlib.contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Session settings for the actions inside (dots as double underscores), put back afterwards."""
+    before = {}
+    for name, value in values.items():
+        key = name.replace("__", ".")
+        before[key] = spark.conf.get(key, None)
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it again.
 
     This cuts the lineage: a lost executor costs a re-read of the table, not a recomputation.
+    Spark drops the shuffle files of the write when it ends; tables that nobody discards go
+    when the application ends.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    top = f"{shared_dir(spark)}/tables-{spark.sparkContext.applicationId}"
+    path = f"{top}/{tag}-{uuid.uuid4().hex}"
+    with settings(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
+        df.write.parquet(path)
+    files, target = _file_system(spark, top)
+    files.deleteOnExit(target)
     out = spark.read.schema(df.schema).parquet(path)
     out._lociflow_path = path
     return out
 
 
-def discard(df: DataFrame | None) -> None:
-    """Delete a table made by ``materialize`` that no later plan reads."""
-    path = getattr(df, "_lociflow_path", None)
-    if path:
-        spark = df.sparkSession
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+def discard(*tables: DataFrame | None) -> None:
+    """Delete tables made by ``materialize`` that no later plan reads."""
+    for df in tables:
+        path = getattr(df, "_lociflow_path", None)
+        if path:
+            files, target = _file_system(df.sparkSession, path)
+            files.delete(target, True)
+
+
+def key_bit(key: Column) -> Column:
+    """The bit of a key in a bitmap of ``WANTED_BITS`` bits."""
+    return F.pmod(F.xxhash64(key), F.lit(1 << WANTED_BITS)).cast("int")
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of finished rounds now instead of at a later collection.
+def bitmap_of(bits: DataFrame) -> np.ndarray:
+    """Bitmap of the one int column of ``bits``: ``WANTED_BITS`` bits at any input.
 
-    Python lets go of its handles first; Spark's cleaner then follows the JVM's collection on
-    its own thread, so a second round catches what the first one has only made unreachable.
+    It lets the rows through that a join may need, before their texts are worked on or moved; a
+    shared bit only lets a row through that the join then drops.
     """
-    for _ in range(2):
-        gc.collect()
-        spark._jvm.System.gc()
-        time.sleep(0.5)
+    name = bits.columns[0]
+    words = bits.select(F.expr(f"{name} div 64").cast("int").alias("word"), F.expr(f"shiftleft(1L, cast({name} % 64 as int))").alias("bits"))
+    out = np.zeros(1 << (WANTED_BITS - 6), np.int64)
+    table = words.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()  # 2 ** 20 rows at most
+    out[table.column("word").to_numpy()] = table.column("bits").to_numpy()
+    return out
+
 
+def in_bitmap(bitmap: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    return (bitmap[bits >> 6] >> (bits & 63)) & 1 == 1
 
-def keep_ids(df: DataFrame, ids: DataFrame, column: str, most: int = 1_000_000) -> DataFrame:
-    """Rows of ``df`` whose ``column`` is in ``ids`` (one distinct column of that name).
 
-    The ids are counted first: up to ``most`` they are broadcast and ``df`` is not shuffled;
-    beyond that both sides are.
+def without_rows(docs: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """``docs`` without the rows that ``known`` (``key``, stays) rules out.
+
+    A key that is not in ``known`` stays.  One that is in it with stays true stays once, and
+    with stays null as often as it occurs.  Only rows whose key may be in ``known``, by a bitmap
+    of fixed size, are moved to meet it; all others pass where they are.
     """
-    return df.join(F.broadcast(ids) if ids.count() <= most else ids, column, "left_semi")
+    bits = docs.sparkSession.sparkContext.broadcast(bitmap_of(known.select(key_bit(F.col(key)).alias("b"))))
+
+    @F.pandas_udf("boolean")
+    def possible(b: pd.Series) -> pd.Series:
+        return pd.Series(in_bitmap(bits.value, b.to_numpy()))
+
+    marked = docs.withColumn("__possible", possible(key_bit(F.col(key))))
+    sure = marked.where("not __possible").drop("__possible")
+    met = marked.where("__possible").drop("__possible").join(known.select(key, F.lit(True).alias("__known"), F.col("stays").alias("__stays")), key, "left")
+    met = met.where("__known is null or __stays is null or __stays")
+    once = met.where("__known and __stays").dropDuplicates([key]).select(docs.columns)
+    often = met.where("__known is null or __stays is null").select(docs.columns)
+    return sure.unionByName(often).unionByName(once)
 
 
 def small_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Bound what one Arrow batch of whole texts can hold, in rows and in bytes."""
+    """Bound what one Arrow batch of whole texts can hold, in rows and in bytes.
+
+    Plans made here run later, under the session's settings then; so these stay set, as bounds
+    that only get smaller.
+    """
     for key, value in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20)):
-        spark.conf.set(key, str(value))
+        held = spark.conf.get(key, None)
+        if held is None or not held.isdigit() or not 0 < int(held) <= value:
+            spark.conf.set(key, str(value))
 
 
 def id_bucket(column: Column, modulus: int) -> Column:
