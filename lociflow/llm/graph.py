@@ -16,16 +16,17 @@ def components(links: DataFrame) -> DataFrame:
     an empty table.
     """
     both = materialize(links.select("a", "b").union(links.select("b", "a")).where("a <> b").distinct(), "edges")
-    state = materialize(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("label")), "labels")
+    state = materialize(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("label"), F.lit(None).cast("long").alias("was")), "labels")
     while True:
-        seen = both.join(state.withColumnRenamed("id", "b"), "b").groupBy("a").agg(F.min("label").alias("near"))
-        moved = state.join(seen.withColumnRenamed("a", "id"), "id").select("id", F.least("label", "near").alias("to"), F.col("label").alias("was"))
+        now = state.select("id", "label")
+        seen = both.join(now.withColumnRenamed("id", "b"), "b").groupBy("a").agg(F.min("label").alias("near"))
+        moved = now.join(seen.withColumnRenamed("a", "id"), "id").select("id", F.least("label", "near").alias("to"), F.col("label").alias("was"))
         jump = moved.select(F.col("id").alias("to"), F.col("to").alias("further"))
         after = materialize(moved.join(jump, "to").select("id", F.least("to", "further").alias("label"), "was"), "labels")
-        changed = after.where("label <> was").limit(1).count()
         discard(state)
-        state = after.select("id", "label")
-        state._lociflow_path = after._lociflow_path
-        if not changed:
+        state = after
+        if not state.where("label <> was").limit(1).count():
             discard(both)
-            return state.select("id", F.col("label").alias("component"))
+            out = state.select("id", F.col("label").alias("component"))
+            out._lociflow_path = state._lociflow_path
+            return out

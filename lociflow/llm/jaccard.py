@@ -1,26 +1,32 @@
 """N-gram Jaccard join by rare-first prefix filtering (operator 8).
 
 1. Every text becomes the set of its distinct word shingles (64-bit hashes).  Equal sets
-   form a class; only the smallest document of a class goes on, so copies cost one row.
+   form a class; only one row of a class goes on, so copies cost one row.
 2. Shingles are ordered from rare to frequent by a table of counts over all documents
    (``BUCKETS`` hash buckets, a fixed size; a shared bucket only changes the order, never a
    result).  Two sets that are similar enough share one of their first n - ceil(t n) + 1
-   shingles: the prefix.
-3. Prefix shingles are joined in three passes.  First every member meets one document only,
-   the smallest head of its shingles' groups, which joins large groups of near copies at
-   linear cost.  Then, where a group still holds several components, its members meet the
-   heads of the largest component (and that component's members the other heads).  Last,
-   members outside a group's largest component meet all members of other components.  All
-   passes filter by length and position, the last two also by suffix (bitmaps of the whole
-   sets bound the overlap); pairs are made distinct, so each is verified once.  Shingles that
-   only one document has in its prefix are dropped before, by a bitmap of fixed size.
-4. Verification compares set sizes per hash range first and then intersects the whole sets.
-
-Links that pass 3 leaves out lie inside one component already, so components are exact.
+   shingles: the prefix.  Shingles that one document alone has in its prefix are dropped
+   before, by a bitmap of fixed size.
+3. Rows that share a prefix shingle are candidates when they pass the length and positional
+   filters.  First every row meets one other only, the smallest head of its shingles' groups,
+   which joins large groups of near copies at linear cost.  Then rows of one shingle that are
+   still in different components meet each other: groups of up to ``SMALL`` rows as pairs, larger
+   ones in blocks (below), cut into bands of similar length.
+4. Verification streams the sets of one row's candidates past its own set: the suffix filter
+   probes the middle of one set, splits both there and bounds the halves, to ``DEPTH`` levels;
+   what passes is intersected exactly.  Every pair is verified once.
+5. Links are counted inside components, in blocks: two blocks of at most about ``BLOCK_ROWS`` sets
+   meet in one task as bit rows, and only sums per row (or a spanning forest, in step 3) leave
+   it, so no list of all pairs is ever made.
+
+Rows are told apart by a 64-bit hash of id and text; two different rows share one with a
+chance of about n^2 / 2^65, the same bound that holds for shingles.
 
 Edge cases: null, empty and wordless texts have no shingles and link with nothing; texts with
-fewer words than a shingle count as one shingle; repeated rows and equal texts share a class;
-an empty table gives no rows; very long texts are read whole.
+fewer words than a shingle count as one shingle; rows without an id, and different texts under
+one id, are documents of their own; a component's id is its smallest non-null doc_id (null if it
+has none); repeated rows and equal texts share a class and count as links of one another; clashing
+extra columns are not read; an empty table gives no rows; very long texts are read whole.
 """
 
 from __future__ import annotations
@@ -34,12 +40,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lociflow.llm.common import discard, keep_ids, materialize, release, small_batches
+from lociflow.llm.common import bitmap_of, discard, in_bitmap, key_bit, materialize, small_batches
 from lociflow.llm.graph import components
 
-BUCKETS, RANGES, PARTS = 1 << 22, 64, 16
+BUCKETS, RANGES = 1 << 22, 64
 #: Bits of a set's parity bitmap, and of the table of shared prefix shingles (16 MB at any input).
 SKETCH_BITS, SHARED_BITS = 512, 27
+#: Rows of a shingle that meet as pairs; rows and shingles of a block; levels of the suffix filter; candidates of one stream.
+SMALL, BLOCK_ROWS, BLOCK_SHINGLES, DEPTH, STREAM = 48, 512, 400_000, 3, 2000
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -50,30 +58,33 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+class _WordHashes(dict):
+    """Hash of each word, remembered."""
+
+    def __missing__(self, word: bytes) -> int:
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        return value
+
+
 class Shingler:
     """Sorted distinct shingle hashes of texts; word hashes are kept for the task (bounded)."""
 
     def __init__(self, words: int):
-        self.words, self.cache = words, {}
+        self.words, self.cache = words, _WordHashes()
 
     def __call__(self, text: str | None) -> np.ndarray:
         found = text.encode("utf-8", "surrogatepass").translate(_LOWER).split() if text else []
         if not found:
             return np.zeros(0, np.uint64)
-        cache = self.cache
-        if len(cache) > 300_000:
-            cache.clear()
-        hashes = np.empty(len(found), np.uint64)
-        for i, w in enumerate(found):
-            h = cache.get(w)
-            if h is None:
-                h = cache[w] = xxhash.xxh3_64_intdigest(w)
-            hashes[i] = h
+        if len(self.cache) > 200_000:
+            self.cache.clear()
+        hashes = np.fromiter(map(self.cache.__getitem__, found), np.uint64, len(found))
         n = min(self.words, len(hashes))
         rolled = np.full(len(hashes) - n + 1, n, np.uint64)
         for k in range(n):
             rolled = _mix(rolled * _M2 + hashes[k : k + len(rolled)])
-        return np.unique(rolled)
+        rolled.sort()
+        return rolled[np.append(True, rolled[1:] != rolled[:-1])]
 
 
 def _bucket(shingles: np.ndarray) -> np.ndarray:
@@ -81,11 +92,11 @@ def _bucket(shingles: np.ndarray) -> np.ndarray:
 
 
 def shingle_counts(docs: DataFrame, words: int) -> np.ndarray:
-    """Documents per hash bucket over all of ``docs`` (text), saturating at 65,535: a table of fixed size."""
+    """Order of the hash buckets by documents over all of ``docs`` (text): 0 rare to 65,535 frequent, on a logarithmic scale."""
     width = BUCKETS // RANGES
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, total = Shingler(words), np.zeros(BUCKETS, np.int64)
+        shingles, total = Shingler(words), np.zeros(BUCKETS, np.uint32)
         salt = 0
         for batch in batches:
             hits = [_bucket(shingles(t)) for t in batch.column(0).to_pylist()]
@@ -93,43 +104,57 @@ def shingle_counts(docs: DataFrame, words: int) -> np.ndarray:
                 flat = np.concatenate(hits)
                 salt = (salt + int(flat.sum())) % 32
                 at, n = np.unique(flat, return_counts=True)
-                total[at] += n
-        counts = np.minimum(total, 65535).astype("<u2").reshape(RANGES, width)
+                total[at] += n.astype(np.uint32)
+        counts = total.astype("<u4").reshape(RANGES, width)
         some = [r for r in range(RANGES) if counts[r].any()]
-        yield pa.record_batch([pa.array(some, pa.int32()), pa.array([salt] * len(some), pa.int32()), pa.array([counts[r].tobytes() for r in some], pa.binary())], ["range", "salt", "counts"])
+        yield pa.record_batch([pa.array(some, pa.int32()), pa.array([salt] * len(some), pa.int32()), pa.array([_planes(counts[r]) for r in some], pa.binary())], ["range", "salt", "counts"])
 
     def added(key: tuple, table: pa.Table) -> pa.Table:
         total = np.zeros(width, np.int64)
         for blob in table.column("counts").to_pylist():
-            total += np.frombuffer(blob, "<u2")
-        return pa.table({"range": pa.array([key[0].as_py()], pa.int32()), "salt": pa.array([0], pa.int32()), "counts": pa.array([np.minimum(total, 65535).astype("<u2").tobytes()], pa.binary())})
+            total += _from_planes(blob, np.uint32)
+        return pa.table({"range": pa.array([key[0].as_py()], pa.int32()), "salt": pa.array([0], pa.int32()), "counts": pa.array([_planes(np.minimum(total, 2**32 - 1).astype("<u4"))], pa.binary())})
+
+    def ordered(key: tuple, table: pa.Table) -> pa.Table:
+        counts = _from_planes(added(key, table).column("counts")[0].as_py(), np.uint32)
+        return pa.table({"range": pa.array([key[0].as_py()], pa.int32()), "places": pa.array([(np.log2(counts + 1.0) * 2047).astype("<u2").tobytes()], pa.binary())})
 
     schema = "range int, salt int, counts binary"
     partial = docs.select("text").mapInArrow(count, schema).groupBy("range", "salt").applyInArrow(added, schema)
-    out = np.zeros((RANGES, width), np.int64)
-    for r in partial.groupBy("range").applyInArrow(added, schema).collect():  # RANGES rows at most
-        out[r.range] = np.frombuffer(r.counts, "<u2")
-    return out.reshape(-1).astype(np.uint16)
+    out = np.zeros((RANGES, width), np.uint16)
+    for r in partial.groupBy("range").applyInArrow(ordered, "range int, places binary").collect():  # RANGES rows, 8 MB
+        out[r.range] = np.frombuffer(r.places, "<u2")
+    return out.reshape(-1)
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """Bytes of equal weight side by side, so that leading zeros compress."""
+    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def _from_planes(blob: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(size, -1).T).view(kind).reshape(-1)
 
 
 def _needed(n, percent: int):
     return -((-percent * n) // 100)
 
 
-def signatures(docs: DataFrame, counts: np.ndarray, words: int, percent: int) -> DataFrame:
-    """(doc_id, n, key, prefix, sketch): set size, identity of the set, rare-first prefix shingles, parity bitmap."""
-    shared = docs.sparkSession.sparkContext.broadcast(counts)
+def signatures(docs: DataFrame, order_of: np.ndarray, words: int, percent: int) -> DataFrame:
+    """(row, doc_id, n, key, prefix, sketch): set size, identity of the set, rare-first prefix shingles, parity bitmap."""
+    shared = docs.sparkSession.sparkContext.broadcast(order_of)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, table = Shingler(words), shared.value
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
             n, keys, prefixes, sketches = [], [], [], []
-            for t in texts:
+            for t in batch.column(2).to_pylist():
                 s = shingles(t)
                 n.append(len(s))
                 keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
-                order = np.lexsort((s, table[_bucket(s)]))[: len(s) - _needed(len(s), percent) + 1] if len(s) else []
+                # s ascends, so a stable order by count is the order by (count, shingle)
+                order = np.argsort(table[_bucket(s)], kind="stable")[: len(s) - _needed(len(s), percent) + 1] if len(s) else []
                 prefixes.append(s[order].view(np.int64) if len(s) else np.zeros(0, np.int64))
                 parity = np.bincount((s & np.uint64(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS) & 1
                 sketches.append(np.packbits(parity.astype(np.uint8)).view(np.int64))
@@ -138,9 +163,9 @@ def signatures(docs: DataFrame, counts: np.ndarray, words: int, percent: int) ->
             bits = pa.array(np.concatenate(sketches) if sketches else np.zeros(0, np.int64))
             bit_ends = pa.array(np.arange(len(n) + 1, dtype=np.int32) * (SKETCH_BITS // 64))
             lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.ListArray.from_arrays(bit_ends, bits)]
-            yield pa.record_batch([ids, pa.array(n, pa.int64()), pa.array(keys, pa.binary()), *lists], ["doc_id", "n", "key", "prefix", "sketch"])
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), *lists], ["row", "doc_id", "n", "key", "prefix", "sketch"])
 
-    return docs.select("doc_id", "text").mapInArrow(sign, "doc_id long, n long, key binary, prefix array<long>, sketch array<long>")
+    return docs.select("row", "doc_id", "text").mapInArrow(sign, "row long, doc_id long, n long, key binary, prefix array<long>, sketch array<long>")
 
 
 def shared_tokens(members: DataFrame) -> np.ndarray:
@@ -173,7 +198,7 @@ def shared_tokens(members: DataFrame) -> np.ndarray:
             flat = batch.column(0).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
             held.append(flat)
             size += len(flat)
-            if size > 3_000_000:
+            if size > 2_000_000:
                 yield from flush()
                 size = 0
         yield from flush()
@@ -213,52 +238,198 @@ def prefix_rows(members: DataFrame, shared: np.ndarray) -> DataFrame:
             at = pa.array(row)
             yield pa.record_batch([batch.column(0).take(at), batch.column(1).take(at), pa.array(pos, pa.int32()), pa.array(token[keep], pa.int64())], ["id", "n", "pos", "token"])
 
-    return members.select("doc_id", "n", "prefix").mapInArrow(run, "id long, n long, pos int, token long")
+    return members.select("row", "n", "prefix").mapInArrow(run, "id long, n long, pos int, token long")
 
 
-def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, shingles): the whole sorted sets as packed 64-bit values; a task gives a repeated row once."""
+def shingle_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """(id, shingles) for at least the rows in ``ids`` (one column): whole sorted sets, packed; a task gives a repeated row once."""
+    bits = docs.sparkSession.sparkContext.broadcast(bitmap_of(ids.select(key_bit(F.col(ids.columns[0])).alias("b"))))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, seen = Shingler(words), set()
+        shingles, seen, bitmap = Shingler(words), set(), bits.value
         for batch in batches:
             if len(seen) > 300_000:
                 seen.clear()
-            ids, packed = [], []
-            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                row = (i, xxhash.xxh3_128_intdigest((t or "").encode("utf-8", "surrogatepass")))
-                if row not in seen:
+            keep = np.flatnonzero(in_bitmap(bitmap, batch.column(2).to_numpy()))
+            rows, texts = batch.column(0).to_numpy(), batch.column(1)
+            out, packed = [], []
+            for k in keep:
+                if (row := int(rows[k])) not in seen:
                     seen.add(row)
-                    ids.append(i)
-                    packed.append(shingles(t).tobytes())
-            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(packed, pa.binary())], ["doc_id", "shingles"])
+                    out.append(row)
+                    packed.append(shingles(texts[k].as_py()).tobytes())
+            yield pa.record_batch([pa.array(out, pa.int64()), pa.array(packed, pa.binary())], ["id", "shingles"])
 
-    return docs.select("doc_id", "text").mapInArrow(sets, "doc_id long, shingles binary")
+    return docs.select("row", "text", key_bit(F.col("row")).alias("b")).mapInArrow(sets, "id long, shingles binary")
+
+
+def suffix_bound(x: np.ndarray, y: np.ndarray, most: int, depth: int = DEPTH) -> int:
+    """A lower bound of the size of the symmetric difference of two sorted sets, exact enough to exceed ``most`` or not.
+
+    The middle of the shorter set is probed and both sets are split there; what lies on one
+    side of the probe cannot match what lies on the other.
+    """
+    apart = abs(len(x) - len(y))
+    if apart > most or not depth or not len(x) or not len(y):
+        return apart
+    if len(x) < len(y):
+        x, y = y, x
+    probe = len(y) // 2
+    at = int(np.searchsorted(x, y[probe]))
+    miss = int(at == len(x) or x[at] != y[probe])
+    rest = x[at + 1 - miss :]
+    left_gap, right_gap = abs(at - probe), abs(len(rest) - (len(y) - probe - 1))
+    bound = left_gap + right_gap + miss
+    if bound > most:
+        return bound
+    left = suffix_bound(x[:at], y[:probe], most - right_gap - miss, depth - 1)
+    if left + right_gap + miss > most:
+        return left + right_gap + miss
+    return left + miss + suffix_bound(rest, y[probe + 1 :], most - left - miss, depth - 1)
+
+
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Suffix filter, then the exact test 100 * intersection >= percent * union."""
+    size = len(x) + len(y)
+    need = -((-percent * size) // (100 + percent))  # 100 i >= p (size - i)
+    if suffix_bound(x, y, size - 2 * need) > size - 2 * need:
+        return False
+    both = np.concatenate([x, y])
+    both.sort(kind="stable")
+    return int((both[1:] == both[:-1]).sum()) >= need
 
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets reach the threshold."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
+    """The pairs (a, b) whose sets reach the threshold.
+
+    Every candidate's set travels to the task of its partner ``a``, whose own set comes first in
+    the stream; a partner with many candidates is dealt to several streams.
+    """
+    streams = pairs.groupBy("a").agg(F.ceil(F.count("*") / STREAM).cast("int").alias("streams"))
+    salted = pairs.join(streams, "a").select("a", F.pmod(F.xxhash64("b"), F.col("streams")).cast("int").alias("salt"), "b")
+    right = salted.join(sets, salted["b"] == sets["id"]).select("a", "salt", "b", "shingles")
+    heads = streams.select("a", F.explode(F.sequence(F.lit(0), F.col("streams") - 1)).alias("salt"))
+    left = heads.join(sets, heads["a"] == sets["id"]).select("a", "salt", F.lit(None).cast("long").alias("b"), "shingles")
+    dealt = left.unionByName(right).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        edges = (np.arange(1, PARTS, dtype=np.uint64)) << np.uint64(60)
+        head, own = None, np.zeros(0, np.uint64)
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                size = len(x) + len(y)
-                need = -((-percent * size) // (100 + percent))  # 100 i >= p (size - i)
-                cx, cy = (np.diff(np.concatenate([[0], np.searchsorted(s, edges), [len(s)]])) for s in (x, y))
-                if int(np.minimum(cx, cy).sum()) < need:
-                    keep.append(False)
+            out: list[tuple[int, int]] = []
+            for a, b, blob in zip(*(batch.column(k).to_pylist() for k in (0, 2, 3)), strict=True):
+                if b is None:
+                    head, own = a, np.frombuffer(blob, np.uint64)
+                elif a == head and similar(own, np.frombuffer(blob, np.uint64), percent):
+                    out.append((a, b))
+            yield pa.record_batch([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    return dealt.mapInArrow(check, "a long, b long")
+
+
+def _common(a: list[np.ndarray], b: list[np.ndarray] | None) -> np.ndarray:
+    """Sizes of the intersections of every set of ``a`` with every set of ``b`` (or of ``a``)."""
+    sets = a + (b or [])
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    token, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = times > 1  # others are in no intersection
+    place = np.cumsum(shared) - 1
+    keep = shared[column]
+    row, column = row[keep], place[column[keep]]
+    out = np.zeros((len(a), len(sets) - len(a) if b else len(a)), np.int64)
+    width = 1 << 14
+    for lo in range(0, int(shared.sum()), width):  # a part of the columns as bits
+        inside = (column >= lo) & (column < lo + width)
+        bits = np.zeros((len(sets), width), bool)
+        bits[row[inside], column[inside] - lo] = True
+        used = -(-(min(lo + width, int(shared.sum())) - lo) // 64) * 64
+        words = np.packbits(bits[:, :used], axis=1).view(np.uint64)
+        other = words[len(a) :] if b else words
+        for k in range(len(a)):
+            out[k] += np.bitwise_count(words[k] & other).sum(axis=1, dtype=np.int64)
+    return out
+
+
+def block_pairs(rows: DataFrame, group: list[str], sets: DataFrame) -> DataFrame:
+    """``rows`` (group columns, id, n, more) dealt to pairs of blocks of their group, with their sets.
+
+    A row goes to every pair that its own block is in, so a task holds two blocks of bounded size.
+    """
+    size = rows.groupBy(*group).agg(F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    placed = rows.join(size, group).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    each = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    each = each.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other", "blocks")
+    return each.join(sets, "id")
+
+
+def _blocks_of(table: pa.Table, percent: int):
+    """Distinct rows of the first and the second block, and which of them link."""
+    ids = table.column("id").to_numpy()
+    _, once = np.unique(ids, return_index=True)
+    block, i, j = (table.column(c).to_numpy()[once] for c in ("block", "i", "j"))
+    first, second = once[block == i], once[block == j]
+    blobs = table.column("shingles")
+    a = [np.frombuffer(blobs[int(k)].as_py(), np.uint64) for k in first]
+    one = bool(len(i)) and i[0] == j[0]
+    b = None if one else [np.frombuffer(blobs[int(k)].as_py(), np.uint64) for k in second]
+    if not a or (b is not None and not b):
+        return first, second, None
+    both = np.array([len(s) for s in a])[:, None] + np.array([len(s) for s in (a if one else b)])[None, :]
+    linked = _common(a, b) * (100 + percent) >= both * percent
+    if one:
+        np.fill_diagonal(linked, False)
+    return first, second, linked
+
+
+def block_forest(rows: DataFrame, group: list[str], sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join the components of a group's rows (id, n, comp): a spanning forest per pair of blocks."""
+
+    def run(table: pa.Table) -> pa.Table:
+        first, second, linked = _blocks_of(table, percent)
+        out: list[tuple[int, int]] = []
+        if linked is not None:
+            ids, comp = table.column("id").to_numpy(), table.column("comp").to_numpy()
+            one = linked.shape[0] == linked.shape[1] and np.array_equal(first, second)
+            nodes = first if one else np.concatenate([first, second])
+            if not one:  # one square of links over both blocks
+                n, m = linked.shape
+                square = np.zeros((n + m, n + m), bool)
+                square[:n, n:], square[n:, :n] = linked, linked.T
+                linked = square
+            fresh = np.ones(len(nodes), bool)
+            for start in range(len(nodes)):
+                if not fresh[start]:
                     continue
-                both = np.concatenate([x, y])
-                both.sort(kind="stable")
-                keep.append(int((both[1:] == both[:-1]).sum()) >= need)
-            yield pa.record_batch([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(check, "a long, b long")
+                fresh[start] = False
+                queue = [start]
+                while queue:
+                    k = queue.pop()
+                    found = np.flatnonzero(linked[k] & fresh)
+                    fresh[found] = False
+                    queue += found.tolist()
+                    out += [(int(ids[nodes[k]]), int(ids[nodes[f]])) for f in found if comp[nodes[k]] != comp[nodes[f]]]
+        return pa.table({"a": pa.array([p[0] for p in out], pa.int64()), "b": pa.array([p[1] for p in out], pa.int64())})
+
+    dealt = block_pairs(rows, group, sets)
+    return dealt.select(*group, "i", "j", "block", "id", "comp", "shingles").groupBy(*group, "i", "j").applyInArrow(run, "a long, b long")
+
+
+def block_counts(rows: DataFrame, group: list[str], sets: DataFrame, percent: int) -> DataFrame:
+    """(id, links): the weights of the rows that each row (id, n, weight) links with inside its group."""
+
+    def run(table: pa.Table) -> pa.Table:
+        first, second, linked = _blocks_of(table, percent)
+        if linked is None:
+            return pa.table({"id": pa.array([], pa.int64()), "links": pa.array([], pa.int64())})
+        ids, weight = table.column("id").to_numpy(), table.column("weight").to_numpy()
+        one = np.array_equal(first, second)
+        out = [(ids[first], linked @ weight[first if one else second])]
+        if not one:
+            out.append((ids[second], weight[first] @ linked))
+        return pa.table({"id": pa.array(np.concatenate([x[0] for x in out])), "links": pa.array(np.concatenate([x[1] for x in out]).astype(np.int64))})
+
+    dealt = block_pairs(rows, group, sets)
+    counted = dealt.select(*group, "i", "j", "block", "id", "weight", "shingles").groupBy(*group, "i", "j").applyInArrow(run, "id long, links long")
+    return counted.groupBy("id").agg(F.sum("links").alias("links"))
 
 
 def _close(a: str, b: str, percent: int):
@@ -269,97 +440,99 @@ def _close(a: str, b: str, percent: int):
 
 
 def _alike(a: str, b: str, percent: int):
-    """Suffix filter: sets differ in at least as many shingles as their parity bitmaps differ in bits."""
+    """Sets differ in at least as many shingles as their parity bitmaps differ in bits."""
     apart = sum((F.bit_count(F.col(f"{a}sketch")[k].bitwiseXOR(F.col(f"{b}sketch")[k])) for k in range(SKETCH_BITS // 64)), F.lit(0))
     both = F.col(f"{a}n") + F.col(f"{b}n")
     return (both - apart) * (100 + percent) >= both * (2 * percent)
 
 
+def _component_of(rows: DataFrame, comp: DataFrame) -> DataFrame:
+    return rows.join(comp, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
+
+
 def class_links(docs: DataFrame, members: DataFrame, words: int, percent: int) -> DataFrame:
-    """Components (id, component) over the class representatives that have links."""
-    # every shingle of every representative's prefix, with its place in the order
-    spark = docs.sparkSession
+    """Components (id, component) over the rows that have links; ``members`` is used up."""
     rows = prefix_rows(members, shared_tokens(members))
-    sketches = materialize(members.select(F.col("doc_id").alias("id"), "sketch"), "sketches")
     groups = rows.groupBy("token").agg(F.count("*").alias("c"), F.min(F.struct("id", "n", "pos")).alias("p")).where("c > 1")
     rows = materialize(rows.join(groups, "token").select("token", "id", "n", "pos", F.col("p.id").alias("p_id"), F.col("p.n").alias("p_n"), F.col("p.pos").alias("p_pos")), "prefixes")
-    discard(members)
-    release(spark)
+    # first: one partner for each row
     star = rows.select("id", F.col("n").alias("x_n"), F.col("pos").alias("x_pos"), "p_id", F.col("p_n").alias("y_n"), F.col("p_pos").alias("y_pos")).where("id <> p_id")
     tried = materialize(star.where(_close("x_", "y_", percent)).groupBy(F.col("id").alias("b")).agg(F.min("p_id").alias("a")).select("a", "b"), "pairs")
     links = materialize(verify(tried, sets_of(docs, tried, words), percent), "links")
-    release(spark)
     comp = components(links)
-    tagged = rows.select("token", "id", "n", "pos").join(comp, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
+    # then: rows of one shingle that are in different components still
+    tagged = _component_of(rows.select("token", "id", "n", "pos"), comp)
     per = tagged.groupBy("token", "comp").agg(F.count("*").alias("c"))
-    mixed = per.groupBy("token").agg(F.count("*").alias("k"), F.max_by("comp", F.struct("c", "comp")).alias("main")).where("k > 1").select("token", "main")
+    mixed = per.groupBy("token").agg(F.sum("c").alias("group_size"), F.count("*").alias("k")).where("k > 1").drop("k")
+    sketches = members.select(F.col("row").alias("id"), "sketch")
     tagged = materialize(tagged.join(mixed, "token").join(sketches, "id"), "mixed")
-    discard(rows)
-    release(spark)
-    # the rows of one component in a group meet the other components' smallest members only
-    heads = tagged.groupBy("token", "comp").agg(F.min(F.struct("id", "n", "pos", "sketch")).alias("h")).select("token", F.col("comp").alias("y_comp"), *[F.col(f"h.{c}").alias(f"y_{c}") for c in ("id", "n", "pos", "sketch")])
-    x = tagged.select("token", *[F.col(c).alias(f"x_{c}") for c in ("id", "n", "pos", "comp", "sketch")], "main")
-    filters = _close("x_", "y_", percent) & _alike("x_", "y_", percent)
-    headed = x.join(heads, "token").where((F.col("x_comp") != F.col("y_comp")) & ((F.col("y_comp") == F.col("main")) | (F.col("x_comp") == F.col("main"))) & filters)
-    nearest = headed.groupBy("x_id", "y_comp").agg(F.min("y_id").alias("y_id"))
-    second = materialize(_new_pairs(nearest, tried), "pairs")
-    more = materialize(verify(second, sets_of(docs, second, words), percent), "links")
-    release(spark)
-    joined, seen = links.unionByName(more), tried.unionByName(second)
+    discard(rows, members)
+    few = tagged.where(F.col("group_size") <= SMALL)
+    x, y = (few.select("token", *[F.col(c).alias(f"{s}_{c}") for c in ("id", "n", "pos", "comp", "sketch")]) for s in "xy")
+    crossing = x.join(y, "token").where((F.col("x_id") < F.col("y_id")) & (F.col("x_comp") != F.col("y_comp")) & _close("x_", "y_", percent) & _alike("x_", "y_", percent))
+    pairs = crossing.select(F.col("x_id").alias("a"), F.col("y_id").alias("b")).distinct()
+    known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    second = materialize(pairs.join(known, ["a", "b"], "left_anti"), "pairs")
+    # sets of similar enough size are in the same or the next band; a row stands in both
+    band = F.floor(F.log(F.col("n")) / F.log(F.lit(100.0 / percent))).cast("int") if percent < 100 else F.col("n").cast("int")
+    many = tagged.where(F.col("group_size") > SMALL).select("token", "id", "n", "comp", F.explode(F.array(band, band + 1)).alias("band"))
+    apart = many.groupBy("token", "band").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2").select("token", "band")
+    many = materialize(many.join(apart, ["token", "band"]), "crowded")
+    wanted = second.select(F.explode(F.array("a", "b")).alias("id")).unionByName(many.select("id")).distinct()
+    sets = materialize(shingle_sets(docs, wanted, words), "sets")
+    found = verify(second, sets, percent).unionByName(block_forest(many, ["token", "band"], sets, percent))
+    more = materialize(found, "links")
     if more.limit(1).count():
-        comp = components(joined)
-        tagged = tagged.drop("comp").join(comp, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component", "main")
-        mixed = tagged.groupBy("token", "comp").agg(F.count("*").alias("c")).groupBy("token").agg(F.count("*").alias("k"), F.max_by("comp", F.struct("c", "comp")).alias("main")).where("k > 1").select("token", "main")
-        tagged = materialize(tagged.join(mixed, "token"), "mixed")
-        release(spark)
-    # what is left: every pair of different components that shares a shingle and passes the filters
-    x = tagged.where("comp <> main").select("token", *[F.col(c).alias(f"x_{c}") for c in ("id", "n", "pos", "comp", "sketch")], "main")
-    y = tagged.select("token", *[F.col(c).alias(f"y_{c}") for c in ("id", "n", "pos", "comp", "sketch")])
-    crossing = x.join(y, "token").where((F.col("x_comp") != F.col("y_comp")) & ((F.col("y_comp") == F.col("main")) | (F.col("x_comp") < F.col("y_comp"))) & filters)
-    third = materialize(_new_pairs(crossing, seen), "pairs")
-    found = materialize(verify(third, sets_of(docs, third, words), percent), "links")
-    if found.limit(1).count():
-        comp = components(joined.unionByName(found))
-    for t in (tried, second, third, tagged, links, more, found):
-        discard(t)
-    release(spark)
+        discard(comp)
+        comp = components(links.unionByName(more))
+    discard(tried, second, many, tagged, sets, links, more)
     return comp
 
 
-def _new_pairs(crossing: DataFrame, seen: DataFrame) -> DataFrame:
-    """Distinct ordered pairs that no earlier pass has verified."""
-    return crossing.select(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b")).distinct().join(seen, ["a", "b"], "left_anti")
-
-
 def sets_of(docs: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
-    """Whole sets of the documents in ``pairs``, one row per document."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    return shingle_sets(keep_ids(docs, ids, "doc_id"), words)
+    """Whole sets of at least the rows in ``pairs``."""
+    return shingle_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), words)
 
 
-def _classes(signed: DataFrame) -> DataFrame:
-    """(key, rep, class_size): equal sets, with the smallest document of each."""
-    return signed.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("class_size"))
+def count_links(docs: DataFrame, classes: DataFrame, comp: DataFrame, words: int, percent: int) -> DataFrame:
+    """(rep, links): documents that a class links with beside its own."""
+    rows = materialize(classes.select(F.col("rep").alias("id"), "n", F.col("class_size").alias("weight")).join(comp, "id"), "linked")
+    counted = materialize(block_counts(rows, ["component"], shingle_sets(docs, rows.select("id"), words), percent), "counts")
+    discard(rows)
+    return counted.withColumnRenamed("id", "rep")
 
 
-def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, class_size (rows with an equal set).
+def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id", links: bool = True) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, class_size, n_links, row, component.
 
     ``words`` per shingle; two documents link when 100 * intersection >= ``percent`` * union.
+    class_size: rows with an equal set; n_links: rows that the document links with, equal sets
+    included (null without ``links``); row: the hash of id and text; component: the same for all rows
+    of a component, whatever their ids.
     """
     small_batches(docs.sparkSession)
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).withColumn("row", F.xxhash64("doc_id", "text"))
     signed = materialize(signatures(docs, shingle_counts(docs, words), words, percent), "signatures")
-    classes = _classes(signed)
-    release(docs.sparkSession)
-    members = materialize(signed.join(classes.select(F.col("rep").alias("doc_id"), "key"), ["doc_id", "key"], "left_semi").dropDuplicates(["doc_id", "key"]), "members")
+    alike = signed.where("n > 0").groupBy("key").agg(F.min("row").alias("rep"), F.min("doc_id").alias("least"), F.max("n").alias("n"), F.count("*").alias("class_size"))
+    classes = materialize(alike, "classes")
+    members = signed.select("row", "n", "key", "prefix", "sketch").join(classes.select(F.col("rep").alias("row"), "key"), ["row", "key"], "left_semi").dropDuplicates(["row", "key"])
+    members = materialize(members, "members")
     # prefixes are kept once, and no longer than they are read
-    whole, signed = signed, materialize(signed.select("doc_id", "n", "key"), "sizes")
-    discard(whole)
-    classes = _classes(signed)
-    release(docs.sparkSession)
-    comp = class_links(docs, members, words, percent)
-    labelled = classes.join(comp.withColumnRenamed("id", "rep"), "rep", "left").select("key", F.coalesce("component", "rep").alias("component_id"), "class_size")
-    out = signed.where("n > 0").select("doc_id", "n", "key").join(labelled, "key")
-    alone = signed.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(1).cast("long").alias("class_size"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", "class_size").unionByName(alone)
+    sizes = materialize(signed.select("row", "doc_id", "n", "key"), "sizes")
+    discard(signed)
+    comp = class_links(docs, members, words, percent).withColumnRenamed("id", "rep")
+    joined = classes.join(comp, "rep")
+    named = joined.groupBy("component").agg(F.min("least").alias("component_id"))
+    labelled = classes.join(joined.select("rep", "component").join(named, "component"), "rep", "left")
+    counted = count_links(docs, classes, comp.withColumnRenamed("rep", "id"), words, percent) if links else classes.select("rep", F.lit(None).cast("long").alias("links")).where("false")
+    labelled = labelled.join(counted, "rep", "left").select(
+        "key",
+        F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"),
+        "class_size",
+        (F.coalesce("links", F.lit(0)) + F.col("class_size") - 1 if links else F.lit(None).cast("long")).alias("n_links"),
+        F.coalesce("component", "rep").alias("component"),
+    )
+    found = sizes.where("n > 0").join(labelled, "key").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "class_size", "n_links", "row", "component")
+    none = F.lit(0).cast("long") if links else F.lit(None).cast("long")
+    alone = sizes.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(1).cast("long").alias("class_size"), none.alias("n_links"), "row", F.col("row").alias("component"))
+    return found.unionByName(alone)

@@ -55,7 +55,8 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.jaccard_components(_read(spark, sf_dir, "documents"), words=4, percent=85)
+    found = jaccard.jaccard_components(_read(spark, sf_dir, "documents"), words=4, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "class_size", "n_links")
 
 
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
