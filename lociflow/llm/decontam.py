@@ -1,45 +1,59 @@
 """Benchmark decontamination over a positional inverted index (operator 10).
 
-The index is built over the whole corpus and stored as a table in the shared folder: one
-row per document with, for every benchmark term in it, the ascending word positions
-(postings partitioned by document, so that lists of one document meet without a shuffle).
-Document frequencies of the benchmark terms are summed from the stored postings.
-
-A query reads the index.  Every window of an item (``window`` consecutive words, or the
-whole item when it is shorter) takes its terms from the rarest to the most frequent: the
-postings of the rarest, less its offset, are the candidate starts; each further list,
-offset-adjusted, is intersected with them until none is left or all terms agree.  What
-remains are exact phrase matches.  A window without one is tried again with a tolerance of
-``slop`` words per term around the expected place: a proximity match.
-
-The benchmark is a query set.  It is read in blocks of at most ``BLOCK_WORDS`` words, which
-bounds what each task holds; every block meets all documents.
+The index is built once over the whole corpus and stored as a table in the shared folder.  It is
+cut into segments, as many as tasks fill with ``SEGMENT_POSTINGS`` postings: a segment has a row
+for its documents and, keyed by term, one posting list per term (documents and ascending word
+positions).  Terms that the benchmark does not have are left out by a bitmap of fixed size, so
+one pass over the documents serves a benchmark of any length.
+
+A query is a window of an item: ``window`` consecutive words, or the whole item when it is
+shorter.  Document frequencies are summed from the stored lists; every window takes its terms
+from the rarest to the most frequent, and goes only to the segments that have its rarest term.
+There the postings of the rarest term, less its offset, are the candidate starts; each further
+list, offset-adjusted, is intersected with them until none is left or all terms agree.  What
+remains are exact phrase matches.  Starts without one are tried again with a tolerance of
+``slop`` words per term around the expected place: proximity matches.
+
+Terms are 64-bit hashes of words (a false match needs ten chosen words to collide).  Windows
+meet segments in a shuffle, in groups of at most about ``WINDOW_GROUP`` windows, so neither side is broadcast.
 
 Edge cases: null texts have no words; an item without words has no window and is never hit;
-empty tables give documents without hits; repeated documents and items are kept as they
-are; repeated item ids count once, and items without an id as one of the empty name; texts of any length are indexed whole.
+empty tables give documents without hits; every row of the corpus gives one row, whatever ids
+repeat or are null; repeated items count once, and items without an id as one of the empty
+name; texts of any length are indexed whole; clashing extra columns are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lociflow.llm.common import materialize, small_batches
+from lociflow.llm.common import WANTED_BITS, bitmap_of, in_bitmap, materialize, small_batches
 
 WINDOW, SLOP = 10, 2
-#: Benchmark words that one block may hold (some 100 MB of windows in a Python worker).
-BLOCK_WORDS = 200_000
+#: Postings of a segment (16 MB), documents of a segment, windows that one task takes beside it.
+SEGMENT_POSTINGS, SEGMENT_DOCS, WINDOW_GROUP = 1_000_000, 50_000, 50_000
 #: Bytes that are not part of a word become spaces, A-Z become a-z.
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
+#: kind 0: the documents of a segment (a: ids, b: word counts, c: null flags); kind 1: a posting list (a: documents, b: positions).
+INDEX_SCHEMA = "segment long, kind int, term long, n_docs long, a binary, b binary, c binary"
+_HITS = "doc_id long, n_words long, spans array<long>, exact_items array<string>, near_items array<string>"
+
 
-INDEX_SCHEMA = "doc_id long, row long, n_words long, terms array<binary>, counts array<int>, positions binary"
+class _Terms(dict):
+    """Signed 64-bit hash of each word, remembered."""
+
+    def __missing__(self, word: bytes) -> int:
+        value = xxhash.xxh3_64_intdigest(word)
+        value = self[word] = value - (1 << 64) if value >> 63 else value
+        return value
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -47,66 +61,97 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(_TABLE).split()
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[str, list[bytes]]]]:
-    """Items in blocks of bounded words, in the order of their ids."""
-    block: list[tuple[str, list[bytes]]] = []
-    held = 0
-    for row in benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("i"), F.col("text").alias("t")).sort("i", "t").toLocalIterator():
-        words = words_of(row.t)
-        if not words:
-            continue
-        if held and held + len(words) > BLOCK_WORDS:
-            yield block
-            block, held = [], 0
-        block.append((row.i, words))
-        held += len(words)
-    if block:
-        yield block
-
-
-def build_index(docs: DataFrame, terms: set[bytes], text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """Postings of ``terms`` in every document (documents without any keep an empty row)."""
-    small_batches(docs.sparkSession)
-    vocabulary = sorted(terms)
+def _terms_of(words: list[bytes], known: _Terms) -> np.ndarray:
+    if len(known) > 200_000:
+        known.clear()
+    return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+
+
+def _term_bits(terms: np.ndarray) -> np.ndarray:
+    return (terms.view(np.uint64) >> np.uint64(64 - WANTED_BITS)).astype(np.int64)
+
+
+def build_index(docs: DataFrame, terms: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """The index rows of all of ``docs``, with the lists of at least the ``terms`` (one long column)."""
+    spark = docs.sparkSession
+    small_batches(spark)
+    wanted = spark.sparkContext.broadcast(bitmap_of(terms.select(F.shiftrightunsigned(terms.columns[0], 64 - WANTED_BITS).cast("int").alias("b"))))
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = {w: i for i, w in enumerate(vocabulary)}.get
+        known, bitmap = _Terms(), wanted.value
+        ids: list = []
+        sizes: list[int] = []
+        lists: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        held = 0
+
+        def segment() -> Iterator[pa.RecordBatch]:
+            number = int.from_bytes(os.urandom(8), "little", signed=True)
+            term, doc, pos = (np.concatenate(x) for x in zip(*lists, strict=True)) if lists else (np.zeros(0, np.int64),) * 3
+            order = np.argsort(term, kind="stable")  # documents and positions ascend already
+            term, doc, pos = term[order], doc[order].astype("<i4"), pos[order].astype("<i4")
+            cut = np.flatnonzero(np.append(True, term[1:] != term[:-1])) if len(term) else np.zeros(0, np.int64)
+            ends = np.append(cut[1:], len(term))
+            new_doc = np.append(1, (doc[1:] != doc[:-1]) | (term[1:] != term[:-1])) if len(term) else np.zeros(0, np.int64)
+            n_docs = np.add.reduceat(new_doc, cut) if len(cut) else np.zeros(0, np.int64)
+            nulls = np.array([i is None for i in ids], np.uint8)
+            n = len(cut)
+            columns = [
+                pa.array(np.full(n + 1, number), pa.int64()),
+                pa.array([0] + [1] * n, pa.int32()),
+                pa.array([None, *term[cut].tolist()], pa.int64()),
+                pa.array([len(ids), *n_docs.tolist()], pa.int64()),
+                pa.array([np.array([i or 0 for i in ids], "<i8").tobytes(), *(doc[x:y].tobytes() for x, y in zip(cut, ends, strict=True))], pa.binary()),
+                pa.array([np.array(sizes, "<i4").tobytes(), *(pos[x:y].tobytes() for x, y in zip(cut, ends, strict=True))], pa.binary()),
+                pa.array([nulls.tobytes(), *[None] * n], pa.binary()),
+            ]
+            for k in (ids, sizes, lists):
+                k.clear()
+            yield pa.record_batch(columns, ["segment", "kind", "term", "n_docs", "a", "b", "c"])
+
         for batch in batches:
-            out: list[list] = [[], [], [], [], [], []]
-            for doc, row, t in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                words = words_of(t)
-                codes = np.fromiter(map(code, words, repeat(-1)), np.int32, len(words))
-                at = np.flatnonzero(codes >= 0)
-                at = at[np.argsort(codes[at], kind="stable")]
-                found, counts = np.unique(codes[at], return_counts=True)
-                for column, value in zip(out, (doc, row, len(words), [vocabulary[i] for i in found], counts, at.astype("<i4").tobytes()), strict=True):
-                    column.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.binary())
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["doc_id", "row", "n_words", "terms", "counts", "positions"])
-
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.col(text).alias("text"))
-    return rows.mapInArrow(index, INDEX_SCHEMA)
-
-
-def term_frequencies(index: DataFrame) -> dict[bytes, int]:
-    """Documents per indexed term; bounded by the block's vocabulary."""
-    return {bytes(r.term): r.n for r in index.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n")).collect()}
-
-
-def plan_windows(items: list[tuple[str, list[bytes]]], frequency: dict[bytes, int], window: int = WINDOW):
-    """By rarest term: [(item, [(term, offset), ...] from the rarest on, window length)]; windows with an absent term are left out for exact search."""
-    by_term: dict[bytes, list] = {}
-    for item, words in items:
-        seen = set()
-        for start in range(max(1, len(words) - window + 1)):
-            piece = tuple(words[start : start + window])
-            if piece in seen:
-                continue
-            seen.add(piece)
-            order = sorted(range(len(piece)), key=lambda k: (frequency.get(piece[k], 0), piece[k], k))
-            if frequency.get(piece[order[0]], 0):
-                by_term.setdefault(piece[order[0]], []).append((item, [(piece[k], k) for k in order], len(piece)))
-    return by_term
+            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                terms_ = _terms_of(words_of(t), known)
+                at = np.flatnonzero(in_bitmap(bitmap, _term_bits(terms_)))
+                if len(at):
+                    lists.append((terms_[at], np.full(len(at), len(ids)), at))
+                    held += len(at)
+                ids.append(i)
+                sizes.append(len(terms_))
+                if held >= SEGMENT_POSTINGS or len(ids) >= SEGMENT_DOCS:
+                    yield from segment()
+                    held = 0
+        if ids:
+            yield from segment()
+
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(index, INDEX_SCHEMA)
+
+
+def windows_of(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(id, item, terms): the distinct windows of every item; repeated items give them once."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _Terms()
+        for batch in batches:
+            ids, items, terms = [], [], []
+            for item, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                found = _terms_of(words_of(t), known).tolist()
+                pieces = {tuple(found[k : k + window]) for k in range(max(1, len(found) - window + 1))} if found else set()
+                for piece in pieces:
+                    ids.append(hashlib.blake2b(repr((item, piece)).encode("utf-8", "surrogatepass"), digest_size=16).digest())
+                    items.append(item)
+                    terms.append(list(piece))
+            yield pa.record_batch([pa.array(ids, pa.binary()), pa.array(items, pa.string()), pa.array(terms, pa.list_(pa.int64()))], ["id", "item", "terms"])
+
+    rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text")
+    return rows.mapInArrow(cut, "id binary, item string, terms array<long>").dropDuplicates(["id"])
+
+
+def rare_first(windows: DataFrame, index: DataFrame) -> DataFrame:
+    """(id, item, order): the terms of each window with their offsets, from the rarest on; windows with a term that no document has go."""
+    frequency = index.where("kind = 1").groupBy("term").agg(F.sum("n_docs").alias("n"))
+    each = windows.select("id", "item", F.size("terms").alias("size"), F.posexplode("terms").alias("offset", "term")).join(frequency, "term")
+    order = each.groupBy("id", "item", "size").agg(F.array_sort(F.collect_list(F.struct("n", "term", "offset"))).alias("order"))
+    return order.where("size(order) = size").select("id", "item", "order")
 
 
 def _has(sorted_values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -121,71 +166,86 @@ def _near(sorted_values: np.ndarray, wanted: np.ndarray, slop: int) -> np.ndarra
     return inside & (sorted_values[np.minimum(at, len(sorted_values) - 1)] <= wanted + slop)
 
 
-def search_index(index: DataFrame, windows: dict, slop: int = SLOP) -> DataFrame:
-    """Per indexed row: hit word spans (as start, length pairs), items with exact and with proximity matches."""
-    small_batches(index.sparkSession)
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[list] = [[], [], [], [], [], []]
-            for doc, row, n_words, terms, counts, flat in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                ends = np.cumsum([0, *counts])
-                flat = np.frombuffer(flat, "<i4")
-                lists = {t: flat[ends[i] : ends[i + 1]] for i, t in enumerate(terms)}
-                spans, exact, near = [], set(), set()
-                for term in lists.keys() & windows.keys():
-                    for item, order, length in windows[term]:
-                        if not all(t in lists for t, _ in order):
-                            continue
-                        starts = lists[term] - order[0][1]
-                        found = starts[(starts >= 0) & (starts + length <= n_words)]
-                        for t, offset in order[1:]:
-                            if not len(found):
-                                break
-                            found = found[_has(lists[t], found + offset)]
-                        if len(found):
-                            exact.add(item)
-                            spans += [(int(s), length) for s in found]
-                        elif slop and item not in near:
-                            for t, offset in order[1:]:
-                                starts = starts[_near(lists[t], starts + offset, slop)]
-                                if not len(starts):
-                                    break
-                            if len(starts):
-                                near.add(item)
-                for column, value in zip(out, (doc, row, n_words, [x for s in sorted(set(spans)) for x in s], sorted(exact), sorted(near - exact)), strict=True):
-                    column.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string()), pa.list_(pa.string()))
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["doc_id", "row", "n_words", "spans", "exact_items", "near_items"])
-
-    return index.mapInArrow(search, "doc_id long, row long, n_words long, spans array<long>, exact_items array<string>, near_items array<string>")
-
-
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: int = SLOP, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One row per document: doc_id, n_words, spans (start, length pairs), exact_items, near_items.
-
-    Several blocks of items give one partial result each, merged per row.
-    """
-    parts = []
-    for items in _blocks(benchmark):
-        index = materialize(build_index(docs, {w for _, words in items for w in words}, text, doc_id), "postings")
-        parts.append(search_index(index, plan_windows(items, term_frequencies(index), window), slop))
-    if not parts:
-        index = materialize(build_index(docs, set(), text, doc_id), "postings")
-        return search_index(index, {}, slop).drop("row")
-    if len(parts) == 1:
-        return parts[0].drop("row")
-    out = materialize(parts[0], "hits")
-    for p in parts[1:]:
-        out = out.unionByName(materialize(p, "hits"))
-    # rows of one document differ in the block only; hits of all blocks fit in the row they came from
-    merged = out.groupBy("doc_id", "row").agg(
-        F.first("n_words").alias("n_words"),
+def search(index: DataFrame, ordered: DataFrame, slop: int = SLOP) -> DataFrame:
+    """One row per indexed document and group of windows: doc_id, n_words, spans (start, length pairs), exact_items, near_items."""
+    n = ordered.count()
+    parts = max(1, -(-n // WINDOW_GROUP))
+    rarest = ordered.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")).withColumn("term", F.col("order")[0]["term"])
+    meets = rarest.join(index.where("kind = 1").select("segment", "term"), "term")
+    asked = meets.select("segment", "part", "item", F.transform("order", lambda x: x["term"]).alias("terms"), F.transform("order", lambda x: x["offset"]).alias("offsets"))
+    # lists that a window of the segment asks for; and the documents of every segment
+    needed = asked.select("segment", "part", F.explode("terms").alias("term")).distinct()
+    lists = index.where("kind = 1").join(needed, ["segment", "term"]).select("segment", "part", "kind", "term", "a", "b", "c")
+    papers = index.where("kind = 0").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).select("segment", "part", "kind", "term", "a", "b", "c")
+
+    def find(left: pa.Table, right: pa.Table) -> pa.Table:
+        kinds = left.column("kind").to_numpy()
+        paper = left.slice(int(np.flatnonzero(kinds == 0)[0]), 1)
+        ids, sizes, nulls = (np.frombuffer(paper.column(c)[0].as_py(), k) for c, k in (("a", "<i8"), ("b", "<i4"), ("c", np.uint8)))
+        lists: dict[int, np.ndarray] = {}
+        blobs = left.filter(pa.array(kinds == 1))
+        for term, doc, pos in zip(*(blobs.column(c).to_pylist() for c in ("term", "a", "b")), strict=True):
+            lists[term] = (np.frombuffer(doc, "<i4").astype(np.int64) << 32) | np.frombuffer(pos, "<i4")
+        spans: dict[int, set] = {}
+        exact: dict[int, set] = {}
+        near: dict[int, set] = {}
+        for item, terms, offsets in zip(*(right.column(c).to_pylist() for c in ("item", "terms", "offsets")), strict=True):
+            if not all(t in lists for t in terms):
+                continue
+            size = len(terms)
+            first = lists[terms[0]]
+            first = first[(first & 0xFFFFFFFF) >= offsets[0]] if offsets[0] else first
+            starts = first - offsets[0]
+            found = starts[(starts & 0xFFFFFFFF) + size <= sizes[starts >> 32]]
+            for t, offset in zip(terms[1:], offsets[1:], strict=True):
+                if not len(found):
+                    break
+                found = found[_has(lists[t], found + offset)]
+            for s in found.tolist():
+                spans.setdefault(s >> 32, set()).add((s & 0xFFFFFFFF, size))
+                exact.setdefault(s >> 32, set()).add(item)
+            if slop:
+                rest = lists[terms[0]] - offsets[0]
+                for t, offset in zip(terms[1:], offsets[1:], strict=True):
+                    if not len(rest):
+                        break
+                    rest = rest[_near(lists[t], rest + offset, slop)]
+                for d in np.unique((rest + offsets[0]) >> 32).tolist():
+                    near.setdefault(d, set()).add(item)
+        n = len(ids)
+        columns = [
+            pa.array(ids, pa.int64(), mask=nulls.astype(bool)),
+            pa.array(sizes.astype(np.int64)),
+            pa.array([[x for s in sorted(spans.get(k, ())) for x in s] for k in range(n)], pa.list_(pa.int64())),
+            pa.array([sorted(exact.get(k, ())) for k in range(n)], pa.list_(pa.string())),
+            pa.array([sorted(near.get(k, set()) - exact.get(k, set())) for k in range(n)], pa.list_(pa.string())),
+        ]
+        names = ["doc_id", "n_words", "spans", "exact_items", "near_items"]
+        if parts > 1:  # the place in the segment tells repeated rows apart
+            columns += [pa.array([paper.column("segment")[0].as_py()] * n, pa.int64()), pa.array(np.arange(n), pa.int64())]
+            names += ["segment", "place"]
+        return pa.table(dict(zip(names, columns, strict=True)))
+
+    left = lists.unionByName(papers).groupBy("segment", "part")
+    right = asked.select(F.col("segment").alias("to_segment"), F.col("part").alias("to_part"), "item", "terms", "offsets").groupBy("to_segment", "to_part")
+    found = left.cogroup(right).applyInArrow(find, _HITS + (", segment long, place long" if parts > 1 else ""))
+    if parts == 1:
+        return found
+    merged = found.groupBy("segment", "place").agg(
+        F.max("doc_id").alias("doc_id"),
+        F.max("n_words").alias("n_words"),
         F.flatten(F.collect_list("spans")).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("exact_items")))).alias("exact_items"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("near_items")))).alias("near_items"),
     )
-    return merged.drop("row").withColumn("near_items", F.array_except("near_items", "exact_items"))
+    return merged.withColumn("near_items", F.array_except("near_items", "exact_items")).drop("segment", "place")
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: int = SLOP, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """One row per document: doc_id, n_words, spans (start, length pairs), exact_items, near_items."""
+    windows = materialize(windows_of(benchmark, window), "windows")
+    index = materialize(build_index(docs, windows.select(F.explode("terms").alias("term")), text, doc_id), "index")
+    return search(index, materialize(rare_first(windows, index), "ordered"), slop)
 
 
 def contamination_digest(hits: DataFrame) -> DataFrame:
