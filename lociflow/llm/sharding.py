@@ -7,14 +7,18 @@ splitter is within tolerance.  Only the ranges still open are read in later roun
 sums per probe reach the driver (at most ``MAX_PROBES`` rows a round), and the rows
 themselves move once.
 
-The order keeps equal texts next to one another, and doc_id splits a text that fills more
-than a shard, so a hot group is spread instead of overfilling one shard.  Each shard is
-cut by further splitters of the same histogram into parts of bounded rows; a part is what
-one task sorts, and the rows counted below its splitter give the first slot in it.
+The law is ``bytes``: sizes come first.  Equal texts are neighbours in the order, so a group of
+them stays in one shard unless a splitter falls inside it; there doc_id decides, so a hot
+group is spread instead of overfilling one shard.
+
+Inside a shard rows are numbered by parts: a part is a cell of the hash (as many cells as make
+about ``PART_BYTES`` each), and a cell that one text fills beyond that is dealt to several
+parts by a hash of the id.  Parts are counted, their first slots are running sums over a table
+with one row per part, and a part is what one task sorts; its size does not grow with the input.
 
 Edge cases: a null text counts no bytes (size 8) and has a null crc; a null doc_id sorts
-first; rows that agree in doc_id and text cannot be separated and share a shard; an empty
-table gives no rows; input columns whose names clash with the result are replaced.
+first; rows that agree in doc_id and text cannot be separated and share a shard and a part; an
+empty table gives no rows; input columns whose names clash with the result are replaced.
 """
 
 from __future__ import annotations
@@ -25,10 +29,12 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lociflow.llm.common import materialize
+
 #: Probe rows that one counting round may return to the driver.
 MAX_PROBES = 8192
-#: Rows that one part (one task's sort) should hold, and the parts of a shard at most.
-PART_ROWS, MIN_PARTS, MAX_PARTS = 2_000_000, 4, 64
+#: Bytes that one part (one task's sort) should hold.
+PART_BYTES = 16 << 20
 #: Bytes that each row counts beside its text.
 ROW_BYTES = 8
 _H, _D, _W = "__h", "__d", "__w"
@@ -134,38 +140,41 @@ def histogram_splitters(keyed: DataFrame, parts: int, tolerance: float = 0.0):
     return [found[t] for t in range(1, parts)]
 
 
-def histogram_shards(docs: DataFrame, n_shards: int = 24, text: str = "text", doc_id: str = "doc_id", tolerance: float = 0.0) -> DataFrame:
+def histogram_shards(docs: DataFrame, n_shards: int = 24, text: str = "text", doc_id: str = "doc_id", tolerance: float = 0.0, part_bytes: int = PART_BYTES) -> DataFrame:
     """``docs`` with size, text_crc32, law ('bytes'), shard, slot and grown_shard (null)."""
     clash = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
     docs = docs.drop(*[c for c in docs.columns if c.lower() in clash])
     keyed = with_key(docs, text, doc_id)
+    part = ["__shard", "__cell", "__part"]
     narrow = keyed.select(_H, _D, _W).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        per_shard = min(MAX_PARTS, max(MIN_PARTS, -(-narrow.count() // (n_shards * PART_ROWS))))
-        cuts = histogram_splitters(narrow, n_shards * per_shard, tolerance)
+        cuts = histogram_splitters(narrow, n_shards, tolerance)
+        total = narrow.agg(F.sum(_W)).first()[0] or 0
+        bits = max(0, min(40, (total // part_bytes).bit_length()))
+        shard = sum((_at_least(c[0]).cast("int") for c in cuts if c[0] is not None), F.lit(0))
+        cell = F.shiftright(_H, 60 - bits) if bits else F.lit(0).cast("long")
+        placed = lambda df: df.withColumn("__shard", shard).withColumn("__cell", cell)
+        # cells that one text overfills: their rows are dealt to several parts
+        sizes = placed(narrow).groupBy("__shard", "__cell").agg(F.ceil(F.sum(_W) / part_bytes).cast("int").alias("__parts"))
+        hot = materialize(sizes.where("__parts > 4"), "hot")
+
+        def parted(df: DataFrame) -> DataFrame:
+            deal = F.coalesce(F.pmod(F.xxhash64(_D), F.col("__parts")), F.lit(0)).cast("int")
+            return placed(df).join(hot, ["__shard", "__cell"], "left").withColumn("__part", deal).drop("__parts")
+
+        counted = parted(narrow).groupBy(*part).agg(F.count("*").alias("__n"))
+        before = Window.partitionBy("__shard").orderBy("__cell", "__part").rowsBetween(Window.unboundedPreceding, -1)
+        first = materialize(counted.withColumn("__first", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n"), "parts")
     finally:
         narrow.unpersist()
-    starts = [((-1 << 62, -1 << 62), 0, 0), *cuts]
-    lit_key = lambda k: f"struct({k[0]}L as h, {k[1]}L as d)" if k else None
-    first = [starts[s * per_shard] for s in range(n_shards)]
-    below = lambda keys: "+".join(f"int(__k >= {lit_key(k)})" for k in keys if k) or "0"
-    shard = F.expr(below([f[0] for f in first[1:]]))
-    inner = "array(" + ",".join("array(" + ",".join([lit_key(x[0]) or "cast(null as struct<h:bigint,d:bigint>)" for x in starts[s * per_shard + 1 : (s + 1) * per_shard]] or ["cast(null as struct<h:bigint,d:bigint>)"]) + ")" for s in range(n_shards)) + ")"
-    part = F.expr(f"__shard * {per_shard} + size(filter(element_at({inner}, __shard + 1), x -> x <= __k))")
-    offsets = F.expr("array(" + ",".join(f"{starts[p][2] - first[p // per_shard][2]}L" for p in range(n_shards * per_shard)) + ")")
-    order = Window.partitionBy("__part").orderBy(_H, _D)
-    return (
-        keyed.withColumn("__k", F.struct(F.col(_H).alias("h"), F.col(_D).alias("d")))
-        .withColumn("__shard", shard)
-        .withColumn("__part", part)
-        .withColumn("__slot", F.row_number().over(order) - 1)
-        .select(
-            *docs.columns,
-            F.col(_W).alias("size"),
-            F.crc32(F.col(text).cast("binary")).alias("text_crc32"),
-            F.lit("bytes").alias("law"),
-            F.col("__shard").alias("shard"),
-            (F.element_at(offsets, F.col("__part") + 1) + F.col("__slot")).cast("long").alias("slot"),
-            F.lit(None).cast("int").alias("grown_shard"),
-        )
+    inside = Window.partitionBy(*part).orderBy(_H, _D)
+    numbered = parted(keyed).withColumn("__slot", F.row_number().over(inside) - 1)
+    return numbered.join(first, part).select(
+        *docs.columns,
+        F.col(_W).alias("size"),
+        F.crc32(F.col(text).cast("binary")).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        F.col("__shard").alias("shard"),
+        (F.col("__first") + F.col("__slot")).cast("long").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
     )
