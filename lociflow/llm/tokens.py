@@ -2,13 +2,15 @@
 
 Each document is encoded once with a public byte-level vocabulary; only its length leaves
 the task, and lengths are summed into one row per distinct length before the shuffle.
-Suffix sums over that histogram answer, for every context limit: how many documents reach
-the limit, the tokens that fit in it, quantiles and totals.  The suffix sums run in two
+The histogram is written once; suffix sums over it answer, for every context limit: how many
+documents reach the limit, the tokens that fit in it, quantiles and totals.  The suffix sums run in two
 levels (blocks of lengths, then lengths inside a block), so no task reads the whole
 histogram.
 
 Edge cases: null and empty texts have length 0 and are counted; very long texts are encoded
-whole; repeated rows count as often as they occur; an empty table gives an empty histogram.
+whole; repeated rows count as often as they occur; clashing extra columns are not read; an
+empty table gives an empty histogram, and limits then have zero totals.  The vocabulary is read
+from a folder that every executor has; its path is a parameter.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lociflow.llm.common import small_batches
+from lociflow.llm.common import materialize, small_batches
 
 #: Folder of the public vocabulary files; the path is a parameter of every function here.
 TOKENIZER_DIR = "/opt/tokenizers"
@@ -66,7 +68,7 @@ def context_table(histogram: DataFrame) -> DataFrame:
     For a limit between two lengths, the row of the next greater length holds the suffix
     (``answer_limits``).
     """
-    h = histogram.withColumn("tokens", F.col("n_tokens") * F.col("n_docs")).withColumn("block", F.expr(f"n_tokens div {BLOCK}"))
+    h = materialize(histogram, "lengths").withColumn("tokens", F.col("n_tokens") * F.col("n_docs")).withColumn("block", F.expr(f"n_tokens div {BLOCK}"))
     after = Window.orderBy(F.col("block").desc()).rowsBetween(Window.unboundedPreceding, -1)
     blocks = h.groupBy("block").agg(F.sum("n_docs").alias("d"), F.sum("tokens").alias("t"))
     # one row per 1,024 lengths: the block table is bounded by the longest document
@@ -94,20 +96,23 @@ def context_table(histogram: DataFrame) -> DataFrame:
 
 
 def answer_limits(table: DataFrame, limits: list[int]) -> DataFrame:
-    """tokens_within_limit and docs_over for any limits, exact, from the context table."""
-    spark = table.sparkSession
-    wanted = spark.createDataFrame([(int(x),) for x in limits], "context_limit long")
-    over = table.select("n_tokens", "n_docs", "tokens_total", "docs_total")
-    return (
-        wanted.crossJoin(F.broadcast(over.agg(F.max("tokens_total").alias("tokens_total"), F.max("docs_total").alias("docs_total"))))
-        .join(over.select("n_tokens", "n_docs"), F.col("n_tokens") > F.col("context_limit"), "left")
-        .groupBy("context_limit", "tokens_total", "docs_total")
-        .agg(F.coalesce(F.sum("n_docs"), F.lit(0)).alias("docs_over"), F.coalesce(F.sum((F.col("n_tokens") - F.col("context_limit")) * F.col("n_docs")), F.lit(0)).alias("tokens_cut"))
-        .withColumn("tokens_within_limit", F.col("tokens_total") - F.col("tokens_cut"))
-    )
+    """docs_over, tokens_cut and tokens_within_limit for any limits, exact.
+
+    One pass over the table reads, for all of them, the suffix sums of the next longer length.
+    """
+    wanted = sorted({int(x) for x in limits})
+    following = [F.min(F.when(F.col("n_tokens") > x, F.struct("n_tokens", "docs_at_least", "tokens_at_least"))).alias(f"x{k}") for k, x in enumerate(wanted)]
+    row = table.agg(F.max("tokens_total").alias("total"), *following).first()
+    out = []
+    for k, x in enumerate(wanted):
+        found = row[f"x{k}"]
+        over, tokens = (found["docs_at_least"], found["tokens_at_least"]) if found else (0, 0)
+        out.append((x, over, tokens - x * over, (row["total"] or 0) - (tokens - x * over)))
+    return table.sparkSession.createDataFrame(out, "context_limit long, docs_over long, tokens_cut long, tokens_within_limit long")
 
 
 def quantile_lengths(table: DataFrame, quantiles: list[float]) -> DataFrame:
-    """The least length that at least the given part of documents does not exceed."""
-    wanted = table.sparkSession.createDataFrame([(float(q),) for q in quantiles], "q double")
-    return wanted.join(table, F.col("quantile") >= F.col("q")).groupBy("q").agg(F.min("n_tokens").alias("n_tokens"))
+    """The least length that at least the given part of documents does not exceed; null on an empty table."""
+    wanted = sorted({float(q) for q in quantiles})
+    row = table.agg(*[F.min(F.when(F.col("quantile") >= q, F.col("n_tokens"))).alias(f"x{k}") for k, q in enumerate(wanted)]).first()
+    return table.sparkSession.createDataFrame([(q, row[f"x{k}"]) for k, q in enumerate(wanted)], "q double, n_tokens long")
