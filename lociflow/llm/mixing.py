@@ -7,21 +7,28 @@ weights, and reaches the parent's siblings only when the whole subtree is exhaus
 filling with whole numbers: level = (budget - full children) / (weights of the others)).
 
 Every leaf then reads whole seeded epochs and a token-prefix of the next one: documents in
-the order of md5(seed:epoch:doc_id), as many as fit in what is left.  Prefix sums run in
-two levels, 4,096 buckets of that order per leaf and then the rows of the one bucket that
+the order of md5(seed:epoch:doc_id:md5(text)), as many as fit in what is left.  Prefix sums run
+in two levels, 4,096 buckets of that order per leaf and then the rows of the one bucket that
 the budget ends in, so a leaf with a third of all rows is spread over many tasks.
 
+Texts are read once, for a table of one narrow row per document (names, hash, tokens); all
+budgets, orders and prefixes are taken on it.  ``mix_sources`` then adds the texts: what lies in
+whole epochs or before the last bucket passes by the leaf's plan alone, and only the few rows of
+a last bucket meet the table of what is selected there.
+
 Tokens are words (runs of other than white space).  The tree has one row per (domain,
 language, source); it is joined, and broadcast by Spark only where it measures it as small.
 
 Edge cases: null language or source count as the empty name; a null or wordless text has no
 tokens, costs nothing and is kept with its place in the order; repeated rows share a place
-and are told apart by text; an empty table gives no rows; clashing extra columns are
+and are interchangeable; an empty table gives no rows; clashing extra columns are
 replaced.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -79,27 +86,38 @@ def leaf_budgets(leaves: DataFrame, budget_percent: int, max_epochs: int, domain
     return _fill(sources, ["domain", "lang"], "source").drop("cap")
 
 
-def mix_sources(
-    docs: DataFrame,
-    budget_percent: int = BUDGET_PERCENT,
-    max_epochs: int = MAX_EPOCHS,
-    seed: int = SEED,
-    domain_weights: dict[str, int] = DOMAIN_WEIGHTS,
-    lang_weights: dict[str, int] = LANG_WEIGHTS,
-    text: str = "text",
-) -> DataFrame:
-    """One row for each selected document and epoch: ``docs``'s columns, domain, epoch, n_tokens, leaf_budget."""
-    docs = docs.drop(*[c for c in docs.columns if c.lower() in _ADDED])
-    keep = docs.columns
-    rows = (
+@dataclass
+class Plan:
+    """The narrow rows, one row per leaf (whole epochs, where the next one ends), and the rows selected in last buckets."""
+
+    rows: DataFrame
+    leaves: DataFrame
+    ends: DataFrame
+
+
+LEAF = ["domain", "__l", "__s"]
+
+
+def _leaf_columns(docs: DataFrame) -> DataFrame:
+    return (
         docs.withColumn("__l", F.coalesce(F.col("lang").cast("string"), F.lit("")))
         .withColumn("__s", F.coalesce(F.col("source").cast("string"), F.lit("")))
         .withColumn("domain", domain_of("source"))
-        .withColumn("n_tokens", word_count(F.col(text)))
     )
-    ids = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    placed = lambda epoch: F.md5(F.concat(F.lit(f"{seed}:"), epoch.cast("string"), F.lit(":"), ids).cast("binary"))
-    leaf = [F.col("domain"), F.col("__l"), F.col("__s")]
+
+
+def _identity(text: str) -> Column:
+    """What is hashed for a row's places: its id and the hash of its text."""
+    return F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
+
+
+def _place(epoch: Column, seed: int) -> Column:
+    return F.md5(F.concat(F.lit(f"{seed}:"), epoch.cast("string"), F.lit(":"), F.col("__id")).cast("binary"))
+
+
+def plan_mix(docs: DataFrame, budget_percent: int, max_epochs: int, seed: int, domain_weights: dict[str, int], lang_weights: dict[str, int], text: str) -> Plan:
+    rows = _leaf_columns(docs).select("doc_id", "lang", "source", *LEAF, _identity(text).alias("__id"), word_count(F.col(text)).alias("n_tokens"))
+    rows = materialize(rows, "rows")
     leaves = rows.groupBy("domain", F.col("__l").alias("lang"), F.col("__s").alias("source")).agg(F.sum("n_tokens").alias("avail"))
     budgets = leaf_budgets(leaves, budget_percent, max_epochs, domain_weights, lang_weights).where("avail > 0 or budget > 0")
     budgets = budgets.select(
@@ -110,25 +128,60 @@ def mix_sources(
     # one row per leaf: written, so that its size is known and Spark broadcasts it only where it is small
     budgets = materialize(budgets, "budgets")
     # tokens per leaf and bucket of the epoch that the budget ends in
-    narrow = rows.select(*leaf, ids.alias("__id"), "n_tokens").join(budgets, ["domain", "__l", "__s"])
-    next_place = F.md5(F.concat(F.lit(f"{seed}:"), F.col("whole").cast("string"), F.lit(":"), F.col("__id")).cast("binary"))
-    sums = narrow.withColumn("bucket", F.substring(next_place, 1, 3)).groupBy("domain", "__l", "__s", "bucket").agg(F.sum("n_tokens").alias("t"), F.max("rest").alias("rest"))
-    running = F.sum("t").over(Window.partitionBy("domain", "__l", "__s").orderBy("bucket"))
-    ends = (
-        sums.withColumn("through", running)
-        .where("through > rest")
-        .groupBy("domain", "__l", "__s")
-        .agg(F.min_by("bucket", "bucket").alias("end_bucket"), F.min_by(F.col("through") - F.col("t"), "bucket").alias("before"))
-    )
-    plan = materialize(budgets.join(ends, ["domain", "__l", "__s"], "left"), "plan")
+    following = rows.join(budgets, LEAF).withColumn("bucket", F.substring(_place(F.col("whole"), seed), 1, 3))
+    sums = following.groupBy(*LEAF, "bucket").agg(F.sum("n_tokens").alias("t"), F.max("rest").alias("rest"))
+    running = F.sum("t").over(Window.partitionBy(*LEAF).orderBy("bucket"))
+    ends = sums.withColumn("through", running).where("through > rest").groupBy(*LEAF).agg(F.min("bucket").alias("end_bucket"), F.min(F.col("through") - F.col("t")).alias("before"))
+    plan = materialize(budgets.join(ends, LEAF, "left"), "plan")
     discard(budgets)
-    selected = rows.join(plan, ["domain", "__l", "__s"])
-    out = [*keep, "domain", "epoch", "n_tokens", "leaf_budget"]
-    passes = selected.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.least(F.col("whole"), F.lit(max_epochs - 1).cast("long")))))
-    below = passes.where((F.col("epoch") < F.col("whole")) | F.col("end_bucket").isNull() | (F.substring(placed(F.col("epoch")), 1, 3) < F.col("end_bucket")))
-    at_end = selected.where(f"whole < {max_epochs}").withColumn("epoch", F.col("whole")).withColumn("place", placed(F.col("whole"))).where(F.substring("place", 1, 3) == F.col("end_bucket"))
-    prefix = Window.partitionBy("domain", "__l", "__s").orderBy("place", F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))).rowsBetween(Window.unboundedPreceding, 0)
-    at_end = at_end.withColumn("__run", F.sum("n_tokens").over(prefix)).where("before + __run <= rest")
+    last = rows.join(plan.where(f"whole < {max_epochs}"), LEAF).withColumn("place", _place(F.col("whole"), seed)).where(F.substring("place", 1, 3) == F.col("end_bucket"))
+    prefix = Window.partitionBy(*LEAF).orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    chosen = last.withColumn("__run", F.sum("n_tokens").over(prefix)).where("before + __run <= rest")
+    return Plan(rows, plan, materialize(chosen.select("doc_id", "lang", "source", *LEAF, "__id", F.col("whole").alias("epoch"), "n_tokens", "leaf_budget"), "ends"))
+
+
+def _whole_epochs(rows: DataFrame, plan: DataFrame, max_epochs: int, seed: int) -> DataFrame:
+    """Rows in whole epochs, and those before the last bucket of the next one, with their epoch."""
+    epochs = F.sequence(F.lit(0).cast("long"), F.least(F.col("whole"), F.lit(max_epochs - 1).cast("long")))
+    passes = rows.join(plan, LEAF).withColumn("epoch", F.explode(epochs))
+    return passes.where((F.col("epoch") < F.col("whole")) | F.col("end_bucket").isNull() | (F.substring(_place(F.col("epoch"), seed), 1, 3) < F.col("end_bucket")))
+
+
+def mix_selection(
+    docs: DataFrame,
+    budget_percent: int = BUDGET_PERCENT,
+    max_epochs: int = MAX_EPOCHS,
+    seed: int = SEED,
+    domain_weights: dict[str, int] = DOMAIN_WEIGHTS,
+    lang_weights: dict[str, int] = LANG_WEIGHTS,
+    text: str = "text",
+) -> DataFrame:
+    """One row for each selected document and epoch, without texts: doc_id, domain, lang, source, epoch, n_tokens, leaf_budget."""
+    plan = plan_mix(docs, budget_percent, max_epochs, seed, domain_weights, lang_weights, text)
+    out = ["doc_id", "domain", "lang", "source", "epoch", "n_tokens", "leaf_budget"]
+    return _whole_epochs(plan.rows, plan.leaves, max_epochs, seed).select(*out).unionByName(plan.ends.select(*out))
+
+
+def mix_sources(
+    docs: DataFrame,
+    budget_percent: int = BUDGET_PERCENT,
+    max_epochs: int = MAX_EPOCHS,
+    seed: int = SEED,
+    domain_weights: dict[str, int] = DOMAIN_WEIGHTS,
+    lang_weights: dict[str, int] = LANG_WEIGHTS,
+    text: str = "text",
+) -> DataFrame:
+    """One row for each selected document and epoch: ``docs``'s columns, domain, epoch, n_tokens, leaf_budget."""
+    docs = docs.drop(*[c for c in docs.columns if c.lower() in _ADDED])
+    plan = plan_mix(docs, budget_percent, max_epochs, seed, domain_weights, lang_weights, text)
+    out = [*docs.columns, "domain", "epoch", "n_tokens", "leaf_budget"]
+    rows = _leaf_columns(docs).withColumn("__id", _identity(text))
+    below = _whole_epochs(rows, plan.leaves, max_epochs, seed).withColumn("n_tokens", word_count(F.col(text)))
+    # a row that repeats in a last bucket is selected as often as its narrow rows are
+    taken = plan.ends.groupBy("__id", *LEAF).agg(F.count("*").alias("times"), F.min("epoch").alias("epoch"), F.min("n_tokens").alias("n_tokens"))
+    last = rows.join(plan.leaves.where(f"whole < {max_epochs}"), LEAF).where(F.substring(_place(F.col("whole"), seed), 1, 3) == F.col("end_bucket"))
+    copy = F.row_number().over(Window.partitionBy("__id", *LEAF).orderBy(F.lit(0)))
+    at_end = last.join(taken, ["__id", *LEAF]).withColumn("__copy", copy).where("__copy <= times")
     return below.select(*out).unionByName(at_end.select(*out))
 
 
@@ -157,5 +210,5 @@ s0 AS (SELECT leaves.*, 1 AS w, l1.budget AS pb FROM leaves JOIN l1 ON leaves.do
 {fill("s1", "s0", "domain, l", "s")},
 plan AS (SELECT domain, l, s, budget, CASE WHEN avail > 0 THEN budget // avail ELSE 0 END AS whole, CASE WHEN avail > 0 THEN budget % avail ELSE 0 END AS rest FROM s1 WHERE avail > 0 OR budget > 0),
 sel AS (SELECT r.*, p.budget, p.whole, p.rest, unnest(range(0, CAST(least(p.whole + 1, {max_epochs}) AS BIGINT))) AS epoch FROM rows0 r JOIN plan p ON r.domain = p.domain AND r.l = p.l AND r.s = p.s),
-run AS (SELECT *, sum(n_tokens) OVER (PARTITION BY domain, l, s, epoch ORDER BY md5('{seed}:' || epoch || ':' || coalesce(CAST(doc_id AS VARCHAR), '')), md5(coalesce(text, '')) ROWS UNBOUNDED PRECEDING) AS through FROM sel)
+run AS (SELECT *, sum(n_tokens) OVER (PARTITION BY domain, l, s, epoch ORDER BY md5('{seed}:' || epoch || ':' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) ROWS UNBOUNDED PRECEDING) AS through FROM sel)
 SELECT doc_id, domain, lang, source, CAST(epoch AS BIGINT) AS epoch, n_tokens, CAST(budget AS BIGINT) AS leaf_budget FROM run WHERE epoch < whole OR through <= rest"""

@@ -43,7 +43,7 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    return mixing.mix_sources(docs).select("doc_id", "domain", "lang", "source", "epoch", "n_tokens", "leaf_budget")
+    return mixing.mix_selection(docs)
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
