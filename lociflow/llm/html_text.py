@@ -1,23 +1,31 @@
 """Main text of web pages by the maximum-scoring subsequence (operator 9).
 
-A page is read as a sequence of tags and words.  Words score by where they stand (inside a
-main element or not, and the nearest element that gives them a role), tags score below
-zero; both scores are log-odds counted on labelled pages, with priors for what those pages
-never show.  One linear scan (running sum, restarted when it falls below zero) finds the
-contiguous region with the greatest sum.  The text blocks of that region, without the
-elements that are never part of an article, are the result.
+A page is read once, from left to right, as blocks of words and the tags between them.  The
+words of a block score by its role (the nearest element that gives one), its length and
+whether it is mostly links; tags score below zero.  One linear scan (running sum, restarted
+when it falls below zero) finds the contiguous region with the greatest sum.  The blocks of that
+region, without those in elements that are no part of an article, are the result.
 
-Labelled pages are those with one main element (``article``, else ``main``): what stands in
-it is content.  The fit counts at most about ``SAMPLE_PAGES`` of them (a documented bound);
-every page is extracted from its whole html.
+Weights are log-odds counted on labelled pages and shrunk towards priors: of blocks, of tags,
+and of the names of elements (tag, and each whole class, id and role word).  The most negative
+name between a block and its main element decides whether the block is noise; names above the
+main element do not count.  Labelled pages are those with one main element (``article``, else
+``main``); no weight knows whether a word stands in it, so the weights serve pages without one.  The fit counts
+at most about ``SAMPLE_PAGES`` pages (a documented bound); every page is extracted from its
+whole html.
+
+A page that names its main element (one ``article`` with ``SHARE`` of all article words, else one
+``main``) is scanned inside it; without one, or when nothing there scores above zero, the whole page is.
 
 Text rules: character references are decoded, white space inside a block becomes one space,
 blocks are trimmed, empty blocks go, and blocks are joined in page order by one newline.
 
 Edge cases: null and empty html, and pages without a word that scores above zero, give the
-empty text; unclosed tags end with their container or the page; an unclosed comment or
-script runs to the end; very long pages are read in one linear pass; equal sums keep the
-earlier region; repeated rows get equal results; clashing columns are replaced.
+empty text; a tag that never closes, an unclosed comment and an unclosed script run to the end and give no text; unclosed
+elements end with their container or the page; a self-closed raw element has no content; very
+long pages, deep nesting and broken quotes are read in linear time; equal sums keep the earlier
+region; repeated rows get equal results; pages without an id are extracted like others; clashing
+columns are replaced; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -27,6 +35,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,178 +44,304 @@ from pyspark.sql import types as T
 
 from lociflow.llm.common import small_batches
 
-SAMPLE_PAGES = 2000
-_TOKEN = re.compile(r"<!--|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?][^>]*>|[^<]+|<")
-_CLASSES = re.compile(r"(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
-#: Elements whose content is raw text of no article.
-RAW = {"script", "style", "template", "noscript", "svg", "math", "textarea", "iframe", "object", "canvas", "title"}
-#: Elements that never belong to an article.
-NOISE = {"nav", "footer", "aside", "form", "head", "header", "button", "select", "menu", "dialog"} | RAW
-#: Words in class, id or role that mark the same.
+SAMPLE_PAGES, SHARE, LONG = 2000, 0.8, 10
+#: A start tag after its "<": possessive, so that a tag without an end fails in one pass.
+_START = re.compile(r"([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|(?![\"'\s])|(?=\s*\Z)))*+)>")
+_NAMED = re.compile(r"(?<![^\s\"'/])(?:class|id|role)\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++))", re.I)
+#: Elements whose content is raw text and no part of an article.
+RAW = {"script", "style", "textarea", "title", "iframe", "xmp", "noembed", "noframes"}
+#: Elements inside a block whose content is no part of its text.
+MUTE = {"button", "select", "template", "noscript", "svg", "object", "canvas"}
+#: Prior weights of element names: below ``NOISE_AT`` they hold no article text.
+NOISE_TAGS = {"nav", "footer", "aside", "form", "head", "header", "menu", "dialog"}
 NOISE_NAMES = {
-    "ad", "ads", "adv", "advert", "adverts", "advertisement", "banner", "sponsor", "sponsored", "promo", "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs",
-    "footer", "header", "masthead", "sidebar", "widget", "comment", "comments", "reply", "replies", "disqus", "cookie", "cookies", "consent", "notice", "notices", "popup", "modal",
-    "newsletter", "subscribe", "share", "sharing", "social", "related", "recommended", "login", "search", "complementary", "contentinfo", "alert",
+    "ad", "ads", "advert", "adverts", "advertisement", "banner", "sponsored", "promo", "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "footer", "masthead",
+    "sidebar", "widget", "comment", "comments", "replies", "cookie", "cookies", "consent", "notice", "notices", "popup", "modal", "newsletter", "subscribe", "share", "sharing",
+    "social", "related", "recommended", "login", "complementary", "contentinfo", "alert", "cookie-banner", "cookie-notice", "comment-list", "related-posts", "site-header", "site-footer",
 }
+#: Names that are noise outside a main element only: an article may have a header of its own.
+_OUTER_ONLY = {"header", "footer"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 #: Elements that start and end a block of text.
 BLOCK = {
     "address", "article", "blockquote", "body", "caption", "center", "dd", "details", "div", "dl", "dt", "fieldset", "figcaption", "figure", "h1", "h2", "h3", "h4", "h5", "h6",
     "hr", "html", "li", "main", "ol", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul",
-} | NOISE
-#: Elements that end an open paragraph or item of their own kind.
-_CLOSES = {"li": {"li"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}}
+} | NOISE_TAGS
 MAIN = {"article", "main"}
-#: Prior log-odds of words by role, and of tags, before any page is counted.
-PRIOR_WORD = {"p": 1.0, "h1": 1.0, "h2": 1.0, "h3": 1.0, "h4": 1.0, "blockquote": 1.0, "pre": 1.0, "article": 1.0, "main": 1.0, "td": 0.4, "figcaption": 0.4, "li": 0.3}
-PRIOR_OTHER, PRIOR_COUNT, TAG_COST = -0.3, 20, 0.02
+#: Start tags that end an open element of a group, unless one of the barriers stands between.
+_GROUPS = (
+    ({"p"}, BLOCK, {"table", "td", "th", "caption", "button", "object", "template"}),
+    ({"li"}, {"li"}, {"ul", "ol", "menu"}),
+    ({"td", "th"}, {"td", "th", "tr", "tbody", "thead", "tfoot"}, {"table"}),
+    ({"tr"}, {"tr", "tbody", "thead", "tfoot"}, {"table"}),
+    ({"dt", "dd"}, {"dt", "dd"}, {"dl"}),
+    ({"option"}, {"option", "optgroup"}, {"select"}),
+)
+#: Prior weights of blocks by role; of blocks of other roles when long and when short; cost of a tag at least and at most.
+PRIOR_ROLE = {"p": 1.0, "h1": 1.0, "h2": 1.0, "h3": 1.0, "h4": 1.0, "h5": 1.0, "h6": 1.0, "blockquote": 1.0, "pre": 1.0, "figcaption": 0.5, "dd": 0.5, "dt": 0.5, "td": 0.4, "th": 0.4, "li": 0.3}
+PRIOR_LONG, PRIOR_SHORT, LINKED = 0.5, -0.1, -1.0
+NOISE_AT, PRIOR_NOISE, PRIOR_COUNT, TAG_LEAST, TAG_MOST = -0.5, -2.0, 50, 0.02, 1.0
+
+
+@dataclass
+class Block:
+    """Text of one block, where it stands, and the element names between it and its main element."""
 
+    text: str
+    role: str
+    words: int
+    linked: int
+    names: tuple[str, ...]
+    article: int
+    main: int
 
-def _is_noise(tag: str, attrs: str) -> bool:
-    if tag in NOISE:
-        return True
-    if tag in MAIN or tag in ("html", "body") or not attrs:
-        return False
-    return any(w in NOISE_NAMES for m in _CLASSES.finditer(attrs) for w in re.split(r"[^a-z]+", m[1].lower()))
+    @property
+    def feature(self) -> str:
+        return f"{self.role}|{'long' if self.words >= LONG else 'short'}|{'links' if 2 * self.linked > self.words else 'text'}"
 
 
-def parse(page: str) -> Iterator[tuple[str, str, bool, str, bool]]:
-    """(kind, value, in main, role, noise) of each token: kind 'text' with raw text, or 'tag' with its name."""
-    stack: list[tuple[str, bool]] = []
-    noise = main = 0
+def parse(page: str) -> Iterator[Block | str]:
+    """Blocks (with text) and the names of the tags between them, in page order and linear time."""
+    stack: list[tuple[str, bool, tuple[str, ...], int, int, str]] = []  # tag, link, names, article, main, role
+    counts: Counter = Counter()
+    groups: list[list[int]] = [[] for _ in _GROUPS]  # places of open elements of a group, -1 for a barrier
+    articles = mains = 0
     at, end = 0, len(page)
+    parts: list[str] = []
+    linked, muted = [0], [0]
+    state = [False, (), -1, -1, ""]  # link, names, article, main, role
+
+    def reread() -> None:
+        state[:] = list(stack[-1][1:]) if stack else [False, (), -1, -1, ""]
+
+    def flush() -> Iterator[Block]:
+        if parts:
+            text = " ".join(html_lib.unescape("".join(parts)).split())
+            if text:
+                yield Block(text, state[4], text.count(" ") + 1, linked[0], state[1], state[2], state[3])
+            parts.clear()
+        linked[0] = 0
 
     def close(k: int) -> None:
-        nonlocal noise, main
-        for tag, bad in stack[k:]:
-            noise -= bad
-            main -= tag in MAIN
-        del stack[k:]
+        while len(stack) > k:
+            tag = stack.pop()[0]
+            counts[tag] -= 1
+            muted[0] -= tag in MUTE
+            for g, (members, _, barriers) in enumerate(_GROUPS):
+                if (tag in members or tag in barriers) and groups[g]:
+                    groups[g].pop()
+        reread()
 
     while at < end:
-        m = _TOKEN.match(page, at)
-        if m is None:  # a tag that never closes: the rest is markup
-            return
-        at = m.end()
-        token = m[0]
-        if token == "<!--":
-            found = page.find("-->", at)
+        if page[at] != "<":
+            stop = page.find("<", at)
+            stop = end if stop < 0 else stop
+            if not muted[0]:
+                parts.append(page[at:stop])
+                if state[0]:
+                    linked[0] += len(page[at:stop].split())
+            at = stop
+            continue
+        if page.startswith("<!--", at):
+            found = page.find("-->", at + 4)
             at = end if found < 0 else found + 3
             continue
-        tag = (m[2] or "").lower()
-        if not tag:
-            if token[0] != "<" or token == "<":
-                yield "text", token, main > 0, stack[-1][0] if stack else "", noise > 0
+        following = page[at + 1 : at + 3]
+        if following[:1] in ("!", "?") or (following[:1] == "/" and not following[1:].isalpha()):
+            found = page.find(">", at)
+            at = end if found < 0 else found + 1
             continue
-        if m[1]:
-            k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), None)
-            if k is not None:
-                close(k)
-            yield "tag", tag, main > 0, "", noise > 0
+        closing = following[:1] == "/"
+        m = _START.match(page, at + 1 + closing)
+        if m is None:
+            if following[closing : closing + 1].isascii() and following[closing : closing + 1].isalpha():
+                break  # a tag that never closes: the rest is markup
+            if not muted[0]:
+                parts.append("<")
+            at += 1
             continue
-        if tag in BLOCK:  # a block ends an open paragraph
-            k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == "p" or stack[k][0] in MAIN), None)
-            if k is not None and stack[k][0] == "p":
-                close(k)
-        if tag in _CLOSES:
-            k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] in _CLOSES[tag] or stack[k][0] in ("ul", "ol", "table", "dl", "select")), None)
-            if k is not None and stack[k][0] in _CLOSES[tag]:
+        at = m.end()
+        tag = m[1].lower()
+        if tag in BLOCK:
+            yield from flush()
+        elif tag == "br":
+            parts.append(" ")
+        if closing:
+            if counts[tag]:
+                k = len(stack) - 1
+                while stack[k][0] != tag:
+                    k -= 1
                 close(k)
-        if tag in RAW:
-            yield "tag", tag, main > 0, "", True
-            found = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+            yield tag
+            continue
+        for g, (_, starts, _) in enumerate(_GROUPS):
+            if tag in starts and groups[g] and groups[g][-1] >= 0:
+                close(groups[g][-1])
+        yield tag
+        closed = m[2].rstrip().endswith("/")
+        if tag in RAW and not closed:
+            found = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*+>", re.I).search(page, at)
             at = found.end() if found else end
             continue
-        if tag not in VOID and not m[3].endswith("/"):
-            bad = _is_noise(tag, m[3])
-            stack.append((tag, bad))
-            noise += bad
-            main += tag in MAIN
-        yield "tag", tag, main > 0, "", noise > 0
+        if tag in VOID or closed:
+            continue
+        link, names, article, main, role = state
+        if tag in MAIN:
+            if tag == "article" and article < 0:
+                article, articles = articles, articles + 1
+            elif tag == "main" and main < 0:
+                main, mains = mains, mains + 1
+            names = ()  # what stands around a main element says nothing about it
+        else:
+            own = [f"<{tag}>"] if tag in NOISE_TAGS and not (tag in _OUTER_ONLY and (article >= 0 or main >= 0)) else []
+            if m[2] and tag not in ("html", "body"):
+                own += [w.lower() for found in _NAMED.finditer(m[2]) for w in (found[1] or found[2] or found[3] or "").split()]
+            if own:
+                names = tuple(dict.fromkeys([*names, *own]))[:40]
+        if tag in BLOCK:
+            role = tag
+        for g, (members, _, barriers) in enumerate(_GROUPS):
+            if tag in members:
+                groups[g].append(len(stack))
+            elif tag in barriers:
+                groups[g].append(-1)
+        muted[0] += tag in MUTE
+        stack.append((tag, link or tag == "a", names, article, main, role))
+        counts[tag] += 1
+        reread()
+    yield from flush()
 
 
-_INLINE = {"a", "abbr", "b", "big", "cite", "code", "em", "font", "i", "kbd", "mark", "q", "s", "small", "span", "strong", "sub", "sup", "time", "u", "var"}
+def main_element(items: list[Block | str]) -> tuple[str, int] | None:
+    """The page's own main element: the one article that holds most article words, else the one main."""
+    for kind in ("article", "main"):
+        words: Counter = Counter()
+        for x in items:
+            if isinstance(x, Block) and getattr(x, kind) >= 0:
+                words[getattr(x, kind)] += x.words
+        if words:
+            best, most = min(words.items(), key=lambda w: (-w[1], w[0]))
+            if most >= SHARE * sum(words.values()):
+                return kind, best
+    return None
 
 
-def _features(page: str) -> Iterator[tuple[str, str, str, bool, int, bool]]:
-    """(kind, value, feature, noise, words, in main)."""
-    role = ""
-    for kind, value, in_main, top, noise in parse(page):
-        if kind == "tag":
-            yield kind, value, f"tag {value}", noise, 0, in_main
-            continue
-        if top and top not in _INLINE:
-            role = top
-        yield kind, value, f"{'in' if in_main else 'out'} {role}", noise, len(value.split()), in_main
+def _shrunk(inside: int, outside: int, prior: float) -> float:
+    n = inside + outside
+    odds = max(-3.0, min(3.0, math.log((inside + 1) / (outside + 1))))
+    return (odds * n + prior * PRIOR_COUNT) / (n + PRIOR_COUNT)
+
+
+def _prior_of_name(name: str) -> float:
+    return PRIOR_NOISE if name[:1] == "<" or name in NOISE_NAMES else 0.0
+
+
+def is_noise(block: Block, weights: dict[str, float]) -> bool:
+    return any(weights.get(f"name {n}", _prior_of_name(n)) < NOISE_AT for n in block.names)
+
+
+def _counts(pages: DataFrame, html: str, features) -> dict[str, tuple[int, int, int]]:
+    """Per feature: amounts inside and outside of main elements, and pages that have it."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[str, list[int]] = {}
+        for batch in batches:
+            for page in batch.column(0).to_pylist():
+                items = list(parse(page or ""))
+                own = main_element(items)
+                if own is None:
+                    continue
+                here: dict[str, list[int]] = {}
+                for feature, inside, n in features(items, own):
+                    here.setdefault(feature, [0, 0])[0 if inside else 1] += n
+                for feature, (a, b) in here.items():
+                    total = seen.setdefault(feature, [0, 0, 0])
+                    total[0], total[1], total[2] = total[0] + a, total[1] + b, total[2] + 1
+        keys = list(seen)
+        yield pa.record_batch([pa.array(keys, pa.string()), *(pa.array([seen[k][i] for k in keys], pa.int64()) for i in range(3))], ["feature", "inside", "outside", "pages"])
+
+    counted = pages.select(html).mapInArrow(count, "feature string, inside long, outside long, pages long")
+    found = counted.groupBy("feature").agg(F.sum("inside").alias("i"), F.sum("outside").alias("o"), F.sum("pages").alias("p")).where("p >= 2")
+    return {r.feature: (r.i, r.o, r.p) for r in found.collect()}  # names of at most SAMPLE_PAGES pages
+
+
+def _name_features(items: list[Block | str], own: tuple[str, int]) -> Iterator[tuple[str, bool, int]]:
+    for x in items:
+        if isinstance(x, Block):
+            inside = getattr(x, own[0]) == own[1]
+            for n in x.names:
+                yield f"name {n}", inside, x.words
 
 
 def fit_weights(pages: DataFrame, html: str = "html", page_id: str = "page_id") -> dict[str, float]:
-    """Log-odds of standing in the main element, per word role and per tag."""
-    rows = pages.where(F.col(html).rlike("(?i)<(article|main)[ >]"))
+    """Weights of names, blocks and tags, counted in two passes over the sample (names first)."""
+    rows = pages.where(F.col(html).rlike("(?i)<(article|main)[\\s/>]"))
     n = rows.count()
     if not n:
         return {}
-    draw = F.pmod(F.xxhash64(F.col(page_id).cast("string"), F.lit("html")), F.lit(1 << 30)) / float(1 << 30)
+    draw = F.pmod(F.xxhash64(F.col(page_id).cast("string"), F.col(html), F.lit("html")), F.lit(1 << 30)) / float(1 << 30)
     small_batches(pages.sparkSession, 256)
+    sample = rows.where(draw < min(1.0, SAMPLE_PAGES / n))
+    names = _counts(sample, html, _name_features)
+    weights = {f: _shrunk(i, o, _prior_of_name(f[5:])) for f, (i, o, _) in names.items()}
+
+    def rest(items: list[Block | str], own: tuple[str, int]) -> Iterator[tuple[str, bool, int]]:
+        spans = [k for k, x in enumerate(items) if isinstance(x, Block) and getattr(x, own[0]) == own[1]]
+        for k, x in enumerate(items):
+            if isinstance(x, str):
+                yield f"tag {x}", bool(spans) and spans[0] < k < spans[-1], 1
+            elif not is_noise(x, weights):
+                yield f"block {x.feature}", getattr(x, own[0]) == own[1], x.words
+
+    for f, (i, o, _) in _counts(sample, html, rest).items():
+        kind, _, value = f.partition(" ")
+        weights[f] = _shrunk(i, o, _prior_of_block(value) if kind == "block" else 0.0)
+    return weights
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-        for batch in batches:
-            for page in batch.column(0).to_pylist():
-                for kind, _, feature, noise, words, in_main in _features(page or ""):
-                    if not noise:
-                        seen[(feature, in_main)] += words if kind == "text" else 1
-        keys = list(seen)
-        yield pa.record_batch([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.bool_()), pa.array([seen[k] for k in keys], pa.int64())], ["feature", "inside", "n"])
 
-    counted = rows.where(draw < min(1.0, SAMPLE_PAGES / n)).select(html).mapInArrow(count, "feature string, inside boolean, n long")
-    counts: dict[str, list[int]] = {}
-    # features are roles and tag names of the sample: a bounded vocabulary
-    for r in counted.groupBy("feature", "inside").agg(F.sum("n").alias("n")).collect():
-        counts.setdefault(r.feature, [0, 0])[r.inside] = r.n
-    return {f: math.log((inside + 1) / (outside + 1)) * (inside + outside) / (inside + outside + PRIOR_COUNT) for f, (outside, inside) in counts.items()}
+def _prior_of_block(feature: str) -> float:
+    role, length, links = feature.split("|")
+    if links == "links" and not role.startswith("h"):
+        return LINKED
+    return PRIOR_ROLE.get(role, PRIOR_LONG if length == "long" else PRIOR_SHORT)
 
 
-def _score(feature: str, weights: dict[str, float]) -> float:
-    where, _, role = feature.partition(" ")
-    if where == "tag":
-        return -TAG_COST - 0.01 * max(0.0, -weights.get(feature, 0.0))
-    prior = PRIOR_WORD.get(role, PRIOR_OTHER)
-    learned = weights.get(feature)
-    out = prior if learned is None else learned
-    return max(-1.0, min(1.0, out))
+def _block_score(block: Block, weights: dict[str, float]) -> float:
+    learned = weights.get(f"block {block.feature}")
+    return max(-1.0, min(1.0, _prior_of_block(block.feature) if learned is None else learned))
+
+
+def _tag_score(tag: str, weights: dict[str, float]) -> float:
+    return -min(TAG_MOST, TAG_LEAST + max(0.0, -weights.get(f"tag {tag}", 0.0)) / 3)
+
+
+def best_region(items: list[Block | str], weights: dict[str, float]) -> list[str]:
+    """Texts of the contiguous region with the greatest sum."""
+    best, best_sum, run, run_from = (0, 0), 0.0, 0.0, 0
+    for k, x in enumerate(items):
+        if isinstance(x, Block):
+            if is_noise(x, weights):  # never part of the result, so it neither ends nor extends a region
+                continue
+            run += _block_score(x, weights) * x.words
+        else:
+            run += _tag_score(x, weights)
+        if run <= 0.0:
+            run, run_from = 0.0, k + 1
+        elif run > best_sum:
+            best_sum, best = run, (run_from, k + 1)
+    return [x.text for x in items[best[0] : best[1]] if isinstance(x, Block) and not is_noise(x, weights)]
 
 
 def main_text(page: str | None, weights: dict[str, float]) -> str:
     if not page:
         return ""
-    items, best, best_sum, run, run_from = [], (0, 0), 0.0, 0.0, 0
-    scores: dict[str, float] = {}
-    for kind, value, feature, noise, words, _ in _features(page):
-        if noise:  # never part of the result, so it neither ends nor extends a region
-            items.append(("gap", ""))
-            continue
-        items.append((kind, value))
-        s = scores.get(feature)
-        if s is None:
-            s = scores[feature] = _score(feature, weights)
-        run += s if kind == "tag" else s * words
-        if run <= 0.0:
-            run, run_from = 0.0, len(items)
-        elif run > best_sum:
-            best_sum, best = run, (run_from, len(items))
-    blocks, parts = [], []
-    for kind, value in [*items[best[0] : best[1]], ("tag", "p")]:
-        if kind == "text":
-            parts.append(value)
-        elif kind == "tag" and value == "br":
-            parts.append(" ")
-        elif kind == "gap" or value in BLOCK:
-            text = " ".join(html_lib.unescape("".join(parts)).split())
-            if text:
-                blocks.append(text)
-            parts = []
-    return "\n".join(blocks)
+    items = list(parse(page))
+    own = main_element(items)
+    texts: list[str] = []
+    if own:
+        inside = [k for k, x in enumerate(items) if isinstance(x, Block) and getattr(x, own[0]) == own[1]]
+        texts = best_region([x for x in items[inside[0] : inside[-1] + 1] if isinstance(x, str) or getattr(x, own[0]) == own[1]], weights)
+    return "\n".join(texts or best_region(items, weights))
 
 
 def extract(pages: DataFrame, weights: dict[str, float], html: str = "html") -> DataFrame:
