@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lociflow.llm import decontam, jaccard, langid, mixing, sharding
-from lociflow.llm.common import id_bucket, materialize
+from lociflow.llm.common import id_bucket, materialize, without_rows
 
 #: Near duplicates: five-word shingles, Jaccard of 0.8 or more.
 SHINGLE_WORDS, SIMILARITY_PERCENT = 5, 80
@@ -31,30 +31,30 @@ def _with_row_key(docs: DataFrame) -> DataFrame:
     Rows that share it have equal ids and texts (two others share one with a chance of about
     n^2 / 2^65), so every decision about a row holds for its repeats.
     """
-    return docs.withColumn("__row", F.xxhash64("doc_id", "text"))
+    return docs.withColumn("__row", F.xxhash64(F.col("doc_id").cast("long"), "text"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each component (null ids last).
 
-    Rows that repeat one id and text keep one row; wordless texts without an id stay.
+    Rows that repeat one id and text keep one row; wordless texts without an id stay.  Only rows
+    that go, or that occur more than once, are looked up; the others are not moved.
     """
-    keyed = _with_row_key(docs)
-    found = jaccard.jaccard_components(keyed, SHINGLE_WORDS, SIMILARITY_PERCENT, doc_id="__row")
-    ids = keyed.select("__row", "doc_id").distinct()
-    ranked = found.select(F.col("doc_id").alias("__row"), "component_id").distinct().join(ids, "__row")
-    first = ranked.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row")).alias("m")).select("m.__row")
-    wordless = ~F.coalesce("text", F.lit("")).rlike("[^\\x09-\\x0D\\x20]")
-    kept = keyed.join(first, "__row", "left_semi").withColumn("__alone", F.when(F.col("doc_id").isNull() & wordless, F.monotonically_increasing_id()))
-    return kept.dropDuplicates(["__row", "__alone"]).select(docs.columns)
+    found = jaccard.jaccard_components(docs, SHINGLE_WORDS, SIMILARITY_PERCENT, links=False)
+    found = materialize(found.select("row", "doc_id", "component", "n_shingles"), "found")
+    nameless = F.col("doc_id").isNull()
+    first = found.groupBy("component").agg(F.min(F.struct(nameless.alias("nameless"), "doc_id", "row")).alias("m"), F.count("*").alias("n")).where("n > 1").select("component", F.col("m.row").alias("first"))
+    rows = found.join(first, "component").groupBy("row").agg(F.max(F.when(nameless & (F.col("n_shingles") == 0), 1).otherwise(0)).alias("free"), F.min("first").alias("first"))
+    known = rows.select(F.col("row").alias("__row"), F.when(F.col("free") == 0, F.col("row") == F.col("first")).alias("stays"))
+    return without_rows(_with_row_key(docs), materialize(known, "known"), "__row").select(docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark window."""
+    """Documents without a benchmark window; all rows of a hit id and text go, and only those."""
     keyed = _with_row_key(docs)
-    hits = decontam.contamination(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), doc_id="__row")
+    hits = decontam.contamination(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), doc_id="__row", slop=0)
     bad = hits.where(F.size("exact_items") > 0).select(F.col("doc_id").alias("__row")).distinct()
-    return keyed.join(bad, "__row", "left_anti").select(docs.columns)
+    return without_rows(keyed, materialize(bad.withColumn("stays", F.lit(False)), "bad"), "__row").select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
