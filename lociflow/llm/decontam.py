@@ -90,7 +90,7 @@ def build_index(docs: DataFrame, terms: DataFrame, text: str = "text", doc_id: s
             order = np.argsort(term, kind="stable")  # documents and positions ascend already
             term, doc, pos = term[order], doc[order].astype("<i4"), pos[order].astype("<i4")
             cut = np.flatnonzero(np.append(True, term[1:] != term[:-1])) if len(term) else np.zeros(0, np.int64)
-            ends = np.append(cut[1:], len(term))
+            ends = np.append(cut[1:], len(term)) if len(cut) else cut
             new_doc = np.append(1, (doc[1:] != doc[:-1]) | (term[1:] != term[:-1])) if len(term) else np.zeros(0, np.int64)
             n_docs = np.add.reduceat(new_doc, cut) if len(cut) else np.zeros(0, np.int64)
             nulls = np.array([i is None for i in ids], np.uint8)
