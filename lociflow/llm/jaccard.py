@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lociflow.llm.common import bitmap_of, discard, in_bitmap, key_bit, materialize, small_batches
+from lociflow.llm.common import bitmap_of, discard, in_bitmap, key_bit, materialize, small_batches, without_rows
 from lociflow.llm.graph import components
 
 BUCKETS, RANGES = 1 << 22, 64
@@ -76,7 +76,7 @@ class Shingler:
         found = text.encode("utf-8", "surrogatepass").translate(_LOWER).split() if text else []
         if not found:
             return np.zeros(0, np.uint64)
-        if len(self.cache) > 200_000:
+        if len(self.cache) > 100_000:
             self.cache.clear()
         hashes = np.fromiter(map(self.cache.__getitem__, found), np.uint64, len(found))
         n = min(self.words, len(hashes))
@@ -307,10 +307,10 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """
     streams = pairs.groupBy("a").agg(F.ceil(F.count("*") / STREAM).cast("int").alias("streams"))
     salted = pairs.join(streams, "a").select("a", F.pmod(F.xxhash64("b"), F.col("streams")).cast("int").alias("salt"), "b")
-    right = salted.join(sets, salted["b"] == sets["id"]).select("a", "salt", "b", "shingles")
-    heads = streams.select("a", F.explode(F.sequence(F.lit(0), F.col("streams") - 1)).alias("salt"))
-    left = heads.join(sets, heads["a"] == sets["id"]).select("a", "salt", F.lit(None).cast("long").alias("b"), "shingles")
-    dealt = left.unionByName(right).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
+    heads = streams.select("a", F.explode(F.sequence(F.lit(0), F.col("streams") - 1)).alias("salt"), F.lit(None).cast("long").alias("b"))
+    # partners and candidates meet their sets in one join, so that a set moves twice at most
+    asked = heads.unionByName(salted).withColumn("id", F.coalesce("b", "a"))
+    dealt = asked.join(sets, "id").select("a", "salt", "b", "shingles").repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head, own = None, np.zeros(0, np.uint64)
@@ -457,7 +457,9 @@ def class_links(docs: DataFrame, members: DataFrame, words: int, percent: int) -
     rows = materialize(rows.join(groups, "token").select("token", "id", "n", "pos", F.col("p.id").alias("p_id"), F.col("p.n").alias("p_n"), F.col("p.pos").alias("p_pos")), "prefixes")
     # first: one partner for each row
     star = rows.select("id", F.col("n").alias("x_n"), F.col("pos").alias("x_pos"), "p_id", F.col("p_n").alias("y_n"), F.col("p_pos").alias("y_pos")).where("id <> p_id")
-    tried = materialize(star.where(_close("x_", "y_", percent)).groupBy(F.col("id").alias("b")).agg(F.min("p_id").alias("a")).select("a", "b"), "pairs")
+    tried = star.where(_close("x_", "y_", percent)).groupBy(F.col("id").alias("b")).agg(F.min("p_id").alias("a")).select("a", "b")
+    profile = lambda side, name: members.select(F.col("row").alias(side), F.col("n").alias(f"{name}_n"), F.col("sketch").alias(f"{name}_sketch"))
+    tried = materialize(tried.join(profile("a", "x"), "a").join(profile("b", "y"), "b").where(_alike("x_", "y_", percent)).select("a", "b"), "pairs")
     links = materialize(verify(tried, sets_of(docs, tried, words), percent), "links")
     comp = components(links)
     # then: rows of one shingle that are in different components still
@@ -515,8 +517,10 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, text:
     signed = materialize(signatures(docs, shingle_counts(docs, words), words, percent), "signatures")
     alike = signed.where("n > 0").groupBy("key").agg(F.min("row").alias("rep"), F.min("doc_id").alias("least"), F.max("n").alias("n"), F.count("*").alias("class_size"))
     classes = materialize(alike, "classes")
-    members = signed.select("row", "n", "key", "prefix", "sketch").join(classes.select(F.col("rep").alias("row"), "key"), ["row", "key"], "left_semi").dropDuplicates(["row", "key"])
-    members = materialize(members, "members")
+    # rows of classes of their own stay where they are; only the others meet their class
+    several = materialize(signed.select("row", "key").distinct().join(classes.where("class_size > 1").select("key", "rep"), "key").select("row", (F.col("row") == F.col("rep")).alias("stays")), "several")
+    members = materialize(without_rows(signed.where("n > 0").select("row", "n", "prefix", "sketch"), several, "row"), "members")
+    discard(several)
     # prefixes are kept once, and no longer than they are read
     sizes = materialize(signed.select("row", "doc_id", "n", "key"), "sizes")
     discard(signed)
