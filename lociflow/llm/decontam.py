@@ -1,21 +1,23 @@
 """Benchmark decontamination over a positional inverted index (operator 10).
 
 The index is built once over the whole corpus and stored as a table in the shared folder.  It is
-cut into segments, as many as tasks fill with ``SEGMENT_POSTINGS`` postings: a segment has a row
-for its documents and, keyed by term, one posting list per term (documents and ascending word
-positions).  Terms that the benchmark does not have are left out by a bitmap of fixed size, so
-one pass over the documents serves a benchmark of any length.
+cut into segments, as many as tasks fill with ``SEGMENT_POSTINGS`` postings.  A segment is one
+row: its documents, a sorted term dictionary, and per term a posting list (documents and
+ascending word positions), so a query reads it where it lies, without a shuffle.  Terms that the
+benchmark does not have are left out by a bitmap of fixed size, so one pass over the documents
+serves a benchmark of any length.
 
 A query is a window of an item: ``window`` consecutive words, or the whole item when it is
-shorter.  Document frequencies are summed from the stored lists; every window takes its terms
-from the rarest to the most frequent, and goes only to the segments that have its rarest term.
-There the postings of the rarest term, less its offset, are the candidate starts; each further
-list, offset-adjusted, is intersected with them until none is left or all terms agree.  What
+shorter.  Document frequencies are summed from the stored dictionaries; every window takes its
+terms from the rarest to the most frequent.  In a segment that has all of them, the postings of
+the rarest term, less its offset, are the candidate starts; each further list,
+offset-adjusted, is intersected with them until none is left or all terms agree.  What
 remains are exact phrase matches.  Starts without one are tried again with a tolerance of
 ``slop`` words per term around the expected place: proximity matches.
 
-Terms are 64-bit hashes of words (a false match needs ten chosen words to collide).  Windows
-meet segments in a shuffle, in groups of at most about ``WINDOW_GROUP`` windows, so neither side is broadcast.
+Terms are 64-bit hashes of words (a false match needs ten chosen words to collide).  Windows are
+sent to the tasks in blocks of ``WINDOW_BLOCK`` (some 15 MB), and every block reads the index once,
+not the documents.
 
 Edge cases: null texts have no words; an item without words has no window and is never hit;
 empty tables give documents without hits; every row of the corpus gives one row, whatever ids
@@ -28,6 +30,7 @@ from __future__ import annotations
 import hashlib
 import os
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,15 +41,18 @@ from pyspark.sql import functions as F
 from lociflow.llm.common import WANTED_BITS, bitmap_of, in_bitmap, materialize, small_batches
 
 WINDOW, SLOP = 10, 2
-#: Postings of a segment (16 MB), documents of a segment, windows that one task takes beside it.
-SEGMENT_POSTINGS, SEGMENT_DOCS, WINDOW_GROUP = 1_000_000, 50_000, 50_000
+#: Postings of a segment (8 MB), documents of a segment, windows of a block.
+SEGMENT_POSTINGS, SEGMENT_DOCS, WINDOW_BLOCK = 1_000_000, 50_000, 100_000
 #: Bytes that are not part of a word become spaces, A-Z become a-z.
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
-#: kind 0: the documents of a segment (a: ids, b: word counts, c: null flags); kind 1: a posting list (a: documents, b: positions).
-INDEX_SCHEMA = "segment long, kind int, term long, n_docs long, a binary, b binary, c binary"
+#: One row per segment: packed ids, null flags and word counts of its documents; terms, their document counts, ends of their lists; the lists.
+INDEX_SCHEMA = "segment long, ids binary, nulls binary, sizes binary, terms binary, n_docs binary, ends binary, docs binary, places binary"
 _HITS = "doc_id long, n_words long, spans array<long>, exact_items array<string>, near_items array<string>"
 
 
+_COLUMNS = [c.split()[0] for c in INDEX_SCHEMA.split(", ")]
+
+
 class _Terms(dict):
     """Signed 64-bit hash of each word, remembered."""
 
@@ -93,20 +99,10 @@ def build_index(docs: DataFrame, terms: DataFrame, text: str = "text", doc_id: s
             ends = np.append(cut[1:], len(term)) if len(cut) else cut
             new_doc = np.append(1, (doc[1:] != doc[:-1]) | (term[1:] != term[:-1])) if len(term) else np.zeros(0, np.int64)
             n_docs = np.add.reduceat(new_doc, cut) if len(cut) else np.zeros(0, np.int64)
-            nulls = np.array([i is None for i in ids], np.uint8)
-            n = len(cut)
-            columns = [
-                pa.array(np.full(n + 1, number), pa.int64()),
-                pa.array([0] + [1] * n, pa.int32()),
-                pa.array([None, *term[cut].tolist()], pa.int64()),
-                pa.array([len(ids), *n_docs.tolist()], pa.int64()),
-                pa.array([np.array([i or 0 for i in ids], "<i8").tobytes(), *(doc[x:y].tobytes() for x, y in zip(cut, ends, strict=True))], pa.binary()),
-                pa.array([np.array(sizes, "<i4").tobytes(), *(pos[x:y].tobytes() for x, y in zip(cut, ends, strict=True))], pa.binary()),
-                pa.array([nulls.tobytes(), *[None] * n], pa.binary()),
-            ]
+            packed = [np.array([i or 0 for i in ids], "<i8"), np.array([i is None for i in ids], np.uint8), np.array(sizes, "<i4"), term[cut], n_docs.astype("<i4"), ends.astype("<i8"), doc, pos]
             for k in (ids, sizes, lists):
                 k.clear()
-            yield pa.record_batch(columns, ["segment", "kind", "term", "n_docs", "a", "b", "c"])
+            yield pa.record_batch([pa.array([number], pa.int64()), *(pa.array([x.tobytes()], pa.binary()) for x in packed)], _COLUMNS)
 
         for batch in batches:
             for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -146,12 +142,22 @@ def windows_of(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     return rows.mapInArrow(cut, "id binary, item string, terms array<long>").dropDuplicates(["id"])
 
 
+def term_frequencies(index: DataFrame) -> DataFrame:
+    """(term, n): documents per term, summed from the dictionaries of all segments."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for terms, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                yield pa.record_batch([pa.array(np.frombuffer(terms, "<i8")), pa.array(np.frombuffer(n, "<i4").astype(np.int64))], ["term", "n"])
+
+    return index.select("terms", "n_docs").mapInArrow(read, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+
+
 def rare_first(windows: DataFrame, index: DataFrame) -> DataFrame:
-    """(id, item, order): the terms of each window with their offsets, from the rarest on; windows with a term that no document has go."""
-    frequency = index.where("kind = 1").groupBy("term").agg(F.sum("n_docs").alias("n"))
-    each = windows.select("id", "item", F.size("terms").alias("size"), F.posexplode("terms").alias("offset", "term")).join(frequency, "term")
-    order = each.groupBy("id", "item", "size").agg(F.array_sort(F.collect_list(F.struct("n", "term", "offset"))).alias("order"))
-    return order.where("size(order) = size").select("id", "item", "order")
+    """(id, item, terms, offsets): the terms of each window from the rarest on; windows with a term that no document has go."""
+    each = windows.select("id", "item", F.size("terms").alias("size"), F.posexplode("terms").alias("offset", "term")).join(term_frequencies(index), "term")
+    order = each.groupBy("id", "item", "size").agg(F.array_sort(F.collect_list(F.struct("n", "term", "offset"))).alias("order")).where("size(order) = size")
+    return order.select("id", "item", F.transform("order", lambda x: x["term"]).alias("terms"), F.transform("order", lambda x: x["offset"]).alias("offsets"))
 
 
 def _has(sorted_values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -166,72 +172,91 @@ def _near(sorted_values: np.ndarray, wanted: np.ndarray, slop: int) -> np.ndarra
     return inside & (sorted_values[np.minimum(at, len(sorted_values) - 1)] <= wanted + slop)
 
 
+class _Segment:
+    """Posting lists of a stored segment, as sorted (document, position) keys made when they are asked for."""
+
+    def __init__(self, terms: bytes, ends: bytes, docs: bytes, places: bytes):
+        self.terms, self.ends = np.frombuffer(terms, "<i8"), np.frombuffer(ends, "<i8")
+        self.docs, self.places, self.made = np.frombuffer(docs, "<i4"), np.frombuffer(places, "<i4"), {}
+
+    def find(self, terms: np.ndarray) -> np.ndarray:
+        """Numbers of terms in the dictionary; -1 where it lacks one."""
+        at = np.searchsorted(self.terms, terms)
+        at[at == len(self.terms)] = 0
+        return np.where(self.terms[at] == terms, at, -1) if len(self.terms) else np.full(terms.shape, -1)
+
+    def keys(self, k: int) -> np.ndarray:
+        if k not in self.made:
+            part = slice(int(self.ends[k - 1]) if k else 0, int(self.ends[k]))
+            self.made[k] = (self.docs[part].astype(np.int64) << 32) | self.places[part]
+        return self.made[k]
+
+
+def _block_hits(index: DataFrame, block: list, slop: int) -> DataFrame:
+    """Hits of one block of windows in every document of every segment, with segment and place."""
+    size = max((len(r.terms) for r in block), default=1)
+    terms, offsets = np.zeros((len(block), size), np.int64), np.zeros((len(block), size), np.int32)
+    sizes = np.array([len(r.terms) for r in block], np.int32)
+    for k, r in enumerate(block):
+        terms[k, : len(r.terms)], offsets[k, : len(r.terms)] = r.terms, r.offsets
+    shared = index.sparkSession.sparkContext.broadcast((terms, offsets, sizes, [r.item for r in block]))
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms, offsets, sizes, items = shared.value
+        inside = np.arange(terms.shape[1])[None, :] < sizes[:, None]
+        for batch in batches:
+            for number, ids, nulls, words, *lists in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                ids, nulls, words = np.frombuffer(ids, "<i8"), np.frombuffer(nulls, np.uint8), np.frombuffer(words, "<i4")
+                segment = _Segment(*lists)
+                numbers = segment.find(terms)
+                spans: dict[int, set] = {}
+                exact: dict[int, set] = {}
+                near: dict[int, set] = {}
+                for k in np.flatnonzero(((numbers >= 0) | ~inside).all(axis=1)).tolist():
+                    n = int(sizes[k])
+                    rarest, first = segment.keys(numbers[k, 0]), int(offsets[k, 0])
+                    rest = list(zip(numbers[k, 1:n].tolist(), offsets[k, 1:n].tolist(), strict=True))
+                    starts = (rarest[(rarest & 0xFFFFFFFF) >= first] if first else rarest) - first
+                    starts = starts[(starts & 0xFFFFFFFF) + n <= words[starts >> 32]]
+                    for t, offset in rest:
+                        if not len(starts):
+                            break
+                        starts = starts[_has(segment.keys(t), starts + offset)]
+                    for s in starts.tolist():
+                        spans.setdefault(s >> 32, set()).add((s & 0xFFFFFFFF, n))
+                        exact.setdefault(s >> 32, set()).add(items[k])
+                    if slop:
+                        around = rarest - first
+                        for t, offset in rest:
+                            if not len(around):
+                                break
+                            around = around[_near(segment.keys(t), around + offset, slop)]
+                        for d in np.unique((around + first) >> 32).tolist():
+                            near.setdefault(d, set()).add(items[k])
+                n = len(ids)
+                columns = [
+                    pa.array(ids, pa.int64(), mask=nulls.astype(bool)),
+                    pa.array(words.astype(np.int64)),
+                    pa.array([[x for s in sorted(spans.get(k, ())) for x in s] for k in range(n)], pa.list_(pa.int64())),
+                    pa.array([sorted(exact.get(k, ())) for k in range(n)], pa.list_(pa.string())),
+                    pa.array([sorted(near.get(k, set()) - exact.get(k, set())) for k in range(n)], pa.list_(pa.string())),
+                    pa.array([number] * n, pa.int64()),
+                    pa.array(np.arange(n), pa.int64()),
+                ]
+                yield pa.record_batch(columns, ["doc_id", "n_words", "spans", "exact_items", "near_items", "segment", "place"])
+
+    return index.select("segment", "ids", "nulls", "sizes", "terms", "ends", "docs", "places").mapInArrow(search, _HITS + ", segment long, place long")
+
+
 def search(index: DataFrame, ordered: DataFrame, slop: int = SLOP) -> DataFrame:
-    """One row per indexed document and group of windows: doc_id, n_words, spans (start, length pairs), exact_items, near_items."""
-    n = ordered.count()
-    parts = max(1, -(-n // WINDOW_GROUP))
-    rarest = ordered.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")).withColumn("term", F.col("order")[0]["term"])
-    meets = rarest.join(index.where("kind = 1").select("segment", "term"), "term")
-    asked = meets.select("segment", "part", "item", F.transform("order", lambda x: x["term"]).alias("terms"), F.transform("order", lambda x: x["offset"]).alias("offsets"))
-    # lists that a window of the segment asks for; and the documents of every segment
-    needed = asked.select("segment", "part", F.explode("terms").alias("term")).distinct()
-    lists = index.where("kind = 1").join(needed, ["segment", "term"]).select("segment", "part", "kind", "term", "a", "b", "c")
-    papers = index.where("kind = 0").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).select("segment", "part", "kind", "term", "a", "b", "c")
-
-    def find(left: pa.Table, right: pa.Table) -> pa.Table:
-        kinds = left.column("kind").to_numpy()
-        paper = left.slice(int(np.flatnonzero(kinds == 0)[0]), 1)
-        ids, sizes, nulls = (np.frombuffer(paper.column(c)[0].as_py(), k) for c, k in (("a", "<i8"), ("b", "<i4"), ("c", np.uint8)))
-        lists: dict[int, np.ndarray] = {}
-        blobs = left.filter(pa.array(kinds == 1))
-        for term, doc, pos in zip(*(blobs.column(c).to_pylist() for c in ("term", "a", "b")), strict=True):
-            lists[term] = (np.frombuffer(doc, "<i4").astype(np.int64) << 32) | np.frombuffer(pos, "<i4")
-        spans: dict[int, set] = {}
-        exact: dict[int, set] = {}
-        near: dict[int, set] = {}
-        for item, terms, offsets in zip(*(right.column(c).to_pylist() for c in ("item", "terms", "offsets")), strict=True):
-            if not all(t in lists for t in terms):
-                continue
-            size = len(terms)
-            first = lists[terms[0]]
-            first = first[(first & 0xFFFFFFFF) >= offsets[0]] if offsets[0] else first
-            starts = first - offsets[0]
-            found = starts[(starts & 0xFFFFFFFF) + size <= sizes[starts >> 32]]
-            for t, offset in zip(terms[1:], offsets[1:], strict=True):
-                if not len(found):
-                    break
-                found = found[_has(lists[t], found + offset)]
-            for s in found.tolist():
-                spans.setdefault(s >> 32, set()).add((s & 0xFFFFFFFF, size))
-                exact.setdefault(s >> 32, set()).add(item)
-            if slop:
-                rest = lists[terms[0]] - offsets[0]
-                for t, offset in zip(terms[1:], offsets[1:], strict=True):
-                    if not len(rest):
-                        break
-                    rest = rest[_near(lists[t], rest + offset, slop)]
-                for d in np.unique((rest + offsets[0]) >> 32).tolist():
-                    near.setdefault(d, set()).add(item)
-        n = len(ids)
-        columns = [
-            pa.array(ids, pa.int64(), mask=nulls.astype(bool)),
-            pa.array(sizes.astype(np.int64)),
-            pa.array([[x for s in sorted(spans.get(k, ())) for x in s] for k in range(n)], pa.list_(pa.int64())),
-            pa.array([sorted(exact.get(k, ())) for k in range(n)], pa.list_(pa.string())),
-            pa.array([sorted(near.get(k, set()) - exact.get(k, set())) for k in range(n)], pa.list_(pa.string())),
-        ]
-        names = ["doc_id", "n_words", "spans", "exact_items", "near_items"]
-        if parts > 1:  # the place in the segment tells repeated rows apart
-            columns += [pa.array([paper.column("segment")[0].as_py()] * n, pa.int64()), pa.array(np.arange(n), pa.int64())]
-            names += ["segment", "place"]
-        return pa.table(dict(zip(names, columns, strict=True)))
-
-    left = lists.unionByName(papers).groupBy("segment", "part")
-    right = asked.select(F.col("segment").alias("to_segment"), F.col("part").alias("to_part"), "item", "terms", "offsets").groupBy("to_segment", "to_part")
-    found = left.cogroup(right).applyInArrow(find, _HITS + (", segment long, place long" if parts > 1 else ""))
-    if parts == 1:
-        return found
-    merged = found.groupBy("segment", "place").agg(
+    """One row per indexed document: doc_id, n_words, spans (start, length pairs), exact_items, near_items."""
+    blocks = max(1, -(-ordered.count() // WINDOW_BLOCK))
+    block_of = F.pmod(F.xxhash64("id"), F.lit(blocks))
+    found = [_block_hits(index, ordered.where(block_of == k).select("item", "terms", "offsets").collect(), slop) for k in range(blocks)]
+    if blocks == 1:
+        return found[0].drop("segment", "place")
+    # the place in the segment tells repeated rows apart
+    merged = reduce(lambda a, b: a.unionByName(b), found).groupBy("segment", "place").agg(
         F.max("doc_id").alias("doc_id"),
         F.max("n_words").alias("n_words"),
         F.flatten(F.collect_list("spans")).alias("spans"),

@@ -377,9 +377,9 @@ def test_decontamination(spark, monkeypatch):
     frame = spark.createDataFrame([(i, t, "x") for i, t in texts], "doc_id long, text string, segment string")
     benchmark = spark.createDataFrame(bench, "item_id string, text string")
     want = brute_decontamination(texts, bench)
-    for postings, group in ((decontam.SEGMENT_POSTINGS, decontam.WINDOW_GROUP), (4, 2)):  # one segment and group, and several
+    for postings, group in ((decontam.SEGMENT_POSTINGS, decontam.WINDOW_BLOCK), (4, 2)):  # one segment and group, and several
         monkeypatch.setattr(decontam, "SEGMENT_POSTINGS", postings)
-        monkeypatch.setattr(decontam, "WINDOW_GROUP", group)
+        monkeypatch.setattr(decontam, "WINDOW_BLOCK", group)
         got = decontam.contamination_digest(decontam.contamination(frame, benchmark)).collect()
         assert sorted([(r.doc_id, r.n_words, r.n_hit, r.n_items, r.items_sha256) for r in got], key=str) == want
         assert {r.doc_id for r in got if r.n_near} == {5} and all(r.contaminated == (r.n_hit > 0) for r in got)
