@@ -43,8 +43,7 @@ def components(variant: Column) -> Column:
     """struct(nm, nm_version, c, p, rs); absent parts are null."""
     v = F.coalesce(variant, F.lit(""))
     part = lambda p, g=1: F.nullif(F.regexp_extract(v, p, g), F.lit(""))
-    c = part(r"(?i)\b(c\.(?:-?\d+)(?:[+-]\s*\d+)?(?:_\d+(?:[+-]\s*\d+)?)?(?:delins[ACGT]+|del|dup|ins[ACGT]+|[ACGT]\s*>\s*[ACGT]|[ACGT]+|[*=?]))")
-    p = part(r"(?i)\b(p\.\(?[A-Za-z0-9_*?=]+\)?)")
+    c, p = part(rf"(?i)\b({P.C_NAME})"), part(rf"(?i)\b({P.P_NAME})")
     return F.struct(
         F.upper(part(r"(?i)\b(NM_\d+)(?:\.(\d+))?")).alias("nm"),
         part(r"(?i)\b(NM_\d+)\.(\d+)", 2).cast("int").alias("nm_version"),
@@ -62,7 +61,7 @@ def level(parts: Column) -> Column:
 def lookup_keys(parts: Column, gene: Column) -> Column:
     """array of struct(step, key) for the reference ladder: rs, NM+c, gene+c, gene+p."""
     g = F.upper(F.trim(gene))
-    rows = [(1, parts["rs"]), (2, F.concat(parts["nm"], F.lit("|"), parts["c"])), (3, F.concat(g, F.lit("|"), parts["c"])), (4, F.concat(g, F.lit("|"), protein_key(parts["p"])))]
+    rows = [(1, parts["rs"]), (2, F.concat(parts["nm"], F.lit("|"), parts["c"])), (3, F.concat(g, F.lit("|"), parts["c"])), (4, F.when(parts["p"].isNotNull(), F.concat(g, F.lit("|"), protein_key(parts["p"]))))]
     return F.filter(F.array(*[F.struct(F.lit(s).alias("step"), k.alias("key")) for s, k in rows]), lambda x: x["key"].isNotNull())
 
 
@@ -86,16 +85,15 @@ def norm_pos(value: Column) -> Column:
 
 
 def assembly(text: Column) -> Column:
-    found = F.lower(F.regexp_extract(F.coalesce(text, F.lit("")), r"(?i)\b(GRCh3[78]|hg19|hg38)\b", 1))
+    found = F.lower(F.regexp_extract(F.coalesce(text, F.lit("")), P.ASSEMBLY, 1))
     return F.when(found.isin("grch38", "hg38"), "GRCh38").when(found.isin("grch37", "hg19"), "GRCh37")
 
 
 def literal_locus(text: Column) -> Column:
     """struct(chrom, pos, ref, alt, status) from 'chr1:1,234 A>G' or an NC_ g. name; 'partial' without alleles."""
     t = F.coalesce(text, F.lit(""))
-    change = r"(?i)\b(?:chr)?([0-9]{1,2}|[XYM])\s*[:\-]\s*([\d,]+)\s*([ACGT])\s*(?:>|/|→)\s*([ACGT])\b"
+    change, bare = P.CHR_CHANGE, P.CHR_POS
     named = r"(?i)\b(NC_\d+(?:\.\d+)?):g\.(\d+)([ACGT])\s*>\s*([ACGT])\b"
-    bare = r"(?i)\b(?:chr)?([0-9]{1,2}|[XYM])\s*[:\-]\s*([\d,]{4,})\b"
     pick = lambda p, ok: F.when(t.rlike(p), F.struct(norm_chrom(F.regexp_extract(t, p, 1)).alias("chrom"), norm_pos(F.regexp_extract(t, p, 2)).alias("pos"), (F.upper(F.regexp_extract(t, p, 3)) if ok else F.lit(None).cast("string")).alias("ref"), (F.upper(F.regexp_extract(t, p, 4)) if ok else F.lit(None).cast("string")).alias("alt"), F.lit("ok" if ok else "partial").alias("status")))
     return F.coalesce(pick(named, True), pick(change, True), pick(bare, False))
 
@@ -106,16 +104,42 @@ def geometry(ref: Column, alt: Column) -> Column:
     return F.when((n == 1) & (m == 1), "snv").when(n == m, "mnv").when(alt == F.concat(ref, ref), "dup_tandem").when((m < n) & F.startswith(ref, alt), "del_vcf").when((n < m) & F.startswith(alt, ref), "ins_vcf").otherwise("delins")
 
 
-def coordinate_status(chrom: Column, pos: Column, ref: Column, alt: Column, reference_base: Column) -> Column:
-    """PASS, PASS_WARN, SKIP_EMPTY or FAIL_* after the reference bases were joined."""
-    empty = F.coalesce(chrom, F.lit("")).eqNullSafe("") & pos.isNull()
+def geometry_warning(ref: Column, alt: Column) -> Column:
+    """Why an unequal pair is no clean prefix form; null where it is one (HGV-25)."""
+    n = F.least(F.length(ref), F.length(alt))
+    shared = F.size(F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda k: (k <= n) & (F.substring(ref, F.lit(1), k) == F.substring(alt, F.lit(1), k))))
+    reason = F.when(shared == 0, F.lit("delins_no_shared_prefix")).when(shared > 1, F.concat(F.lit("delins_shared_prefix="), shared.cast("string"), F.lit("_not_strict_vcf_left_align"))).otherwise("delins_unequal_non_prefix")
+    return F.when(geometry(ref, alt) == "delins", reason)
+
+
+def coordinate_check(chrom: Column, pos: Column, ref: Column, alt: Column, contig_length: Column, reference: Column) -> Column:
+    """struct(status, checks): PASS, PASS_WARN, SKIP_EMPTY, FAIL_SYNTAX, FAIL_COORD, FAIL_FETCH or FAIL_REF (HGV-26).
+
+    ``pos`` is the exported text; ``reference`` holds the joined bases of the reference allele's span.
+    """
+    c, p, r, a = (F.trim(F.coalesce(x.cast("string"), F.lit(""))) for x in (chrom, pos, ref, alt))
+    r, a, n = F.upper(r), F.upper(a), F.when(p.rlike(r"^[+-]?[0-9]{1,18}$"), p).try_cast("long")
+    said = lambda status, checks: F.struct(F.lit(status).alias("status"), (F.lit(checks) if isinstance(checks, str) else checks).alias("checks"))
+    warning = geometry_warning(r, a)
+    passed = F.concat_ws(",", geometry(r, a), warning, F.lit("fasta_ref_match"))
     return (
-        F.when(empty, "SKIP_EMPTY")
-        .when(norm_chrom(chrom).isNull(), "FAIL_CHROM")
-        .when(pos.isNull() | (pos < 1), "FAIL_POS")
-        .when(~F.coalesce(ref, F.lit("")).rlike("^[ACGTN]+$") | ~F.coalesce(alt, F.lit("")).rlike("^[ACGTN]+$"), "FAIL_ALPHABET")
-        .when(ref == alt, "FAIL_REF_EQ_ALT")
-        .when(reference_base.isNull() | (reference_base != ref), "FAIL_REF_MISMATCH")
-        .when(geometry(ref, alt) == "delins", "PASS_WARN")
-        .otherwise("PASS")
+        F.when((c == "") | (p == "") | (r == ""), said("SKIP_EMPTY", "missing_chrom_or_pos_or_ref"))
+        .when(n.isNull(), said("FAIL_SYNTAX", "position_not_integer"))
+        .when(n < 1, said("FAIL_COORD", "position_lt_1"))
+        .when(~r.rlike("^[ACGTN]+$"), said("FAIL_SYNTAX", "ref_non_acgtn"))
+        .when(a == "", said("FAIL_SYNTAX", "alt_empty"))
+        .when(~a.rlike("^[ACGTN]+$"), said("FAIL_SYNTAX", "alt_non_acgtn"))
+        .when(r == a, said("FAIL_SYNTAX", "ref_equals_alt"))
+        .when(contig_length.isNull(), said("FAIL_COORD", "chrom_not_in_fasta"))
+        .when(n + F.length(r) - 1 > contig_length, said("FAIL_COORD", "ref_span_past_contig_end"))
+        .when(reference.isNull(), said("FAIL_FETCH", "no_bases"))
+        .when(F.upper(reference) != r, said("FAIL_REF", "fasta_ref_mismatch"))
+        .when(warning.isNotNull(), said("PASS_WARN", passed))
+        .otherwise(said("PASS", passed))
     )
+
+
+def with_positions(bases: Column, start: Column) -> Column:
+    """'A[101]C[102]...' (HGV-27)."""
+    each = F.transform(F.filter(F.split(F.coalesce(bases, F.lit("")), ""), lambda b: b != ""), lambda b, i: F.concat(b, F.lit("["), (start + i).cast("string"), F.lit("]")))
+    return F.array_join(each, "")

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from lociflow.functions import patterns as P
 
 SENTENCE_SPLIT = r"(?<=[.!?])\s+(?=[A-Z0-9\"'(\[])"
-NEGATIVE_SENTENCE_SPLIT = r"(?<=[.!?])\s+(?=[A-Z0-9(])"
 LOCAL_RADIUS = 180
 #: Runs of white space as Python's ``\s`` has it (Java's ``\s`` is ASCII only); the same in RE2.
 WHITE = r"[\s\x0B\x1C-\x1F\x{85}\pZ]+"
@@ -83,20 +82,62 @@ def with_discovery(df, text: str = "text", variant: str = "variant"):
     return df.withColumn("keep_as_new_discovery", F.col("discovery_label").isin("novel", "phenotype_expansion")).drop("__v")
 
 
+def search_terms(variant: Column) -> Column:
+    """Spellings of a variant for text matching, in order, lower case (HGV-11)."""
+    v = F.lower(F.trim(F.coalesce(variant, F.lit(""))))
+    relaxed = F.regexp_replace(v, r"[()\s]", "")
+    named = F.nullif(F.regexp_extract(relaxed, r"(?i)\b([a-z]{1,4}\d+[^;\s,]*)\b", 1), F.lit(""))
+    tail = F.when(relaxed.rlike(r"^[pc]\."), F.substring(relaxed, 3, 1 << 20))
+    return F.filter(F.array_distinct(F.array_compact(F.array(v, F.nullif(F.regexp_extract(v, r"(rs\d{4,})", 1), F.lit("")), relaxed, tail, named))), lambda t: t != "")
+
+
+def same_allele(a: Column, b: Column) -> Column:
+    """Two names share a spelling of four characters or more (HGV-12)."""
+    long_terms = lambda c: F.filter(search_terms(c), lambda t: F.length(t) >= 4)
+    return F.arrays_overlap(long_terms(a), long_terms(b))
+
+
 def pathogenicity(text: Column, gene: Column, variant: Column) -> Column:
-    """struct(label, confidence, anchor_kind): variant, gene or whole text decides the window (card 9.4)."""
-    low = F.lower(F.coalesce(text, F.lit("")))
-    place = lambda c: F.when(blank(c), F.lit(0)).otherwise(F.position(F.lower(F.trim(c)), low))
-    by_variant, by_gene = place(variant), place(gene)
-    at = F.when(by_variant > 0, by_variant).otherwise(by_gene)
-    lo = F.greatest(at - 900, F.lit(1))
-    context = F.when(at > 0, F.substring(text, lo, at + 1400 - lo)).otherwise(text)
-    lp, p, lb, b, vus = (F.coalesce(context, F.lit("")).rlike(x) for x in (P.LIKELY_PATHOGENIC, P.PATHOGENIC, P.LIKELY_BENIGN, P.BENIGN, P.UNCERTAIN))
-    kind = F.when(by_variant > 0, "variant").when(by_gene > 0, "gene").otherwise("text")
-    sure = F.when(at > 0, F.lit("high")).otherwise(F.lit("low"))
-    label = F.when((lp | p) & (lb | b), "conflicting").when(lp, "likely_pathogenic").when(p, "pathogenic").when(vus, "uncertain_significance").when(lb, "likely_benign").when(b, "benign").otherwise("not_evaluated")
-    confidence = F.when(blank(text), "no_fulltext").when((lp | p) & (lb | b), "medium").when(lp | p | vus | lb | b, sure).otherwise(F.when(at > 0, "low").otherwise("very_low"))
-    return F.struct(label.alias("label"), confidence.alias("confidence"), kind.alias("anchor_kind"))
+    """struct(label, confidence, anchor_kind, evidence): the first spelling of the variant, the gene or the whole text decides the window (card 9.4)."""
+    whole = F.coalesce(text, F.lit(""))
+    # one-element arrays bind an inner result to a lambda variable, so that it is computed once
+    once = lambda value, use: F.element_at(F.transform(F.array(value), use), 1)
+
+    def place(low: Column) -> Column:
+        places = F.filter(F.transform(search_terms(variant), lambda x: F.position(x, low)), lambda at: at > 0)
+        by_gene = F.when(blank(gene), F.lit(0)).otherwise(F.position(F.lower(F.trim(gene)), low))
+        return F.struct(F.coalesce(F.get(places, 0), F.lit(0)).alias("variant"), by_gene.alias("gene"))
+
+    def window(at: Column) -> Column:
+        anchor = F.when(at["variant"] > 0, at["variant"]).otherwise(at["gene"])
+        lo = F.greatest(anchor - 900, F.lit(1))
+        context = F.when(anchor > 0, F.substring(whole, lo, anchor + 1400 - lo)).otherwise(whole)
+        return F.struct(context.alias("context"), F.when(at["variant"] > 0, "variant").when(at["gene"] > 0, "gene").otherwise("text").alias("kind"))
+
+    names = ("lp", "p", "vus", "lb", "b")
+    patterns = (P.LIKELY_PATHOGENIC, P.PATHOGENIC, P.UNCERTAIN, P.LIKELY_BENIGN, P.BENIGN)
+
+    def found(w: Column) -> Column:
+        return F.struct(w["kind"].alias("kind"), *[_snippet(w["context"], x).alias(n) for n, x in zip(names, patterns, strict=True)])
+
+    def verdict(f: Column) -> Column:
+        lp, p, vus, lb, b = (f[n].isNotNull() for n in names)
+        anchored = f["kind"] != "text"
+        both = (lp | p) & (lb | b)
+        label = F.when(both, "conflicting").when(lp, "likely_pathogenic").when(p, "pathogenic").when(vus, "uncertain").when(lb, "likely_benign").when(b, "benign").otherwise("not_evaluated")
+        sure = F.when(blank(text), "no_fulltext").when(both, "medium").when(lp | p | vus | lb | b, F.when(anchored, "high").otherwise("low")).otherwise(F.when(anchored, "low").otherwise("very_low"))
+        evidence = F.coalesce(f["lp"], f["p"], F.when(~both, f["vus"]), f["lb"], f["b"], F.lit(""))
+        return F.struct(label.alias("label"), sure.alias("confidence"), f["kind"].alias("anchor_kind"), evidence.alias("evidence"))
+
+    return once(once(once(once(F.lower(whole), place), window), found), verdict)
+
+
+def _snippet(context: Column, pattern: str, before: int = 180, after: int = 220) -> Column:
+    """Text around the first place of a pattern; null without one."""
+    found = F.regexp_instr(context, F.lit(pattern))
+    lo = F.greatest(found - before, F.lit(1))
+    length = F.length(F.regexp_extract(context, pattern, 0))
+    return F.when(found > 0, F.trim(F.substring(context, lo, found - lo + length + after)))
 
 
 def pub_date_key(year: Column, month: Column) -> Column:
@@ -150,5 +191,62 @@ def usable_passage(section: Column, kind: Column, text: Column, least: int = 40)
     return ~F.coalesce(F.upper(section), F.lit("")).isin(*P.SKIPPED_SECTIONS) & (F.coalesce(F.lower(kind), F.lit("")) != "ref") & (F.length(F.trim(F.coalesce(text, F.lit("")))) >= least)
 
 
+def is_concrete(variant: Column) -> Column:
+    """A name of a nucleotide, protein or catalogued variant, not a phrase (FIL-10)."""
+    return F.coalesce(variant, F.lit("")).rlike(P.CONCRETE_STRING)
+
+
+def in_body(section: Column) -> Column:
+    """Sections that links are looked for in (FIL-04)."""
+    return F.upper(F.coalesce(section, F.lit(""))).isin(*P.BODY_SECTIONS)
+
+
+def stamped(text: Column, source: Column) -> Column:
+    """Abstract text marked as such, once (FIL-14)."""
+    marked = F.contains(text, F.lit("[abstract]")) | F.contains(text, F.lit("[fulltext:"))
+    return F.when((source == "abstract") & ~marked, F.concat(F.lit("[abstract] "), text)).otherwise(text)
+
+
+def evidence_source(given: Column, scope: Column, full_text_source: Column, section: Column) -> Column:
+    """abstract or fulltext: as given, else by what the row has (FIL-14)."""
+    known = F.coalesce(given, scope)
+    return F.when(known.isin("abstract", "fulltext"), known).when(~blank(full_text_source) | ~blank(section), "fulltext").otherwise("abstract")
+
+
+def mentioned(variant: Column, text: Column) -> Column:
+    """The text has the variant, or what follows its last colon, spaces aside."""
+    squeezed = lambda c: F.lower(F.regexp_replace(F.coalesce(c, F.lit("")), r"\s+", ""))
+    v, t = squeezed(variant), squeezed(text)
+    core = F.element_at(F.split(v, ":"), -1)
+    return (v != "") & (t != "") & (F.contains(t, v) | ((core != "") & F.contains(t, core)))
+
+
+def negative_link_tier(preset: Column, variant: Column, evidence: Column, rule: Column) -> Column:
+    """struct(tier, reason): how firmly a negative allele is tied to its evidence (CLS-05)."""
+    given, r = F.upper(F.trim(F.coalesce(preset, F.lit("")))), F.coalesce(rule, F.lit(""))
+    e = F.coalesce(evidence, F.lit(""))
+    has_variant, has_cue = mentioned(variant, evidence), e.rlike(P.NEGATIVE_CUE)
+    both = has_variant & has_cue
+    named = F.when(r == "", F.lit("unspecified")).otherwise(r)
+    said = lambda tier, reason: F.struct((F.lit(tier) if isinstance(tier, str) else tier).alias("tier"), (F.lit(reason) if isinstance(reason, str) else reason).alias("reason"))
+    return (
+        F.when(given.isin("A", "B", "C"), said(given, "preset"))
+        .when(F.trim(e) == "", said("C", "no_negative_evidence"))
+        .when(both & r.isin(*P.TIER_A_RULES), said("A", F.concat(F.lit("same_sentence_classify_or_control:"), r)))
+        .when(both & r.isin(*P.TIER_B_RULES), said("B", F.concat(F.lit("same_sentence_or_window_association:"), r)))
+        .when(both & r.rlike("window|nearest|null"), said("B", F.concat(F.lit("same_sentence_windowish:"), named)))
+        .when(both, said("A", F.concat(F.lit("same_sentence_variant_and_neg_cue:"), named)))
+        .when(has_variant | has_cue, said("B", "partial_variant_or_cue_only"))
+        .when(e.rlike(P.NEGATIVE_TOKEN) & has_cue, said("B", "generic_variant_token_and_cue"))
+        .otherwise(said("C", "unconfirmed_cooccurrence"))
+    )
+
+
+def screen_grade(journal_tier: Column, recomputed: Column) -> Column:
+    """A, B or C: as given, else by the journal, else C (CLS-06)."""
+    ok = lambda c: F.when(F.upper(F.trim(c)).isin("A", "B", "C"), F.upper(F.trim(c)))
+    return F.coalesce(ok(journal_tier), ok(recomputed), F.lit("C"))
+
+
 def dual_presence(variants: Column, clinical: Column) -> Column:
     return (F.size(F.coalesce(variants, F.array())) > 0) & (F.size(F.coalesce(clinical, F.array())) > 0)

@@ -12,7 +12,7 @@ BIN_SIZE = 250_000
 
 
 def best_per_key(df: DataFrame, keys: list[str], score: list[Column], order: str) -> DataFrame:
-    """The row of least (score..., order) per key; one partial aggregation, no sort."""
+    """The row of least (score..., order) per key; one row per key and task is shuffled (Spark aggregates structs by sorting)."""
     packed = F.struct(*[F.col(c) for c in df.columns])
     best = df.groupBy(*keys).agg(F.min_by(packed, F.struct(*[s.alias(f"s{i}") for i, s in enumerate(score)], F.col(order).alias("o"))).alias("__best"))
     return best.select("__best.*")
@@ -48,7 +48,9 @@ def ladder_lookup(df: DataFrame, row_id: str, keys: Column, table: DataFrame, ta
     match_status ok, ambiguous or missing.
     """
     asked = df.select(F.col(row_id).alias("__id"), F.explode(keys).alias("k")).select("__id", "k.step", "k.key")
-    hits = asked.join(table.select(F.col(table_key).alias("key"), F.col(value).alias("__v")), "key").groupBy("__id", "step").agg(F.min("__v").alias("lo"), F.max("__v").alias("hi"))
+    # the table is reduced to one row per key before it meets the rows
+    known = table.groupBy(F.col(table_key).alias("key")).agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
+    hits = asked.join(known, "key").groupBy("__id", "step").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     found = hits.groupBy("__id").agg(
         F.min(F.when(F.col("lo") == F.col("hi"), F.struct("step", F.col("lo").alias("v")))).alias("m"),
         F.count("*").alias("n"),
@@ -113,15 +115,33 @@ def replace_by_key(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return old.join(new.select(key).distinct(), key, "left_anti").unionByName(new, allowMissingColumns=True)
 
 
-def overlay(df: DataFrame, notes: DataFrame, ladders: list[list[str]], payload: list[str]) -> DataFrame:
-    """Annotation overlay by the first key list that finds a note."""
-    out = df
-    for i, keys in enumerate(ladders):
-        n = notes.select(*[F.col(k).alias(f"__{i}_{k}") for k in keys], F.struct(*payload).alias(f"__n{i}"))
-        n = n.groupBy(*[f"__{i}_{k}" for k in keys]).agg(F.first(f"__n{i}").alias(f"__n{i}"))
-        out = out.join(n, reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__{i}_{k}") for k in keys]), "left")
-    note = F.coalesce(*[F.col(f"__n{i}") for i in range(len(ladders))])
-    return out.withColumn("__note", note).select(*df.columns, *[F.col(f"__note.{p}").alias(p) for p in payload])
+def overlay(df: DataFrame, notes: DataFrame, row_id: str, keys: list[str], class_key: str, payload: list[str], order: str, note_order: str) -> DataFrame:
+    """Annotations onto rows: by id, else by key, else by the key without its class (JN-11).
+
+    A note without content counts for nothing.  By id the last note wins.  By key the rows in order take the notes in order,
+    each note once, and never one that an id has taken; the classless key serves rows whose whole key no note has.
+    """
+    full, loose = [class_key, *keys], keys
+    content = reduce(lambda a, b: a | b, [F.coalesce(F.trim(F.col(p).cast("string")), F.lit("")) != "" for p in payload])
+    note = notes.where(content).select(F.col(row_id).alias("__nid"), *full, F.col(note_order).alias("__no"), F.struct(*payload).alias("__note"))
+    latest = note.where("__nid is not null and __nid <> ''").groupBy("__nid").agg(F.max_by(F.struct("__no", "__note"), "__no").alias("__by_id"))
+    out = df.join(latest, df[row_id] == latest["__nid"], "left").drop("__nid")
+    taken = out.where("__by_id is not null").select(F.col("__by_id.__no").alias("__no")).distinct()
+    free = note.join(taken, "__no", "left_anti")
+    named = notes.select(*full).distinct().withColumn("__has", F.lit(True))
+    waiting = out.where("__by_id is null").join(named, full, "left")
+
+    def dealt(rows: DataFrame, some: DataFrame, on: list[str]) -> DataFrame:
+        number = lambda d, o: d.withColumn("__rn", F.row_number().over(Window.partitionBy(*on).orderBy(o)))
+        right = number(some.select(*on, "__no", "__note"), "__no")
+        return number(rows, order).join(right, [*on, "__rn"], "left").drop("__rn")
+
+    whole = dealt(waiting.where("__has"), free, full)
+    rest = free.join(whole.where("__no is not null").select("__no"), "__no", "left_anti")
+    wide = dealt(waiting.where("__has is null"), rest, loose)
+    parts = [out.where("__by_id is not null").withColumn("__note", F.col("__by_id.__note")), whole, wide]
+    columns = [*[F.col(c) for c in df.columns], *[F.col(f"__note.{p}").alias(p) for p in payload]]
+    return reduce(lambda a, b: a.unionByName(b), [p.select(*columns) for p in parts])
 
 
 def loose_token_match(a: Column, b: Column) -> Column:
@@ -138,30 +158,35 @@ def stable_distinct_ci(values: Column) -> Column:
 
 
 def dedup_alleles(df: DataFrame, allele: list[str], rank: list[Column], order: str, note_key: str, note_limit: int = 500) -> DataFrame:
-    """Best row per complete allele at the first place of its group; incomplete rows pass.
+    """Best row per complete allele at the first place of its group; incomplete rows pass (AGG-09).
 
-    Adds dropped_keys: the ``note_key`` values of dropped rows, in order, cut at ``note_limit``.
+    Adds place, group_size and dropped_keys: the ``note_key`` values of dropped rows, in order, cut at ``note_limit``; only as
+    many of them as the cut can show are gathered.
     """
     complete = reduce(lambda a, b: a & b, [F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")) != "" for c in allele])
     score = F.struct(*[r.alias(f"r{i}") for i, r in enumerate(rank)], F.col(order).alias("o"))
     packed = F.struct(*[F.col(c) for c in df.columns])
-    grouped = df.where(complete).groupBy(*[F.col(c).alias(f"__{c}") for c in allele]).agg(
-        F.min_by(packed, score).alias("__b"), F.min(order).alias("__place"), F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col(note_key).alias("k")))).alias("__all")
-    )
+    whole = df.where(complete)
+    best = whole.groupBy(*[F.col(c).alias(f"__{c}") for c in allele]).agg(F.min_by(packed, score).alias("__b"), F.min(order).alias("place"), F.count("*").alias("group_size"))
+    # every key takes a character and a separator at least
+    shown = whole.select(*allele, F.col(order).alias("o"), F.col(note_key).cast("string").alias("k")).withColumn("__n", F.row_number().over(Window.partitionBy(*allele).orderBy("o"))).where(f"__n <= {note_limit // 2 + 2}")
+    listed = shown.groupBy(*[F.col(c).alias(f"__{c}") for c in allele]).agg(F.sort_array(F.collect_list(F.struct("o", "k"))).alias("__all"))
     dropped = F.filter("__all", lambda x: x["o"] != F.col("__b")[order])
-    kept = grouped.select("__b.*", F.col("__place").alias("place"), F.substring(F.array_join(F.transform(dropped, lambda x: x["k"].cast("string")), ";"), 1, note_limit).alias("dropped_keys"))
-    return kept.unionByName(df.where(~complete).withColumn("place", F.col(order)).withColumn("dropped_keys", F.lit("")))
+    kept = best.join(listed, [f"__{c}" for c in allele]).select("__b.*", "place", "group_size", F.substring(F.array_join(F.transform(dropped, lambda x: x["k"]), ";"), 1, note_limit).alias("dropped_keys"))
+    rest = df.where(~complete).withColumn("place", F.col(order)).withColumn("group_size", F.lit(1).cast("long")).withColumn("dropped_keys", F.lit(""))
+    return kept.unionByName(rest)
 
 
-def unique_argmax(df: DataFrame, keys: list[str], criteria: list[Column], value: str) -> DataFrame:
-    """Per key the value of the greatest first criterion when that is unique, else by the next, else null."""
-    out = df.select(*keys, F.col(value).alias("__v"), *[c.alias(f"__c{i}") for i, c in enumerate(criteria)])
-    aggs = [F.max(f"__c{i}").alias(f"__m{i}") for i in range(len(criteria))]
-    top = out.groupBy(*keys).agg(*aggs)
-    joined = out.join(top, keys)
-    picks = [F.collect_set(F.when(F.col(f"__c{i}") == F.col(f"__m{i}"), F.col("__v"))).alias(f"__s{i}") for i in range(len(criteria))]
-    sets = joined.groupBy(*keys).agg(*picks)
-    return sets.select(*keys, F.coalesce(*[F.when(F.size(f"__s{i}") == 1, F.col(f"__s{i}")[0]) for i in range(len(criteria))]).alias(value))
+def unique_argmax(df: DataFrame, keys: list[str], criteria: list[Column], value: str, least: list[float | None] | None = None) -> DataFrame:
+    """Per key the value of the greatest first criterion when that is unique and not below ``least``, else by the next, else null (AGG-16)."""
+    n = range(len(criteria))
+    each = df.groupBy(*keys, F.col(value).alias("__v")).agg(*[F.max(c).alias(f"__c{i}") for i, c in enumerate(criteria)])
+    whole = Window.partitionBy(*keys)
+    each = each.withColumns({f"__m{i}": F.max(f"__c{i}").over(whole) for i in n})
+    at = lambda i: F.when(F.col(f"__c{i}") == F.col(f"__m{i}"), F.col("__v"))
+    found = each.groupBy(*keys).agg(*[f(at(i)).alias(f"__{name}{i}") for i in n for name, f in (("lo", F.min), ("hi", F.max))], *[F.max(f"__m{i}").alias(f"__m{i}") for i in n])
+    enough = lambda i: F.lit(True) if not least or least[i] is None else F.col(f"__m{i}") >= least[i]
+    return found.select(*keys, F.coalesce(*[F.when((F.col(f"__lo{i}") == F.col(f"__hi{i}")) & enough(i), F.col(f"__lo{i}")) for i in n]).alias(value))
 
 
 def carry_forward(df: DataFrame, keys: list[str], order: str, column: str, out: str) -> DataFrame:
@@ -181,10 +206,25 @@ def first_in_group(df: DataFrame, key: str, date: str) -> DataFrame:
     return df.withColumn("first_date", F.min(date).over(w)).withColumn("is_first", F.col(date) == F.col("first_date"))
 
 
+def numbered(df: DataFrame, order: str, out: str, pieces: int = 200) -> DataFrame:
+    """Adds the 1-based place of every row in the order of a number column, without one global sort.
+
+    Approximate quantiles cut the order into pieces; pieces are counted, and rows are numbered inside their piece.
+    """
+    cuts = sorted(set(df.approxQuantile(order, [k / pieces for k in range(1, pieces)], 0.001)))
+    piece = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col(order))) if cuts else F.lit(0)
+    cut = df.withColumn("__piece", piece)
+    sizes = cut.groupBy("__piece").agg(F.count("*").alias("__n"))
+    before = sizes.select("__piece", F.coalesce(F.sum("__n").over(Window.orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
+    inside = F.row_number().over(Window.partitionBy("__piece").orderBy(order))
+    return cut.withColumn("__in", inside).join(F.broadcast(before), "__piece").withColumn(out, F.col("__before") + F.col("__in")).drop("__piece", "__in", "__before")
+
+
 def audit_ids(df: DataFrame, parts: list[str], order: str) -> DataFrame:
-    """{class}_{id}_{i:04d}: i counts rows of the same class and id in input order (no global sort)."""
-    w = Window.partitionBy(*parts).orderBy(order)
-    return df.withColumn("audit_id", F.concat_ws("_", *[F.col(p).cast("string") for p in parts], F.lpad(F.row_number().over(w).cast("string"), 4, "0")))
+    """{class}_{id}_{i:04d}: i is the place of the row among all rows of the run (WIN-05)."""
+    place = F.col("__i").cast("string")
+    label = F.when(F.length(place) < 4, F.lpad(place, 4, "0")).otherwise(place)
+    return numbered(df, order, "__i").withColumn("audit_id", F.concat_ws("_", *[F.col(p).cast("string") for p in parts], label)).drop("__i")
 
 
 def compare_with_gold(candidates: DataFrame, gold: DataFrame, keys: list[str], allele: list[str], order: str) -> DataFrame:
@@ -192,3 +232,59 @@ def compare_with_gold(candidates: DataFrame, gold: DataFrame, keys: list[str], a
     c = last_wins(candidates, keys, order).select(*keys, F.struct(*allele).alias("__c"))
     out = gold.join(c, keys, "left")
     return out.withColumn("exact", reduce(lambda a, b: a & b, [F.col(x).cast("string").eqNullSafe(F.col(f"__c.{x}").cast("string")) for x in allele]) & F.col("__c").isNotNull()).drop("__c")
+
+
+def gold_report(candidates: DataFrame, gold: DataFrame, keys: list[str], allele: list[str], order: str) -> DataFrame:
+    """One row: gold rows, those with a whole allele, candidate rows, exact matches and their rate to four places (JN-12)."""
+    whole = reduce(lambda a, b: a & b, [F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")) != "" for c in allele])
+    compared = compare_with_gold(candidates, gold.where(whole), keys, allele, order).agg(F.count("*").alias("gold_with_4col"), F.coalesce(F.sum(F.col("exact").cast("long")), F.lit(0)).alias("genomic_exact_match"))
+    counts = gold.agg(F.count("*").alias("gold_rows")).crossJoin(candidates.agg(F.count("*").alias("candidate_rows")))
+    return counts.crossJoin(compared).withColumn("genomic_match_rate", F.when(F.col("gold_with_4col") > 0, F.round(F.col("genomic_exact_match") / F.col("gold_with_4col"), 4)))
+
+
+def dedup_links(links: DataFrame, order: str, variant: str = "variant", evidence: str = "evidence_sentence", prefix: int = 240) -> DataFrame:
+    """First link per variant and the first ``prefix`` characters of its evidence (AGG-10)."""
+    return first_per_key(links, [*[F.col(c) for c in ("pmid",) if c in links.columns], F.col(variant), F.substring(F.coalesce(F.col(evidence), F.lit("")), 1, prefix)], order)
+
+
+def merged_pairs(abstract: DataFrame, full_text: DataFrame, order: str) -> DataFrame:
+    """Abstract pairs, first per (pmid, variant, clinical), and all full-text pairs, each with its source (AGG-11, SET-01)."""
+    once = first_per_key(abstract, [F.col("pmid"), F.col("variant"), F.col("clinical")], order)
+    marked = lambda df, source: df.withColumn("evidence_source", F.coalesce(F.col("evidence_source"), F.lit(source)) if "evidence_source" in df.columns else F.lit(source))
+    return marked(once, "abstract").unionByName(marked(full_text, "fulltext"), allowMissingColumns=True)
+
+
+def histogram(df: DataFrame, key: str, value: str, out: str, empty: str = "NA") -> DataFrame:
+    """key -> map of value to count (AGG-19)."""
+    counted = df.groupBy(key, F.coalesce(F.nullif(F.col(value), F.lit("")), F.lit(empty)).alias("v")).agg(F.count("*").alias("n"))
+    return counted.groupBy(key).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("v", "n")))).alias(out))
+
+
+def passage_with(passages: Column, sentence: Column) -> Column:
+    """The first passage that contains a sentence; null without one (JN-15)."""
+    return F.when(F.coalesce(sentence, F.lit("")) != "", F.get(F.filter(passages, lambda p: F.contains(p, sentence)), 0))
+
+
+def only_in(found: Column, known: Column) -> Column:
+    """Distinct values that are new (SET-03, SET-06), in order of appearance."""
+    return F.array_except(F.coalesce(found, F.array().cast("array<string>")), F.coalesce(known, F.array().cast("array<string>")))
+
+
+def overlap_counts(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """One row: distinct keys of either table alone and of both (SET-04)."""
+    both = a.select(key).distinct().withColumn("__a", F.lit(1)).join(b.select(key).distinct().withColumn("__b", F.lit(1)), key, "full")
+    has = lambda c: F.col(c).isNotNull()
+    count = lambda c, name: F.coalesce(F.sum(c.cast("long")), F.lit(0)).alias(name)
+    return both.agg(count(has("__a") & ~has("__b"), "only_first"), count(~has("__a") & has("__b"), "only_second"), count(has("__a") & has("__b"), "both"))
+
+
+def sidecar(df: DataFrame, notes: DataFrame, value: str, default: str, out: str) -> DataFrame:
+    """The last value noted for (pmid, lower variant), else a default (JN-13)."""
+    known = notes.where(F.coalesce(F.col(value), F.lit("")) != "").groupBy(F.col("pmid").alias("__p"), F.lower("variant").alias("__v")).agg(F.max_by(value, "ord").alias("__x"))
+    return df.join(known, (F.col("pmid") == F.col("__p")) & (F.lower("variant") == F.col("__v")), "left").withColumn(out, F.coalesce("__x", F.lit(default))).drop("__p", "__v", "__x")
+
+
+def nearest(df: DataFrame, keys: list[str], lo: str, hi: str, start: Column, end: Column, within: int, order: str) -> DataFrame:
+    """Per key the row whose span lies nearest to start..end, at most ``within`` away; the first among equals (WIN-06)."""
+    apart = F.when(F.col(hi) < start, start - F.col(hi)).when(F.col(lo) > end, F.col(lo) - end).otherwise(0)
+    return best_per_key(df.withColumn("distance", apart).where(F.col("distance") <= within), keys, [F.col("distance")], order)

@@ -11,11 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lociflow.functions import hgvs, spans, text
+from lociflow.functions import alleles, genes, hgvs, spans, text
 from lociflow.operators import relational as R
-from lociflow.plans import stages
+from lociflow.operators import resolver
+from lociflow.plans import delivery, stages
 from lociflow.plans.gates import Gate, apply_gates, review_gates
-from lociflow.sources import readers
+from lociflow.sources import readers, search
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -56,14 +57,14 @@ _LEADS = (
 
 def _article_sql(key: str = "p_partkey", size: str = "p_size", kind: str = "p_type") -> str:
     lead = "CASE {s} % 5 " + " ".join(f"WHEN {i} THEN concat('{x.split('{k}')[0]}', {key}, '{x.split('{k}')[1].split('{s}')[0]}', {size}, '{x.split('{s}')[1]}')" for i, x in enumerate(_LEADS)) + " END"
-    return f"concat({lead.format(s=size)}, ' with ', {kind}, ' syndrome. It is also called (rs', 100000 + {key}, ').')"
+    return f"concat({lead.format(s=size)}, ' with ', {kind}, ' syndrome. It is also listed (rs', 100000 + {key}, ').')"
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return t(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("pmid"), F.col("p_partkey").alias("ord"), F.col("p_size").alias("size"), F.expr(_article_sql()).alias("text"), F.expr("concat('c.', p_partkey, 'A>G')").alias("variant"), F.expr("concat('GENE', p_size)").alias("gene"))
+    return t(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("pmid"), F.col("p_partkey").alias("ord"), F.col("p_size").alias("size"), F.expr(_article_sql()).alias("text"), F.expr("concat('c.', p_partkey, 'A>G')").alias("variant"), F.expr("concat('GENE', p_size)").alias("gene"), F.col("p_type").alias("kind"))
 
 
-_ARTICLES = f"(SELECT CAST(p_partkey AS VARCHAR) AS pmid, p_partkey AS ord, p_size AS size, {_article_sql()} AS text, concat('c.', p_partkey, 'A>G') AS variant, concat('GENE', p_size) AS gene FROM part)"
+_ARTICLES = f"(SELECT CAST(p_partkey AS VARCHAR) AS pmid, p_partkey AS ord, p_size AS size, {_article_sql()} AS text, concat('c.', p_partkey, 'A>G') AS variant, concat('GENE', p_size) AS gene, p_type AS kind FROM part)"
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +75,10 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stages.review(found).select("pmid", "gene", "variant", "clinical", "tier", "discovery_label", "discovery_confidence", "locus_key", "review_tier")
 
 
-@query()
+@query(
+    f"""SELECT pmid, gene, variant, kind || ' syndrome' AS clinical, 'A' AS tier, CASE size % 5 WHEN 0 THEN 'novel' WHEN 1 THEN 'previously_reported' ELSE 'citation_of_prior' END AS discovery_label, 'high' AS discovery_confidence,
+ gene || '|' || lower(variant) AS locus_key, 'strict' AS review_tier FROM {_ARTICLES} WHERE size % 5 IN (0, 2)"""
+)
 def funnel_review(spark, sf_dir):
     """Flagship: span links, discovery label, gates, best per locus."""
     return flagship(spark, sf_dir)
@@ -109,10 +113,14 @@ def discovery_counts(spark, sf_dir):
     return text.with_discovery(articles(spark, sf_dir)).groupBy("discovery_label").agg(F.count("*").alias("n"))
 
 
-@query("SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '&nbsp;', ' ', 'g'), '\\s+', ' ', 'g')) AS plain FROM pages")
+_STRIPPED = "html"
+for _pattern, _by in ((r"(?is)<script\b.*?</script\s*>", " "), (r"(?is)<style\b.*?</style\s*>", " "), (r"(?is)<noscript\b.*?</noscript\s*>", " "), (r"(?s)<!--.*?-->", " "), (r"(?i)<(?:br|/p|/div|/li|/h[1-6])\s*/?>", "\n"), (r"(?s)<[^>]+>", " "), (r"&nbsp;", " "), (r"[ \t]+", " "), (r"\s*\n\s*", "\n")):
+    _STRIPPED = f"regexp_replace({_STRIPPED}, '{_pattern}', '{_by}', 'g')"
+
+
+@query(f"SELECT page_id, trim({_STRIPPED}, ' ' || chr(9) || chr(10) || chr(13)) AS plain FROM pages")
 def html_strip(spark, sf_dir):
-    plain = F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace("html", "<[^>]+>", " "), "&nbsp;", " "), r"\s+", " "))
-    return t(spark, sf_dir, "pages").select("page_id", plain.alias("plain"))
+    return t(spark, sf_dir, "pages").select("page_id", text.html_to_text(F.col("html")).alias("plain"))
 
 
 @query()
@@ -121,15 +129,9 @@ def page_passages(spark, sf_dir):
     return readers.html_passages(t(spark, sf_dir, "pages"), "html", "page_id")
 
 
-@query("SELECT doc_id, CASE WHEN length(trim(text)) > 700 THEN NULL ELSE length(trim(regexp_replace(text, '\\s+', ' ', 'g'))) END AS short_length FROM documents")
-def clip_text(spark, sf_dir):
-    flat = F.trim(F.regexp_replace("text", r"\s+", " "))
-    return t(spark, sf_dir, "documents").select("doc_id", F.when(F.length(F.trim("text")) > 700, F.lit(None)).otherwise(F.length(flat)).cast("long").alias("short_length"))
-
-
 @query(f"SELECT doc_id, CASE WHEN length(flat) > 700 THEN left(flat, 699) || '…' ELSE flat END AS clipped FROM (SELECT doc_id, trim(regexp_replace(coalesce(text, ''), '{text.WHITE}', ' ', 'g')) AS flat FROM documents)")
 def clipped_text(spark, sf_dir):
-    """Every document clipped; ``clip_text`` has lengths of short ones only."""
+    """Every document clipped."""
     return t(spark, sf_dir, "documents").select("doc_id", text.clip(F.col("text")).alias("clipped"))
 
 
@@ -164,7 +166,7 @@ def genomic_literal(spark, sf_dir):
 
 
 @query(
-    """SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN 'likely_pathogenic' WHEN 1 THEN 'conflicting' WHEN 2 THEN 'uncertain_significance' ELSE 'not_evaluated' END AS label, CASE p_size % 4 WHEN 1 THEN 'medium' WHEN 3 THEN 'low' ELSE 'high' END AS confidence, 'variant' AS anchor_kind FROM part"""
+    """SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN 'likely_pathogenic' WHEN 1 THEN 'conflicting' WHEN 2 THEN 'uncertain' ELSE 'not_evaluated' END AS label, CASE p_size % 4 WHEN 1 THEN 'medium' WHEN 3 THEN 'low' ELSE 'high' END AS confidence, 'variant' AS anchor_kind FROM part"""
 )
 def pathogenicity_label(spark, sf_dir):
     words = F.expr("concat('The variant c.', p_partkey, 'A>G was classified as ', case p_size % 4 when 0 then 'likely pathogenic' when 1 then 'pathogenic or benign' when 2 then 'a VUS' else 'interesting' end, '.')")
@@ -182,25 +184,22 @@ def json_field(spark, sf_dir):
     return t(spark, sf_dir, "events").select("event_id", F.from_json("props", "k long")["k"].alias("k"))
 
 
-@query()
+def _span_sql(kind: str, subtype: str, found: str, where: str = "true") -> str:
+    return f"SELECT pmid, '{kind}' AS kind, '{subtype}' AS subtype, {found} AS text, CAST(strpos(text, {found}) - 1 AS INTEGER) AS start, CAST(strpos(text, {found}) - 1 + length({found}) AS INTEGER) AS \"end\", {found} AS norm FROM {_ARTICLES} WHERE {where}"
+
+
+@query(" UNION ALL ".join([_span_sql("variant", "hgvs_c", "variant"), _span_sql("variant", "rsid", "('rs' || (100000 + ord))"), _span_sql("clinical", "syndrome_disease", "(kind || ' syndrome')"), _span_sql("clinical", "clinical_cue", "'phenotypic spectrum'", "size % 5 = 3")]))
 def text_spans(spark, sf_dir):
     """All spans with offsets of every synthetic article."""
     return articles(spark, sf_dir).select("pmid", F.explode(spans.spans("text")).alias("s")).select("pmid", "s.*")
 
 
-@query(f"SELECT pmid, variant, CASE WHEN size % 5 <> 4 THEN gene END AS gene FROM {_ARTICLES}")
+@query(f"SELECT pmid, variant, CASE WHEN size % 5 IN (0, 2) THEN gene END AS gene FROM {_ARTICLES}")
 def gene_binding(spark, sf_dir):
-    rows = articles(spark, sf_dir).select("pmid", "variant", spans.gene_for("text", "variant", F.lit(None).cast("string")).alias("g"))
+    rows = articles(spark, sf_dir).select("pmid", "variant", genes.gene_for("text", "variant", F.lit(None).cast("string")).alias("g"))
     return rows.select("pmid", "variant", F.col("g.gene").alias("gene"))
 
 
-@query("SELECT p_partkey AS id, 'c.' || (p_partkey + 1) || 'C>T' AS variant, CASE p_size % 3 WHEN 0 THEN 'likely_benign' WHEN 1 THEN 'uncertain' ELSE 'not_pathogenic' END AS label FROM part")
-def negative_evidence(spark, sf_dir):
-    words = F.expr("concat('We studied c.', p_partkey, 'A>G. The change was ', case p_size % 3 when 0 then 'likely benign' when 1 then 'a variant of uncertain significance' else 'not pathogenic' end, ' (c.', p_partkey + 1, 'C>T).')")
-    rows = t(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.explode(spans.negatives(words, F.expr("concat('c.', p_partkey, 'A>G')"))).alias("n"))
-    return rows.where("n.rule = 'classify_paren'").select("id", "n.variant", "n.label")
-
-
 #: Per p_partkey % 10 a text ({v} the anchor, {w} another variant, {r} an rs name) and its hits (rule, label, role, confidence).
 #: As in the reference, a loose token that keeps the full stop or parenthesis behind it is not the nearest variant and gives no row.
 _NEGATIVE_CASES = (
@@ -301,12 +300,28 @@ def gold_comparison(spark, sf_dir):
     return R.compare_with_gold(c, t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"), ["o_custkey"], ["o_orderstatus"], "ord").select("o_orderkey", "exact")
 
 
-@query("SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN 'note' || c_custkey WHEN c_nationkey < 5 THEN 'nation' || c_nationkey END AS note FROM customer")
+_OVERLAY = """WITH r AS (SELECT p_partkey AS ord, 'id' || p_partkey AS audit_id, CASE WHEN p_partkey % 2 = 0 THEN 'positive' ELSE 'negative' END AS cls, p_size % 10 AS k FROM part),
+n AS (SELECT p_partkey AS no, 'id' || p_partkey AS audit_id, CASE WHEN p_partkey % 3 = 0 THEN 'positive' ELSE 'other' END AS cls, p_size % 10 AS k, 'v' || p_partkey AS v FROM part WHERE p_partkey % 7 = 0),"""
+
+
+@query(
+    _OVERLAY
+    + """ byid AS (SELECT r.ord, n.no, n.v FROM r JOIN n USING (audit_id)), free AS (SELECT * FROM (SELECT no, 'x' AS audit_id, cls, k, v FROM n WHERE false) UNION ALL SELECT p_partkey, 'x', CASE WHEN p_partkey % 3 = 0 THEN 'positive' ELSE 'other' END, p_size % 10, 'w' || p_partkey FROM part WHERE p_partkey % 11 = 0),
+named AS (SELECT DISTINCT cls, k FROM (SELECT cls, k FROM n UNION ALL SELECT cls, k FROM free)),
+w AS (SELECT r.*, named.k IS NOT NULL AS has FROM r LEFT JOIN named ON r.cls = named.cls AND r.k = named.k WHERE r.ord NOT IN (SELECT ord FROM byid)),
+f1 AS (SELECT *, row_number() OVER (PARTITION BY cls, k ORDER BY no) AS rn FROM free), w1 AS (SELECT *, row_number() OVER (PARTITION BY cls, k ORDER BY ord) AS rn FROM w WHERE has),
+m1 AS (SELECT w1.ord, f1.no, f1.v FROM w1 LEFT JOIN f1 ON w1.cls = f1.cls AND w1.k = f1.k AND w1.rn = f1.rn),
+f2 AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY no) AS rn FROM free WHERE no NOT IN (SELECT no FROM m1 WHERE no IS NOT NULL)), w2 AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY ord) AS rn FROM w WHERE NOT has),
+m2 AS (SELECT w2.ord, f2.v FROM w2 LEFT JOIN f2 ON w2.k = f2.k AND w2.rn = f2.rn)
+SELECT ord, v FROM byid UNION ALL SELECT ord, v FROM m1 UNION ALL SELECT ord, v FROM m2"""
+)
 def annotation_overlay(spark, sf_dir):
-    c = t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    exact = c.where("c_custkey % 5 = 0").select("c_custkey", F.lit(-1).alias("c_nationkey"), F.expr("concat('note', c_custkey)").alias("note"))
-    wide = t(spark, sf_dir, "nation").where("n_nationkey < 5").select(F.lit(-1).cast("long").alias("c_custkey"), F.col("n_nationkey").alias("c_nationkey"), F.expr("concat('nation', n_nationkey)").alias("note"))
-    return R.overlay(c, exact.unionByName(wide), [["c_custkey"], ["c_nationkey"]], ["note"]).select("c_custkey", "note")
+    """Notes by id, then one each by class and key, then by key alone."""
+    p = t(spark, sf_dir, "part")
+    rows = p.select(F.col("p_partkey").alias("ord"), F.expr("concat('id', p_partkey)").alias("audit_id"), F.expr("if(p_partkey % 2 = 0, 'positive', 'negative')").alias("cls"), F.expr("p_size % 10").alias("k"))
+    note = lambda d, name, v: p.where(f"p_partkey % {d} = 0").select(F.expr(f"p_partkey * 2 + {int(d == 11)}").alias("no"), F.expr(name).alias("audit_id"), F.expr("if(p_partkey % 3 = 0, 'positive', 'other')").alias("cls"), F.expr("p_size % 10").alias("k"), F.expr(f"concat('{v}', p_partkey)").alias("v"))
+    notes = note(7, "concat('id', p_partkey)", "v").unionByName(note(11, "'x'", "w"))
+    return R.overlay(rows, notes, "audit_id", ["k"], "cls", ["v"], "ord", "no").select("ord", "v")
 
 
 # -- aggregation, order, windows -------------------------------------------------------
@@ -380,9 +395,11 @@ def sentence_pairs(spark, sf_dir):
     return t(spark, sf_dir, "conversations").select("conv_id", "turn", F.concat("text", F.lit(" "), F.lead("text").over(w)).alias("pair"))
 
 
-@query("SELECT conv_id, turn, role || '_' || conv_id || '_' || lpad(CAST(row_number() OVER (PARTITION BY role, conv_id ORDER BY turn) AS VARCHAR), 4, '0') AS audit_id FROM conversations")
+@query("SELECT conv_id, turn, role || '_' || conv_id || '_' || CASE WHEN i < 1000 THEN lpad(CAST(i AS VARCHAR), 4, '0') ELSE CAST(i AS VARCHAR) END AS audit_id FROM (SELECT *, row_number() OVER (ORDER BY conv_id, turn) AS i FROM conversations)")
 def audit_ids(spark, sf_dir):
-    return R.audit_ids(t(spark, sf_dir, "conversations").select("role", "conv_id", "turn"), ["role", "conv_id"], "turn").select("conv_id", "turn", "audit_id")
+    """Numbered over all rows of the run."""
+    c = t(spark, sf_dir, "conversations").select("role", "conv_id", "turn", (F.col("conv_id") * 100_000 + F.col("turn")).alias("ord"))
+    return R.audit_ids(c, ["role", "conv_id"], "ord").select("conv_id", "turn", "audit_id")
 
 
 @query("SELECT conv_id, string_agg(text, ' ' ORDER BY turn) AS body, count(*) AS n_turns FROM conversations GROUP BY conv_id")
@@ -422,7 +439,12 @@ def empty_short_circuit(spark, sf_dir):
     return t(spark, sf_dir, "conversations").where("false").groupBy("conv_id").agg(F.array_distinct(F.collect_list("role")).alias("x"))
 
 
-@query()
+@query(
+    """WITH r AS (SELECT o_orderkey AS row_id, '1' AS chrom, o_orderkey * 3 % 1000000 + 1 AS pos, 'A' AS ref FROM orders), g AS (SELECT p_partkey * 500 AS s, 'G' || p_partkey AS gene, p_size % 3 = 0 AS nc FROM part)
+SELECT r.*, CASE WHEN gene IS NULL THEN 'intergenic' WHEN NOT nc AND pos - s BETWEEN 80 AND 150 THEN 'coding' WHEN pos - s BETWEEN 50 AND 200 THEN CASE WHEN nc THEN 'ncrna_exon' ELSE 'utr' END WHEN nc THEN 'ncrna_gene' ELSE 'intron' END AS genomic_region,
+ coalesce(gene, '') AS genomic_region_genes, CASE WHEN gene IS NULL THEN '' WHEN NOT nc AND pos - s BETWEEN 80 AND 150 THEN 'CDS' WHEN pos - s BETWEEN 50 AND 200 THEN 'exon' ELSE 'gene' END AS genomic_region_feature, '' AS genomic_region_transcripts, '' AS genomic_region_note
+FROM r LEFT JOIN g ON pos BETWEEN s AND s + 400"""
+)
 def region_annotation(spark, sf_dir):
     """Genomic region by interval joins: orders as loci, parts as genes with exons and coding parts."""
     p = t(spark, sf_dir, "part").select(F.lit("1").alias("chrom"), (F.col("p_partkey") * 500).alias("s"), F.expr("concat('G', p_partkey)").alias("gene"), F.when(F.col("p_size") % 3 == 0, "lncRNA").otherwise("protein_coding").alias("biotype"))
@@ -432,10 +454,192 @@ def region_annotation(spark, sf_dir):
     return stages.region_of(rows, features)
 
 
-@query()
+@query(f"SELECT pmid, CASE WHEN size % 5 < 3 THEN '' ELSE 'confidence,' END || 'clinical_source,tier' AS gate_failed FROM {_ARTICLES}")
 def gate_audit(spark, sf_dir):
     """All gates annotated, nothing dropped."""
     rows = text.with_discovery(articles(spark, sf_dir)).withColumns({"method": F.lit("same_abstract_cooccurrence"), "clinical_source": F.lit("lexicon_cue"), "gene_source": F.lit("row_gene"), "tier": F.lit("B")})
-    return apply_gates(rows, review_gates(), "audit").select("pmid", "gate_failed")
+    return apply_gates(rows, review_gates(), "audit").select("pmid", F.array_join("gate_failed", ",").alias("gate_failed"))
+
+
+
+
+# -- genes, alleles, loci --------------------------------------------------------------
+_K = "p_partkey"
+
+
+def _case(values: tuple[str, ...], by: str) -> str:
+    return f"CASE {by} % {len(values)} " + " ".join(f"WHEN {i} THEN {v}" for i, v in enumerate(values)) + " END"
+
+
+@query(f"SELECT {_K}, concat('p.arg', {_K}, 'gln,p.arg', {_K}, 'q,p.r', {_K}, 'gln,p.r', {_K}, 'q') AS keys FROM part WHERE {_K} % 2 = 0 UNION ALL SELECT {_K}, concat('p.p', {_K}, '=,p.p', {_K}, 'p,p.p', {_K}, 'pro,p.pro', {_K}, '=,p.pro', {_K}, 'p,p.pro', {_K}, 'pro') FROM part WHERE {_K} % 2 = 1")
+def protein_spellings(spark, sf_dir):
+    """Lookup keys of changed and of silent residues (HGV-05), in the order of their letters."""
+    name = F.expr(f"if({_K} % 2 = 0, concat('p.(Arg', {_K}, 'Gln)'), concat('p.P', {_K}, '='))")
+    keys = alleles.protein_key_list(name)
+    return t(spark, sf_dir, "part").select(_K, F.array_join(F.array_sort(keys), ",").alias("keys"))
+
+
+_GENE_TEXTS = ("concat('In BRCA', {k}, ' c.{k}A>G was seen.')", "concat('We saw c.{k}A>G (p.Arg5Gln) in BRCA', {k}, '.')", "concat('A change, c.{k}A>G, was found. The gene was named BRCA', {k}, '.')", "concat('We saw c.{k}A>G here. The BRCA', {k}, ' mutation is rare.')", "concat('We saw c.{k}A>G, located in the BRCA', {k}, ' locus.')", "'We saw c.{k}A>G alone.'")
+_GENE_RULES = ("adjacent", "adjacent", "naming_cue", "neighbour", "locus_phrase", "none")
+
+
+def _named(texts: tuple[str, ...]) -> str:
+    return _case(tuple(x.replace("c.{k}A", f"c.', {_K}, 'A").replace("{k}", _K) if x.startswith("concat") else "concat(" + x.replace("{k}", f"', {_K}, '") + ")" for x in texts), _K)
+
+
+@query(f"SELECT {_K}, CASE WHEN {_K} % 6 < 5 THEN 'BRCA' || {_K} END AS gene, {_case(tuple(repr(r) for r in _GENE_RULES), _K)} AS rule FROM part")
+def gene_ladder(spark, sf_dir):
+    """Every step of the gene ladder, with the rule that found the symbol (GEN-02 to GEN-08)."""
+    rows = t(spark, sf_dir, "part").select(_K, genes.gene_for(F.expr(_named(_GENE_TEXTS)), F.expr(f"concat('c.', {_K}, 'A>G')"), F.lit(None).cast("string")).alias("g"))
+    return rows.select(_K, "g.gene", "g.rule")
+
+
+@query(f"SELECT {_K}, 'BRCA' || {_K} AS gene, CASE WHEN {_K} % 2 = 0 THEN 'gene corrected from literature adjacency: OLD' || {_K} || '→BRCA' || {_K} END AS note FROM part")
+def gene_correction(spark, sf_dir):
+    """The gene beside the variant overrides the corpus gene, with a note (GEN-10)."""
+    null = F.lit(None).cast("string")
+    given = F.expr(f"concat(if({_K} % 2 = 0, 'OLD', 'BRCA'), {_K})")
+    run = genes.gene_correction()
+    return t(spark, sf_dir, "part").select(_K, run(given, F.expr(f"concat('c.', {_K}, 'A>G')"), F.expr(f"concat('We saw BRCA', {_K}, ' c.', {_K}, 'A>G.')"), null, null, null, null).alias("g")).select(_K, "g.gene", "g.note")
+
+
+_VARIANTS = ("concat('c.', {k}, 'A>G')", "concat('rs', 100000 + {k})", "concat('NM_', {k}, '.2:c.', {k}, 'A>G')", "concat('c.', {k}, 'C>T')", "concat('GRCh38 chr7:', 5000 + {k}, ' A>G')", "concat('chr7:', 50000 + {k})")
 
 
+@query(
+    f"""SELECT {_K}, CASE k WHEN 3 THEN NULL WHEN 4 THEN '7' WHEN 5 THEN '7' ELSE CAST(p_size % 22 + 1 AS VARCHAR) END AS chrom, CASE k WHEN 3 THEN NULL WHEN 4 THEN 5000 + {_K} WHEN 5 THEN NULL ELSE 1000 + {_K} END AS pos,
+ CASE k WHEN 3 THEN 'C' WHEN 5 THEN '' ELSE 'A' END AS ref, CASE k WHEN 3 THEN 'T' WHEN 5 THEN '' ELSE 'G' END AS alt,
+ {_case(("'gene_c_clinvar'", "'rs_clinvar'", "'nm_c_clinvar'", "'c_hgvs_alleles_only'", "'literal_genomic_chrpos_change'", "'literal_genomic_chrpos'"), _K)} AS method, {_case(("'ok'", "'ok'", "'ok'", "'partial'", "'ok'", "'partial'"), _K)} AS status,
+ {_case(("'high'", "'high'", "'high'", "'low'", "'high'", "'low'"), _K)} AS confidence, {_case(("'clinvar_preferred_transcript'", "'clinvar_preferred_transcript'", "'exact_nm_version'", "'none'", "'not_applicable'", "'not_applicable'"), _K)} AS match FROM (SELECT *, {_K} % 6 AS k FROM part)"""
+)
+def resolver_ladder(spark, sf_dir):
+    """Variants to alleles by rs name, transcript, gene, literal name, and what is left when the reference disagrees (HGV-23, JN-03, JN-04)."""
+    p = t(spark, sf_dir, "part")
+    rows = p.select(F.col(_K).alias("row_id"), F.expr(_case(tuple(v.replace("{k}", _K) for v in _VARIANTS), _K)).alias("variant"), F.expr("concat('GENE', p_size)").alias("gene"), F.lit("").alias("evidence"), F.lit(None).cast("string").alias("cached_text"))
+    row = lambda assembly, pos, ref, alt: p.select(F.lit(assembly).alias("assembly"), F.expr("cast(p_size % 22 + 1 as string)").alias("chrom"), F.expr(pos).alias("pos"), F.lit(ref).alias("ref"), F.lit(alt).alias("alt"), F.expr("concat('GENE', p_size)").alias("gene"), F.expr(f"concat('NM_', {_K})").alias("nm"), F.lit("2").alias("nm_version"), F.expr(f"concat('c.', {_K}, '{ref}>{alt}')").alias("c"), F.lit(None).cast("string").alias("p"), F.expr(f"concat('rs', 100000 + {_K})").alias("rs") if ref == "A" else F.lit(None).cast("string").alias("rs"))
+    table = row("GRCh38", f"1000 + {_K}", "A", "G").unionByName(row("GRCh37", f"900 + {_K}", "A", "G"))
+    table = table.unionByName(row("GRCh38", f"2000 + {_K}", "C", "T")).unionByName(row("GRCh38", f"3000 + {_K}", "C", "T"))
+    out = resolver.resolve(rows, resolver.reference_index(table))
+    return out.select(F.col("row_id").alias(_K), "resolved.chrom", "resolved.pos", "resolved.ref", "resolved.alt", "resolved.method", "resolved.status", "resolved.confidence", "resolved.match")
+
+
+@query(
+    f"""SELECT {_K}, CASE k WHEN 0 THEN 'PASS' WHEN 1 THEN 'FAIL_REF' WHEN 2 THEN 'SKIP_EMPTY' WHEN 3 THEN 'FAIL_SYNTAX' WHEN 4 THEN 'PASS' WHEN 5 THEN 'PASS_WARN' ELSE 'FAIL_COORD' END AS check_status,
+ CASE k WHEN 0 THEN 'snv,fasta_ref_match' WHEN 1 THEN 'fasta_ref_mismatch' WHEN 2 THEN 'missing_chrom_or_pos_or_ref' WHEN 3 THEN 'ref_equals_alt' WHEN 4 THEN 'del_vcf,fasta_ref_match' WHEN 5 THEN 'delins,delins_no_shared_prefix,fasta_ref_match' ELSE 'ref_span_past_contig_end' END AS checks FROM (SELECT *, {_K} % 7 AS k FROM part)"""
+)
+def allele_checks(spark, sf_dir):
+    """Export rows against a sequence of repeated ACGT (HGV-25, HGV-26)."""
+    p = t(spark, sf_dir, "part")
+    pos = f"({_K} % 1000) * 4 + 1"
+    rows = p.select(_K, F.expr(f"if({_K} % 7 = 2, '', 'chr1')").alias("chromosome_ucsc"), F.expr(f"cast(if({_K} % 7 = 6, 9999999, {pos}) as string)").alias("position"), F.expr(_case(("'A'", "'G'", "'A'", "'A'", "'ACG'", "'AC'", "'A'"), _K)).alias("ref"), F.expr(_case(("'G'", "'T'", "'G'", "'A'", "'A'", "'TTT'", "'G'"), _K)).alias("alt"))
+    sequence = spark.range(2).select(F.lit("1").alias("chrom"), F.col("id").cast("int").alias("chunk_no"), F.repeat(F.lit("ACGT"), F.lit(readers.CHUNK // 4)).alias("seq"))
+    return delivery.check_alleles(rows, sequence, _K).select(_K, "check_status", "checks")
+
+
+_TIER = (("likely benign", "classify_paren", "A", "same_sentence_classify_or_control:classify_paren"), ("not associated", "window_rs_null_association", "B", "same_sentence_or_window_association:window_rs_null_association"), ("interesting", "classify_paren", "B", "partial_variant_or_cue_only"), ("benign", "other_rule", "A", "same_sentence_variant_and_neg_cue:other_rule"))
+
+
+@query(f"SELECT {_K}, {_case(tuple(repr(x[2]) for x in _TIER), _K)} AS tier, {_case(tuple(repr(x[3]) for x in _TIER), _K)} AS reason FROM part")
+def negative_tiers(spark, sf_dir):
+    """Link tier of negative alleles by rule and evidence (CLS-05)."""
+    words = F.expr(f"concat('The c.', {_K}, 'A>G change was ', {_case(tuple(repr(x[0]) for x in _TIER), _K)}, '.')")
+    tier = text.negative_link_tier(F.lit(None).cast("string"), F.expr(f"concat('c.', {_K}, 'A>G')"), words, F.expr(_case(tuple(repr(x[1]) for x in _TIER), _K)))
+    return t(spark, sf_dir, "part").select(_K, tier.alias("t")).select(_K, "t.tier", "t.reason")
+
+
+@query(f"SELECT {_K}, CASE {_K} % 4 WHEN 0 THEN 'abstract' WHEN 1 THEN 'fulltext' WHEN 2 THEN 'fulltext' ELSE 'abstract' END AS evidence_source, CASE {_K} % 4 WHEN 0 THEN '[abstract] ' || p_name WHEN 3 THEN '[abstract] ' || p_name ELSE p_name END AS text, {_case(("'A'", "'C'", "'B'"), _K)} AS grade FROM part")
+def stamped_rows(spark, sf_dir):
+    """Source and mark of evidence (FIL-14), and the screen grade with its fallback (CLS-06)."""
+    p = t(spark, sf_dir, "part").select(_K, F.col("p_name").alias("text"), F.expr(f"case {_K} % 4 when 0 then 'abstract' when 1 then 'fulltext' end").alias("evidence_source"), F.expr(f"if({_K} % 4 = 2, 'RESULTS', null)").alias("section"), F.expr(_case(("'a'", "'WATCH'", "null"), _K)).alias("tier"), F.expr(_case(("'C'", "'x'", "'b'"), _K)).alias("again"))
+    return delivery.stamp(p).select(_K, "evidence_source", "text", text.screen_grade(F.col("tier"), F.col("again")).alias("grade"))
+
+
+@query(f"SELECT pmid, variant, kind || ' syndrome' AS clinical, 'A' AS tier, 'fulltext_same_sentence_cooccurrence' AS method, CASE WHEN size % 5 IN (0, 2) THEN gene END AS gene, true AS in_fulltext FROM {_ARTICLES} UNION ALL SELECT pmid, 'rs' || (100000 + ord), kind || ' syndrome', 'B', 'fulltext_known_variant_sentence', NULL, true FROM {_ARTICLES}")
+def full_text_links(spark, sf_dir):
+    """Passages to links: sentence links, sentences of known variants, clinical text out of the title, genes (TXT-11 to TXT-15, AGG-10)."""
+    rows = articles(spark, sf_dir)
+    passages = rows.select("pmid", F.lit(0).alias("idx"), F.lit("RESULTS").alias("section_type"), F.lit("paragraph").alias("passage_type"), F.replace("text", F.lit("It is also listed (rs"), F.lit("It is also listed as one of many in the catalogues of this year (rs")).alias("text"))
+    heads = rows.select("pmid", F.lit("A case of ataxia").alias("title"), F.lit("").alias("abstract"), F.lit(None).cast("string").alias("pubtator"))
+    return stages.link_full_text(passages, heads).select("pmid", "variant", "clinical", "tier", "method", "gene", F.col("variant_discovered_in_fulltext").alias("in_fulltext"))
+
+
+# -- links, reports, searches ----------------------------------------------------------
+@query("SELECT l_orderkey, l_linenumber FROM (SELECT l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_returnflag, l_suppkey ORDER BY l_orderkey * 10 + l_linenumber) AS rn FROM lineitem) WHERE rn = 1")
+def link_dedup(spark, sf_dir):
+    """First link per variant and evidence prefix (AGG-10)."""
+    rows = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_returnflag").alias("variant"), F.concat(F.lpad(F.col("l_suppkey").cast("string"), 240, "0"), F.col("l_orderkey").cast("string")).alias("evidence_sentence"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ord"))
+    return R.dedup_links(rows, "ord").select("l_orderkey", "l_linenumber")
+
+
+@query("SELECT o_orderkey, 'abstract' AS evidence_source FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderpriority, o_orderstatus ORDER BY o_orderkey) AS rn FROM orders WHERE o_orderkey % 2 = 0) WHERE rn = 1 UNION ALL SELECT o_orderkey, 'fulltext' FROM orders WHERE o_orderkey % 2 = 1")
+def merged_pairs(spark, sf_dir):
+    """Abstract pairs once, full-text pairs all (AGG-11, SET-01)."""
+    o = t(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("pmid"), F.col("o_orderpriority").alias("variant"), F.col("o_orderstatus").alias("clinical"))
+    return R.merged_pairs(o.where("o_orderkey % 2 = 0"), o.where("o_orderkey % 2 = 1"), "o_orderkey").select("o_orderkey", "evidence_source")
+
+
+@query("SELECT conv_id, string_agg(role || '=' || n, ',' ORDER BY role) AS counts FROM (SELECT conv_id, role, count(*) AS n FROM conversations GROUP BY ALL) GROUP BY conv_id")
+def section_histogram(spark, sf_dir):
+    h = R.histogram(t(spark, sf_dir, "conversations"), "conv_id", "role", "h")
+    return h.select("conv_id", F.array_join(F.transform(F.map_entries("h"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",").alias("counts"))
+
+
+@query("SELECT CAST(count(*) FILTER (WHERE b IS NULL) AS BIGINT) AS only_first, CAST(count(*) FILTER (WHERE a IS NULL) AS BIGINT) AS only_second, CAST(count(*) FILTER (WHERE a IS NOT NULL AND b IS NOT NULL) AS BIGINT) AS both FROM (SELECT DISTINCT c_custkey AS a FROM customer WHERE c_custkey % 2 = 0) x FULL JOIN (SELECT DISTINCT o_custkey AS b FROM orders) y ON a = b")
+def overlap_counts(spark, sf_dir):
+    return R.overlap_counts(t(spark, sf_dir, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("k")), t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k")), "k")
+
+
+@query(
+    """WITH g AS (SELECT o_orderkey, o_custkey, o_orderstatus, nullif(o_orderpriority, '1-URGENT') AS x FROM orders), w AS (SELECT * FROM g WHERE x IS NOT NULL)
+SELECT (SELECT count(*) FROM g) AS gold_rows, (SELECT count(*) FROM customer) AS candidate_rows, (SELECT count(*) FROM w) AS gold_with_4col, count(*) FILTER (WHERE seg = o_orderstatus) AS genomic_exact_match,
+ round(count(*) FILTER (WHERE seg = o_orderstatus) / (SELECT count(*) FROM w), 4) AS genomic_match_rate FROM w LEFT JOIN (SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'O' ELSE 'F' END AS seg FROM customer) c ON c_custkey = o_custkey"""
+)
+def gold_report(spark, sf_dir):
+    """Counts and rate of exact matches (JN-12)."""
+    c = t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), F.when(F.col("c_custkey") % 2 == 0, "O").otherwise("F").alias("s"), F.lit("x").alias("x"), F.col("c_custkey").alias("ord"))
+    gold = t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k"), F.col("o_orderstatus").alias("s"), F.when(F.col("o_orderpriority") != "1-URGENT", "x").alias("x"))
+    return R.gold_report(c, gold, ["k"], ["s", "x"], "ord")
+
+
+@query("SELECT o_orderkey, coalesce(c_mktsegment, 'positive_candidate') AS label FROM orders LEFT JOIN customer ON c_custkey = o_custkey AND c_custkey % 3 = 0 AND o_orderstatus = 'O'")
+def sidecar_labels(spark, sf_dir):
+    """A label from a side table, else the default (JN-13)."""
+    o = t(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("pmid"), F.col("o_orderstatus").alias("variant"))
+    notes = t(spark, sf_dir, "customer").where("c_custkey % 3 = 0").select(F.col("c_custkey").cast("string").alias("pmid"), F.lit("o").alias("variant"), F.col("c_mktsegment").alias("v"), F.col("c_custkey").alias("ord"))
+    return R.sidecar(o, notes, "v", "positive_candidate", "label").select("o_orderkey", "label")
+
+
+@query(r"SELECT doc_id, CASE WHEN q1 AND q2 THEN 'q1,q2' WHEN q1 THEN 'q1' ELSE 'q2' END AS hits, CASE WHEN q1 AND q2 THEN '' WHEN q1 THEN 'q2' ELSE 'q1' END AS missed FROM (SELECT doc_id, regexp_matches(text, '(?i)\bthe\b') AND (regexp_matches(text, '(?i)\bof\b') OR regexp_matches(text, '(?i)\bwith\b')) AS q1, regexp_matches(text, '(?i)\blicen\w*') AND NOT regexp_matches(text, '(?i)\bwas\b') AS q2 FROM documents WHERE text IS NOT NULL) WHERE q1 OR q2")
+def query_hits(spark, sf_dir):
+    """Boolean queries over whole texts, with the queries that missed (SRC-10, SET-06)."""
+    queries = {"q1": 'the[Title/Abstract] AND ("of"[Title/Abstract] OR with)', "q2": "licen* NOT was"}
+    found = search.with_query_hits(t(spark, sf_dir, "documents").where("text is not null").select("doc_id", "text"), queries, {"title/abstract": F.col("text")}, F.col("text"))
+    return found.select("doc_id", F.array_join("source_query_ids", ",").alias("hits"), F.array_join("missed_query_ids", ",").alias("missed"))
+
+
+@query("SELECT l_orderkey, l_linenumber, distance FROM (SELECT l_orderkey, l_linenumber, greatest(20 - CAST(l_quantity AS BIGINT) - 2, CAST(l_quantity AS BIGINT) - 24, 0) AS distance, row_number() OVER (PARTITION BY l_orderkey ORDER BY greatest(20 - CAST(l_quantity AS BIGINT) - 2, CAST(l_quantity AS BIGINT) - 24, 0), l_linenumber) AS rn FROM lineitem WHERE greatest(20 - CAST(l_quantity AS BIGINT) - 2, CAST(l_quantity AS BIGINT) - 24, 0) <= 10) WHERE rn = 1")
+def nearest_span(spark, sf_dir):
+    """The span nearest to an anchor within a bound (WIN-06)."""
+    rows = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("long").alias("lo"), (F.col("l_quantity").cast("long") + 2).alias("hi"))
+    return R.nearest(rows, ["l_orderkey"], "lo", "hi", F.lit(20), F.lit(24), 10, "l_linenumber").select("l_orderkey", "l_linenumber", "distance")
+
+
+@query(
+    f"""SELECT {_K}, CASE {_K} % 5 WHEN 0 THEN 'unresolvable' WHEN 1 THEN 'absent' WHEN 2 THEN 'known_same_phenotype' WHEN 3 THEN 'known_new_phenotype' ELSE 'known_phenotype_unclear' END AS route FROM part"""
+)
+def reference_routes(spark, sf_dir):
+    """The five routes against a reference with phenotypes (JN-08)."""
+    p = t(spark, sf_dir, "part")
+    rows = p.select(F.col(_K).alias("row_id"), F.expr(f"if({_K} % 5 = 0, 'a phrase', concat('c.', {_K}, 'A>G'))").alias("variant"), F.expr(f"concat('GENE', {_K})").alias("gene"), F.lit("Alstrom syndrome").alias("clinical"))
+    keys = p.where(f"{_K} % 5 > 1").select(F.expr(f"concat('GENE', {_K}, '|c.', {_K}, 'A>G')").alias("key"), F.col(_K).cast("string").alias("locus"))
+    phenotypes = p.where(f"{_K} % 5 in (2, 3)").select(F.col(_K).cast("string").alias("locus"), F.expr(f"if({_K} % 5 = 2, 'ALSTROM SYNDROME, type 1', 'ataxia')").alias("phenotype"))
+    return stages.route_reference(stages.match_reference(rows, keys), phenotypes).select(F.col("row_id").alias(_K), "route")
+
+
+@query(f"SELECT {_K}, CASE WHEN {_K} % 4 < 2 THEN 'coding' ELSE 'utr' END AS region_used FROM part WHERE {_K} % 2 = 0 AND {_K} % 3 <> 0 AND ({_K} % 4 < 2 OR p_size % 2 = 0)")
+def passed_rows(spark, sf_dir):
+    """Rows that a person passed, in the allowed region of the person or the pipeline (FIL-12)."""
+    p = t(spark, sf_dir, "part").where(f"{_K} % 4 < 2 or p_size % 2 = 0")
+    rows = p.select(_K, F.expr(f"concat('id', {_K})").alias("audit_id"), F.lit("positive").alias("sample_class"), F.col(_K).cast("string").alias("pmid"), F.lit("G").alias("gene"), F.lit("v").alias("variant_text"), F.expr(f"if({_K} % 3 = 0, 'intron', 'coding')").alias("genomic_region"))
+    notes = p.select(F.col(_K).alias("no"), F.expr(f"concat('id', {_K})").alias("audit_id"), F.lit("positive").alias("sample_class"), F.col(_K).cast("string").alias("pmid"), F.lit("G").alias("gene"), F.lit("v").alias("variant_text"), F.expr(f"if({_K} % 2 = 0, 'Pass', 'fail')").alias("human_verdict"), F.lit("").alias("human_comment"), F.lit("").alias("human_fail_stage"), F.expr(f"if({_K} % 4 >= 2 and {_K} % 3 <> 0, 'utr', '')").alias("human_genomic_region"))
+    return delivery.reviewed(rows, notes, _K, "no", ["coding", "utr"]).select(_K, "region_used")

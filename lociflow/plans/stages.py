@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociflow.functions import hgvs, spans, text
+from lociflow.functions import genes, hgvs, spans, text
 from lociflow.functions import patterns as P
 from lociflow.operators import relational as R
 from lociflow.plans.gates import apply_gates, review_gates, review_score
@@ -19,7 +19,7 @@ def link_articles(articles: DataFrame) -> DataFrame:
     rows = articles.withColumn("text", F.trim(F.concat_ws(" ", "title", "abstract")))
     keep = [c for c in ("pmid", "text", "journal", "journal_iso", "issn", "pub_date", "ord") if c in rows.columns]
     linked = spans.explode_links(rows, "text", keep)
-    bound = spans.gene_for(F.col("evidence_sentence"), F.col("variant"), F.lit(None).cast("string"))
+    bound = genes.gene_for(F.col("evidence_sentence"), F.col("variant"), F.lit(None).cast("string"))
     return linked.withColumn("__g", bound).withColumn("gene", F.col("__g.gene")).withColumn("gene_rule", F.col("__g.rule")).withColumn("gene_source", F.when(F.col("gene").isNotNull(), "row_gene")).withColumn("evidence_source", F.lit("abstract")).drop("__g")
 
 
@@ -63,41 +63,82 @@ def label_pathogenicity(rows: DataFrame, texts: DataFrame) -> DataFrame:
     return out.withColumn("pathogenicity", text.pathogenicity(F.col("cached_text"), F.col("gene"), F.col("variant"))).drop("cached_text")
 
 
-def negative_alleles(articles: DataFrame, anchors: DataFrame, positives: DataFrame) -> DataFrame:
-    """Negative evidence beside each anchor, without positives, best per paper and then per locus."""
-    found = articles.join(anchors.select("pmid", F.col("variant").alias("anchor")), "pmid").select("pmid", F.explode(spans.negatives(F.col("text"), F.col("anchor"))).alias("n"), "text").select("pmid", "n.*", "text")
-    found = found.withColumn("__g", spans.gene_for(F.col("evidence"), F.col("variant"), F.lit(None).cast("string"))).withColumn("gene", F.col("__g.gene")).drop("__g").withColumn("row_id", F.monotonically_increasing_id())
+def _rank(column: str, table: dict) -> Column:
+    return F.coalesce(F.create_map(*[F.lit(x) for kv in table.items() for x in kv])[F.col(column)], F.lit(9))
+
+
+def locus_key(gene: Column, variant: Column) -> Column:
+    """GENE or NA, and the longest search term of four characters or more (the first among equals)."""
+    terms = F.filter(text.search_terms(variant), lambda t: F.length(t) >= 4)
+    longest = F.get(F.filter(terms, lambda t: F.length(t) == F.array_max(F.transform(terms, lambda x: F.length(x)))), 0)
+    g = F.upper(F.trim(F.coalesce(gene, F.lit(""))))
+    return F.concat(F.when(g == "", "NA").otherwise(g), F.lit("|"), F.lower(F.regexp_replace(F.coalesce(longest, F.trim(F.coalesce(variant, F.lit("")))), r"[\s()]", "")))
+
+
+def negative_alleles(articles: DataFrame, anchors: DataFrame, positives: DataFrame, independent: bool = False) -> DataFrame:
+    """Negative evidence beside each anchor, without positives, best per paper and then per locus.
+
+    ``independent`` renames the role of other sites in a paper, as for runs without positives beside them.
+    """
+    named = anchors.select("pmid", F.col("variant").alias("anchor"), *(["gene"] if "gene" in anchors.columns else [F.lit(None).cast("string").alias("gene")])).withColumnRenamed("gene", "anchor_gene")
+    found = articles.join(named, "pmid").select("pmid", "anchor_gene", F.explode(spans.negatives(F.col("text"), F.col("anchor"))).alias("n")).select("pmid", "anchor_gene", "n.*")
+    found = found.withColumn("gene", genes.gene_of_negative("evidence", "variant", "anchor_gene")).drop("anchor_gene")
+    if independent:
+        found = found.withColumn("role", F.when(F.col("role") == "same_paper_other_site", "corpus_benign_mention").otherwise(F.col("role")))
+    # the order of a hit: its paper and sentence, then what it says
+    found = found.withColumn("row_id", F.struct("pmid", "sentence_no", "rule", "variant", "label", "role", "gene"))
     low = F.lower("variant")
-    keys = [F.concat(F.upper("gene"), F.lit("|"), low), F.concat(F.lit("|"), low)]
-    excluded = positives.select(F.explode(F.array(F.concat(F.upper(F.coalesce("gene", F.lit(""))), F.lit("|"), low), F.concat(F.lit("|"), low))).alias("k"))
+    keys = [F.lower(locus_key(F.col("gene"), F.col("variant"))), F.concat(F.lower("gene"), F.lit("|"), low), F.concat(F.lit("|"), low)]
+    excluded = positives.select(F.explode(F.array(F.lower(locus_key(F.col("gene"), F.col("variant"))), F.concat(F.lower(F.coalesce("gene", F.lit(""))), F.lit("|"), low), F.concat(F.lit("|"), low))).alias("k"))
     kept = R.anti_any_key(found, "row_id", keys, excluded, "k")
-    rank = lambda c, table: F.coalesce(F.create_map(*[F.lit(x) for kv in table.items() for x in kv])[F.col(c)], F.lit(9))
     sure = F.create_map(*[F.lit(x) for x in ("high", 0, "medium", 1, "low", 2)])[F.col("confidence")]
-    paper = R.best_per_key(kept, ["pmid", "variant"], [rank("role", P.ROLE_PRIORITY), rank("label", P.LABEL_PRIORITY), sure], "row_id")
-    paper = paper.withColumn("negative_locus_key", F.concat(F.upper(F.coalesce("gene", F.lit(""))), F.lit("|"), F.lower("variant")))
-    return R.best_per_key(paper, ["negative_locus_key"], [rank("label", P.LABEL_PRIORITY), rank("role", P.ROLE_PRIORITY), sure], "row_id")
+    paper = R.best_per_key(kept, ["pmid", "variant"], [_rank("role", P.ROLE_PRIORITY), _rank("label", P.LABEL_PRIORITY), sure], "row_id")
+    paper = paper.withColumn("negative_locus_key", locus_key(F.col("gene"), F.col("variant")))
+    best = R.best_per_key(paper, ["negative_locus_key"], [_rank("label", P.LABEL_PRIORITY), _rank("role", P.ROLE_PRIORITY), sure], "row_id")
+    tier = text.negative_link_tier(F.lit(None).cast("string"), F.col("variant"), F.col("evidence"), F.col("rule"))
+    return best.withColumn("__t", tier).withColumn("link_tier", F.col("__t.tier")).withColumn("link_reason", F.col("__t.reason")).drop("__t", "row_id")
+
+
+#: Features up to this length are cut into narrow bins, longer ones into wide ones.
+SHORT_FEATURE, NARROW_BIN = 8192, 8192
+
 
+def region_of(rows: DataFrame, features: DataFrame, row_id: str = "row_id", catalog_gene: str | None = None) -> DataFrame:
+    """Region class of the strongest overlapping features, with the genes and transcripts of that class only (HGV-24).
 
-def region_of(rows: DataFrame, features: DataFrame, row_id: str = "row_id") -> DataFrame:
-    """coding, utr, exon, intron, noncoding and intergenic by precedence over overlapping features (HGV-24)."""
+    CDS, then UTR, exon of a protein gene, protein gene (intron), exon and gene of non-coding RNA, pseudogene, other gene
+    (intron); no feature is intergenic, and a row without coordinates has empty fields.
+    """
     spans_ = rows.where("chrom is not null and pos is not null").select(row_id, F.col("chrom"), F.col("pos").alias("lo"), (F.col("pos") + F.greatest(F.length(F.coalesce("ref", F.lit("N"))), F.lit(1)) - 1).alias("hi"))
-    hits = R.interval_join(spans_, features.select("chrom", "type", F.col("start").alias("f_lo"), F.col("end").alias("f_hi"), "gene", "biotype"), "chrom", ("lo", "hi"), ("f_lo", "f_hi"))
-    coding, nc = F.col("biotype") == "protein_coding", F.col("biotype").rlike("(?i)rna")
-    pseudo = F.col("biotype").rlike("(?i)pseudogene")
-    has = lambda c: F.max(F.when(c, 1).otherwise(0)) == 1
-    gene = F.col("type") == "gene"
-    region = (
-        F.when(has(F.col("type") == "cds"), "coding")
-        .when(has(F.col("type").rlike("utr") | ((F.col("type") == "exon") & coding)), "utr")
-        .when(has(gene & coding), "intron")
-        .when(has((F.col("type") == "exon") & nc), "ncRNA_exonic")
-        .when(has(gene & nc), "ncRNA")
-        .when(has(pseudo), "pseudogene")
-        .when(has(gene), "intron")
-        .otherwise("intergenic")
-    )
-    found = hits.groupBy(row_id).agg(region.alias("genomic_region"), F.array_join(F.array_sort(F.collect_set("gene")), ";").alias("genomic_region_genes"))
-    return rows.join(found, row_id, "left").withColumn("genomic_region", F.when(F.col("chrom").isNotNull() & F.col("pos").isNotNull(), F.coalesce("genomic_region", F.lit("intergenic"))))
+    transcript = F.col("transcript") if "transcript" in features.columns else F.lit(None).cast("string")
+    known = features.select("chrom", F.lower("type").alias("type"), F.col("start").alias("f_lo"), F.col("end").alias("f_hi"), "gene", "biotype", transcript.alias("transcript"))
+    short = F.col("f_hi") - F.col("f_lo") < SHORT_FEATURE
+    parts = [R.interval_join(spans_, known.where(c), "chrom", ("lo", "hi"), ("f_lo", "f_hi"), width) for c, width in ((short, NARROW_BIN), (~short, R.BIN_SIZE))]
+    hits = parts[0].unionByName(parts[1])
+    b = F.coalesce(F.col("biotype"), F.lit(""))
+    kind = F.when(b.isin(*P.PROTEIN_BIOTYPES), "protein").when(b.isin(*P.NCRNA_BIOTYPES), "ncrna").when(F.contains(F.lower(b), F.lit("pseudogene")), "pseudo").otherwise("other")
+    is_gene, is_exon = F.col("type").isin(*P.GENE_TYPES), F.col("type") == "exon"
+    classes = [
+        (F.col("type") == "cds", "coding", "CDS"), (F.col("type").rlike("utr"), "utr", "UTR"), (is_exon & (kind == "protein"), "utr", "exon"), (is_gene & (kind == "protein"), "intron", "gene"),
+        (is_exon & (kind == "ncrna"), "ncrna_exon", "exon"), (is_gene & (kind == "ncrna"), "ncrna_gene", "gene"), (is_gene & (kind == "pseudo"), "pseudogene", "gene"), (is_gene, "intron", "gene"),
+    ]
+    rank = F.when(classes[0][0], 0)
+    for i, (c, _, _) in enumerate(classes[1:], 1):
+        rank = rank.when(c, i)
+    named = lambda c: F.array_join(F.array_sort(F.collect_set(F.nullif(F.col(c), F.lit("")))), ";")
+    per = hits.withColumn("__rank", rank).where("__rank is not null").groupBy(row_id, "__rank").agg(named("gene").alias("g"), named("transcript").alias("t"))
+    best = per.groupBy(row_id).agg(F.min(F.struct("__rank", "g", "t")).alias("m"))
+    value = lambda k: F.element_at(F.array(*[F.lit(c[k]) for c in classes]), F.col("m.__rank") + 1)
+    found = best.select(row_id, value(1).alias("genomic_region"), F.col("m.g").alias("genomic_region_genes"), value(2).alias("genomic_region_feature"), F.when(F.col("m.__rank").isin(0, 1, 2, 4), F.col("m.t")).otherwise("").alias("genomic_region_transcripts"))
+    out = rows.join(found, row_id, "left")
+    placed = F.col("chrom").isNotNull() & F.col("pos").isNotNull()
+    out = out.withColumn("genomic_region", F.when(placed, F.coalesce("genomic_region", F.lit("intergenic"))).otherwise(""))
+    out = out.withColumns({c: F.coalesce(c, F.lit("")) for c in ("genomic_region_genes", "genomic_region_feature", "genomic_region_transcripts")})
+    cat = F.upper(F.trim(F.coalesce(F.col(catalog_gene), F.lit("")))) if catalog_gene else F.lit("")
+    names = F.col("genomic_region_genes")
+    elsewhere = F.concat(F.lit("catalog_gene "), cat, F.lit(" not overlapping position; "))
+    note = F.when((cat == "") | ~placed, "").when(F.col("genomic_region") == "intergenic", F.concat(elsewhere, F.lit("intergenic"))).when((names != "") & ~F.array_contains(F.split(F.upper(names), ";"), cat), F.concat(elsewhere, F.lit("GFF3="), F.replace(names, F.lit(";"), F.lit(",")))).otherwise("")
+    return out.withColumn("genomic_region_note", note)
 
 
 def new_sites(rows: DataFrame, articles: DataFrame) -> DataFrame:
@@ -110,18 +151,84 @@ def new_sites(rows: DataFrame, articles: DataFrame) -> DataFrame:
     return out.withColumn("site_reason", reason).withColumn("kept", F.col("site_reason") != "bare_rs").drop("__rs")
 
 
+def link_full_text(passages: DataFrame, articles: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """Passages (pmid, idx, section_type, passage_type, text) to links with upgraded clinical text and a gene (TXT-15).
+
+    Variants of the abstract and of all passages are looked for in every passage; links of passages come before links of
+    known variants, and the first per variant and evidence stays.  ``articles``: pmid, title, abstract, pubtator (JSON).
+    """
+    body = passages.where(text.usable_passage(F.col("section_type"), F.col("passage_type"), F.col("text")) & text.in_body(F.col("section_type")))
+    found = body.groupBy("pmid").agg(F.array_distinct(F.flatten(F.collect_list(text.concrete_variants(F.col("text"))))).alias("found"))
+    own = articles if known is None else articles.join(known, "pmid", "left")
+    seeds = own.select("pmid", "title", "abstract", "pubtator", (F.coalesce("known", F.array().cast("array<string>")) if known is not None else text.concrete_variants(F.concat_ws(" ", "title", "abstract"))).alias("own"))
+    rows = body.join(seeds, "pmid").join(found, "pmid")
+    new = R.only_in(F.col("found"), F.col("own"))
+    both = F.concat(
+        F.transform(spans.links_in_passage("text"), lambda x: F.struct(F.lit(0).alias("kind"), x.alias("l"))),
+        F.transform(spans.links_of_known("text", F.array_distinct(F.concat("own", "found"))), lambda x: F.struct(F.lit(1).alias("kind"), x.alias("l"))),
+    )
+    links = rows.select("pmid", "idx", "title", "abstract", "pubtator", F.col("section_type").alias("section"), F.col("text").alias("passage"), new.alias("new"), F.posexplode(both).alias("n", "x"))
+    links = links.select("pmid", "idx", "n", "title", "abstract", "pubtator", "section", "passage", "new", "x.kind", "x.l.*")
+    links = links.withColumn("variant", hgvs.variant_token(F.col("variant"))).where(text.is_concrete(F.col("variant")) | (F.col("method") == "fulltext_known_variant_sentence"))
+    once = R.dedup_links(links.withColumn("__o", F.struct("kind", "idx", "n")), "__o").drop("__o")
+    better = spans.upgraded(F.struct("clinical", "clinical_subtype", "clinical_source", "tier"), "evidence_sentence", "passage", "title", "pubtator", "variant")
+    once = once.withColumn("__u", better)
+    once = once.withColumns({c: F.col(f"__u.{c}") for c in ("clinical", "clinical_subtype", "clinical_source", "tier")})
+    bound = genes.gene_in_article("variant", "evidence_sentence", "title", "abstract", "passage", "pubtator", F.lit(None).cast("string"))
+    once = once.withColumn("__g", bound).withColumn("gene", F.col("__g.gene")).withColumn("gene_rule", F.col("__g.rule"))
+    once = once.withColumn("variant_discovered_in_fulltext", F.array_contains("new", F.col("variant"))).withColumn("evidence_source", F.lit("fulltext"))
+    return once.drop("__u", "__g", "new", "kind", "n", "passage", "abstract", "pubtator")
+
+
+def route_reference(rows: DataFrame, known_phenotypes: DataFrame, row_id: str = "row_id") -> DataFrame:
+    """Five routes of rows that ``match_reference`` has labelled (JN-08): absent, known with the same, a new or an unclear phenotype, unresolvable.
+
+    ``known_phenotypes``: (locus, phenotype).  A phenotype agrees when one text contains the other, signs and case aside.
+    """
+    flat = lambda c: text.normalize_name(c)
+    noted = known_phenotypes.where(~text.blank(F.col("phenotype"))).groupBy(F.col("locus").alias("__l")).agg(F.collect_set(flat(F.col("phenotype"))).alias("__known"))
+    out = rows.join(noted, F.col("match_value") == F.col("__l"), "left").drop("__l")
+    own = flat(F.col("clinical"))
+    same = F.exists("__known", lambda k: F.contains(k, own) | F.contains(own, k))
+    label = (
+        F.when(F.col("route") == "unresolvable", "unresolvable")
+        .when(F.col("route") == "absent", "absent")
+        .when(F.col("__known").isNull() | (own == ""), "known_phenotype_unclear")
+        .when(same, "known_same_phenotype")
+        .otherwise("known_new_phenotype")
+    )
+    return out.withColumn("route", label).drop("__known")
+
+
 @dataclass
 class Runner:
-    """Runs named stages in order; results are kept lazily and counted into a report."""
+    """Runs named stages in order.
+
+    With a ``folder`` every result is written there and reread; a finished one (its success file stands) is reused by a later
+    run, unless ``force`` is set.  Without one results are kept lazily.
+    """
 
     stages: dict[str, Callable[[dict[str, DataFrame]], DataFrame]]
     tables: dict[str, DataFrame] = field(default_factory=dict)
+    folder: str | None = None
+    force: bool = False
+
+    def _finished(self, spark: SparkSession, path: str) -> bool:
+        done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+        return done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done)
 
     def run(self, first: str | None = None, last: str | None = None) -> dict[str, DataFrame]:
         names = list(self.stages)
         lo, hi = names.index(first) if first else 0, names.index(last) + 1 if last else len(names)
         for name in names[lo:hi]:
-            self.tables[name] = self.stages[name](self.tables)
+            if self.folder is None:
+                self.tables[name] = self.stages[name](self.tables)
+                continue
+            spark = SparkSession.getActiveSession()
+            path = f"{self.folder}/{name}"
+            if self.force or not self._finished(spark, path):
+                self.stages[name](self.tables).write.mode("overwrite").parquet(path)
+            self.tables[name] = spark.read.parquet(path)
         return self.tables
 
     def only(self, pmid: str) -> Runner:

@@ -78,39 +78,72 @@ def clinvar_keys(table: DataFrame) -> DataFrame:
 
 
 def gff3(spark: SparkSession, path: str) -> DataFrame:
-    """Features with attributes as a map, ids without their type prefix."""
+    """Features with the attributes in use; ids without their type prefix, the first of several parents, the first of repeated attributes."""
     raw = spark.read.text(path).where(~F.startswith("value", F.lit("#")) & (F.col("value") != ""))
     f = F.split("value", "\t")
-    clean = lambda c: F.regexp_replace(c, r"^(?:gene|transcript|rna|exon|cds):", "")
-    df = raw.where(F.size(f) == 9).select(f[0].alias("seq"), f[2].alias("type"), f[3].cast("long").alias("start"), f[4].cast("long").alias("end"), f[6].alias("strand"), F.expr("str_to_map(split(value, '\t')[8], ';', '=')").alias("attrs"))
-    return df.select(hgvs.norm_chrom(F.col("seq")).alias("chrom"), F.lower("type").alias("type"), "start", "end", "strand", clean(F.col("attrs")["ID"]).alias("id"), clean(F.col("attrs")["Parent"]).alias("parent"), F.coalesce(F.col("attrs")["Name"], F.col("attrs")["gene"]).alias("name"), F.coalesce(F.col("attrs")["biotype"], F.col("attrs")["gene_biotype"]).alias("biotype"))
+    df = raw.where(F.size(f) >= 9).select(F.get(f, 0).alias("seq"), F.get(f, 2).alias("type"), F.get(f, 3).try_cast("long").alias("start"), F.get(f, 4).try_cast("long").alias("end"), F.get(f, 6).alias("strand"), F.split(F.get(f, 8), ";").alias("attrs")).where("start is not null and end is not null")
+    attr = lambda name: F.nullif(F.trim(F.substring(F.get(F.filter("attrs", lambda a: F.startswith(F.trim(a), F.lit(f"{name}="))), 0), F.lit(len(name) + 2), F.lit(1 << 20))), F.lit(""))
+    clean = lambda c: F.regexp_replace(F.split(c, ",")[0], r"^(?:gene|transcript|rna|exon|cds):", "")
+    return df.select(
+        hgvs.norm_chrom(F.col("seq")).alias("chrom"), F.lower("type").alias("type"), "start", "end", "strand", clean(attr("ID")).alias("id"), clean(attr("Parent")).alias("parent"),
+        F.coalesce(attr("Name"), attr("gene")).alias("name"), F.coalesce(attr("biotype"), attr("gene_biotype")).alias("biotype"), attr("tag").alias("tag"), attr("version").alias("version"),
+    ).where("chrom is not null")
 
 
 def gff3_features(features: DataFrame) -> DataFrame:
-    """Features with their gene: parents are resolved by joins, so file order does not matter."""
-    genes = features.where(F.col("type").isin("gene", "ncrna_gene", "pseudogene")).select(F.col("id").alias("g_id"), F.coalesce("name", "id").alias("gene"), F.coalesce("biotype", F.lit("protein_coding")).alias("gene_biotype"))
-    transcripts = features.where(F.col("parent").isNotNull()).join(genes, F.col("parent") == F.col("g_id")).select(F.col("id").alias("t_id"), "gene", F.coalesce("biotype", "gene_biotype").alias("t_biotype"))
-    parts = features.where(F.col("type").isin("exon", "cds", "five_prime_utr", "three_prime_utr")).join(transcripts, F.col("parent") == F.col("t_id")).select("chrom", "type", "start", "end", "strand", "gene", F.col("t_biotype").alias("biotype"))
-    own = features.join(genes, F.col("id") == F.col("g_id")).select("chrom", F.lit("gene").alias("type"), "start", "end", "strand", "gene", F.col("gene_biotype").alias("biotype"))
+    """Features with their gene and transcript: parents are resolved by joins, so file order does not matter; a parent may be the gene itself."""
+    genes = features.where(F.col("type").isin("gene", "ncrna_gene", "pseudogene")).select(F.coalesce("id", "parent").alias("g_id"), F.coalesce("name", "id", "parent").alias("gene"), "biotype")
+    named = genes.select(F.col("g_id").alias("t_id"), "gene", F.col("biotype").alias("g_biotype"), F.lit(None).cast("string").alias("transcript"))
+    transcripts = features.where("parent is not null and id is not null").where(~F.col("type").isin("exon", "cds", "five_prime_utr", "three_prime_utr")).join(genes.drop("biotype"), F.col("parent") == F.col("g_id")).join(genes.select(F.col("g_id").alias("g2"), F.col("biotype").alias("g_biotype")), F.col("parent") == F.col("g2"))
+    named = named.unionByName(transcripts.select(F.col("id").alias("t_id"), "gene", "g_biotype", F.col("id").alias("transcript")))
+    parts = features.where(F.col("type").isin("exon", "cds", "five_prime_utr", "three_prime_utr")).join(named, F.col("parent") == F.col("t_id"), "left")
+    parts = parts.select("chrom", "type", "start", "end", "strand", F.coalesce("gene", "name").alias("gene"), F.coalesce(F.nullif("g_biotype", F.lit("")), "biotype").alias("biotype"), "transcript")
+    own = features.join(genes.select("g_id", "gene"), F.coalesce("id", "parent") == F.col("g_id")).where(F.col("type").isin("gene", "ncrna_gene", "pseudogene")).select("chrom", "type", "start", "end", "strand", "gene", "biotype", F.lit(None).cast("string").alias("transcript"))
     return own.unionByName(parts)
 
 
-def mane_transcripts(features: DataFrame, raw: DataFrame) -> DataFrame:
-    """gene -> exons and CDS of its tagged transcript, as sorted arrays."""
-    tagged = raw.where("type in ('mrna', 'transcript')").select(F.col("id").alias("t"), "parent", "strand")
-    cds = raw.where("type = 'cds'").select(F.col("parent").alias("t"), F.struct("start", "end").alias("span"))
-    genes = features.where("type = 'gene'").select("gene", "chrom").distinct()
-    names = raw.where("type = 'gene'").select(F.col("id").alias("parent"), F.coalesce("name", "id").alias("gene"))
-    return tagged.join(cds, "t").groupBy("t", "parent", "strand").agg(F.sort_array(F.collect_set("span")).alias("cds")).join(names, "parent").join(genes, "gene").select("gene", "chrom", "t", "strand", "cds")
+def mane_transcripts(raw: DataFrame) -> DataFrame:
+    """gene, chrom, t, version, strand, exons and cds (sorted arrays of spans) of the transcripts tagged MANE_Select."""
+    tagged = raw.where("type in ('mrna', 'transcript') and tag rlike 'MANE_Select'").select(F.col("id").alias("t"), F.col("parent").alias("__g"), "strand", "chrom", "version")
+    span = F.struct("start", "end")
+    parts = raw.where("type in ('exon', 'cds')").groupBy(F.col("parent").alias("t")).agg(*[F.sort_array(F.collect_set(F.when(F.col("type") == k, span))).alias(name) for k, name in (("exon", "exons"), ("cds", "cds"))])
+    names = raw.where(F.col("type") == "gene").select(F.col("id").alias("__g"), F.upper(F.coalesce("name", "id")).alias("gene"))
+    return tagged.join(parts, "t").join(names, "__g").select("gene", "chrom", "t", "version", "strand", "exons", "cds")
+
+
+def cds_spans(raw: DataFrame) -> DataFrame:
+    """First and last coding base per transcript (AGG-17)."""
+    return raw.where("type = 'cds'").groupBy(F.col("parent").alias("t")).agg(F.min("start").alias("cds_start"), F.max("end").alias("cds_end"))
 
 
 def fasta(spark: SparkSession, path: str, chunk: int = CHUNK) -> DataFrame:
-    """(contig, chunk_no, seq): fixed-width chunks for joins by position."""
-    df = spark.read.text(path, lineSep=">").where("trim(value) <> ''")
-    contig = F.split(F.split("value", "\n")[0], r"\s+")[0]
-    seq = F.upper(F.regexp_replace(F.regexp_replace("value", r"^[^\n]*\n", ""), r"\s+", ""))
-    parts = df.select(contig.alias("contig"), seq.alias("s")).withColumn("chunk_no", F.explode(F.sequence(F.lit(0), F.floor((F.length("s") - 1) / chunk).cast("int"))))
-    return parts.select(hgvs.norm_chrom(F.col("contig")).alias("chrom"), "chunk_no", F.substring("s", F.col("chunk_no") * chunk + 1, F.lit(chunk)).alias("seq"))
+    """(chrom, chunk_no, seq): fixed-width chunks for joins by position.
+
+    Lines stay lines until their offset is known: contigs and offsets are carried from block to block of the files by one
+    row per block and contig, so no task holds a whole contig.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("i")).where("trim(value) <> ''")
+    head = F.when(F.startswith("value", F.lit(">")), F.split(F.substring("value", 2, 1 << 20), r"\s+")[0])
+    inside = Window.partitionBy("file", "block").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    lines = lines.withColumn("head", head).withColumn("own", F.last("head", ignorenulls=True).over(inside))
+    blocks = lines.groupBy("file", "block").agg(F.max_by("own", "i").alias("last"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = blocks.select("file", "block", F.last("last", ignorenulls=True).over(before).alias("from_before"))
+    bases = lines.where("head is null").join(carried, ["file", "block"]).withColumn("contig", F.coalesce("own", "from_before")).withColumn("s", F.upper(F.regexp_replace("value", r"\s+", "")))
+    per = bases.groupBy("file", "contig", "block").agg(F.sum(F.length("s")).alias("n"))
+    starts = per.select("file", "contig", "block", F.coalesce(F.sum("n").over(Window.partitionBy("file", "contig").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"))
+    so_far = F.coalesce(F.sum(F.length("s")).over(Window.partitionBy("file", "contig", "block").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = bases.withColumn("__in", so_far).join(starts, ["file", "contig", "block"]).withColumn("at", F.col("offset") + F.col("__in"))
+    cut = placed.withColumn("chunk_no", F.explode(F.sequence(F.floor(F.col("at") / chunk), F.floor((F.col("at") + F.length("s") - 1) / chunk))))
+    lo = F.greatest(F.col("chunk_no") * chunk - F.col("at"), F.lit(0)).cast("int")
+    hi = F.least((F.col("chunk_no") + 1) * chunk - F.col("at"), F.length("s")).cast("int")
+    pieces = cut.select(hgvs.norm_chrom(F.col("contig")).alias("chrom"), F.col("chunk_no").cast("int").alias("chunk_no"), (F.col("at") + lo).alias("o"), F.substring("s", lo + 1, hi - lo).alias("s"))
+    return pieces.groupBy("chrom", "chunk_no").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("o", "s"))), lambda x: x["s"]), "").alias("seq"))
+
+
+def contig_lengths(sequence: DataFrame) -> DataFrame:
+    """(chrom, length) of a sequence table."""
+    return sequence.groupBy("chrom").agg(F.sum(F.length("seq")).cast("long").alias("length"))
 
 
 def fetch_bases(df: DataFrame, sequence: DataFrame, chrom: str, start: str, end: str, out: str, chunk: int = CHUNK) -> DataFrame:
@@ -182,3 +215,75 @@ def dbsnp_alleles(df: DataFrame, payload: str, rs: str) -> DataFrame:
     placements = df.select(rs, F.explode(F.from_json(payload, schema)["primary_snapshot_data"]["placements_with_allele"]).alias("pl"))
     alleles = placements.select(rs, F.col("pl.is_ptlp").alias("is_ptlp"), F.explode("pl.alleles.allele.spdi").alias("s"))
     return alleles.where("s.deleted_sequence <> s.inserted_sequence").select(rs, "is_ptlp", F.col("s.seq_id").alias("seq_id"), (F.col("s.position") + 1).alias("pos"), F.col("s.deleted_sequence").alias("ref"), F.col("s.inserted_sequence").alias("alt"))
+
+
+def dbsnp_genes(df: DataFrame, payload: str, rs: str) -> DataFrame:
+    """(rs, gene, gene_id) of RefSNP payloads, distinct; ``unique_gene`` is set where a payload names one gene only (GEN-11)."""
+    schema = "primary_snapshot_data struct<allele_annotations array<struct<assembly_annotation array<struct<genes array<struct<locus string, id bigint, name string>>>>>>>"
+    genes = F.flatten(F.flatten(F.transform(F.from_json(payload, schema)["primary_snapshot_data"]["allele_annotations"], lambda a: a["assembly_annotation"]["genes"])))
+    rows = df.select(rs, F.explode(genes).alias("g")).select(rs, F.upper(F.trim("g.locus")).alias("gene"), F.col("g.id").alias("gene_id")).where("gene <> ''").groupBy(rs, "gene").agg(F.max("gene_id").alias("gene_id"))
+    return rows.withColumn("unique_gene", F.when(F.count("*").over(Window.partitionBy(rs)) == 1, F.col("gene")))
+
+
+def dbsnp_frequencies(df: DataFrame, payload: str, rs: str) -> DataFrame:
+    """(rs, seq_id, ref, alt, study, count, total) of RefSNP payloads (AGG-15)."""
+    schema = "primary_snapshot_data struct<allele_annotations array<struct<frequency array<struct<study_name string, allele_count double, total_count double, observation struct<seq_id string, deleted_sequence string, inserted_sequence string>>>>>>"
+    rows = F.flatten(F.from_json(payload, schema)["primary_snapshot_data"]["allele_annotations"]["frequency"])
+    f = df.select(rs, F.explode(rows).alias("f"))
+    return f.select(rs, F.col("f.observation.seq_id").alias("seq_id"), F.upper("f.observation.deleted_sequence").alias("ref"), F.upper("f.observation.inserted_sequence").alias("alt"), F.col("f.study_name").alias("study"), F.col("f.allele_count").alias("count"), F.col("f.total_count").alias("total"))
+
+
+def dbsnp_movements(df: DataFrame, payload: str, rs: str) -> DataFrame:
+    """(rs, seq_id, ref, alt, weight): observations, ClinVar ones counting three."""
+    at = "struct<seq_id string, deleted_sequence string, inserted_sequence string>"
+    rows = df.select(rs, F.explode(F.from_json(payload, f"present_obs_movements array<struct<allele_in_cur_release {at}, observation {at}, component_ids array<struct<type string>>>>")["present_obs_movements"]).alias("m"))
+    o = F.coalesce(F.col("m.allele_in_cur_release"), F.col("m.observation"))
+    weight = F.aggregate(F.coalesce(F.col("m.component_ids.type"), F.array().cast("array<string>")), F.lit(0), lambda w, t: w + F.when(F.lower(t) == "clinvar", 3).otherwise(1))
+    return rows.select(rs, o["seq_id"].alias("seq_id"), F.upper(o["deleted_sequence"]).alias("ref"), F.upper(o["inserted_sequence"]).alias("alt"), F.greatest(weight, F.lit(1)).alias("weight"))
+
+
+def efetch_articles(df: DataFrame, xml: str) -> DataFrame:
+    """Article records out of PubMed XML, one article per row (SRC-11)."""
+    one = lambda path: F.nullif(F.trim(F.expr(f"xpath_string({xml}, '{path}')")), F.lit(""))
+    return df.select(
+        one("//MedlineCitation/PMID").alias("pmid"), one("//ArticleTitle").alias("title"), F.array_join(F.expr(f"xpath({xml}, '//Abstract/AbstractText/text()')"), " ").alias("abstract"),
+        one("//Journal/Title").alias("journal"), one("//Journal/ISOAbbreviation").alias("journal_iso"), one("//Journal/ISSN").alias("issn"),
+        F.struct(one("//JournalIssue/PubDate/Year").alias("year"), one("//JournalIssue/PubDate/Month").alias("month")).alias("pub_date"),
+        one('//ArticleId[@IdType="doi"]').alias("doi"), one('//ArticleId[@IdType="pmc"]').alias("pmcid"),
+    )
+
+
+def cached_source(candidates: DataFrame, key: str, stated: str = "stated_source") -> DataFrame:
+    """Passages of the source an article was parsed from, else of its cached page, else of its cached record (SRC-17)."""
+    wanted = F.when(F.contains(F.col(stated), F.col("source")), 0).when(F.col("source") == "pmc_html", 1).when(F.col("source") == "bioc", 2)
+    ranked = candidates.withColumn("__w", wanted).where("__w is not null")
+    best = ranked.groupBy(key).agg(F.min(F.struct("__w", "source")).alias("m")).select(key, F.col("m.source").alias("source"))
+    return ranked.drop("__w").join(best, [key, "source"], "left_semi")
+
+
+def manifest(spark: SparkSession, path: str) -> DataFrame:
+    """file, length and SHA-256 of reference files, by name (SRC-23)."""
+    return file_hashes(spark, path).select(F.element_at(F.split("path", "/"), -1).alias("file"), "length", "sha256").orderBy("file")
+
+
+def preflight(spark: SparkSession, paths: list[str]) -> None:
+    """Stop before a run whose inputs are missing (FIL-09)."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    missing = [p for p in paths if not hadoop(p).getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop(p))]
+    if missing:
+        raise FileNotFoundError("missing inputs: " + ", ".join(missing))
+
+
+def seed_cache(spark: SparkSession, source: str, target: str, ids: list[str]) -> int:
+    """Copy the cached files of some articles, by id in the name, where the target lacks them (SRC-24); returns how many."""
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    a, b = hadoop.Path(source), hadoop.Path(target)
+    files, to = a.getFileSystem(conf), b.getFileSystem(conf)
+    to.mkdirs(b)
+    copied = 0
+    for i in ids:
+        for status in files.globStatus(hadoop.Path(f"{source}/*{i}*")) or []:
+            goal = hadoop.Path(b, status.getPath().getName())
+            if not to.exists(goal):
+                copied += bool(hadoop.FileUtil.copy(files, status.getPath(), to, goal, False, conf))
+    return copied

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Fixed column order of the allele export (fixed values: the leading fields).
-EXPORT_FIELDS = ["chromosome_ucsc", "position", "ref", "alt", "c_hgvs", "nt_pro_only", "p_hgvs", "c_hgvs_strand", "gene", "genomic_region", "genomic_region_genes", "variant_text", "chromosome_accession", "assembly", "pubmed_url"]
+from lociflow.functions import patterns as P
+from lociflow.operators.relational import numbered
+
+EXPORT_FIELDS = [*P.EXPORT_PRIMARY, *P.EXPORT_REST]
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:
@@ -21,8 +24,11 @@ def with_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*[F.coalesce(F.col(have[c.lower()]).cast("string"), F.lit("")).alias(c) if c.lower() in have else F.lit("").alias(c) for c in columns])
 
 
-def write_table(df: DataFrame, path: str, columns: list[str], sep: str = ",") -> None:
-    with_columns(df, columns).write.mode("overwrite").csv(path, header=True, sep=sep, emptyValue="")
+def write_table(df: DataFrame, path: str, columns: list[str], sep: str = ",", bom: bool = False) -> None:
+    """Fixed columns with a header; ``bom`` puts a byte-order mark before it, as spreadsheets ask for."""
+    out = with_columns(df, columns)
+    out = out.toDF(*(["\ufeff" + columns[0], *columns[1:]] if bom else columns))
+    out.write.mode("overwrite").csv(path, header=True, sep=sep, emptyValue="")
 
 
 def write_routes(df: DataFrame, path: str, *route: str) -> None:
@@ -30,17 +36,38 @@ def write_routes(df: DataFrame, path: str, *route: str) -> None:
     df.write.mode("overwrite").partitionBy(*route).json(path)
 
 
-def stage_report(stages: dict[str, DataFrame], by: dict[str, list[str]]) -> str:
-    """JSON of row counts and category counts per stage (aggregates only reach the driver)."""
-    out = {}
+def report_table(stages: dict[str, DataFrame], by: dict[str, list[str]]) -> DataFrame:
+    """(stage, column, value, n): row counts (column null) and all category counts of every stage, as a table of any length."""
+    parts = []
     for name, df in stages.items():
-        entry = {"rows": df.count()}
-        for c in by.get(name, []):
-            entry[c] = {str(r[0]): r[1] for r in df.groupBy(c).count().orderBy(F.desc("count"), c).limit(1000).collect()}
-        out[name] = entry
+        row = lambda c, v, n: (F.lit(name).alias("stage"), F.lit(c).cast("string").alias("column"), v.cast("string").alias("value"), n.alias("n"))  # noqa: B023, E731
+        parts.append(df.agg(F.count("*").alias("n")).select(*row(None, F.lit(None), F.col("n"))))
+        parts += [df.groupBy(c).agg(F.count("*").alias("n")).select(*row(c, F.col(c), F.col("n"))) for c in by.get(name, [])]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def stage_report(stages: dict[str, DataFrame], by: dict[str, list[str]]) -> str:
+    """``report_table`` as JSON, for categories of a size that a report can show."""
+    out: dict = {}
+    for r in report_table(stages, by).orderBy("stage", "column", F.desc("n"), "value").toLocalIterator():
+        entry = out.setdefault(r.stage, {})
+        if r.column is None:
+            entry["rows"] = r.n
+        else:
+            entry.setdefault(r.column, {})[str(r.value)] = r.n
     return json.dumps(out, sort_keys=True)
 
 
+def export_contract(df: DataFrame) -> str:
+    """JSON beside an export: column order, values of its enumerations, counts (SNK-05)."""
+    counted = {c: {str(r[0]): r[1] for r in df.groupBy(c).count().orderBy(c).collect()} for c in ("sample_class", "resolve_status", "resolve_method", "genomic_region", "screen_grade", "link_tier") if c in df.columns}
+    grades = {}
+    if {"sample_class", "screen_grade"} <= set(df.columns):
+        for r in df.groupBy("sample_class", "screen_grade").count().collect():
+            grades.setdefault(str(r[0]), {})[str(r[1])] = r[2]
+    return json.dumps({"columns": EXPORT_FIELDS, "rows": df.count(), "enums": {k: sorted(v) for k, v in counted.items()}, "counts": counted, "screen_grade_by_class": grades}, sort_keys=True)
+
+
 def text_cache(df: DataFrame, body: str, links: str, abstract: str) -> DataFrame:
     """Cached text: the body from 400 characters on, else with links, below 200 with the abstract, null below 120."""
     b, k, a = (F.coalesce(F.col(c), F.lit("")) for c in (body, links, abstract))
@@ -49,9 +76,14 @@ def text_cache(df: DataFrame, body: str, links: str, abstract: str) -> DataFrame
     return df.withColumn("cached_text", F.when(F.length(t) >= 120, t))
 
 
-def review_page(df: DataFrame, title: str, limit: int = 5000) -> str:
-    """One HTML page with the records as escaped JSON (a bounded review sample)."""
-    rows = df.limit(limit).select(F.to_json(F.struct("*")).alias("j")).collect()
-    data = ",".join(r.j for r in rows).replace("<", "\\u003c").replace("&", "\\u0026")
+def review_pages(df: DataFrame, title: str, order: str, per_page: int = 2000) -> DataFrame:
+    """(page, html): all records in order as pages of bounded size, each with its records as escaped JSON (SNK-06).
+
+    Write it with ``partitionBy("page")`` as text; every page is made in one task.
+    """
     safe = title.replace("&", "&amp;").replace("<", "&lt;")
-    return f'<!doctype html><meta charset="utf-8"><title>{safe}</title><script type="application/json" id="records">[{data}]</script>'
+    record = F.replace(F.replace(F.to_json(F.struct(*df.columns)), F.lit("<"), F.lit("\\u003c")), F.lit("&"), F.lit("\\u0026"))
+    rows = numbered(df.withColumn("__j", record), order, "__i").select(F.expr(f"cast((__i - 1) div {per_page} as int)").alias("page"), F.struct(F.col("__i").alias("i"), F.col("__j").alias("j")).alias("x"))
+    data = F.array_join(F.transform(F.sort_array(F.collect_list("x")), lambda x: x["j"]), ",")
+    head = F.concat(F.lit(f'<!doctype html><meta charset="utf-8"><title>{safe} '), (F.col("page") + 1).cast("string"), F.lit('</title><script type="application/json" id="records">['))
+    return rows.groupBy("page").agg(data.alias("d")).select("page", F.concat(head, F.col("d"), F.lit("]</script>")).alias("html"))

@@ -3,6 +3,7 @@
 import gzip
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
@@ -37,12 +38,16 @@ def test_reference_tables(spark, tmp_path):
 
 
 def test_genome(spark, tmp_path):
-    lines = ["1\ts\tCDS\t120\t150\t.\t+\t0\tParent=transcript:t1", "1\ts\texon\t110\t160\t.\t+\t.\tParent=transcript:t1", "1\ts\tmRNA\t100\t400\t.\t+\t.\tID=transcript:t1;Parent=gene:g1;biotype=protein_coding", "1\ts\tgene\t100\t400\t.\t+\t.\tID=gene:g1;Name=AAA;biotype=protein_coding", "1\ts\tncRNA_gene\t600\t700\t.\t+\t.\tID=gene:g2;Name=BBB;biotype=lncRNA"]
+    lines = ["1\ts\tCDS\t120\t150\t.\t+\t0\tParent=transcript:t1,transcript:t7;Parent=x", "1\ts\texon\t110\t160\t.\t+\t.\tParent=transcript:t1", "1\ts\tmRNA\t100\t400\t.\t+\t.\tID=transcript:t1;Parent=gene:g1;biotype=protein_coding;tag=basic,MANE_Select;version=3", "1\ts\tmRNA\t100\t400\t.\t+\t.\tID=transcript:t2;Parent=gene:g1", "1\ts\tgene\t100\t400\t.\t+\t.\tID=gene:g1;Name=AAA;biotype=protein_coding", "1\ts\tncRNA_gene\t600\t700\t.\t+\t.\tID=gene:g2;Name=BBB;biotype=lncRNA"]
     (tmp_path / "g.gff3").write_text("##gff\n" + "\n".join(lines) + "\n")
     features = readers.gff3_features(readers.gff3(spark, str(tmp_path / "g.gff3")))
     loci = spark.createDataFrame([(1, "1", 130, "A"), (2, "1", 155, "A"), (3, "1", 300, "A"), (4, "1", 650, "A"), (5, "1", 5000, "A"), (6, None, None, None)], "row_id long, chrom string, pos long, ref string")
-    got = {r.row_id: r.genomic_region for r in stages.region_of(loci, features).collect()}
-    assert got == {1: "coding", 2: "utr", 3: "intron", 4: "ncRNA", 5: "intergenic", 6: None}
+    got = {r.row_id: (r.genomic_region, r.genomic_region_genes, r.genomic_region_transcripts) for r in stages.region_of(loci, features).collect()}
+    assert got == {1: ("coding", "AAA", "t1"), 2: ("utr", "AAA", "t1"), 3: ("intron", "AAA", ""), 4: ("ncrna_gene", "BBB", ""), 5: ("intergenic", "", ""), 6: ("", "", "")}
+    noted = stages.region_of(loci.withColumn("cat", F.lit("ZZZ")), features, catalog_gene="cat").where("row_id in (1, 5)").orderBy("row_id").collect()
+    assert [r.genomic_region_note for r in noted] == ["catalog_gene ZZZ not overlapping position; GFF3=AAA", "catalog_gene ZZZ not overlapping position; intergenic"]
+    mane = readers.mane_transcripts(readers.gff3(spark, str(tmp_path / "g.gff3"))).collect()
+    assert [(r.gene, r.t, r.version, r.strand, [tuple(x) for x in r.exons], [tuple(x) for x in r.cds]) for r in mane] == [("AAA", "t1", "3", "+", [(110, 160)], [(120, 150)])]
     (tmp_path / "r.fa").write_text(">1 first\nACGTACGTAC\nGTTTT\n>2\nGGGG\n")
     seq = readers.fasta(spark, str(tmp_path / "r.fa"), 4)
     asked = spark.createDataFrame([(1, "1", 3, 9), (2, "2", 1, 4), (3, "1", 14, 20), (4, "1", 15, 15)], "i long, chrom string, s long, e long")
@@ -74,10 +79,22 @@ def test_sinks_and_runner(spark, tmp_path):
     sinks.write_routes(df, str(tmp_path / "routes"), "cls")
     assert (tmp_path / "routes" / "cls=A").exists()
     assert json.loads(sinks.stage_report({"s": df}, {"s": ["cls"]})) == {"s": {"rows": 2, "cls": {"A": 1, "B": 1}}}
-    assert "<b" not in sinks.review_page(spark.createDataFrame([("<b>",)], "x string"), "a<b")
+    pages = sinks.review_pages(spark.range(5).withColumn("x", F.lit("<b>")), "a<b", "id", 2).orderBy("page").collect()
+    assert len(pages) == 3 and not any("<b" in p.html for p in pages) and sum(p.html.count('"id":') for p in pages) == 5
+    sinks.write_table(df, str(tmp_path / "bom"), ["gene", "pmid"], bom=True)
+    assert readers.csv(spark, str(tmp_path / "bom")).columns == ["gene", "pmid"]
+    assert json.loads(sinks.export_contract(df.withColumn("sample_class", F.lit("p"))))["counts"] == {"sample_class": {"p": 2}}
+    with pytest.raises(FileNotFoundError, match="nowhere"):
+        readers.preflight(spark, [str(tmp_path), str(tmp_path / "nowhere")])
+    (tmp_path / "cache").mkdir()
+    (tmp_path / "cache" / "PMID77.txt").write_text("x")
+    assert readers.seed_cache(spark, str(tmp_path / "cache"), str(tmp_path / "seeded"), ["77", "88"]) == 1
     cached = sinks.text_cache(spark.createDataFrame([("b" * 500, "", ""), ("b" * 50, "l" * 50, "a" * 90), ("b", "", "")], "b string, l string, a string"), "b", "l", "a")
     assert [None if r.cached_text is None else len(r.cached_text) for r in cached.collect()] == [500, 192, None]
     run = stages.Runner({"one": lambda t: t["in"].where("pmid > 0"), "two": lambda t: t["one"].where("ok")}, {"in": df})
+    calls = []
+    kept = stages.Runner({"one": lambda t: calls.append(1) or t["in"]}, {"in": df}, str(tmp_path / "run"))
+    assert kept.run()["one"].count() == 2 and kept.run()["one"].count() == 2 and len(calls) == 1
     assert run.only("2").run()["two"].count() == 0 and run.run(last="one")["one"].count() == 2
 
 
