@@ -41,12 +41,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     that go, or that occur more than once, are looked up; the others are not moved.
     """
     found = jaccard.jaccard_components(docs, SHINGLE_WORDS, SIMILARITY_PERCENT, links=False)
-    found = materialize(found.select("row", "doc_id", "component", "n_shingles"), "found")
+    n = docs.count()
+    found = materialize(found.select("row", "doc_id", "component", "n_shingles"), "found", n)
     nameless = F.col("doc_id").isNull()
     first = found.groupBy("component").agg(F.min(F.struct(nameless.alias("nameless"), "doc_id", "row")).alias("m"), F.count("*").alias("n")).where("n > 1").select("component", F.col("m.row").alias("first"))
     rows = found.join(first, "component").groupBy("row").agg(F.max(F.when(nameless & (F.col("n_shingles") == 0), 1).otherwise(0)).alias("free"), F.min("first").alias("first"))
     known = rows.select(F.col("row").alias("__row"), F.when(F.col("free") == 0, F.col("row") == F.col("first")).alias("stays"))
-    return without_rows(_with_row_key(docs), materialize(known, "known"), "__row").select(docs.columns)
+    return without_rows(_with_row_key(docs), materialize(known, "known", n), "__row").select(docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +55,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     keyed = _with_row_key(docs)
     hits = decontam.contamination(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), doc_id="__row", slop=0)
     bad = hits.where(F.size("exact_items") > 0).select(F.col("doc_id").alias("__row")).distinct()
-    return without_rows(keyed, materialize(bad.withColumn("stays", F.lit(False)), "bad"), "__row").select(docs.columns)
+    return without_rows(keyed, materialize(bad.withColumn("stays", F.lit(False)), "bad", docs.count()), "__row").select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

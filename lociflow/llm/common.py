@@ -18,6 +18,8 @@ _LOCAL_DIR: str | None = None
 SPACE_CLASS = "[\\x20\\x09-\\x0D]+"
 #: Bits of the table of wanted keys (8 MB at any input).
 WANTED_BITS = 26
+#: Rows of a narrow table that one file should hold.
+ROWS_PER_FILE = 500_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -61,9 +63,11 @@ def _file_system(spark: SparkSession, path: str):
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
+def materialize(df: DataFrame, tag: str, rows: int | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it again.
 
+    ``rows``, about as many as a narrow table has at most, keeps its files from being many and tiny: the
+    last stage then runs as that many tasks as files are needed, and one per core at least.
     This cuts the lineage: a lost executor costs a re-read of the table, not a recomputation.
     Spark drops the shuffle files of the write when it ends; tables that nobody discards go
     when the application ends.
@@ -71,6 +75,8 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     top = f"{shared_dir(spark)}/tables-{spark.sparkContext.applicationId}"
     path = f"{top}/{tag}-{uuid.uuid4().hex}"
+    if rows is not None:
+        df = df.coalesce(max(spark.sparkContext.defaultParallelism, -(-rows // ROWS_PER_FILE)))
     with settings(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
         df.write.parquet(path)
     files, target = _file_system(spark, top)

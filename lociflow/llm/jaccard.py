@@ -452,6 +452,7 @@ def _component_of(rows: DataFrame, comp: DataFrame) -> DataFrame:
 
 def class_links(docs: DataFrame, members: DataFrame, words: int, percent: int) -> DataFrame:
     """Components (id, component) over the rows that have links; ``members`` is used up."""
+    n = members.count()
     rows = prefix_rows(members, shared_tokens(members))
     groups = rows.groupBy("token").agg(F.count("*").alias("c"), F.min(F.struct("id", "n", "pos")).alias("p")).where("c > 1")
     rows = materialize(rows.join(groups, "token").select("token", "id", "n", "pos", F.col("p.id").alias("p_id"), F.col("p.n").alias("p_n"), F.col("p.pos").alias("p_pos")), "prefixes")
@@ -459,9 +460,9 @@ def class_links(docs: DataFrame, members: DataFrame, words: int, percent: int) -
     star = rows.select("id", F.col("n").alias("x_n"), F.col("pos").alias("x_pos"), "p_id", F.col("p_n").alias("y_n"), F.col("p_pos").alias("y_pos")).where("id <> p_id")
     tried = star.where(_close("x_", "y_", percent)).groupBy(F.col("id").alias("b")).agg(F.min("p_id").alias("a")).select("a", "b")
     profile = lambda side, name: members.select(F.col("row").alias(side), F.col("n").alias(f"{name}_n"), F.col("sketch").alias(f"{name}_sketch"))
-    tried = materialize(tried.join(profile("a", "x"), "a").join(profile("b", "y"), "b").where(_alike("x_", "y_", percent)).select("a", "b"), "pairs")
-    links = materialize(verify(tried, sets_of(docs, tried, words), percent), "links")
-    comp = components(links)
+    tried = materialize(tried.join(profile("a", "x"), "a").join(profile("b", "y"), "b").where(_alike("x_", "y_", percent)).select("a", "b"), "pairs", n)
+    links = materialize(verify(tried, sets_of(docs, tried, words), percent), "links", n)
+    comp = components(links, n)
     # then: rows of one shingle that are in different components still
     tagged = _component_of(rows.select("token", "id", "n", "pos"), comp)
     per = tagged.groupBy("token", "comp").agg(F.count("*").alias("c"))
@@ -486,7 +487,7 @@ def class_links(docs: DataFrame, members: DataFrame, words: int, percent: int) -
     more = materialize(found, "links")
     if more.limit(1).count():
         discard(comp)
-        comp = components(links.unionByName(more))
+        comp = components(links.unionByName(more), n)
     discard(tried, second, many, tagged, sets, links, more)
     return comp
 
@@ -498,8 +499,8 @@ def sets_of(docs: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
 
 def count_links(docs: DataFrame, classes: DataFrame, comp: DataFrame, words: int, percent: int) -> DataFrame:
     """(rep, links): documents that a class links with beside its own."""
-    rows = materialize(classes.select(F.col("rep").alias("id"), "n", F.col("class_size").alias("weight")).join(comp, "id"), "linked")
-    counted = materialize(block_counts(rows, ["component"], shingle_sets(docs, rows.select("id"), words), percent), "counts")
+    rows = materialize(classes.select(F.col("rep").alias("id"), "n", F.col("class_size").alias("weight")).join(comp, "id"), "linked", comp.count())
+    counted = materialize(block_counts(rows, ["component"], shingle_sets(docs, rows.select("id"), words), percent), "counts", rows.count())
     discard(rows)
     return counted.withColumnRenamed("id", "rep")
 
@@ -516,13 +517,14 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, text:
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).withColumn("row", F.xxhash64("doc_id", "text"))
     signed = materialize(signatures(docs, shingle_counts(docs, words), words, percent), "signatures")
     alike = signed.where("n > 0").groupBy("key").agg(F.min("row").alias("rep"), F.min("doc_id").alias("least"), F.max("n").alias("n"), F.count("*").alias("class_size"))
-    classes = materialize(alike, "classes")
+    n = signed.count()
+    classes = materialize(alike, "classes", n)
     # rows of classes of their own stay where they are; only the others meet their class
-    several = materialize(signed.select("row", "key").distinct().join(classes.where("class_size > 1").select("key", "rep"), "key").select("row", (F.col("row") == F.col("rep")).alias("stays")), "several")
+    several = materialize(signed.select("row", "key").distinct().join(classes.where("class_size > 1").select("key", "rep"), "key").select("row", (F.col("row") == F.col("rep")).alias("stays")), "several", n)
     members = materialize(without_rows(signed.where("n > 0").select("row", "n", "prefix", "sketch"), several, "row"), "members")
     discard(several)
     # prefixes are kept once, and no longer than they are read
-    sizes = materialize(signed.select("row", "doc_id", "n", "key"), "sizes")
+    sizes = materialize(signed.select("row", "doc_id", "n", "key"), "sizes", n)
     discard(signed)
     comp = class_links(docs, members, words, percent).withColumnRenamed("id", "rep")
     joined = classes.join(comp, "rep")
