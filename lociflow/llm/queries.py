@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociflow.llm import decontam, html_text, jaccard, langid, mixing, quality, sharding, suffix, tokens, toxicity
+from lociflow.llm import decontam, html_text, interval_join, jaccard, langid, mixing, prefix_trie, quality, sharding, suffix, tokens, topk, toxicity
 from lociflow.llm.common import id_bucket
 
 
@@ -68,10 +68,22 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination_digest(decontam.contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark")))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie_digest(prefix_trie.conversation_trie(_read(spark, sf_dir, "conversations")))
+
+
+def op12_feature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interval_join.feature_digest(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+def op13_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.embedding_top_k(_read(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_toxicity, op2_sharding, op3_language_id, op4_token_counts, op5_mixing, op6_quality_rules, op7_suffix_dedup, op8_jaccard_join, op9_html_text, op10_decontamination)
+        for f in (op1_toxicity, op2_sharding, op3_language_id, op4_token_counts, op5_mixing, op6_quality_rules, op7_suffix_dedup, op8_jaccard_join, op9_html_text, op10_decontamination, op11_prefix_trie, op12_feature_join, op13_top_k)
     }
 
 
@@ -88,4 +100,10 @@ SELECT doc_id, size, {{crc}} AS text_crc32, 'bytes' AS law, shard,
 
 def oracle_sql() -> dict[str, str]:
     """SQL of the queries that DuckDB can express (crc32 has no SQL function, so sharding has none)."""
-    return {"op5_mixing": mixing.mixing_sql(), "op6_quality_rules": quality.quality_sql()}
+    return {
+        "op5_mixing": mixing.mixing_sql(),
+        "op6_quality_rules": quality.quality_sql(),
+        "op11_prefix_trie": prefix_trie.trie_sql(),
+        "op12_feature_join": interval_join.feature_sql(),
+        "op13_top_k": topk.top_k_sql(),
+    }
