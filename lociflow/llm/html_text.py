@@ -7,15 +7,18 @@ when it falls below zero) finds the contiguous region with the greatest sum.  Th
 region, without those in elements that are no part of an article, are the result.
 
 Weights are log-odds counted on labelled pages and shrunk towards priors: of blocks, of tags,
-and of the names of elements (tag, and each whole class, id and role word).  The most negative
-name between a block and its main element decides whether the block is noise; names above the
-main element do not count.  Labelled pages are those with one main element (``article``, else
+and of the names of elements (tag, and each whole class, id and role word).  The priors know whole
+names, and compound ones (``user-comments``) by their first or last part.  Any noise name
+between a block and its main element makes the block noise, with nested articles' own
+names; names above the main element do not count.  Names hang on the path of elements that gave them,
+without a limit.  Labelled pages are those with one main element (``article``, else
 ``main``); no weight knows whether a word stands in it, so the weights serve pages without one.  The fit counts
 at most about ``SAMPLE_PAGES`` pages (a documented bound); every page is extracted from its
 whole html.
 
-A page that names its main element (one ``article`` with ``SHARE`` of all article words, else one
-``main``) is scanned inside it; without one, or when nothing there scores above zero, the whole page is.
+A page that names its main element (one ``article`` with ``SHARE`` of all article words, noise left out, else one
+``main``) is scanned inside it; without one, or when nothing there scores above zero, the whole page is,
+and when that is all noise, once more without the verdicts on parts of names.
 
 Text rules: character references are decoded, white space inside a block becomes one space,
 blocks are trimmed, empty blocks go, and blocks are joined in page order by one newline.
@@ -59,6 +62,9 @@ NOISE_NAMES = {
     "sidebar", "widget", "comment", "comments", "replies", "cookie", "cookies", "consent", "notice", "notices", "popup", "modal", "newsletter", "subscribe", "share", "sharing",
     "social", "related", "recommended", "login", "complementary", "contentinfo", "alert", "cookie-banner", "cookie-notice", "comment-list", "related-posts", "site-header", "site-footer",
 }
+#: Parts of compound names that speak of the layout around a text, which is then no noise.
+LAYOUT_PARTS = {"wrap", "wrapper", "layout", "has", "with", "no", "without", "page", "main", "grid", "columns"}
+_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 #: Names that are noise outside a main element only: an article may have a header of its own.
 _OUTER_ONLY = {"header", "footer"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
@@ -80,18 +86,27 @@ _GROUPS = (
 #: Prior weights of blocks by role; of blocks of other roles when long and when short; cost of a tag at least and at most.
 PRIOR_ROLE = {"p": 1.0, "h1": 1.0, "h2": 1.0, "h3": 1.0, "h4": 1.0, "h5": 1.0, "h6": 1.0, "blockquote": 1.0, "pre": 1.0, "figcaption": 0.5, "dd": 0.5, "dt": 0.5, "td": 0.4, "th": 0.4, "li": 0.3}
 PRIOR_LONG, PRIOR_SHORT, LINKED = 0.5, -0.1, -1.0
-NOISE_AT, PRIOR_NOISE, PRIOR_COUNT, TAG_LEAST, TAG_MOST = -0.5, -2.0, 50, 0.02, 1.0
+NOISE_AT, PRIOR_NOISE, PRIOR_PART, PRIOR_COUNT, TAG_LEAST, TAG_MOST = -0.5, -2.0, -1.0, 50, 0.02, 1.0
+
+
+class Scope:
+    """An element that has names or is a main element, and the scope around it."""
+
+    __slots__ = ("names", "above", "main")
+
+    def __init__(self, names: tuple[str, ...], above: Scope | None, main: tuple[str, int] | None):
+        self.names, self.above, self.main = names, above, main
 
 
 @dataclass
 class Block:
-    """Text of one block, where it stands, and the element names between it and its main element."""
+    """Text of one block, and where it stands."""
 
     text: str
     role: str
     words: int
     linked: int
-    names: tuple[str, ...]
+    scope: Scope | None
     article: int
     main: int
 
@@ -102,17 +117,17 @@ class Block:
 
 def parse(page: str) -> Iterator[Block | str]:
     """Blocks (with text) and the names of the tags between them, in page order and linear time."""
-    stack: list[tuple[str, bool, tuple[str, ...], int, int, str]] = []  # tag, link, names, article, main, role
+    stack: list[tuple[str, bool, Scope | None, int, int, str]] = []  # tag, link, scope, article, main, role
     counts: Counter = Counter()
     groups: list[list[int]] = [[] for _ in _GROUPS]  # places of open elements of a group, -1 for a barrier
     articles = mains = 0
     at, end = 0, len(page)
     parts: list[str] = []
     linked, muted = [0], [0]
-    state = [False, (), -1, -1, ""]  # link, names, article, main, role
+    state = [False, None, -1, -1, ""]  # link, scope, article, main, role
 
     def reread() -> None:
-        state[:] = list(stack[-1][1:]) if stack else [False, (), -1, -1, ""]
+        state[:] = list(stack[-1][1:]) if stack else [False, None, -1, -1, ""]
 
     def flush() -> Iterator[Block]:
         if parts:
@@ -185,19 +200,19 @@ def parse(page: str) -> Iterator[Block | str]:
             continue
         if tag in VOID or closed:
             continue
-        link, names, article, main, role = state
-        if tag in MAIN:
-            if tag == "article" and article < 0:
-                article, articles = articles, articles + 1
-            elif tag == "main" and main < 0:
-                main, mains = mains, mains + 1
-            names = ()  # what stands around a main element says nothing about it
-        else:
-            own = [f"<{tag}>"] if tag in NOISE_TAGS and not (tag in _OUTER_ONLY and (article >= 0 or main >= 0)) else []
-            if m[2] and tag not in ("html", "body"):
-                own += [w.lower() for found in _NAMED.finditer(m[2]) for w in (found[1] or found[2] or found[3] or "").split()]
-            if own:
-                names = tuple(dict.fromkeys([*names, *own]))[:40]
+        link, scope, article, main, role = state
+        own = [f"<{tag}>"] if tag in NOISE_TAGS and not (tag in _OUTER_ONLY and (article >= 0 or main >= 0)) else []
+        if m[2] and tag not in ("html", "body"):
+            own += [w for found in _NAMED.finditer(m[2]) for w in (found[1] or found[2] or found[3] or "").split()]
+        opens = None
+        if tag == "article" and article < 0:
+            article, articles = articles, articles + 1
+            opens = (tag, article)
+        elif tag == "main" and main < 0:
+            main, mains = mains, mains + 1
+            opens = (tag, main)
+        if own or opens:
+            scope = Scope(tuple(dict.fromkeys(own)), scope, opens)
         if tag in BLOCK:
             role = tag
         for g, (members, _, barriers) in enumerate(_GROUPS):
@@ -206,19 +221,27 @@ def parse(page: str) -> Iterator[Block | str]:
             elif tag in barriers:
                 groups[g].append(-1)
         muted[0] += tag in MUTE
-        stack.append((tag, link or tag == "a", names, article, main, role))
+        stack.append((tag, link or tag == "a", scope, article, main, role))
         counts[tag] += 1
         reread()
     yield from flush()
 
 
 def main_element(items: list[Block | str]) -> tuple[str, int] | None:
-    """The page's own main element: the one article that holds most article words, else the one main."""
+    """The page's own main element: the one article that holds most article words, else the one main.
+
+    Words in noise count only when all are.
+    """
+    noise = Noise({}, None)
     for kind in ("article", "main"):
-        words: Counter = Counter()
+        every: Counter = Counter()
+        clean: Counter = Counter()
         for x in items:
             if isinstance(x, Block) and getattr(x, kind) >= 0:
-                words[getattr(x, kind)] += x.words
+                every[getattr(x, kind)] += x.words
+                if not noise(x):
+                    clean[getattr(x, kind)] += x.words
+        words = clean or every
         if words:
             best, most = min(words.items(), key=lambda w: (-w[1], w[0]))
             if most >= SHARE * sum(words.values()):
@@ -232,12 +255,31 @@ def _shrunk(inside: int, outside: int, prior: float) -> float:
     return (odds * n + prior * PRIOR_COUNT) / (n + PRIOR_COUNT)
 
 
-def _prior_of_name(name: str) -> float:
-    return PRIOR_NOISE if name[:1] == "<" or name in NOISE_NAMES else 0.0
+def _prior_of_name(name: str, by_parts: bool = True) -> float:
+    if name[:1] == "<" or name.lower() in NOISE_NAMES:
+        return PRIOR_NOISE
+    parts = [x.lower() for x in _PARTS.findall(name)] if by_parts else []
+    return PRIOR_PART if len(parts) > 1 and not LAYOUT_PARTS & {*parts} and (parts[0] in NOISE_NAMES or parts[-1] in NOISE_NAMES) else 0.0
+
+
+class Noise:
+    """Whether a block lies in a noise element below ``own`` (or anywhere); every scope is settled once."""
 
+    def __init__(self, weights: dict[str, float], own: tuple[str, int] | None, by_parts: bool = True):
+        self.weights, self.own, self.by_parts = weights, own, by_parts
+        self.settled: dict[Scope, bool] = {}
 
-def is_noise(block: Block, weights: dict[str, float]) -> bool:
-    return any(weights.get(f"name {n}", _prior_of_name(n)) < NOISE_AT for n in block.names)
+    def __call__(self, block: Block) -> bool:
+        path, scope, verdict = [], block.scope, False
+        while scope is not None and not (self.own is not None and scope.main == self.own):
+            if scope in self.settled:
+                verdict = self.settled[scope]
+                break
+            path.append(scope)
+            scope = scope.above
+        for scope in reversed(path):
+            verdict = self.settled[scope] = verdict or any(self.weights.get(f"name {n.lower()}", _prior_of_name(n, self.by_parts)) < NOISE_AT for n in scope.names)
+        return verdict
 
 
 def _counts(pages: DataFrame, html: str, features) -> dict[str, tuple[int, int, int]]:
@@ -266,11 +308,31 @@ def _counts(pages: DataFrame, html: str, features) -> dict[str, tuple[int, int,
 
 
 def _name_features(items: list[Block | str], own: tuple[str, int]) -> Iterator[tuple[str, bool, int]]:
+    """Names with the words below them, inside and outside of the main element ``own``."""
+    words: dict[Scope, int] = {}
+    within: dict[Scope, bool] = {}
     for x in items:
-        if isinstance(x, Block):
-            inside = getattr(x, own[0]) == own[1]
-            for n in x.names:
-                yield f"name {n}", inside, x.words
+        if isinstance(x, Block) and x.scope is not None:
+            words[x.scope] = words.get(x.scope, 0) + x.words
+            within[x.scope] = getattr(x, own[0]) == own[1]
+    depth: dict[Scope, int] = {}
+    for scope in list(words):
+        path = []
+        while scope is not None and scope not in depth:
+            path.append(scope)
+            scope = None if scope.main == own else scope.above
+        below = depth[scope] if scope is not None else 0
+        for k, at in enumerate(reversed(path)):
+            depth[at] = below + k + 1
+    for scope in sorted(depth, key=depth.__getitem__, reverse=True):  # from the leaves up
+        n, inside = words.get(scope, 0), within.get(scope, False)
+        if scope.main == own:
+            continue
+        for name in scope.names:
+            yield f"name {name.lower()}", inside, n
+        if scope.above is not None:
+            words[scope.above] = words.get(scope.above, 0) + n
+            within.setdefault(scope.above, inside)
 
 
 def fit_weights(pages: DataFrame, html: str = "html", page_id: str = "page_id") -> dict[str, float]:
@@ -286,11 +348,12 @@ def fit_weights(pages: DataFrame, html: str = "html", page_id: str = "page_id")
     weights = {f: _shrunk(i, o, _prior_of_name(f[5:])) for f, (i, o, _) in names.items()}
 
     def rest(items: list[Block | str], own: tuple[str, int]) -> Iterator[tuple[str, bool, int]]:
+        noise = Noise(weights, own)
         spans = [k for k, x in enumerate(items) if isinstance(x, Block) and getattr(x, own[0]) == own[1]]
         for k, x in enumerate(items):
             if isinstance(x, str):
                 yield f"tag {x}", bool(spans) and spans[0] < k < spans[-1], 1
-            elif not is_noise(x, weights):
+            elif not noise(x):
                 yield f"block {x.feature}", getattr(x, own[0]) == own[1], x.words
 
     for f, (i, o, _) in _counts(sample, html, rest).items():
@@ -315,12 +378,12 @@ def _tag_score(tag: str, weights: dict[str, float]) -> float:
     return -min(TAG_MOST, TAG_LEAST + max(0.0, -weights.get(f"tag {tag}", 0.0)) / 3)
 
 
-def best_region(items: list[Block | str], weights: dict[str, float]) -> list[str]:
+def best_region(items: list[Block | str], weights: dict[str, float], noise: Noise) -> list[str]:
     """Texts of the contiguous region with the greatest sum."""
     best, best_sum, run, run_from = (0, 0), 0.0, 0.0, 0
     for k, x in enumerate(items):
         if isinstance(x, Block):
-            if is_noise(x, weights):  # never part of the result, so it neither ends nor extends a region
+            if noise(x):  # never part of the result, so it neither ends nor extends a region
                 continue
             run += _block_score(x, weights) * x.words
         else:
@@ -329,7 +392,7 @@ def best_region(items: list[Block | str], weights: dict[str, float]) -> list[str
             run, run_from = 0.0, k + 1
         elif run > best_sum:
             best_sum, best = run, (run_from, k + 1)
-    return [x.text for x in items[best[0] : best[1]] if isinstance(x, Block) and not is_noise(x, weights)]
+    return [x.text for x in items[best[0] : best[1]] if isinstance(x, Block) and not noise(x)]
 
 
 def main_text(page: str | None, weights: dict[str, float]) -> str:
@@ -340,8 +403,8 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
     texts: list[str] = []
     if own:
         inside = [k for k, x in enumerate(items) if isinstance(x, Block) and getattr(x, own[0]) == own[1]]
-        texts = best_region([x for x in items[inside[0] : inside[-1] + 1] if isinstance(x, str) or getattr(x, own[0]) == own[1]], weights)
-    return "\n".join(texts or best_region(items, weights))
+        texts = best_region([x for x in items[inside[0] : inside[-1] + 1] if isinstance(x, str) or getattr(x, own[0]) == own[1]], weights, Noise(weights, own))
+    return "\n".join(texts or best_region(items, weights, Noise(weights, None)) or best_region(items, weights, Noise(weights, None, by_parts=False)))
 
 
 def extract(pages: DataFrame, weights: dict[str, float], html: str = "html") -> DataFrame:
