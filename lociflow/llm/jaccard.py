@@ -10,14 +10,18 @@
 3. Rows that share a prefix shingle are candidates when they pass the length and positional
    filters.  First every row meets one other only, the smallest head of its shingles' groups,
    which joins large groups of near copies at linear cost.  Then rows of one shingle that are
-   still in different components meet each other: groups of up to ``SMALL`` rows as pairs, larger
-   ones in blocks (below), cut into bands of similar length.
+   still in different components meet each other: groups of up to ``SMALL`` rows as pairs; of larger
+   ones, cut into bands of similar length, first the bitmaps meet in blocks (below), and only rows
+   that these leave a partner move their sets.
 4. Verification streams the sets of one row's candidates past its own set: the suffix filter
    probes the middle of one set, splits both there and bounds the halves, to ``DEPTH`` levels;
-   what passes is intersected exactly.  Every pair is verified once.
+   what passes is intersected exactly.
 5. Links are counted inside components, in blocks: two blocks of at most about ``BLOCK_ROWS`` sets
    meet in one task as bit rows, and only sums per row (or a spanning forest, in step 3) leave
-   it, so no list of all pairs is ever made.
+   it, so no list of all pairs is ever made.  A set of a component of m different sets moves
+   m / ``BLOCK_ROWS`` + 1 times; pairs that steps 3 and 4 have linked are intersected here once more.
+
+Joins are never broadcast, so that the plan and what it moves are the same at every size.
 
 Rows are told apart by a 64-bit hash of id and text; two different rows share one with a
 chance of about n^2 / 2^65, the same bound that holds for shingles.
@@ -37,17 +41,20 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lociflow.llm.common import bitmap_of, discard, in_bitmap, key_bit, materialize, small_batches, without_rows
+from lociflow.llm.common import bitmap_of, discard, in_bitmap, key_bit, materialize, settings, small_batches, without_rows
 from lociflow.llm.graph import components
 
 BUCKETS, RANGES = 1 << 22, 64
 #: Bits of a set's parity bitmap, and of the table of shared prefix shingles (16 MB at any input).
 SKETCH_BITS, SHARED_BITS = 512, 27
 #: Rows of a shingle that meet as pairs; rows and shingles of a block; levels of the suffix filter; candidates of one stream.
-SMALL, BLOCK_ROWS, BLOCK_SHINGLES, DEPTH, STREAM = 48, 512, 400_000, 3, 2000
+SMALL, BLOCK_ROWS, BLOCK_SHINGLES, DEPTH, STREAM = 48, 4096, 2_400_000, 3, 2000
+#: Bits of a block's rows that are held at once (as bytes).
+HELD_BITS = 1 << 26
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -97,13 +104,11 @@ def shingle_counts(docs: DataFrame, words: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, total = Shingler(words), np.zeros(BUCKETS, np.uint32)
-        salt = 0
+        salt = TaskContext.get().partitionId() // 16
         for batch in batches:
             hits = [_bucket(shingles(t)) for t in batch.column(0).to_pylist()]
             if hits:
-                flat = np.concatenate(hits)
-                salt = (salt + int(flat.sum())) % 32
-                at, n = np.unique(flat, return_counts=True)
+                at, n = np.unique(np.concatenate(hits), return_counts=True)
                 total[at] += n.astype(np.uint32)
         counts = total.astype("<u4").reshape(RANGES, width)
         some = [r for r in range(RANGES) if counts[r].any()]
@@ -113,14 +118,17 @@ def shingle_counts(docs: DataFrame, words: int) -> np.ndarray:
         total = np.zeros(width, np.int64)
         for blob in table.column("counts").to_pylist():
             total += _from_planes(blob, np.uint32)
-        return pa.table({"range": pa.array([key[0].as_py()], pa.int32()), "salt": pa.array([0], pa.int32()), "counts": pa.array([_planes(np.minimum(total, 2**32 - 1).astype("<u4"))], pa.binary())})
+        return pa.table({"range": pa.array([key[0].as_py()], pa.int32()), "salt": pa.array([table.column("salt")[0].as_py() // 64], pa.int32()), "counts": pa.array([_planes(np.minimum(total, 2**32 - 1).astype("<u4"))], pa.binary())})
 
     def ordered(key: tuple, table: pa.Table) -> pa.Table:
         counts = _from_planes(added(key, table).column("counts")[0].as_py(), np.uint32)
         return pa.table({"range": pa.array([key[0].as_py()], pa.int32()), "places": pa.array([(np.log2(counts + 1.0) * 2047).astype("<u2").tobytes()], pa.binary())})
 
     schema = "range int, salt int, counts binary"
-    partial = docs.select("text").mapInArrow(count, schema).groupBy("range", "salt").applyInArrow(added, schema)
+    # a tree: of 16 tasks, of 64 such sums, and of what is left (a thousand blobs of 256 KB for a million tasks)
+    partial = docs.select("text").mapInArrow(count, schema)
+    for _ in range(2):
+        partial = partial.groupBy("range", "salt").applyInArrow(added, schema)
     out = np.zeros((RANGES, width), np.uint16)
     for r in partial.groupBy("range").applyInArrow(ordered, "range int, places binary").collect():  # RANGES rows, 8 MB
         out[r.range] = np.frombuffer(r.places, "<u2")
@@ -335,8 +343,8 @@ def _common(a: list[np.ndarray], b: list[np.ndarray] | None) -> np.ndarray:
     place = np.cumsum(shared) - 1
     keep = shared[column]
     row, column = row[keep], place[column[keep]]
-    out = np.zeros((len(a), len(sets) - len(a) if b else len(a)), np.int64)
-    width = 1 << 14
+    out = np.zeros((len(a), len(sets) - len(a) if b else len(a)), np.int32)
+    width = max(64, HELD_BITS // len(sets) // 64 * 64)
     for lo in range(0, int(shared.sum()), width):  # a part of the columns as bits
         inside = (column >= lo) & (column < lo + width)
         bits = np.zeros((len(sets), width), bool)
@@ -345,20 +353,42 @@ def _common(a: list[np.ndarray], b: list[np.ndarray] | None) -> np.ndarray:
         words = np.packbits(bits[:, :used], axis=1).view(np.uint64)
         other = words[len(a) :] if b else words
         for k in range(len(a)):
-            out[k] += np.bitwise_count(words[k] & other).sum(axis=1, dtype=np.int64)
+            out[k] += np.bitwise_count(words[k] & other).sum(axis=1, dtype=np.int32)
     return out
 
 
-def block_pairs(rows: DataFrame, group: list[str], sets: DataFrame) -> DataFrame:
-    """``rows`` (group columns, id, n, more) dealt to pairs of blocks of their group, with their sets.
+def block_pairs(rows: DataFrame, group: list[str]) -> DataFrame:
+    """``rows`` (group columns, id, n, more) dealt to pairs (i, j) of blocks of their group.
 
     A row goes to every pair that its own block is in, so a task holds two blocks of bounded size.
     """
     size = rows.groupBy(*group).agg(F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     placed = rows.join(size, group).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     each = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    each = each.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other", "blocks")
-    return each.join(sets, "id")
+    return each.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other", "blocks")
+
+
+def possible_rows(rows: DataFrame, group: list[str], percent: int) -> DataFrame:
+    """Of ``rows`` (group, id, n, comp, sketch) in pairs of blocks those with a partner of another component that lengths and bitmaps allow."""
+
+    def run(table: pa.Table) -> pa.Table:
+        block, i, j, n, comp = (table.column(c).to_numpy() for c in ("block", "i", "j", "n", "comp"))
+        bits = table.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(block), -1)
+        first = np.flatnonzero(block == i)
+        second = first if len(i) and i[0] == j[0] else np.flatnonzero(block == j)
+        keep = np.zeros(len(block), bool)
+        for k in first:
+            apart = np.bitwise_count(bits[second] ^ bits[k]).sum(axis=1, dtype=np.int64)
+            both = n[second] + n[k]
+            able = (comp[second] != comp[k]) & (np.minimum(n[second], n[k]) * 100 >= np.maximum(n[second], n[k]) * percent) & ((both - apart) * (100 + percent) >= both * (2 * percent))
+            if able.any():
+                keep[k] = True
+                keep[second[able]] = True
+        return table.select([*group, "i", "j", "block", "id", "comp"]).filter(pa.array(keep))
+
+    dealt = block_pairs(rows.select(*group, "id", "n", "comp", "sketch"), group)
+    types = {f.name: f.dataType.simpleString() for f in dealt.schema.fields}
+    return dealt.groupBy(*group, "i", "j").applyInArrow(run, ", ".join(f"{c} {types[c]}" for c in [*group, "i", "j", "block", "id", "comp"]))
 
 
 def _blocks_of(table: pa.Table, percent: int):
@@ -373,15 +403,18 @@ def _blocks_of(table: pa.Table, percent: int):
     b = None if one else [np.frombuffer(blobs[int(k)].as_py(), np.uint64) for k in second]
     if not a or (b is not None and not b):
         return first, second, None
-    both = np.array([len(s) for s in a])[:, None] + np.array([len(s) for s in (a if one else b)])[None, :]
-    linked = _common(a, b) * (100 + percent) >= both * percent
+    sizes, others = np.array([len(s) for s in a]), np.array([len(s) for s in (a if one else b)])
+    common = _common(a, b)
+    linked = np.zeros(common.shape, bool)
+    for k in range(len(a)):
+        linked[k] = common[k].astype(np.int64) * (100 + percent) >= (sizes[k] + others) * percent
     if one:
         np.fill_diagonal(linked, False)
     return first, second, linked
 
 
 def block_forest(rows: DataFrame, group: list[str], sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) that join the components of a group's rows (id, n, comp): a spanning forest per pair of blocks."""
+    """Links (a, b) that join the components of a group's rows (id, n, comp, sketch): a spanning forest per pair of blocks."""
 
     def run(table: pa.Table) -> pa.Table:
         first, second, linked = _blocks_of(table, percent)
@@ -409,7 +442,7 @@ def block_forest(rows: DataFrame, group: list[str], sets: DataFrame, percent: in
                     out += [(int(ids[nodes[k]]), int(ids[nodes[f]])) for f in found if comp[nodes[k]] != comp[nodes[f]]]
         return pa.table({"a": pa.array([p[0] for p in out], pa.int64()), "b": pa.array([p[1] for p in out], pa.int64())})
 
-    dealt = block_pairs(rows, group, sets)
+    dealt = possible_rows(rows, group, percent).join(sets, "id")
     return dealt.select(*group, "i", "j", "block", "id", "comp", "shingles").groupBy(*group, "i", "j").applyInArrow(run, "a long, b long")
 
 
@@ -427,7 +460,7 @@ def block_counts(rows: DataFrame, group: list[str], sets: DataFrame, percent: in
             out.append((ids[second], weight[first] @ linked))
         return pa.table({"id": pa.array(np.concatenate([x[0] for x in out])), "links": pa.array(np.concatenate([x[1] for x in out]).astype(np.int64))})
 
-    dealt = block_pairs(rows, group, sets)
+    dealt = block_pairs(rows, group).join(sets, "id")
     counted = dealt.select(*group, "i", "j", "block", "id", "weight", "shingles").groupBy(*group, "i", "j").applyInArrow(run, "id long, links long")
     return counted.groupBy("id").agg(F.sum("links").alias("links"))
 
@@ -478,7 +511,7 @@ def class_links(docs: DataFrame, members: DataFrame, words: int, percent: int) -
     second = materialize(pairs.join(known, ["a", "b"], "left_anti"), "pairs")
     # sets of similar enough size are in the same or the next band; a row stands in both
     band = F.floor(F.log(F.col("n")) / F.log(F.lit(100.0 / percent))).cast("int") if percent < 100 else F.col("n").cast("int")
-    many = tagged.where(F.col("group_size") > SMALL).select("token", "id", "n", "comp", F.explode(F.array(band, band + 1)).alias("band"))
+    many = tagged.where(F.col("group_size") > SMALL).select("token", "id", "n", "comp", "sketch", F.explode(F.array(band, band + 1)).alias("band"))
     apart = many.groupBy("token", "band").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2").select("token", "band")
     many = materialize(many.join(apart, ["token", "band"]), "crowded")
     wanted = second.select(F.explode(F.array("a", "b")).alias("id")).unionByName(many.select("id")).distinct()
@@ -515,30 +548,31 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, text:
     """
     small_batches(docs.sparkSession)
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).withColumn("row", F.xxhash64("doc_id", "text"))
-    signed = materialize(signatures(docs, shingle_counts(docs, words), words, percent), "signatures")
-    alike = signed.where("n > 0").groupBy("key").agg(F.min("row").alias("rep"), F.min("doc_id").alias("least"), F.max("n").alias("n"), F.count("*").alias("class_size"))
-    n = signed.count()
-    classes = materialize(alike, "classes", n)
-    # rows of classes of their own stay where they are; only the others meet their class
-    several = materialize(signed.select("row", "key").distinct().join(classes.where("class_size > 1").select("key", "rep"), "key").select("row", (F.col("row") == F.col("rep")).alias("stays")), "several", n)
-    members = materialize(without_rows(signed.where("n > 0").select("row", "n", "prefix", "sketch"), several, "row"), "members")
-    discard(several)
-    # prefixes are kept once, and no longer than they are read
-    sizes = materialize(signed.select("row", "doc_id", "n", "key"), "sizes", n)
-    discard(signed)
-    comp = class_links(docs, members, words, percent).withColumnRenamed("id", "rep")
-    joined = classes.join(comp, "rep")
+    with settings(docs.sparkSession, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1"):
+        signed = materialize(signatures(docs, shingle_counts(docs, words), words, percent), "signatures")
+        alike = signed.where("n > 0").groupBy("key").agg(F.min("row").alias("rep"), F.min("doc_id").alias("least"), F.max("n").alias("n"), F.count("*").alias("class_size"))
+        n = signed.count()
+        classes = materialize(alike, "classes", n)
+        # rows of classes of their own stay where they are; only the others meet their class
+        several = materialize(signed.select("row", "key").distinct().join(classes.where("class_size > 1").select("key", "rep"), "key").select("row", (F.col("row") == F.col("rep")).alias("stays")), "several", n)
+        members = materialize(without_rows(signed.where("n > 0").select("row", "n", "prefix", "sketch"), several, "row"), "members")
+        discard(several)
+        # prefixes are kept once, and no longer than they are read
+        sizes = materialize(signed.select("row", "doc_id", "n", "key"), "sizes", n)
+        discard(signed)
+        comp = class_links(docs, members, words, percent).withColumnRenamed("id", "rep")
+        counted = count_links(docs, classes, comp.withColumnRenamed("rep", "id"), words, percent) if links else classes.select("rep", F.lit(None).cast("long").alias("links")).where("false")
+    joined = classes.hint("merge").join(comp, "rep")
     named = joined.groupBy("component").agg(F.min("least").alias("component_id"))
-    labelled = classes.join(joined.select("rep", "component").join(named, "component"), "rep", "left")
-    counted = count_links(docs, classes, comp.withColumnRenamed("rep", "id"), words, percent) if links else classes.select("rep", F.lit(None).cast("long").alias("links")).where("false")
-    labelled = labelled.join(counted, "rep", "left").select(
+    labelled = classes.hint("merge").join(joined.select("rep", "component").hint("merge").join(named, "component"), "rep", "left")
+    labelled = labelled.hint("merge").join(counted, "rep", "left").select(
         "key",
         F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"),
         "class_size",
         (F.coalesce("links", F.lit(0)) + F.col("class_size") - 1 if links else F.lit(None).cast("long")).alias("n_links"),
         F.coalesce("component", "rep").alias("component"),
     )
-    found = sizes.where("n > 0").join(labelled, "key").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "class_size", "n_links", "row", "component")
+    found = sizes.where("n > 0").hint("merge").join(labelled, "key").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "class_size", "n_links", "row", "component")
     none = F.lit(0).cast("long") if links else F.lit(None).cast("long")
     alone = sizes.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(1).cast("long").alias("class_size"), none.alias("n_links"), "row", F.col("row").alias("component"))
     return found.unionByName(alone)
