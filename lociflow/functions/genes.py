@@ -7,7 +7,8 @@ texts inside Arrow batches.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -20,7 +21,11 @@ _MENTIONS = [re.compile(p) for p in P.GENE_MENTIONS]
 _LEFT, _RIGHT = re.compile(P.GENE_LEFT), re.compile(P.GENE_RIGHT)
 _NAMED = [re.compile(P.GENE_NAMED_PAREN), re.compile(P.GENE_LNCRNA_PAREN)]
 _NAMED_TOKEN, _THEN_VARIANT = re.compile(P.GENE_NAMED_TOKEN), re.compile(P.GENE_THEN_VARIANT)
-_NEAR_C = re.compile(P.GENE_NEAR_C)
+_NEAR_C, _C_NAME = re.compile(P.GENE_NEAR_C), re.compile(P.C_NAME, re.I)
+_LOCUS_AFTER = re.compile(P.GENE_LOCUS_AFTER, re.I | re.S)
+_BASE_BEFORE, _LOOSE_SYMBOL = re.compile(r">[ACGT]\s*$"), re.compile(r"\b([A-Z][A-Z0-9]{1,10})\b")
+_IN_SYMBOL = re.compile(r"(?:\s*\([^)]{0,40}\))?\s+in\s+(?:the\s+)?" + _LOOSE_SYMBOL.pattern)
+_SYMBOL_AFTER = re.compile(r".{0,40}" + _LOOSE_SYMBOL.pattern)
 _RS = re.compile(r"rs\d{4,}", re.I)
 _SHAPE = re.compile(r"[A-Za-z][A-Za-z0-9]{0,14}(?:-[A-Za-z0-9]{1,6})?")
 _RESIDUES = re.compile(r"[A-Z]\d+[A-Z*]|[A-Z]{3}\d+[A-Z]{3}")
@@ -42,11 +47,26 @@ def _first(symbols: Iterable[str], stop: frozenset[str] = frozenset()) -> str |
     return next((s.upper() for s in symbols if plausible_gene(s) and s.upper() not in stop), None)
 
 
-def _places(text: str, variant: str) -> Iterable[re.Match]:
+@lru_cache(maxsize=64)
+def _lowered(text: str) -> str:
+    """Lower case of equal length, so that places in it are places in the text."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c if len(c.lower()) > 1 else c.lower() for c in text)
+
+
+def find_all(text: str, name: str, case: bool = False) -> Iterator[tuple[int, int]]:
+    """Places of a name in a text, without overlaps; a plain search, as a name per row is no expression worth compiling."""
+    low, sought = (text, name) if case else (_lowered(text), _lowered(name))
+    at = low.find(sought) if sought else -1
+    while at >= 0:
+        yield at, at + len(sought)
+        at = low.find(sought, at + len(sought))
+
+
+def _places(text: str, variant: str) -> Iterator[tuple[int, int]]:
     """Places of the variant as written, then without parentheses and spaces."""
     for form in dict.fromkeys([variant.strip(), re.sub(r"[()\s]", "", variant)]):
-        if form:
-            yield from re.finditer(re.escape(form), text, re.I)
+        yield from find_all(text, form)
 
 
 def adjacent_gene(text: str | None, variant: str | None) -> str | None:
@@ -55,17 +75,17 @@ def adjacent_gene(text: str | None, variant: str | None) -> str | None:
         return None
 
     def before() -> Iterable[str]:
-        for m in _places(text, variant):
-            left = text[max(0, m.start() - 40) : m.start()]
-            if re.search(r">[ACGT]\s*$", left):  # the base of a change, no gene
+        for start, _ in _places(text, variant):
+            left = text[max(0, start - 40) : start]
+            if _BASE_BEFORE.search(left):  # the base of a change, no gene
                 continue
             found = _LEFT.search(left)
             if found and left[: found.start(1)][-1:] != ">":
                 yield found[1]
 
     def after() -> Iterable[str]:
-        for m in _places(text, variant):
-            found = _RIGHT.search(text[m.end() : m.end() + 90])
+        for _, end in _places(text, variant):
+            found = _RIGHT.search(text[end : end + 90])
             if found:
                 yield found[1]
 
@@ -87,20 +107,36 @@ def symbol_before_variant_word(text: str | None) -> str | None:
     return _first(m[1] for m in _THEN_VARIANT.finditer(text or ""))
 
 
+@lru_cache(maxsize=64)
+def _sentences(text: str) -> tuple[tuple[str, str], ...]:
+    """Sentences, and in lower case; kept for the steps and variants that ask for the same text."""
+    return tuple((s, s.lower()) for s, _ in sentences_of(text))
+
+
+@lru_cache(maxsize=64)
 def neighbourhood(text: str | None, variant: str | None, radius: int = RADIUS) -> str:
     """The first sentence with the variant and ``radius`` sentences on either side (WIN-02); empty when no sentence has it."""
     sought = (variant or "").strip().lower()
-    parts = [s for s, _ in sentences_of(text or "")]
-    at = next((i for i, s in enumerate(parts) if sought and sought in s.lower()), None)
-    return "" if at is None else " ".join(parts[max(0, at - radius) : at + radius + 1])
+    parts = _sentences(text or "")
+    at = next((i for i, (_, low) in enumerate(parts) if sought and sought in low), None)
+    return "" if at is None else " ".join(s for s, _ in parts[max(0, at - radius) : at + radius + 1])
 
 
 def locus_gene(text: str | None, variant: str | None) -> str | None:
     """'VARIANT ... located in the GENE locus' within 160 characters and one full stop (GEN-06)."""
     if not text or not (variant or "").strip():
         return None
-    found = re.finditer(re.escape(variant.strip()) + P.GENE_LOCUS_AFTER, text, re.I | re.S)
-    return _first((m[2].upper() for m in found if m[1].count(".") < 2), P.LOCUS_STOP)
+    return _first((m[2].upper() for m in _locus_phrases(text, variant.strip()) if m[1].count(".") < 2), P.LOCUS_STOP)
+
+
+def _locus_phrases(text: str, variant: str) -> Iterator[re.Match]:
+    """Phrases behind the places of the variant that do not overlap."""
+    reach = 0
+    for start, end in find_all(text, variant):
+        m = _LOCUS_AFTER.match(text, end) if start >= reach else None
+        if m:
+            reach = m.end()
+            yield m
 
 
 def neighbour_gene(text: str | None, variant: str | None) -> str | None:
@@ -218,13 +254,18 @@ def negative_gene(text: str | None, variant: str | None, fallback: str | None) -
     found = able(resolve_gene(variant, evidence=text)[0] or "")
     if found:
         return found
-    v = re.escape((variant or "").strip())
-    symbol = r"\b([A-Z][A-Z0-9]{1,10})\b"
-    for pattern in (rf"{symbol}.{{0,40}}{v}", rf"{v}(?:\s*\([^)]{{0,40}}\))?\s+in\s+(?:the\s+)?{symbol}", rf"{v}.{{0,40}}{symbol}") if v else ():
-        m = re.search(pattern, text or "")
-        if m and able(m[1]):
-            return able(m[1])
-    return able(fallback or "")
+    name = (variant or "").strip()
+    at = list(find_all(text or "", name, case=True))
+
+    def before() -> Iterator[str]:
+        for m in _LOOSE_SYMBOL.finditer(text if at else ""):
+            if any(0 <= start - m.end() <= 40 and "\n" not in text[m.end() : start] for start, _ in at):
+                yield m[1]
+
+    behind = lambda pattern: (m[1] for m in (pattern.match(text, end) for _, end in at) if m)
+    # the first symbol of each form counts, or none of that form
+    first = (next(form, "") for form in (before(), behind(_IN_SYMBOL), behind(_SYMBOL_AFTER)))
+    return next(filter(None, map(able, first)), None) or able(fallback or "")
 
 
 def corrected_gene(gene: str | None, variant: str | None, evidence: str | None = None, context: str | None = None, cached: str | None = None, pubtator: dict | None = None, dbsnp_gene: str | None = None, known: frozenset[str] | None = None) -> tuple[str | None, str | None]:
@@ -243,13 +284,12 @@ def corrected_gene(gene: str | None, variant: str | None, evidence: str | None =
         return up if ok else None
 
     def near_c() -> str | None:
-        m = re.search(P.C_NAME, variant or "", re.I)
-        if not m:
-            return None
-        loose = r"\s*".join(re.escape(ch) for ch in re.sub(r"\s+", "", m[0]))
-        for t in texts:
-            for place in re.finditer(loose, t, re.I):
-                g = _NEAR_C.search(t[max(0, place.start() - 80) : place.end()])
+        m = _C_NAME.search(variant or "")
+        for t in texts if m else ():
+            # spaces may stand anywhere in the name: it is sought in the text without them
+            places = [k for k, ch in enumerate(t) if not ch.isspace()]
+            for start, end in find_all("".join(t[k] for k in places), "".join(m[0].split())):
+                g = _NEAR_C.search(t[max(0, places[start] - 80) : places[end - 1] + 1])
                 if g and able(g[1], True):
                     return able(g[1], True)
         return None

@@ -28,10 +28,18 @@ def all_matches(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"({pattern})"), F.lit(1))
 
 
-def concrete_variants(text: Column) -> Column:
-    """Distinct concrete variant strings, by kind and then by place."""
-    found = [all_matches(text, P.VARIANTS[k]) for k in P.CONCRETE]
-    return F.array_distinct(F.transform(F.flatten(F.array(*found)), lambda v: F.regexp_replace(v, r"\s*>\s*", ">")))
+def is_generic_clinical(clinical: Column) -> Column:
+    """Names nothing: every part between semicolons is a bare head, filler, or an adjective of inheritance (TXT-08); null and blank texts are generic."""
+    listed = lambda *tables: F.array(*[F.lit(w) for w in sorted(set().union(*tables))])
+
+    def names_nothing(part: Column) -> Column:
+        # one-element arrays bind the words once
+        words = F.filter(F.transform(F.split(F.trim(part), P.CLINICAL_SEPARATOR), lambda w: F.lower(w)), lambda w: w != "")
+        weak = (F.get(words, 0) == "syndromic") & (F.size(F.array_except(F.slice(words, 2, 1000), listed(P.SYNDROMIC_WEAK))) == 0)
+        filler = F.size(F.array_except(words, listed(P.CLINICAL_STOP, P.GENERIC_CLINICAL, P.INHERITANCE_ONLY))) == 0
+        return F.when(F.size(words) > 1, weak | filler).otherwise(F.size(F.array_except(words, listed(P.GENERIC_CLINICAL))) == 0)
+
+    return F.forall(F.split(F.coalesce(clinical, F.lit("")), ";"), names_nothing)
 
 
 def cues(text: Column, table: dict[str, str]) -> Column:
@@ -179,12 +187,14 @@ def html_to_text(html: Column) -> Column:
 
 
 def section_type(title: Column) -> Column:
-    t = F.lower(F.coalesce(title, F.lit("")))
-    ladder = [("TITLE", "^title$"), ("ABSTRACT", "abstract|summary"), ("INTRO", "introduction|background"), ("METHODS", "method|materials|subjects"), ("RESULTS", "result|findings"), ("DISCUSS", "discussion"), ("CONCL", "conclusion"), ("CASE", "case (?:report|presentation|description)"), ("REF", "reference|bibliography"), ("SUPPL", "supplement|appendix"), ("AUTH_CONT", "author contribution"), ("COMP_INT", "competing|conflict")]
-    out = F.when(t.rlike(ladder[0][1]), ladder[0][0])
-    for name, pattern in ladder[1:]:
-        out = out.when(t.rlike(pattern), name)
-    return out.otherwise("OTHER")
+    """Type of a section by the first group of words that its title has."""
+    low = F.lower(F.coalesce(title, F.lit("")))
+    has = lambda words: reduce(lambda a, b: a | b, [F.contains(low, F.lit(w)) for w in words])
+    (kind, words), *rest = P.SECTION_WORDS
+    out = F.when(has(words), kind)
+    for kind, words in rest:
+        out = out.when(has(words), kind)
+    return out.when(F.startswith(low, F.lit("fig")), "FIG").otherwise("OTHER")
 
 
 def usable_passage(section: Column, kind: Column, text: Column, least: int = 40) -> Column:

@@ -88,6 +88,18 @@ def interval_join(left: DataFrame, right: DataFrame, on: str, left_span: tuple[s
     return a.join(b, meets).where(first).drop("__bin", "__bin_r", "__on")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores before an expensive function, where its scan may have fewer parts than cores.
+
+    Only an input smaller than one split per core moves, so at most that much is shuffled; larger ones have parts enough.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores) if estimate < cores * split else df
+
+
 def anti_any_key(df: DataFrame, row_id: str, keys: list[Column], excluded: DataFrame, excluded_key: str) -> DataFrame:
     """Rows none of whose keys is excluded; rows without any key stay."""
     hit = df.select(F.col(row_id).alias("__id"), F.explode(F.array_compact(F.array(*keys))).alias("__k")).join(excluded.select(F.col(excluded_key).alias("__k")).distinct(), "__k", "left_semi").select("__id").distinct()

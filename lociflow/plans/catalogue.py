@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lociflow.functions import alleles, genes, hgvs, spans, text
+from lociflow.functions import patterns as P
 from lociflow.operators import relational as R
 from lociflow.operators import resolver
 from lociflow.plans import delivery, stages
@@ -123,9 +124,28 @@ def html_strip(spark, sf_dir):
     return t(spark, sf_dir, "pages").select("page_id", text.html_to_text(F.col("html")).alias("plain"))
 
 
-@query()
+_KIND = "CASE " + " ".join(f"WHEN {' OR '.join(f"contains(lower(head), '{w}')" for w in words)} THEN '{kind}'" for kind, words in P.SECTION_WORDS) + " WHEN starts_with(lower(head), 'fig') THEN 'FIG' ELSE 'OTHER' END"
+
+
+def _plain_sql(html: str) -> str:
+    """Text of a piece of html, with the character references that the pages have."""
+    decoded = f"replace(replace(replace(replace(regexp_replace({html}, '(?s)<[^>]+>', ' ', 'g'), '&copy;', '©'), '&middot;', '·'), '&quot;', '\"'), '&amp;', '&')"
+    return f"trim(regexp_replace({decoded}, '{text.WHITE}', ' ', 'g'))"
+
+
+@query(
+    f"""WITH c AS (SELECT page_id, regexp_replace(html, '(?is)<(?:script|style|noscript)\\b.*?</(?:script|style|noscript)\\s*>|<!--.*?-->', '', 'g') AS h FROM pages),
+a AS (SELECT page_id, regexp_extract(h, '(?is)<title[^>]*>(.*?)</title>', 1) AS t, regexp_extract(h, '(?is)<article[^>]*>(.*?)(?:</article>|$)', 1) AS b FROM c),
+-- a piece begins at every start tag of a block and ends at its end tag
+s AS (SELECT page_id, unnest(string_split(regexp_replace(b, '(?i)(<(?:p|h[1-4])[ >])', chr(1) || '\\1', 'g'), chr(1))) AS x, unnest(range(len(string_split(regexp_replace(b, '(?i)(<(?:p|h[1-4])[ >])', chr(1) || '\\1', 'g'), chr(1))))) AS i FROM a),
+q AS (SELECT page_id, i, regexp_matches(x, '(?i)^<h') AS is_head, {_plain_sql("regexp_extract(x, '(?is)^(.*?)(?:</(?:p|h[1-4])>|$)', 1)")} AS text FROM s WHERE regexp_matches(x, '(?i)^<(?:p|h[1-4])[ >]')),
+w AS (SELECT *, last_value(CASE WHEN is_head AND length(text) < 120 THEN text END IGNORE NULLS) OVER (PARTITION BY page_id ORDER BY i) AS head FROM q),
+r AS (SELECT page_id, i, {_KIND} AS section_type, 'paragraph' AS passage_type, text, head AS section_title FROM w WHERE NOT is_head AND text <> ''
+ UNION ALL SELECT page_id, -1, 'TITLE', 'title', {_plain_sql("t")}, NULL FROM a WHERE length({_plain_sql("t")}) > 5)
+SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS INTEGER) AS idx, section_type, passage_type, text, section_title FROM r"""
+)
 def page_passages(spark, sf_dir):
-    """Heading and paragraph passages of every page."""
+    """Title and paragraphs of every page in page order, with the section and heading that they stand under."""
     return readers.html_passages(t(spark, sf_dir, "pages"), "html", "page_id")
 
 
@@ -194,6 +214,25 @@ def text_spans(spark, sf_dir):
     return articles(spark, sf_dir).select("pmid", F.explode(spans.spans("text")).alias("s")).select("pmid", "s.*")
 
 
+#: Texts with several kinds of names in another order each; spaces in a change, and a name that comes again.
+_SCANNED = "CASE p_partkey % 3 WHEN 0 THEN concat('First RS', 100000 + p_partkey, ', then c.', p_partkey, 'A > G and p.Arg', p_partkey, 'Gln; again rs', 100000 + p_partkey, '.') WHEN 1 THEN concat('Both p.(Arg', p_partkey, 'Gln) and IVS', p_size, '+1G>A, with c.', p_partkey, 'del and rs', 100000 + p_partkey, '.') ELSE concat('A novel variant, p.R', p_partkey, 'Q, at NM_', 1000 + p_size, '.2:c.', p_partkey, 'A>G.') END"
+_SCAN_PATTERNS = {k: P.VARIANTS[k] for k in P.CONCRETE}
+
+
+@query(
+    # every match of every pattern with its place: the texts before it, found by splitting at the match
+    "WITH x AS (SELECT p_partkey AS id, " + _SCANNED + " AS text FROM part), m AS ("
+    + " UNION ALL ".join(f"SELECT id, text, unnest(regexp_extract_all(text, '{p}')) AS v FROM x" for p in _SCAN_PATTERNS.values())
+    + """), n AS (SELECT id, strpos(text, v) AS pl, length(v) AS n, regexp_replace(CASE WHEN regexp_matches(v, '(?i)^rs[0-9]+$') THEN lower(v) ELSE v END, '(?i)([ACGT])\\s*>\\s*([ACGT])', '\\1>\\2') AS v FROM m),
+o AS (SELECT id, v, min(pl * 1000 + n) AS place FROM n GROUP BY id, v)
+SELECT id, string_agg(v, '|' ORDER BY place) AS variants FROM o GROUP BY id"""
+)
+def scanned_variants(spark, sf_dir):
+    """Concrete names of a text in the order of their places (TXT-14)."""
+    found = t(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.expr(_SCANNED).alias("text"))
+    return found.select("id", F.array_join(spans.variants_scanned("text"), "|").alias("variants"))
+
+
 @query(f"SELECT pmid, variant, CASE WHEN size % 5 IN (0, 2) THEN gene END AS gene FROM {_ARTICLES}")
 def gene_binding(spark, sf_dir):
     rows = articles(spark, sf_dir).select("pmid", "variant", genes.gene_for("text", "variant", F.lit(None).cast("string")).alias("g"))
@@ -426,17 +465,41 @@ def gate_compiler(spark, sf_dir):
     return apply_gates(t(spark, sf_dir, "lineitem"), gates).select("l_orderkey", "l_linenumber", "gate_quantity", "gate_flag")
 
 
+#: Clinical texts by p_partkey: names, bare heads, filler, inheritance, several parts.
+_CLINICAL_CASES = ("concat({k}, ' syndrome')", "'syndrome'", "'a severe autosomal recessive disorder'", "'syndromic forms'", "concat('disorder; ', {k}, ' disease')", "'Familial X-linked disease; phenotype'", "' ; '", "'obesity'", "concat('congenital ', {k}, '-', {k}, ' dystrophy type 2')")
+
+
+def _clinical_sql(key: str, kind: str) -> str:
+    return f"CASE {key} % {len(_CLINICAL_CASES)} " + " ".join(f"WHEN {i} THEN {x.replace('{k}', kind)}" for i, x in enumerate(_CLINICAL_CASES)) + " END"
+
+
+def _generic_sql(clinical: str) -> str:
+    """Whether no part of a clinical text names anything, worked out on lists of words."""
+    listed = lambda *tables: "[" + ", ".join(f"'{w}'" for w in sorted(set().union(*tables))) + "]"
+    parts = f"list_transform(string_split({clinical}, ';'), lambda p: list_filter(string_split(regexp_replace(lower(trim(p)), '{P.CLINICAL_SEPARATOR}', ' ', 'g'), ' '), lambda w: w <> ''))"
+    inside = lambda words, table: f"len(list_filter({words}, lambda w: NOT list_contains({table}, w))) = 0"
+    nothing = (
+        f"CASE WHEN len(p) > 1 THEN (p[1] = 'syndromic' AND {inside('p[2:]', listed(P.SYNDROMIC_WEAK))}) OR {inside('p', listed(P.CLINICAL_STOP, P.GENERIC_CLINICAL, P.INHERITANCE_ONLY))} "
+        f"ELSE {inside('p', listed(P.GENERIC_CLINICAL))} END"
+    )
+    return f"len(list_filter({parts}, lambda p: NOT ({nothing}))) = 0"
+
+
 @query(
-    f"""SELECT gene || '|' || lower(v) AS locus_key, pmid FROM (SELECT gene, variant AS v, pmid, row_number() OVER (PARTITION BY gene, lower(variant) ORDER BY ord) AS rn FROM {_ARTICLES} WHERE size % 5 IN (0, 1, 2)) WHERE rn = 1"""
+    f"""SELECT gene || '|' || lower(v) AS locus_key, pmid FROM (SELECT gene, variant AS v, pmid, row_number() OVER (PARTITION BY gene, lower(variant) ORDER BY ord) AS rn FROM {_ARTICLES} WHERE size % 5 IN (0, 1, 2) AND NOT ({_generic_sql(_clinical_sql("ord", "kind"))})) WHERE rn = 1"""
 )
 def review_gate_best(spark, sf_dir):
-    rows = text.with_discovery(articles(spark, sf_dir)).withColumns({"method": F.lit("same_sentence_cooccurrence"), "clinical_source": F.lit("lexicon_entity"), "gene_source": F.lit("row_gene"), "tier": F.lit("A"), "evidence_source": F.lit("abstract"), "evidence_sentence": F.col("text")})
+    rows = text.with_discovery(articles(spark, sf_dir)).withColumn("clinical", F.expr(_clinical_sql("ord", "kind"))).withColumns({"method": F.lit("same_sentence_cooccurrence"), "clinical_source": F.lit("lexicon_entity"), "gene_source": F.lit("row_gene"), "tier": F.lit("A"), "evidence_source": F.lit("abstract"), "evidence_sentence": F.col("text")})
     return stages.review(rows, ("A",), "ord").select("locus_key", "pmid")
 
 
-@query("SELECT conv_id, list_distinct(list(role ORDER BY turn)) AS x FROM conversations WHERE false GROUP BY conv_id")
+@query("SELECT conv_id, count(*) AS n FROM conversations GROUP BY conv_id")
 def empty_short_circuit(spark, sf_dir):
-    return t(spark, sf_dir, "conversations").where("false").groupBy("conv_id").agg(F.array_distinct(F.collect_list("role")).alias("x"))
+    """A stage whose gates pass nothing leaves the rows that it would have replaced or dropped."""
+    c = t(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
+    nothing = apply_gates(c, [Gate("none", F.col("turn") < 0)]).select("conv_id", "turn", "role")
+    kept = R.anti_any_key(R.replace_by_key(c, nothing, "conv_id"), "conv_id", [F.col("conv_id")], nothing, "conv_id")
+    return kept.groupBy("conv_id").agg(F.count("*").alias("n"))
 
 
 @query(
@@ -454,10 +517,10 @@ def region_annotation(spark, sf_dir):
     return stages.region_of(rows, features)
 
 
-@query(f"SELECT pmid, CASE WHEN size % 5 < 3 THEN '' ELSE 'confidence,' END || 'clinical_source,tier' AS gate_failed FROM {_ARTICLES}")
+@query(f"SELECT pmid, CASE WHEN size % 5 < 3 THEN '' ELSE 'confidence,' END || 'clinical_source,' || CASE WHEN {_generic_sql(_clinical_sql('ord', 'kind'))} THEN 'clinical_text,' ELSE '' END || 'tier' AS gate_failed FROM {_ARTICLES}")
 def gate_audit(spark, sf_dir):
     """All gates annotated, nothing dropped."""
-    rows = text.with_discovery(articles(spark, sf_dir)).withColumns({"method": F.lit("same_abstract_cooccurrence"), "clinical_source": F.lit("lexicon_cue"), "gene_source": F.lit("row_gene"), "tier": F.lit("B")})
+    rows = text.with_discovery(articles(spark, sf_dir)).withColumn("clinical", F.expr(_clinical_sql("ord", "kind"))).withColumns({"method": F.lit("same_abstract_cooccurrence"), "clinical_source": F.lit("lexicon_cue"), "gene_source": F.lit("row_gene"), "tier": F.lit("B")})
     return apply_gates(rows, review_gates(), "audit").select("pmid", F.array_join("gate_failed", ",").alias("gate_failed"))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lociflow.functions import patterns as P
-from lociflow.functions.text import blank
+from lociflow.functions.text import blank, is_generic_clinical
 
 STATES = ("required", "enabled", "disabled", "audit_only")
 
@@ -50,6 +50,7 @@ def review_gates(tiers: tuple[str, ...] = ("A",)) -> list[Gate]:
         Gate("confidence", F.col("discovery_confidence") == "high"),
         Gate("method", F.col("method").isin(*P.METHOD_RANK)),
         Gate("clinical_source", F.col("clinical_source").isin(*P.ENTITY_SOURCES)),
+        Gate("clinical_text", ~is_generic_clinical(F.col("clinical"))),
         Gate("gene_source", F.col("gene_source").isin(*P.GENE_SOURCES)),
         Gate("tier", F.col("tier").isin(*tiers)),
     ]

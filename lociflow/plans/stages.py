@@ -16,7 +16,7 @@ from lociflow.plans.gates import apply_gates, review_gates, review_score
 
 def link_articles(articles: DataFrame) -> DataFrame:
     """Articles (pmid, title, abstract, ...) to variant-phenotype links with a gene."""
-    rows = articles.withColumn("text", F.trim(F.concat_ws(" ", "title", "abstract")))
+    rows = R.spread(articles).withColumn("text", F.trim(F.concat_ws(" ", "title", "abstract")))
     keep = [c for c in ("pmid", "text", "journal", "journal_iso", "issn", "pub_date", "ord") if c in rows.columns]
     linked = spans.explode_links(rows, "text", keep)
     bound = genes.gene_for(F.col("evidence_sentence"), F.col("variant"), F.lit(None).cast("string"))
@@ -158,10 +158,12 @@ def link_full_text(passages: DataFrame, articles: DataFrame, known: DataFrame |
     known variants, and the first per variant and evidence stays.  ``articles``: pmid, title, abstract, pubtator (JSON).
     """
     body = passages.where(text.usable_passage(F.col("section_type"), F.col("passage_type"), F.col("text")) & text.in_body(F.col("section_type")))
-    found = body.groupBy("pmid").agg(F.array_distinct(F.flatten(F.collect_list(text.concrete_variants(F.col("text"))))).alias("found"))
+    scanned = body.select("pmid", "idx", spans.variants_scanned("text").alias("v")).where(F.size("v") > 0)
+    # in the order of the passages
+    found = scanned.groupBy("pmid").agg(F.array_distinct(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("idx", "v"))), lambda x: x["v"]))).alias("found"))
     own = articles if known is None else articles.join(known, "pmid", "left")
-    seeds = own.select("pmid", "title", "abstract", "pubtator", (F.coalesce("known", F.array().cast("array<string>")) if known is not None else text.concrete_variants(F.concat_ws(" ", "title", "abstract"))).alias("own"))
-    rows = body.join(seeds, "pmid").join(found, "pmid")
+    seeds = own.select("pmid", "title", "abstract", "pubtator", (F.coalesce("known", F.array().cast("array<string>")) if known is not None else spans.variants_scanned(F.concat_ws(" ", "title", "abstract"))).alias("own"))
+    rows = body.join(seeds, "pmid").join(found, "pmid", "left").withColumn("found", F.coalesce("found", F.array().cast("array<string>")))
     new = R.only_in(F.col("found"), F.col("own"))
     both = F.concat(
         F.transform(spans.links_in_passage("text"), lambda x: F.struct(F.lit(0).alias("kind"), x.alias("l"))),

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lociflow.functions import hgvs
-from lociflow.functions.text import section_type
+from lociflow.sources.passages import html_passages, jats_passages, plain_passages
+
+__all__ = ["html_passages", "jats_passages", "plain_passages"]
 
 _S = T.StringType()
 #: Built from type objects, so that the module imports without a session.
@@ -164,37 +166,6 @@ def bioc_passages(df: DataFrame, payload: str) -> DataFrame:
     return out.select(*[c for c in df.columns if c != payload], "idx", F.col("p.infons")["section_type"].alias("section_type"), F.col("p.infons")["type"].alias("passage_type"), F.col("p.text").alias("text"), F.col("p.offset").alias("offset"))
 
 
-def plain_passages(df: DataFrame, text: str, key: str) -> DataFrame:
-    """Blocks between blank lines; short blocks that name a section carry it to the next blocks."""
-    blocks = df.select(key, F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), r"\n\s*\n")).alias("idx", "block")).withColumn("text", F.trim(F.regexp_replace("block", r"\s+", " "))).where("text <> ''")
-    kind = section_type(F.col("text"))
-    head = F.when((F.length("text") <= 60) & (kind != "OTHER"), kind)
-    w = Window.partitionBy(key).orderBy("idx").rowsBetween(Window.unboundedPreceding, 0)
-    return blocks.withColumn("__h", head).withColumn("section_type", F.coalesce(F.last("__h", ignorenulls=True).over(w), F.lit("OTHER"))).where("__h is null").select(key, "idx", "section_type", F.lit("paragraph").alias("passage_type"), "text")
-
-
-def html_passages(df: DataFrame, html: str, key: str) -> DataFrame:
-    """Headings and paragraphs in page order; a paragraph takes the section of the last heading."""
-    clean = F.regexp_replace(F.coalesce(F.col(html), F.lit("")), r"(?is)<(script|style|nav|footer|aside)\b.*?</\1\s*>|<!--.*?-->", " ")
-    found = F.regexp_extract_all(clean, F.lit(r"(?is)(<h[1-6][^>]*>.*?</h[1-6]>|<p[^>]*>.*?(?=</p>|<p[ >]|<h[1-6]|</article>|$))"), F.lit(1))
-    rows = df.select(key, F.posexplode(found).alias("idx", "raw")).withColumn("is_head", F.col("raw").rlike("(?i)^<h"))
-    rows = rows.withColumn("text", F.trim(F.regexp_replace(F.regexp_replace("raw", "(?s)<[^>]+>", " "), r"\s+", " "))).where("text <> ''")
-    w = Window.partitionBy(key).orderBy("idx").rowsBetween(Window.unboundedPreceding, 0)
-    section = F.coalesce(F.last(F.when(F.col("is_head"), section_type(F.col("text"))), ignorenulls=True).over(w), F.lit("OTHER"))
-    return rows.withColumn("section_type", section).where("not is_head").select(key, "idx", "section_type", F.lit("paragraph").alias("passage_type"), "text")
-
-
-def jats_passages(df: DataFrame, xml: str, key: str) -> DataFrame:
-    """Title, abstract and body paragraphs of JATS XML in document order, with the last section title."""
-    found = F.regexp_extract_all(F.coalesce(F.col(xml), F.lit("")), F.lit(r"(?is)(<article-title[^>]*>.*?</article-title>|<abstract[^>]*>.*?</abstract>|<title[^>]*>.*?</title>|<p[^>]*>.*?</p>)"), F.lit(1))
-    rows = df.select(key, F.posexplode(found).alias("idx", "raw")).withColumn("tag", F.lower(F.regexp_extract("raw", r"^<([a-zA-Z-]+)", 1)))
-    rows = rows.withColumn("text", F.trim(F.regexp_replace(F.regexp_replace("raw", "(?s)<[^>]+>", " "), r"\s+", " "))).where("text <> ''")
-    w = Window.partitionBy(key).orderBy("idx").rowsBetween(Window.unboundedPreceding, 0)
-    carried = F.last(F.when(F.col("tag") == "title", section_type(F.col("text"))), ignorenulls=True).over(w)
-    section = F.when(F.col("tag") == "article-title", "TITLE").when(F.col("tag") == "abstract", "ABSTRACT").otherwise(F.coalesce(carried, F.lit("OTHER")))
-    return rows.withColumn("section_type", section).where("tag <> 'title'").select(key, "idx", "section_type", F.lit("paragraph").alias("passage_type"), "text")
-
-
 def source_cascade(candidates: DataFrame, key: str, preference: list[str]) -> DataFrame:
     """The first source by preference with 2 passages and 2,500 characters, else the last non-empty one."""
     place = F.create_map(*[F.lit(x) for i, s in enumerate(preference) for x in (s, i)])[F.col("source")]
