@@ -35,6 +35,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -192,8 +193,8 @@ class _Segment:
         return self.made[k]
 
 
-def _block_hits(index: DataFrame, block: list, slop: int) -> DataFrame:
-    """Hits of one block of windows in every document of every segment, with segment and place."""
+def _block_hits(index: DataFrame, block: list, slop: int) -> tuple[DataFrame, Broadcast]:
+    """Hits of one block of windows in every document of every segment, with segment and place; and what was broadcast for it."""
     size = max((len(r.terms) for r in block), default=1)
     terms, offsets = np.zeros((len(block), size), np.int64), np.zeros((len(block), size), np.int32)
     sizes = np.array([len(r.terms) for r in block], np.int32)
@@ -245,16 +246,23 @@ def _block_hits(index: DataFrame, block: list, slop: int) -> DataFrame:
                 ]
                 yield pa.record_batch(columns, ["doc_id", "n_words", "spans", "exact_items", "near_items", "segment", "place"])
 
-    return index.select("segment", "ids", "nulls", "sizes", "terms", "ends", "docs", "places").mapInArrow(search, _HITS + ", segment long, place long")
+    return index.select("segment", "ids", "nulls", "sizes", "terms", "ends", "docs", "places").mapInArrow(search, _HITS + ", segment long, place long"), shared
 
 
 def search(index: DataFrame, ordered: DataFrame, slop: int = SLOP) -> DataFrame:
     """One row per indexed document: doc_id, n_words, spans (start, length pairs), exact_items, near_items."""
     blocks = max(1, -(-ordered.count() // WINDOW_BLOCK))
     block_of = F.pmod(F.xxhash64("id"), F.lit(blocks))
-    found = [_block_hits(index, ordered.where(block_of == k).select("item", "terms", "offsets").collect(), slop) for k in range(blocks)]
+    rows_of = lambda k: ordered.where(block_of == k).select("item", "terms", "offsets").collect()
     if blocks == 1:
-        return found[0].drop("segment", "place")
+        return _block_hits(index, rows_of(0), slop)[0].drop("segment", "place")
+    # block by block: what is held, here and in the tasks, is one block, whatever the benchmark
+    found = []
+    for k in range(blocks):
+        hits, shared = _block_hits(index, rows_of(k), slop)
+        some = F.size("exact_items") + F.size("near_items") > 0
+        found.append(materialize(hits if k == 0 else hits.where(some), "hits"))
+        shared.destroy()
     # the place in the segment tells repeated rows apart
     merged = reduce(lambda a, b: a.unionByName(b), found).groupBy("segment", "place").agg(
         F.max("doc_id").alias("doc_id"),

@@ -6,9 +6,9 @@ that the dictionary and not the text's own past decides, and every chunk is enco
 per language; the language with the smallest sum of encoded bytes is chosen.  The decision
 is marked as rejected when the second language is nearer than ``MIN_MARGIN``.
 
-Bounded sample: ``DICT_BYTES`` of normalised text per language, taken from about
-``SAMPLE_DOCS`` training rows of each language at most (a documented parameter of the fit; the
-prediction reads whole texts of all rows).
+Bounded sample: ``DICT_BYTES`` of normalised text per language, at most ``PIECE_BYTES`` of one text so that no long
+one fills a dictionary alone, taken from about ``SAMPLE_DOCS`` training rows of each language at
+most (documented parameters of the fit; the prediction reads whole texts of all rows).
 
 Edge cases: null, empty and letterless texts are ``und`` with score 0; equal sizes go to the
 alphabetically first language and are rejected; with no training rows at all everything is
@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from lociflow.llm.common import small_batches
 
-DICT_BYTES, SAMPLE_DOCS = 64 * 1024, 300
+DICT_BYTES, PIECE_BYTES, SAMPLE_DOCS = 64 * 1024, 8 * 1024, 300
 #: Characters of a chunk, compression level, and the relative margin under which a decision is rejected.
 CHUNK, LEVEL, MIN_MARGIN = 16384, 7, 0.004
 UNKNOWN = "und"
@@ -58,10 +58,10 @@ def fit_dictionaries(training: DataFrame, text: str = "text", lang: str = "lang"
     held: dict[str, int] = {}
     for r in picked.sort("d", "l", "n").toLocalIterator(prefetchPartitions=False):
         if held.get(r.l, 0) < DICT_BYTES:
-            piece = normalise(r.t).encode()
+            piece = normalise(r.t).encode()[: min(PIECE_BYTES, DICT_BYTES - held.get(r.l, 0))]
             taken.setdefault(r.l, []).append(piece)
             held[r.l] = held.get(r.l, 0) + len(piece) + 1
-    return {name: b" ".join(pieces)[-DICT_BYTES:] for name, pieces in sorted(taken.items())}
+    return {name: b" ".join(pieces)[:DICT_BYTES] for name, pieces in sorted(taken.items())}
 
 
 class _Classifier:

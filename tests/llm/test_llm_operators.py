@@ -454,3 +454,21 @@ def test_toxicity(spark, empty):
     assert sum(r.predicted == int(r.doc_id % 4 == 0) for r in held) >= 0.95 * len(held)
     assert not any(r.predicted for r in toxicity.score(probe, toxicity.fit(empty, labels)).collect())
     assert toxicity.score(empty, model).count() == 0
+
+
+def test_decontamination_in_blocks(spark, monkeypatch):
+    rng = random.Random(12)
+    word = lambda: rng.choice("abcdefghijkl") * 2
+    bench = [(f"i{k}", " ".join(word() for _ in range(rng.choice([3, 10, 14])))) for k in range(12)]
+    docs = [(k, " ".join(word() for _ in range(20)) + " " + rng.choice(bench)[1] + " " + word()) for k in range(40)] + [(7, None), (None, bench[0][1]), (None, bench[0][1])]
+    frame, items = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id string, text string")
+    digest = lambda: sorted(map(tuple, decontam.contamination_digest(decontam.contamination(frame, items)).collect()), key=str)
+    whole = digest()
+    monkeypatch.setattr(decontam, "WINDOW_BLOCK", 5)
+    assert digest() == whole and len(whole) == len(docs)
+
+
+def test_a_long_text_does_not_fill_a_dictionary(spark):
+    rows = [(k, "alpha beta gamma", "en") for k in range(5)] + [(9, "omega " * 40_000, "en")]
+    content = langid.fit_dictionaries(spark.createDataFrame(rows, "doc_id long, text string, lang string"))["en"]
+    assert b"alpha beta" in content and content.count(b"omega") < 2000 and len(content) <= langid.DICT_BYTES

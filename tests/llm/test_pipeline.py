@@ -64,3 +64,31 @@ def test_null_and_repeated_ids(spark, tmp_path):
     rows = [(None, clean[0], "en", "s", 1), (None, clean[1] + " " + item, "en", "s", 1), (None, clean[2], "en", "s", 1), (8, clean[3] + " " + nameless, "en", "s", 1), (8, clean[4], "en", "s", 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     assert {(r.doc_id, r.text) for r in cp.decontaminate(spark, docs, str(tmp_path)).collect()} == {(None, clean[0]), (None, clean[2]), (8, clean[4])}
+
+
+def test_odd_tables_pass_every_stage(spark, tmp_path):
+    """Clashing columns come through, a very long text is read whole, and an empty table stays empty."""
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(300)]
+    item = "quick brown foxes jump over eleven lazy dogs by noon today"
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score string, rejected int, __row string, epoch string, domain int, Place long, __possible string, stays string, __l int"
+    extra = ("s", 3, "r", "e", 4, 5, "p", "t", 6)
+    rows = [(k, " ".join(rng.choice(words) for _ in range(40)), rng.choice(["en", "fr"]), "src1", 1, *extra) for k in range(30)]
+    long_ = " ".join(rng.choice(words) for _ in range(120_000))
+    rows += [(90, long_, "en", "src1", 1, *extra), (91, long_ + " " + item, None, None, None, *extra), (92, None, "en", "src1", 0, *extra)]
+    spark.createDataFrame([("b", item)], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame(rows, schema)
+    for name, stage in cp.STAGES[1:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.schema.names == docs.schema.names, name
+        kept = {r.doc_id: r for r in out.collect()}
+        assert all(tuple(kept[r[0]]) == r for r in rows if r[0] in kept), name
+        if name == "near_duplicates":
+            assert set(kept) == {r[0] for r in rows} - {91}
+        if name == "decontaminate":
+            assert set(kept) == {r[0] for r in rows} - {91}
+    kept = cp.language_id(spark, docs, str(tmp_path))
+    assert kept.schema.names == docs.schema.names and kept.where("doc_id = 92").count() == 0
+    none = docs.where("doc_id < 0")
+    for name, stage in cp.STAGES:
+        assert stage(spark, none, str(tmp_path)).count() == 0, name
