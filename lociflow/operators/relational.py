@@ -7,6 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lociflow.operators.ranks import numbered, ranked
+from lociflow.operators.tables import written
+
 #: Width of an interval bin in bases.
 BIN_SIZE = 250_000
 
@@ -107,19 +110,26 @@ def anti_any_key(df: DataFrame, row_id: str, keys: list[Column], excluded: DataF
 
 
 def bag_semi(df: DataFrame, wanted: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """Multiset semi join: each wanted row keeps one row of ``df`` with its key, in order."""
-    rank = lambda d, o: d.withColumn("__rn", F.row_number().over(Window.partitionBy(*keys).orderBy(o)))
-    asked = rank(wanted.select(*keys, F.monotonically_increasing_id().alias("__w")), "__w").select(*keys, "__rn")
-    return rank(df, order).join(asked, [*keys, "__rn"], "left_semi").drop("__rn")
+    """Multiset semi join: each wanted row keeps one row of ``df`` with its key, in order.
+
+    Wanted rows are counted per key; a row stays when its place in its key is within the count, so no key is one sort.
+    """
+    asked = wanted.groupBy(*keys).agg(F.count("*").alias("__wanted"))
+    known = df.join(asked.select(*keys), keys, "left_semi")
+    return ranked(known, keys, [order], "__rn").join(asked, keys).where("__rn <= __wanted").select(df.columns)
 
 
 def bag_semi_with_fallback(df: DataFrame, wanted: DataFrame, keys: list[str], fallback: list[str], order: str) -> DataFrame:
     """``bag_semi``; what it leaves over is matched again on the shorter key."""
-    exact = bag_semi(df, wanted, keys, order)
+    exact = written(bag_semi(df, wanted, keys, order), "exact")
     rest = df.join(exact.select(order), order, "left_anti")
     used = exact.groupBy(*keys).agg(F.count("*").alias("__u"))
-    open_ = wanted.withColumn("__rn", F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(1)))).join(used, keys, "left").where("__rn > coalesce(__u, 0)")
-    return exact.unionByName(bag_semi(rest, open_.select(*fallback), fallback, order))
+    # how many of a key are still wanted: counts do, as wanted rows of one key are alike
+    still = wanted.groupBy(*keys).agg(F.count("*").alias("__n")).join(used, keys, "left").withColumn("__left", F.col("__n") - F.coalesce("__u", F.lit(0)))
+    open_ = still.groupBy(*fallback).agg(F.sum("__left").alias("__wanted")).where("__wanted > 0")
+    known = rest.join(open_.select(*fallback), fallback, "left_semi")
+    more = ranked(known, fallback, [order], "__rn").join(open_, fallback).where("__rn <= __wanted").select(df.columns)
+    return exact.unionByName(more)
 
 
 def replace_by_key(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
@@ -144,11 +154,11 @@ def overlay(df: DataFrame, notes: DataFrame, row_id: str, keys: list[str], class
     waiting = out.where("__by_id is null").join(named, full, "left")
 
     def dealt(rows: DataFrame, some: DataFrame, on: list[str]) -> DataFrame:
-        number = lambda d, o: d.withColumn("__rn", F.row_number().over(Window.partitionBy(*on).orderBy(o)))
-        right = number(some.select(*on, "__no", "__note"), "__no")
-        return number(rows, order).join(right, [*on, "__rn"], "left").drop("__rn")
+        # the key and the place in it: a hot key is as many join keys as it has rows
+        right = ranked(some.select(*on, "__no", "__note"), on, ["__no"], "__rn")
+        return ranked(rows, on, [order], "__rn").join(right, [*on, "__rn"], "left").drop("__rn")
 
-    whole = dealt(waiting.where("__has"), free, full)
+    whole = written(dealt(waiting.where("__has"), free, full), "noted")
     rest = free.join(whole.where("__no is not null").select("__no"), "__no", "left_anti")
     wide = dealt(waiting.where("__has is null"), rest, loose)
     parts = [out.where("__by_id is not null").withColumn("__note", F.col("__by_id.__note")), whole, wide]
@@ -218,25 +228,11 @@ def first_in_group(df: DataFrame, key: str, date: str) -> DataFrame:
     return df.withColumn("first_date", F.min(date).over(w)).withColumn("is_first", F.col(date) == F.col("first_date"))
 
 
-def numbered(df: DataFrame, order: str, out: str, pieces: int = 200) -> DataFrame:
-    """Adds the 1-based place of every row in the order of a number column, without one global sort.
-
-    Approximate quantiles cut the order into pieces; pieces are counted, and rows are numbered inside their piece.
-    """
-    cuts = sorted(set(df.approxQuantile(order, [k / pieces for k in range(1, pieces)], 0.001)))
-    piece = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col(order))) if cuts else F.lit(0)
-    cut = df.withColumn("__piece", piece)
-    sizes = cut.groupBy("__piece").agg(F.count("*").alias("__n"))
-    before = sizes.select("__piece", F.coalesce(F.sum("__n").over(Window.orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
-    inside = F.row_number().over(Window.partitionBy("__piece").orderBy(order))
-    return cut.withColumn("__in", inside).join(F.broadcast(before), "__piece").withColumn(out, F.col("__before") + F.col("__in")).drop("__piece", "__in", "__before")
-
-
 def audit_ids(df: DataFrame, parts: list[str], order: str) -> DataFrame:
     """{class}_{id}_{i:04d}: i is the place of the row among all rows of the run (WIN-05)."""
     place = F.col("__i").cast("string")
     label = F.when(F.length(place) < 4, F.lpad(place, 4, "0")).otherwise(place)
-    return numbered(df, order, "__i").withColumn("audit_id", F.concat_ws("_", *[F.col(p).cast("string") for p in parts], label)).drop("__i")
+    return numbered(df, [order], "__i").withColumn("audit_id", F.concat_ws("_", *[F.col(p).cast("string") for p in parts], label)).drop("__i")
 
 
 def compare_with_gold(candidates: DataFrame, gold: DataFrame, keys: list[str], allele: list[str], order: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lociflow.functions import patterns as P
-from lociflow.operators.relational import numbered
+from lociflow.operators.ranks import numbered
 
 EXPORT_FIELDS = [*P.EXPORT_PRIMARY, *P.EXPORT_REST]
 
@@ -83,7 +83,7 @@ def review_pages(df: DataFrame, title: str, order: str, per_page: int = 2000) ->
     """
     safe = title.replace("&", "&amp;").replace("<", "&lt;")
     record = F.replace(F.replace(F.to_json(F.struct(*df.columns)), F.lit("<"), F.lit("\\u003c")), F.lit("&"), F.lit("\\u0026"))
-    rows = numbered(df.withColumn("__j", record), order, "__i").select(F.expr(f"cast((__i - 1) div {per_page} as int)").alias("page"), F.struct(F.col("__i").alias("i"), F.col("__j").alias("j")).alias("x"))
+    rows = numbered(df.withColumn("__j", record), [order], "__i").select(F.expr(f"cast((__i - 1) div {per_page} as int)").alias("page"), F.struct(F.col("__i").alias("i"), F.col("__j").alias("j")).alias("x"))
     data = F.array_join(F.transform(F.sort_array(F.collect_list("x")), lambda x: x["j"]), ",")
     head = F.concat(F.lit(f'<!doctype html><meta charset="utf-8"><title>{safe} '), (F.col("page") + 1).cast("string"), F.lit('</title><script type="application/json" id="records">['))
     return rows.groupBy("page").agg(data.alias("d")).select("page", F.concat(head, F.col("d"), F.lit("]</script>")).alias("html"))
