@@ -6,9 +6,11 @@ steps; what belongs to one row is then decided on small arrays, without another
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable
+from itertools import accumulate
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -152,43 +154,67 @@ def catalogue_alleles(alleles_: DataFrame, frequencies: DataFrame, movements: Da
 _CODE = dict(zip((a + b + c for a in "TCAG" for b in "TCAG" for c in "TCAG"), "FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG", strict=True))
 _COMPLEMENT = str.maketrans("ACGTN", "TGCAN")
 _C_PARTS = r"c\.([-*]?\d+)([+-]\d+)?(?:_([-*]?\d+)([+-]\d+)?)?(delins|del|dup|ins)?([ACGT]*)(?:>([ACGT]))?"
+_C_NAME = re.compile(_C_PARTS, re.I)
+_RESIDUE, _CHANGE = re.compile(r"p\.\(?[A-Za-z]{1,3}(\d+)(?:[A-Za-z]{1,3}|\*)\)?"), re.compile(r"p\.\(?([A-Za-z]{1,3})\d+([A-Za-z]{1,3}|\*)\)?")
 LIFT = T.StructType([T.StructField("kind", T.StringType()), T.StructField("lo", T.LongType()), T.StructField("hi", T.LongType()), T.StructField("ref", T.StringType()), T.StructField("alt", T.StringType())])
 
 
-def _positions(exons: list, cds: list, strand: str) -> tuple[np.ndarray, int, int] | None:
-    """Genomic positions of the transcript in its own direction, and the places of the first and last coding base."""
-    if not exons or not cds:
-        return None
-    at = np.concatenate([np.arange(a, b + 1) for a, b in sorted(exons)])
-    lo, hi = min(a for a, _ in cds), max(b for _, b in cds)
-    if strand == "-":
-        at, lo, hi = at[::-1], hi, lo
-    first, last = np.flatnonzero(at == lo), np.flatnonzero(at == hi)
-    return (at, int(first[0]), int(last[0])) if len(first) and len(last) else None
+class _Walk:
+    """A transcript's bases in its own direction, by the lengths of its exons: no list of all positions is made."""
+
+    def __init__(self, exons: list, cds: list, strand: str):
+        self.back = strand == "-"
+        self.exons = sorted(exons, reverse=self.back)
+        self.ends = list(accumulate(b - a + 1 for a, b in self.exons))  # bases up to and with each exon
+        lo, hi = min(a for a, _ in cds), max(b for _, b in cds)
+        self.first, self.last = self.place(hi if self.back else lo), self.place(lo if self.back else hi)
+
+    def place(self, position: int) -> int | None:
+        """Place in the transcript of a genomic position, from 0; null outside the exons."""
+        if self.back:
+            k = bisect_left(self.exons, -position, key=lambda x: -x[1])
+            k = next((j for j in (k - 1, k) if 0 <= j < len(self.exons) and self.exons[j][0] <= position <= self.exons[j][1]), None)
+        else:
+            k = bisect_right(self.exons, position, key=lambda x: x[0]) - 1
+            k = k if k >= 0 and position <= self.exons[k][1] else None
+        if k is None:
+            return None
+        a, b = self.exons[k]
+        return self.ends[k] - (b - a + 1) + (b - position if self.back else position - a)
+
+    def at(self, place: int) -> int | None:
+        """Genomic position of a place; null outside the transcript."""
+        k = bisect_right(self.ends, place)
+        if place < 0 or k == len(self.ends):
+            return None
+        a, b = self.exons[k]
+        left = self.ends[k] - place - 1  # bases of the exon behind it
+        return a + left if self.back else b - left
+
+
+def _walk(exons: list, cds: list, strand: str) -> _Walk | None:
+    walk = _Walk(exons, cds, strand) if exons and cds else None
+    return walk if walk and walk.first is not None and walk.last is not None else None
 
 
 def lift_c(name: str | None, exons: list, cds: list, strand: str) -> dict | None:
     """Genomic span and bases of a c. name: substitutions, del, dup, ins, delins; introns by offset; - and * positions over the exons (HGV-21)."""
-    import re
-
-    m = re.fullmatch(_C_PARTS, (name or "").replace(" ", ""), re.I)
-    walk = _positions(exons, cds, strand) if m else None
+    m = _C_NAME.fullmatch((name or "").replace(" ", ""))
+    walk = _walk(exons, cds, strand) if m else None
     if walk is None:
         return None
-    at, first, last = walk
-    step = -1 if strand == "-" else 1
 
     def place(number: str, offset: str | None) -> int | None:
         n = int(number.lstrip("*"))
-        k = last + n if number[0] == "*" else first + n if n < 0 else first + n - 1
-        return int(at[k]) + step * int(offset or 0) if 0 <= k < len(at) else None
+        position = walk.at(walk.last + n if number[0] == "*" else walk.first + n if n < 0 else walk.first + n - 1)
+        return None if position is None else position + (-int(offset or 0) if walk.back else int(offset or 0))
 
     a = place(m[1], m[2])
     b = place(m[3], m[4]) if m[3] else a
     if a is None or b is None:
         return None
     bases, changed = m[6].upper(), (m[7] or "").upper()
-    if strand == "-":
+    if walk.back:
         bases, changed = bases.translate(_COMPLEMENT)[::-1], changed.translate(_COMPLEMENT)
     lo, hi = min(a, b), max(a, b)
     if m[7]:
@@ -200,22 +226,17 @@ def lift_c(name: str | None, exons: list, cds: list, strand: str) -> dict | None
 
 def codon_positions(name: str | None, exons: list, cds: list, strand: str) -> list[int]:
     """Genomic positions of the three bases of a p. name's codon, in transcript direction."""
-    import re
-
-    m = re.fullmatch(r"p\.\(?[A-Za-z]{1,3}(\d+)(?:[A-Za-z]{1,3}|\*)\)?", name or "")
-    walk = _positions(exons, cds, strand) if m else None
+    m = _RESIDUE.fullmatch(name or "")
+    walk = _walk(exons, cds, strand) if m else None
     if walk is None:
         return []
-    at, first, last = walk
-    k = first + 3 * (int(m[1]) - 1)
-    return [int(x) for x in at[k : k + 3]] if k + 2 <= last else []
+    k = walk.first + 3 * (int(m[1]) - 1)
+    return [walk.at(k + i) for i in range(3)] if k + 2 <= walk.last else []
 
 
 def lift_p(name: str | None, positions: list[int], bases: list[str], strand: str) -> dict | None:
     """The single-base change in the codon that gives the named residue; the first by place and base; null without one."""
-    import re
-
-    m = re.fullmatch(r"p\.\(?([A-Za-z]{1,3})\d+([A-Za-z]{1,3}|\*)\)?", name or "")
+    m = _CHANGE.fullmatch(name or "")
     if not m or len(positions) != 3 or len(bases) != 3 or not all(bases):
         return None
     short = lambda r: r.upper() if len(r) == 1 else P.AMINO_ACIDS.get(r.lower(), "?").upper()
@@ -235,7 +256,7 @@ def _spans(value) -> list[tuple[int, int]]:
 
 
 @F.pandas_udf(LIFT)
-def _lift_c(names: pd.Series, exons: pd.Series, cds: pd.Series, strands: pd.Series) -> pd.DataFrame:
+def lift_names(names: pd.Series, exons: pd.Series, cds: pd.Series, strands: pd.Series) -> pd.DataFrame:
     rows = [lift_c(n, _spans(e), _spans(c), s) or {} for n, e, c, s in zip(names, exons, cds, strands, strict=True)]
     return pd.DataFrame({k: pd.Series([r.get(k) for r in rows], dtype="Int64" if k in ("lo", "hi") else object) for k in LIFT.fieldNames()})
 
@@ -255,7 +276,7 @@ def transcript_alleles(rows: DataFrame, transcripts: DataFrame, sequence: DataFr
     """``rows`` with ``lifted``: the allele that the gene's reference transcript gives for the c. name, else for the p. name."""
     tx = transcripts.select(F.upper("gene").alias("__g"), F.col("chrom").alias("__chrom"), "exons", "cds", F.col("strand").alias("__strand"), F.concat_ws(".", "t", "version").alias("__t"))
     df = rows.join(tx, F.upper("gene") == F.col("__g"), "left").drop("__g")
-    df = df.withColumn("__c", _lift_c("parts.c", "exons", "cds", "__strand")).withColumn("__codon", F.when(F.col("parts.c").isNull(), _codon("parts.p", "exons", "cds", "__strand")))
+    df = df.withColumn("__c", lift_names("parts.c", "exons", "cds", "__strand")).withColumn("__codon", F.when(F.col("parts.c").isNull(), _codon("parts.p", "exons", "cds", "__strand")))
     spans = df.select(row_id, F.col("__chrom").alias("b_chrom"), F.when(F.col("__c.kind").isin("sub", "dup", "delins"), F.col("__c.lo")).otherwise(F.col("__c.lo") - (F.col("__c.kind") == "del").cast("int")).alias("b_lo"), F.when(F.col("__c.kind") == "ins", F.col("__c.lo")).otherwise(F.col("__c.hi")).alias("b_hi")).where("b_lo is not null")
     bases = readers.fetch_bases(spans, sequence, "b_chrom", "b_lo", "b_hi", "bases").select(F.col(row_id).alias("__b"), "bases")
     each = df.select(row_id, F.col("__chrom").alias("b_chrom"), F.posexplode("__codon").alias("k", "b_lo")).withColumn("b_hi", F.col("b_lo"))

@@ -11,13 +11,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lociflow.functions import alleles, genes, hgvs, spans, text
+from lociflow.functions import alleles, genes, hgvs, spans, sql, text
 from lociflow.functions import patterns as P
 from lociflow.operators import relational as R
 from lociflow.operators import resolver
+from lociflow.operators.tables import fresh_path
 from lociflow.plans import delivery, stages
 from lociflow.plans.gates import Gate, apply_gates, review_gates
-from lociflow.sources import readers, search
+from lociflow.sources import indexed_fasta, readers, search, sinks
+from lociflow.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -706,3 +708,74 @@ def passed_rows(spark, sf_dir):
     rows = p.select(_K, F.expr(f"concat('id', {_K})").alias("audit_id"), F.lit("positive").alias("sample_class"), F.col(_K).cast("string").alias("pmid"), F.lit("G").alias("gene"), F.lit("v").alias("variant_text"), F.expr(f"if({_K} % 3 = 0, 'intron', 'coding')").alias("genomic_region"))
     notes = p.select(F.col(_K).alias("no"), F.expr(f"concat('id', {_K})").alias("audit_id"), F.lit("positive").alias("sample_class"), F.col(_K).cast("string").alias("pmid"), F.lit("G").alias("gene"), F.lit("v").alias("variant_text"), F.expr(f"if({_K} % 2 = 0, 'Pass', 'fail')").alias("human_verdict"), F.lit("").alias("human_comment"), F.lit("").alias("human_fail_stage"), F.expr(f"if({_K} % 4 >= 2 and {_K} % 3 <> 0, 'utr', '')").alias("human_genomic_region"))
     return delivery.reviewed(rows, notes, _K, "no", ["coding", "utr"]).select(_K, "region_used")
+
+
+# -- sequences, transcripts, SQL functions, incremental tables ---------------------------
+_PIECE = "substring('ACGTTGCAGATTACA', int(1 + p_partkey % 7), int(3 + p_partkey % 6))"
+
+
+@query(
+    f"""WITH g AS (SELECT p_size % 20 AS c, string_agg({_PIECE.replace("substring", "substr").replace("int(", "CAST(").replace("% 7)", "% 7 AS INTEGER)").replace("% 6)", "% 6 AS INTEGER)")}, '' ORDER BY p_partkey) AS seq FROM part WHERE p_size % 20 > 0 GROUP BY 1),
+a AS (SELECT o_orderkey, CAST(1 + o_orderkey % 21 AS BIGINT) AS c, 1 + o_orderkey * 7 % 900 AS s, 1 + o_orderkey * 7 % 900 + o_custkey % 90 AS e FROM orders)
+SELECT o_orderkey, CASE WHEN e <= length(seq) THEN substr(seq, s, e - s + 1) END AS bases FROM a LEFT JOIN g ON a.c = g.c"""
+)
+def indexed_bases(spark, sf_dir):
+    """Sequences written as FASTA, indexed, and read by byte ranges: the bases of every order's span (SRC-08, SNK)."""
+    p = t(spark, sf_dir, "part").where("p_size % 20 > 0").select(F.expr("cast(p_size % 20 as string)").alias("chrom"), F.struct("p_partkey", F.expr(_PIECE).alias("s")).alias("x"))
+    whole = p.groupBy("chrom").agg(F.array_join(F.transform(F.sort_array(F.collect_list("x")), lambda x: x["s"]), "").alias("seq"))
+    path = fresh_path(spark, "fasta")
+    sinks.write_fasta(whole, path)
+    asked = t(spark, sf_dir, "orders").select("o_orderkey", F.expr("cast(1 + o_orderkey % 21 as string)").alias("chrom"), F.expr("1 + o_orderkey * 7 % 900").alias("s"), F.expr("1 + o_orderkey * 7 % 900 + o_custkey % 90").alias("e"))
+    return indexed_fasta.fetch_indexed(asked, indexed_fasta.build_index(spark, path), "chrom", "s", "e", "bases", 128).select("o_orderkey", "bases")
+
+
+#: Names by p_partkey % 6 against a transcript of three exons of 100 bases, 100 apart, of which the bases 51 to 250 are coding.
+_LIFTED = ("concat('c.', 1 + {k} % 200, 'A>G')", "concat('c.-', 1 + {k} % 50, 'C>T')", "concat('c.*', 1 + {k} % 50, 'del')", "concat('c.50+', 1 + {k} % 90, 'G>A')", "concat('c.', 1 + {k} % 150, '_', 3 + {k} % 150, 'delinsTTG')", "concat('c.', 500 + {k}, 'A>G')")
+
+
+@query(
+    f"""WITH n AS (SELECT p_partkey AS k, p_partkey % 6 AS m, p_partkey % 2 = 1 AS back, CASE p_partkey % 6 WHEN 0 THEN 50 + p_partkey % 200 WHEN 1 THEN 49 - p_partkey % 50 WHEN 2 THEN 250 + p_partkey % 50 WHEN 3 THEN 99 WHEN 4 THEN 50 + p_partkey % 150 END AS a,
+ CASE p_partkey % 6 WHEN 3 THEN 1 + p_partkey % 90 ELSE 0 END AS o FROM part),
+-- the place in the transcript as a genomic one: 200 bases from exon to exon, mirrored on the other strand
+p AS (SELECT *, (a // 100) * 200 + a % 100 + 1 + o AS f, CASE WHEN m = 4 THEN ((a + 2) // 100) * 200 + (a + 2) % 100 + 1 ELSE (a // 100) * 200 + a % 100 + 1 + o END AS g FROM n),
+q AS (SELECT *, k * 1000 + CASE WHEN back THEN 501 - g ELSE f END AS lo, k * 1000 + CASE WHEN back THEN 501 - f ELSE g END AS hi FROM p)
+SELECT k AS p_partkey, CASE WHEN m < 5 THEN CASE m WHEN 2 THEN 'del' WHEN 4 THEN 'delins' ELSE 'sub' END END AS kind, CASE WHEN m < 5 THEN lo END AS lo, CASE WHEN m < 5 THEN hi END AS hi,
+ CASE m WHEN 0 THEN CASE WHEN back THEN 'T' ELSE 'A' END WHEN 1 THEN CASE WHEN back THEN 'G' ELSE 'C' END WHEN 3 THEN CASE WHEN back THEN 'C' ELSE 'G' END END AS ref,
+ CASE m WHEN 0 THEN CASE WHEN back THEN 'C' ELSE 'G' END WHEN 1 THEN CASE WHEN back THEN 'A' ELSE 'T' END WHEN 3 THEN CASE WHEN back THEN 'T' ELSE 'A' END WHEN 4 THEN CASE WHEN back THEN 'CAA' ELSE 'TTG' END END AS alt FROM q"""
+)
+def transcript_lift(spark, sf_dir):
+    """c. names of both strands to genomic spans: coding, UTR, intron offsets, spans over exons, places outside (HGV-21)."""
+    span = lambda a, b: F.struct((F.col(_K) * 1000 + a).alias("start"), (F.col(_K) * 1000 + b).alias("end"))
+    exons = F.array(*[span(200 * i + 1, 200 * i + 100) for i in range(3)])
+    cds = F.array(span(51, 100), span(201, 300), span(401, 450))
+    name = F.expr(_case(tuple(x.replace("{k}", _K) for x in _LIFTED), _K))
+    rows = t(spark, sf_dir, "part").select(_K, resolver.lift_names(name, exons, cds, F.expr(f"if({_K} % 2 = 1, '-', '+')")).alias("l"))
+    return rows.select(_K, "l.kind", "l.lo", "l.hi", "l.ref", "l.alt")
+
+
+@query(
+    f"""WITH x AS (SELECT p_partkey AS id, p_partkey % 10 AS k, {_negative_text_sql()} AS text, CASE p_partkey % 10 WHEN 9 THEN 'rs' || (100000 + p_partkey) ELSE 'c.' || (p_partkey + 1) || 'C>T' END AS variant FROM part)
+SELECT id, rule, variant, CAST(strpos(evidence, variant) - 1 AS INTEGER) AS place FROM (SELECT x.*, h.rule, CASE WHEN h.rule = 'classify_paren' THEN split_part(text, '. ', 2) ELSE text END AS evidence FROM x JOIN (VALUES {_NEGATIVE_HITS}) h(k, rule, label, role, confidence) ON h.k = x.k)"""
+)
+def lateral_negatives(spark, sf_dir):
+    """SQL over the registered table functions: negative evidence of every text, and where its name stands in the sentence (2.11)."""
+    sql.register(spark)
+    t(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.expr(_negative_text_sql()).alias("text"), F.expr("concat('c.', p_partkey, 'A>G')").alias("anchor")).createOrReplaceTempView("lociflow_texts")
+    return spark.sql("SELECT x.id, n.rule, n.variant, s.start AS place FROM lociflow_texts x, LATERAL negative_evidence(x.text, x.anchor) n, LATERAL text_spans(n.evidence) s WHERE s.kind = 'variant' AND s.norm = n.variant")
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 16 = 0 THEN 'new' ELSE o_orderstatus END AS o_orderstatus FROM orders WHERE o_orderkey % 4 > 0 UNION ALL SELECT o_orderkey, CASE WHEN o_orderkey % 16 = 0 THEN 'new' ELSE o_orderstatus END FROM orders WHERE o_orderkey % 4 = 0")
+def bucketed_upsert(spark, sf_dir):
+    """Three batches merged by key into a table of hash buckets; each rewrites the buckets of its keys only (2.10)."""
+    o, target = t(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), fresh_path(spark, "upserts")
+    batches = (o.where("o_orderkey % 4 > 0"), o.where("o_orderkey % 4 = 0"), o.where("o_orderkey % 16 = 0").withColumn("o_orderstatus", F.lit("new")))
+    for version, batch in enumerate(batches):
+        ingest.merge_batch(batch, version, target, "o_orderkey", 16)
+    return ingest.read_table(spark, target)
+
+
+@query("SELECT time_bucket(INTERVAL '10 minutes', ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL")
+def windowed_counts(spark, sf_dir):
+    """Counts per window and kind, the batch form of the stream (2.10)."""
+    counted = ingest.windowed_counts(t(spark, sf_dir, "events"), "ts", "event_type")
+    return counted.select(F.col("window.start").alias("start"), "event_type", F.col("count").alias("n"))

@@ -87,3 +87,9 @@ def review_pages(df: DataFrame, title: str, order: str, per_page: int = 2000) ->
     data = F.array_join(F.transform(F.sort_array(F.collect_list("x")), lambda x: x["j"]), ",")
     head = F.concat(F.lit(f'<!doctype html><meta charset="utf-8"><title>{safe} '), (F.col("page") + 1).cast("string"), F.lit('</title><script type="application/json" id="records">['))
     return rows.groupBy("page").agg(data.alias("d")).select("page", F.concat(head, F.col("d"), F.lit("]</script>")).alias("html"))
+
+
+def write_fasta(df: DataFrame, path: str, width: int = 60) -> None:
+    """Contigs (chrom, seq) as FASTA files with lines of one length, as many files as partitions."""
+    lines = F.regexp_replace("seq", f"(.{{{width}}})(?=.)", "$1\n")
+    df.where("seq <> ''").select(F.concat(F.lit(">"), "chrom", F.lit("\n"), lines).alias("value")).write.text(path)

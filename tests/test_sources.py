@@ -121,7 +121,7 @@ def test_stream(spark, tmp_path):
     go()
     (tmp_path / "in" / "b.json").write_text('{"pmid": "1", "title": "new"}\n')
     go()
-    assert {r.pmid: r.title for r in spark.read.parquet(str(tmp_path / "out" / "v=1")).collect()} == {"1": "new", "2": "x"}
+    assert {r.pmid: r.title for r in ingest.read_table(spark, str(tmp_path / "out")).collect()} == {"1": "new", "2": "x"}
 
 
 def test_catalogue_runs(spark):
