@@ -42,3 +42,29 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     path = fresh_path(df.sparkSession, tag)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    files, at = file_system(spark, path)
+    stream = files.open(at)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str, replace: bool = True) -> bool:
+    """Write a small file whole, by a draft and a rename; false, and no change, where it exists and is not to be replaced."""
+    files, at = file_system(spark, path)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.draft")
+    stream = files.create(draft)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if replace and files.exists(at):
+        files.delete(at, False)
+    done = not files.exists(at) and files.rename(draft, at)
+    if not done:
+        files.delete(draft, False)
+    return bool(done)

@@ -8,17 +8,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lociflow.functions import alleles, genes, hgvs, spans, sql, text
 from lociflow.functions import patterns as P
+from lociflow.operators import index_table
 from lociflow.operators import relational as R
 from lociflow.operators import resolver
 from lociflow.operators.tables import fresh_path
-from lociflow.plans import delivery, stages
+from lociflow.plans import delivery, gates, stages
 from lociflow.plans.gates import Gate, apply_gates, review_gates
-from lociflow.sources import indexed_fasta, readers, search, sinks
+from lociflow.sources import catalogue_cache, indexed_fasta, readers, search, sinks
 from lociflow.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -463,8 +464,8 @@ def bag_intersection(spark, sf_dir):
 
 @query("SELECT l_orderkey, l_linenumber, (l_quantity > 10) AS gate_quantity, (l_returnflag <> 'R') AS gate_flag FROM lineitem WHERE l_quantity > 10")
 def gate_compiler(spark, sf_dir):
-    gates = [Gate("quantity", F.col("l_quantity") > 10), Gate("flag", F.col("l_returnflag") != "R", "audit_only"), Gate("tax", F.col("l_tax") > 1, "disabled")]
-    return apply_gates(t(spark, sf_dir, "lineitem"), gates).select("l_orderkey", "l_linenumber", "gate_quantity", "gate_flag")
+    compiled = [Gate("quantity", F.col("l_quantity") > 10), Gate("flag", F.col("l_returnflag") != "R", "audit_only"), Gate("tax", F.col("l_tax") > 1, "disabled")]
+    return apply_gates(t(spark, sf_dir, "lineitem"), compiled).select("l_orderkey", "l_linenumber", "gate_quantity", "gate_flag")
 
 
 #: Clinical texts by p_partkey: names, bare heads, filler, inheritance, several parts.
@@ -584,7 +585,9 @@ def resolver_ladder(spark, sf_dir):
     row = lambda assembly, pos, ref, alt: p.select(F.lit(assembly).alias("assembly"), F.expr("cast(p_size % 22 + 1 as string)").alias("chrom"), F.expr(pos).alias("pos"), F.lit(ref).alias("ref"), F.lit(alt).alias("alt"), F.expr("concat('GENE', p_size)").alias("gene"), F.expr(f"concat('NM_', {_K})").alias("nm"), F.lit("2").alias("nm_version"), F.expr(f"concat('c.', {_K}, '{ref}>{alt}')").alias("c"), F.lit(None).cast("string").alias("p"), F.expr(f"concat('rs', 100000 + {_K})").alias("rs") if ref == "A" else F.lit(None).cast("string").alias("rs"))
     table = row("GRCh38", f"1000 + {_K}", "A", "G").unionByName(row("GRCh37", f"900 + {_K}", "A", "G"))
     table = table.unionByName(row("GRCh38", f"2000 + {_K}", "C", "T")).unionByName(row("GRCh38", f"3000 + {_K}", "C", "T"))
-    out = resolver.resolve(rows, resolver.reference_index(table))
+    path = fresh_path(spark, "index")
+    index_table.write_index(resolver.reference_index(table), path, buckets=8)  # written once, joined where it lies
+    out = resolver.resolve(rows, index_table.read_index(spark, path))
     return out.select(F.col("row_id").alias(_K), "resolved.chrom", "resolved.pos", "resolved.ref", "resolved.alt", "resolved.method", "resolved.status", "resolved.confidence", "resolved.match")
 
 
@@ -779,3 +782,34 @@ def windowed_counts(spark, sf_dir):
     """Counts per window and kind, the batch form of the stream (2.10)."""
     counted = ingest.windowed_counts(t(spark, sf_dir, "events"), "ts", "event_type")
     return counted.select(F.col("window.start").alias("start"), "event_type", F.col("count").alias("n"))
+
+
+@query(
+    """WITH g AS (SELECT count(*) AS n, count(*) FILTER (WHERE l_quantity > 10) AS q, count(*) FILTER (WHERE l_returnflag <> 'R') AS f, count(*) FILTER (WHERE l_tax < 0.05) AS t, count(*) FILTER (WHERE l_quantity > 10 AND l_tax < 0.05) AS k FROM lineitem)
+SELECT 'quantity' AS gate, 'required' AS state, q AS passed, n - q AS failed FROM g UNION ALL SELECT 'flag', 'audit_only', f, n - f FROM g UNION ALL SELECT 'tax', 'enabled', t, n - t FROM g UNION ALL SELECT 'all', 'custom', k, n - k FROM g"""
+)
+def gate_counts(spark, sf_dir):
+    """What every gate passed and failed under declared states, observed in the one pass that writes the rows (SNK-07, FIL-11)."""
+    declared = [Gate("quantity", F.col("l_quantity") > 10), Gate("flag", F.col("l_returnflag") != "R"), Gate("tax", F.col("l_tax") < 0.05, "disabled")]
+    states, counts = {"flag": "audit_only", "tax": "enabled"}, Observation()
+    apply_gates(t(spark, sf_dir, "lineitem"), declared, "custom", states, counts).write.parquet(fresh_path(spark, "gated"))
+    return spark.createDataFrame(gates.gate_counts(counts, declared, "custom", states), "gate string, state string, passed long, failed long")
+
+
+@query(f"SELECT 'rs' || (100000 + k) AS rs, CASE WHEN k % 7 = 0 THEN 'failed' WHEN p_partkey IS NULL THEN 'absent' ELSE 'found' END AS state, CASE WHEN k % 7 > 0 THEN 'GENE' || p_size END AS gene, CAST(0 AS BIGINT) AS asked_again FROM (SELECT DISTINCT o_custkey AS k FROM orders) o LEFT JOIN part ON p_partkey = k AND k % 3 > 0")
+def catalogue_refresh(spark, sf_dir):
+    """Names of a run asked from a payload table, some unknown there, some without an answer; a second refresh asks for nothing (SRC-19, GEN-11)."""
+    wanted = t(spark, sf_dir, "orders").select(F.expr("concat('RS', 100000 + o_custkey)").alias("rs"))
+    gene = "struct(array(struct(array(struct(array(struct(concat('GENE', p_size) as locus, cast(p_size as bigint) as id, '' as name)) as genes)) as assembly_annotation)) as allele_annotations)"
+    source = t(spark, sf_dir, "part").where("p_partkey % 3 > 0").select(F.expr("concat('rs', 100000 + p_partkey)").alias("rs"), F.expr(f"to_json(struct({gene} as primary_snapshot_data))").alias("payload"))
+
+    def fetch(asked):
+        error = F.when(F.substring("rs", 3, 20).cast("long") % 7 == 100_000 % 7, "timeout")
+        return asked.join(source, "rs", "left").withColumn("error", error)
+
+    path = fresh_path(spark, "catalogue")
+    catalogue_cache.refresh(wanted, path, fetch, 1_000_000, buckets=8)
+    again = catalogue_cache.refresh(wanted, path, fetch, 1_000_100, buckets=8)
+    cache = catalogue_cache.read_cache(spark, path)
+    named = readers.dbsnp_genes(cache.where("payload is not null"), "payload", "rs").select("rs", "gene")
+    return cache.join(named, "rs", "left").select("rs", "state", "gene", F.lit(again.asked).cast("long").alias("asked_again"))

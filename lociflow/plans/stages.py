@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lociflow.functions import genes, hgvs, spans, text
 from lociflow.functions import patterns as P
 from lociflow.operators import relational as R
-from lociflow.plans.gates import apply_gates, review_gates, review_score
+from lociflow.operators.tables import file_system, read_text, write_text
+from lociflow.plans.gates import Gate, apply_gates, gate_counts, review_gates, review_score, settings_of
 
 
 def link_articles(articles: DataFrame) -> DataFrame:
@@ -202,37 +205,97 @@ def route_reference(rows: DataFrame, known_phenotypes: DataFrame, row_id: str =
     return out.withColumn("route", label).drop("__known")
 
 
+class ChangedUpstream(RuntimeError):
+    """What a resumed run builds on is missing or was made under other settings."""
+
+
+@dataclass(frozen=True)
+class Stage:
+    """A stage, the tables that it reads (all before it, if not said), its gates and other settings that its result depends on."""
+
+    run: Callable[[dict[str, DataFrame]], DataFrame]
+    reads: tuple[str, ...] | None = None
+    gates: tuple[Gate, ...] = ()
+    settings: dict = field(default_factory=dict)
+
+
 @dataclass
 class Runner:
-    """Runs named stages in order.
+    """Runs named stages in order, functions or ``Stage``.
 
-    With a ``folder`` every result is written there and reread; a finished one (its success file stands) is reused by a later
-    run, unless ``force`` is set.  Without one results are kept lazily.
+    With a ``folder`` every result is written there and reread, with a fingerprint of its gates, its settings and the fingerprints of what
+    it reads.  A later run reuses finished results of the same fingerprint, unless ``force`` is set, so a changed gate
+    runs its stage and what lies behind it.  The profile ``resume`` builds on finished results only: the stages before the
+    first must stand with equal fingerprints.  ``reports`` has the counts of each stage's gates, made in the pass
+    that writes it.  ``inputs`` names the versions of given tables.  Without a folder results are kept lazily.
     """
 
-    stages: dict[str, Callable[[dict[str, DataFrame]], DataFrame]]
+    stages: dict[str, Callable[[dict[str, DataFrame]], DataFrame] | Stage]
     tables: dict[str, DataFrame] = field(default_factory=dict)
     folder: str | None = None
     force: bool = False
-
-    def _finished(self, spark: SparkSession, path: str) -> bool:
-        done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-        return done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done)
+    profile: str = "strict"
+    declared: dict[str, dict[str, str]] = field(default_factory=dict)
+    inputs: dict[str, str] = field(default_factory=dict)
+    reports: dict[str, list[tuple[str, str, int, int]]] = field(default_factory=dict)
+
+    def _stage(self, name: str) -> Stage:
+        stage = self.stages[name]
+        return stage if isinstance(stage, Stage) else Stage(stage)
+
+    def fingerprint(self, name: str) -> str:
+        """Of a stage's settings and all that it reads; of a given table, its version."""
+        if name not in self.stages:
+            return f"{name}:{self.inputs.get(name, '')}"
+        stage, names = self._stage(name), list(self.stages)
+        given = [t for t in self.tables if t not in self.stages]
+        reads = stage.reads if stage.reads is not None else (*given, *names[: names.index(name)])
+        profile = "custom" if self.profile == "resume" else self.profile  # a resumed run goes on with what custom wrote
+        gates = settings_of(list(stage.gates), profile, self.declared.get(name))
+        said = [name, gates, profile if stage.gates else "", stage.settings, [self.fingerprint(r) for r in sorted(reads)]]
+        return hashlib.sha256(json.dumps(said, sort_keys=True, default=str).encode()).hexdigest()
+
+    def _recorded(self, spark: SparkSession, path: str) -> dict | None:
+        """What stands beside a finished result."""
+        files, done = file_system(spark, f"{path}/_SUCCESS")
+        _, note = file_system(spark, f"{path}.stage.json")
+        return json.loads(read_text(spark, note.toString())) if files.exists(done) and files.exists(note) else None
 
     def run(self, first: str | None = None, last: str | None = None) -> dict[str, DataFrame]:
         names = list(self.stages)
         lo, hi = names.index(first) if first else 0, names.index(last) + 1 if last else len(names)
-        for name in names[lo:hi]:
+        spark = SparkSession.getActiveSession()
+        for k, name in enumerate(names[:hi]):
+            stage = self._stage(name)
             if self.folder is None:
-                self.tables[name] = self.stages[name](self.tables)
+                if k >= lo:
+                    df = stage.run(self.tables)
+                    self.tables[name] = apply_gates(df, list(stage.gates), self.profile, self.declared.get(name)) if stage.gates else df
                 continue
-            spark = SparkSession.getActiveSession()
-            path = f"{self.folder}/{name}"
-            if self.force or not self._finished(spark, path):
-                self.stages[name](self.tables).write.mode("overwrite").parquet(path)
+            path, mark = f"{self.folder}/{name}", self.fingerprint(name)
+            found = self._recorded(spark, path)
+            same = found is not None and found["fingerprint"] == mark
+            if k < lo and not same and self.profile == "resume":
+                raise ChangedUpstream(f"{name} is {'of other settings or inputs' if found else 'not finished'}: run from it")
+            if k < lo and not same and found is None:
+                raise ChangedUpstream(f"{name} is not finished: run from it")
+            if k >= lo and (not same or self.force):
+                self._write(spark, stage, name, path, mark)
+            elif found and found.get("gates"):
+                self.reports[name] = [tuple(x) for x in found["gates"]]
             self.tables[name] = spark.read.parquet(path)
         return self.tables
 
+    def _write(self, spark: SparkSession, stage: Stage, name: str, path: str, mark: str) -> None:
+        df, counts = stage.run(self.tables), Observation()
+        profile = "custom" if self.profile == "resume" else self.profile
+        if stage.gates:
+            df = apply_gates(df, list(stage.gates), profile, self.declared.get(name), counts)
+        df.write.mode("overwrite").parquet(path)
+        if stage.gates:
+            self.reports[name] = gate_counts(counts, list(stage.gates), profile, self.declared.get(name))
+        write_text(spark, f"{path}.stage.json", json.dumps({"fingerprint": mark, "gates": self.reports.get(name)}))
+
     def only(self, pmid: str) -> Runner:
         """The same stages over one article."""
-        return Runner(self.stages, {k: t.where(F.col("pmid") == pmid) if "pmid" in t.columns else t for k, t in self.tables.items()})
+        return Runner(self.stages, {k: t.where(F.col("pmid") == pmid) if "pmid" in t.columns else t for k, t in self.tables.items()}, profile=self.profile, declared=self.declared)

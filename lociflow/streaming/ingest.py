@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from lociflow.operators.relational import last_wins, replace_by_key
-from lociflow.operators.tables import file_system
+from lociflow.operators.tables import file_system, read_text, write_text
 from lociflow.sources.readers import ARTICLES
 
 #: Buckets of a new table, and versions that stay readable without a hold.
@@ -37,37 +37,13 @@ def _names(spark: SparkSession, folder: str) -> list[str]:
     return sorted(s.getPath().getName() for s in files.listStatus(at)) if files.exists(at) else []
 
 
-def _read_text(spark: SparkSession, path: str) -> str:
-    files, at = file_system(spark, path)
-    stream = files.open(at)
-    try:
-        return bytes(stream.readAllBytes()).decode()
-    finally:
-        stream.close()
-
-
-def _write_once(spark: SparkSession, path: str, text: str) -> bool:
-    """Write a file whole; false, and no change, where it exists."""
-    files, at = file_system(spark, path)
-    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.draft")
-    stream = files.create(draft)
-    try:
-        stream.write(bytearray(text.encode()))
-    finally:
-        stream.close()
-    done = not files.exists(at) and files.rename(draft, at)
-    if not done:
-        files.delete(draft, False)
-    return bool(done)
-
-
 def versions(spark: SparkSession, target: str) -> list[int]:
     """Committed versions, oldest first."""
     return [int(n.removesuffix(".json")) for n in _names(spark, f"{target}/manifests") if n.endswith(".json")]
 
 
 def manifest(spark: SparkSession, target: str, version: int) -> dict:
-    return json.loads(_read_text(spark, f"{target}/manifests/{version:010d}.json"))
+    return json.loads(read_text(spark, f"{target}/manifests/{version:010d}.json"))
 
 
 def read_table(spark: SparkSession, target: str, version: int | None = None, buckets: list[int] | None = None) -> DataFrame | None:
@@ -86,7 +62,7 @@ def held(spark: SparkSession, target: str) -> Iterator[DataFrame]:
     """The newest version, which stays readable until the block ends, whatever is written meanwhile."""
     version = versions(spark, target)[-1]
     path = f"{target}/holds/{version}-{uuid.uuid4().hex}"
-    _write_once(spark, path, "")
+    write_text(spark, path, "", replace=False)
     try:
         yield read_table(spark, target, version)
     finally:
@@ -143,7 +119,7 @@ def merge_batch(batch: DataFrame, version: int, target: str, key: str = "pmid",
         "version": version, "n_buckets": n, "schema": schema, "buckets": {**(before["buckets"] if before else {}), **dict.fromkeys(written, folder)}, "rows": rows,
         "new_rows": sum(counts.values()), "written_rows": sum(written.values()), "total_rows": sum(rows.values()),
     }
-    if not _write_once(spark, f"{target}/manifests/{version:010d}.json", json.dumps(out)):
+    if not write_text(spark, f"{target}/manifests/{version:010d}.json", json.dumps(out), replace=False):
         return None
     vacuum(spark, target, keep)
     return out

@@ -160,15 +160,15 @@ def test_stream_restarts_in_the_middle(spark, tmp_path, monkeypatch):
     put(source, "a.json", [(1, "old"), (2, "x")])
     go()
     put(source, "b.json", [(1, "new"), (3, "y")])
-    commit, calls = ingest._write_once, []
+    commit, calls = ingest.write_text, []
 
-    def dies(spark_, path, text):
+    def dies(spark_, path, text, replace=True):
         calls.append(path)
         if len(calls) == 1:
             raise RuntimeError("lost before the commit")
-        return commit(spark_, path, text)
+        return commit(spark_, path, text, replace)
 
-    monkeypatch.setattr(ingest, "_write_once", dies)
+    monkeypatch.setattr(ingest, "write_text", dies)
     with pytest.raises(Exception, match="lost before the commit"):
         go()
     assert table(spark, target) == {"1": "old", "2": "x"}  # nothing of the lost batch is read
