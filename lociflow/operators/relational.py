@@ -109,6 +109,18 @@ def anti_any_key(df: DataFrame, row_id: str, keys: list[Column], excluded: DataF
     return df.join(hit, df[row_id] == hit["__id"], "left_anti")
 
 
+def cohort(df: DataFrame, ids: DataFrame, key: str, expected: int | None = None) -> DataFrame:
+    """Rows whose key is listed (FIL-01); where ``expected`` keys must be met, another number is an error that names some of the missing."""
+    kept = df.join(ids.select(key).distinct(), key, "left_semi")
+    if expected is not None:
+        met = kept.select(key).distinct()
+        n = met.count()
+        if n != expected:
+            missing = [r[0] for r in ids.select(key).distinct().join(met, key, "left_anti").orderBy(key).limit(10).collect()]
+            raise ValueError(f"{n} of {expected} listed keys are there; missing: {', '.join(map(str, missing)) or 'none of the list'}")
+    return kept
+
+
 def bag_semi(df: DataFrame, wanted: DataFrame, keys: list[str], order: str) -> DataFrame:
     """Multiset semi join: each wanted row keeps one row of ``df`` with its key, in order.
 

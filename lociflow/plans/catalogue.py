@@ -813,3 +813,6 @@ def catalogue_refresh(spark, sf_dir):
     cache = catalogue_cache.read_cache(spark, path)
     named = readers.dbsnp_genes(cache.where("payload is not null"), "payload", "rs").select("rs", "gene")
     return cache.join(named, "rs", "left").select("rs", "state", "gene", F.lit(again.asked).cast("long").alias("asked_again"))
+
+
+from lociflow.plans import catalogue_branches  # noqa: E402, F401  (registers its queries)

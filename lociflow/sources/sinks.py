@@ -58,14 +58,31 @@ def stage_report(stages: dict[str, DataFrame], by: dict[str, list[str]]) -> str:
     return json.dumps(out, sort_keys=True)
 
 
+ENUMERATIONS = ("sample_class", "resolve_status", "resolve_method", "genomic_region", "screen_grade", "link_tier")
+
+
 def export_contract(df: DataFrame) -> str:
-    """JSON beside an export: column order, values of its enumerations, counts (SNK-05)."""
-    counted = {c: {str(r[0]): r[1] for r in df.groupBy(c).count().orderBy(c).collect()} for c in ("sample_class", "resolve_status", "resolve_method", "genomic_region", "screen_grade", "link_tier") if c in df.columns}
-    grades = {}
-    if {"sample_class", "screen_grade"} <= set(df.columns):
-        for r in df.groupBy("sample_class", "screen_grade").count().collect():
-            grades.setdefault(str(r[0]), {})[str(r[1])] = r[2]
-    return json.dumps({"columns": EXPORT_FIELDS, "rows": df.count(), "enums": {k: sorted(v) for k, v in counted.items()}, "counts": counted, "screen_grade_by_class": grades}, sort_keys=True)
+    """JSON beside an export: column order, values of its enumerations, counts (SNK-05).
+
+    All counts come from one pass over the rows: one grouping set for each enumeration, one for classes by grade, one for all.
+    """
+    have = [c for c in ENUMERATIONS if c in df.columns]
+    sets = [[c] for c in have] + ([["sample_class", "screen_grade"]] if {"sample_class", "screen_grade"} <= {*have} else []) + [[]]
+    named = df.select(*have) if have else df.select(F.lit(1).alias("__one"))
+    grouped = named.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in have]) if have else named.groupBy()
+    marks = [F.grouping(c).alias(f"__{c}") for c in have]
+    counted: dict[str, dict[str, int]] = {c: {} for c in have}
+    grades: dict[str, dict[str, int]] = {}
+    rows = 0
+    for r in grouped.agg(F.count("*").alias("n"), *marks).collect():  # a row per value of an enumeration
+        by = [c for c in have if not r[f"__{c}"]]
+        if len(by) == 1:
+            counted[by[0]][str(r[by[0]])] = r.n
+        elif by:
+            grades.setdefault(str(r.sample_class), {})[str(r.screen_grade)] = r.n
+        else:
+            rows = r.n
+    return json.dumps({"columns": EXPORT_FIELDS, "rows": rows, "enums": {k: sorted(v) for k, v in counted.items()}, "counts": counted, "screen_grade_by_class": grades}, sort_keys=True)
 
 
 def text_cache(df: DataFrame, body: str, links: str, abstract: str) -> DataFrame:
