@@ -27,6 +27,7 @@ _BASE_BEFORE, _LOOSE_SYMBOL = re.compile(r">[ACGT]\s*$"), re.compile(r"\b([A-Z][
 _IN_SYMBOL = re.compile(r"(?:\s*\([^)]{0,40}\))?\s+in\s+(?:the\s+)?" + _LOOSE_SYMBOL.pattern)
 _SYMBOL_AFTER = re.compile(r".{0,40}" + _LOOSE_SYMBOL.pattern)
 _RS = re.compile(r"rs\d{4,}", re.I)
+_LETTER_RUNS = re.compile(r"([a-z]+)")
 _SHAPE = re.compile(r"[A-Za-z][A-Za-z0-9]{0,14}(?:-[A-Za-z0-9]{1,6})?")
 _RESIDUES = re.compile(r"[A-Z]\d+[A-Z*]|[A-Z]{3}\d+[A-Z]{3}")
 RADIUS = 2
@@ -155,11 +156,12 @@ def is_rs(variant: str | None) -> bool:
 
 
 def protein_key(name: str) -> str:
-    """One-letter residues, lower case, no parentheses."""
-    t = re.sub(r"\s+", "", name or "").lower()
-    if not t.startswith("p."):
-        return t
-    return "p." + re.sub(r"(?<![a-z])[a-z]{3}(?![a-z])", lambda m: P.AMINO_ACIDS.get(m[0], m[0]), t[2:].strip("()"))
+    """One-letter residues, lower case, no parentheses: runs of three letters are residues."""
+    squeezed = "".join((name or "").split()).lower()
+    if squeezed[:2] != "p.":
+        return squeezed
+    runs = _LETTER_RUNS.split(squeezed[2:].strip("()"))
+    return "p." + "".join(P.AMINO_ACIDS.get(run, run) if len(run) == 3 else run for run in runs)
 
 
 def tokens_match(a: str | None, b: str | None) -> bool:
@@ -175,10 +177,6 @@ def tokens_match(a: str | None, b: str | None) -> bool:
     return False
 
 
-def _symbol_case(g: str) -> str:
-    return g.upper() if g.isupper() or len(g) <= 8 else g
-
-
 def pubtator_gene_id(pubtator: dict | None, variant: str | None) -> str | None:
     """Gene id of the annotated variant that agrees with ``variant``."""
     for v in (pubtator or {}).get("variants") or []:
@@ -198,7 +196,7 @@ def symbol_of_id(pubtator: dict | None, gene_id: str | None) -> str | None:
         if gene_id is not None and str(gene_id) in {str(g.get(k) or "").strip() for k in ("identifier", "normalized_id", "gene_id")}:
             for name in (g.get("name"), g.get("text")):
                 if plausible_gene(name):
-                    return _symbol_case(name.strip())
+                    return name.strip()
     return None
 
 
@@ -214,7 +212,7 @@ def resolve_gene(variant: str | None, evidence: str | None = None, title: str |
     cues and neighbours in all texts, adjacency in abstract and context, given gene, annotated gene, mentions.
     """
     blobs = (evidence, title, abstract, context)
-    own = _symbol_case(given.strip()) if plausible_gene(given) else None
+    own = given.strip() if plausible_gene(given) else None
     over = lambda step, texts: lambda: next(filter(None, (step(t) for t in texts)), None)
     adjacency, locus = (lambda t: adjacent_gene(t, variant)), (lambda t: locus_gene(t, variant))
 
@@ -244,7 +242,8 @@ def resolve_gene(variant: str | None, evidence: str | None = None, title: str |
     for rule, step in steps:
         found = step()
         if found:
-            return found, rule
+            # long names of mixed case keep it
+            return (found if len(found) > 8 else found.upper()), rule
     return None, "none"
 
 

@@ -65,7 +65,7 @@ def _article_sql(key: str = "p_partkey", size: str = "p_size", kind: str = "p_ty
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return t(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("pmid"), F.col("p_partkey").alias("ord"), F.col("p_size").alias("size"), F.expr(_article_sql()).alias("text"), F.expr("concat('c.', p_partkey, 'A>G')").alias("variant"), F.expr("concat('GENE', p_size)").alias("gene"), F.col("p_type").alias("kind"))
+    return R.spread(t(spark, sf_dir, "part")).select(F.col("p_partkey").cast("string").alias("pmid"), F.col("p_partkey").alias("ord"), F.col("p_size").alias("size"), F.expr(_article_sql()).alias("text"), F.expr("concat('c.', p_partkey, 'A>G')").alias("variant"), F.expr("concat('GENE', p_size)").alias("gene"), F.col("p_type").alias("kind"))
 
 
 _ARTICLES = f"(SELECT CAST(p_partkey AS VARCHAR) AS pmid, p_partkey AS ord, p_size AS size, {_article_sql()} AS text, concat('c.', p_partkey, 'A>G') AS variant, concat('GENE', p_size) AS gene, p_type AS kind FROM part)"
