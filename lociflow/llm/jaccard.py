@@ -49,8 +49,9 @@ from lociflow.llm.common import bitmap_of, discard, in_bitmap, key_bit, material
 from lociflow.llm.graph import components
 
 BUCKETS, RANGES = 1 << 22, 64
-#: Bits of a set's parity bitmap, and of the table of shared prefix shingles (16 MB at any input).
-SKETCH_BITS, SHARED_BITS = 512, 27
+#: Bits of a set's parity bitmap (four times as many from each size on: a full bitmap tells nothing), and of the table of
+#: shared prefix shingles (16 MB at any input).
+SKETCH_BITS, SKETCH_SIZES, SHARED_BITS = 512, (400, 1600, 6400), 27
 #: Rows of a shingle that meet as pairs; rows and shingles of a block; levels of the suffix filter; candidates of one stream.
 SMALL, BLOCK_ROWS, BLOCK_SHINGLES, DEPTH, STREAM = 48, 4096, 2_400_000, 3, 2000
 #: Bits of a block's rows that are held at once (as bytes).
@@ -145,18 +146,31 @@ def _from_planes(blob: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(size, -1).T).view(kind).reshape(-1)
 
 
+def sketch_of(s: np.ndarray) -> np.ndarray:
+    """Parity bitmap of a set, as words: bit k counts, modulo 2, the shingles whose last bits are k."""
+    bits = SKETCH_BITS << 2 * sum(len(s) > size for size in SKETCH_SIZES)
+    parity = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(parity.astype(np.uint8)).view(np.int64)
+
+
+def folded(words: np.ndarray, size: int) -> np.ndarray:
+    """A longer bitmap as the one of ``size`` words of the same set: parities of bits that fall together add up."""
+    return np.bitwise_xor.reduce(words.reshape(-1, size), axis=0)
+
+
 def _needed(n, percent: int):
     return -((-percent * n) // 100)
 
 
 def signatures(docs: DataFrame, order_of: np.ndarray, words: int, percent: int) -> DataFrame:
-    """(row, doc_id, n, key, prefix, sketch): set size, identity of the set, rare-first prefix shingles, parity bitmap."""
+    """(row, doc_id, n, key, prefix, sketch, wide): set size, identity of the set, rare-first prefix shingles, parity bitmap, and the
+    longer one of a large set (empty for others)."""
     shared = docs.sparkSession.sparkContext.broadcast(order_of)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, table = Shingler(words), shared.value
         for batch in batches:
-            n, keys, prefixes, sketches = [], [], [], []
+            n, keys, prefixes, sketches, wide = [], [], [], [], []
             for t in batch.column(2).to_pylist():
                 s = shingles(t)
                 n.append(len(s))
@@ -164,16 +178,20 @@ def signatures(docs: DataFrame, order_of: np.ndarray, words: int, percent: int)
                 # s ascends, so a stable order by count is the order by (count, shingle)
                 order = np.argsort(table[_bucket(s)], kind="stable")[: len(s) - _needed(len(s), percent) + 1] if len(s) else []
                 prefixes.append(s[order].view(np.int64) if len(s) else np.zeros(0, np.int64))
-                parity = np.bincount((s & np.uint64(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS) & 1
-                sketches.append(np.packbits(parity.astype(np.uint8)).view(np.int64))
+                wide.append(sketch_of(s))
+                sketches.append(folded(wide[-1], SKETCH_BITS // 64))
+                if len(wide[-1]) == len(sketches[-1]):
+                    wide[-1] = wide[-1][:0]
             ends = np.cumsum([0, *(len(p) for p in prefixes)], dtype=np.int32)
             flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
-            bits = pa.array(np.concatenate(sketches) if sketches else np.zeros(0, np.int64))
-            bit_ends = pa.array(np.arange(len(n) + 1, dtype=np.int32) * (SKETCH_BITS // 64))
-            lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.ListArray.from_arrays(bit_ends, bits)]
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), *lists], ["row", "doc_id", "n", "key", "prefix", "sketch"])
+            maps = []
+            for part in (sketches, wide):
+                at = pa.array(np.cumsum([0, *(len(x) for x in part)], dtype=np.int32))
+                maps.append(pa.ListArray.from_arrays(at, pa.array(np.concatenate(part) if part else np.zeros(0, np.int64))))
+            lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), *maps]
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), *lists], ["row", "doc_id", "n", "key", "prefix", "sketch", "wide"])
 
-    return docs.select("row", "doc_id", "text").mapInArrow(sign, "row long, doc_id long, n long, key binary, prefix array<long>, sketch array<long>")
+    return docs.select("row", "doc_id", "text").mapInArrow(sign, "row long, doc_id long, n long, key binary, prefix array<long>, sketch array<long>, wide array<long>")
 
 
 def shared_tokens(members: DataFrame) -> np.ndarray:
@@ -473,10 +491,11 @@ def _close(a: str, b: str, percent: int):
 
 
 def _alike(a: str, b: str, percent: int):
-    """Sets differ in at least as many shingles as their parity bitmaps differ in bits."""
-    apart = sum((F.bit_count(F.col(f"{a}sketch")[k].bitwiseXOR(F.col(f"{b}sketch")[k])) for k in range(SKETCH_BITS // 64)), F.lit(0))
+    """Sets differ in at least as many shingles as their parity bitmaps differ in bits; bitmaps of two lengths leave a pair open."""
+    x, y = F.col(f"{a}sketch"), F.col(f"{b}sketch")
+    apart = F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda n, k: n + k)
     both = F.col(f"{a}n") + F.col(f"{b}n")
-    return (both - apart) * (100 + percent) >= both * (2 * percent)
+    return (F.size(x) != F.size(y)) | ((both - apart) * (100 + percent) >= both * (2 * percent))
 
 
 def _component_of(rows: DataFrame, comp: DataFrame) -> DataFrame:
@@ -492,8 +511,10 @@ def class_links(docs: DataFrame, members: DataFrame, words: int, percent: int) -
     # first: one partner for each row
     star = rows.select("id", F.col("n").alias("x_n"), F.col("pos").alias("x_pos"), "p_id", F.col("p_n").alias("y_n"), F.col("p_pos").alias("y_pos")).where("id <> p_id")
     tried = star.where(_close("x_", "y_", percent)).groupBy(F.col("id").alias("b")).agg(F.min("p_id").alias("a")).select("a", "b")
-    profile = lambda side, name: members.select(F.col("row").alias(side), F.col("n").alias(f"{name}_n"), F.col("sketch").alias(f"{name}_sketch"))
-    tried = materialize(tried.join(profile("a", "x"), "a").join(profile("b", "y"), "b").where(_alike("x_", "y_", percent)).select("a", "b"), "pairs", n)
+    longest = F.when(F.size("wide") > 0, F.col("wide")).otherwise(F.col("sketch"))
+    profile = lambda side, name: members.select(F.col("row").alias(side), F.col("n").alias(f"{name}_n"), longest.alias(f"{name}_sketch"))
+    likely = lambda pairs: pairs.join(profile("a", "x"), "a").join(profile("b", "y"), "b").where(_alike("x_", "y_", percent)).select("a", "b")
+    tried = materialize(likely(tried), "pairs", n)
     links = materialize(verify(tried, sets_of(docs, tried, words), percent), "links", n)
     comp = components(links, n)
     # then: rows of one shingle that are in different components still
@@ -502,13 +523,15 @@ def class_links(docs: DataFrame, members: DataFrame, words: int, percent: int) -
     mixed = per.groupBy("token").agg(F.sum("c").alias("group_size"), F.count("*").alias("k")).where("k > 1").drop("k")
     sketches = members.select(F.col("row").alias("id"), "sketch")
     tagged = materialize(tagged.join(mixed, "token").join(sketches, "id"), "mixed")
-    discard(rows, members)
+    discard(rows)
     few = tagged.where(F.col("group_size") <= SMALL)
     x, y = (few.select("token", *[F.col(c).alias(f"{s}_{c}") for c in ("id", "n", "pos", "comp", "sketch")]) for s in "xy")
     crossing = x.join(y, "token").where((F.col("x_id") < F.col("y_id")) & (F.col("x_comp") != F.col("y_comp")) & _close("x_", "y_", percent) & _alike("x_", "y_", percent))
     pairs = crossing.select(F.col("x_id").alias("a"), F.col("y_id").alias("b")).distinct()
     known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    second = materialize(pairs.join(known, ["a", "b"], "left_anti"), "pairs")
+    # the short bitmaps travel with every shingle of a row, the long ones of large sets only with pairs that these leave
+    second = materialize(likely(pairs.join(known, ["a", "b"], "left_anti")), "pairs")
+    discard(members)
     # sets of similar enough size are in the same or the next band; a row stands in both
     band = F.floor(F.log(F.col("n")) / F.log(F.lit(100.0 / percent))).cast("int") if percent < 100 else F.col("n").cast("int")
     many = tagged.where(F.col("group_size") > SMALL).select("token", "id", "n", "comp", "sketch", F.explode(F.array(band, band + 1)).alias("band"))
@@ -555,7 +578,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, text:
         classes = materialize(alike, "classes", n)
         # rows of classes of their own stay where they are; only the others meet their class
         several = materialize(signed.select("row", "key").distinct().join(classes.where("class_size > 1").select("key", "rep"), "key").select("row", (F.col("row") == F.col("rep")).alias("stays")), "several", n)
-        members = materialize(without_rows(signed.where("n > 0").select("row", "n", "prefix", "sketch"), several, "row"), "members")
+        members = materialize(without_rows(signed.where("n > 0").select("row", "n", "prefix", "sketch", "wide"), several, "row"), "members")
         discard(several)
         # prefixes are kept once, and no longer than they are read
         sizes = materialize(signed.select("row", "doc_id", "n", "key"), "sizes", n)

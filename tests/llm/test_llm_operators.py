@@ -472,3 +472,17 @@ def test_a_long_text_does_not_fill_a_dictionary(spark):
     rows = [(k, "alpha beta gamma", "en") for k in range(5)] + [(9, "omega " * 40_000, "en")]
     content = langid.fit_dictionaries(spark.createDataFrame(rows, "doc_id long, text string, lang string"))["en"]
     assert b"alpha beta" in content and content.count(b"omega") < 2000 and len(content) <= langid.DICT_BYTES
+
+
+def test_sketches_bound_the_difference():
+    rng = np.random.default_rng(6)
+    for n in (0, 1, 300, 500, 1700, 7000):
+        x = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        y = np.unique(np.concatenate([x[: n // 2], rng.integers(0, 2**63, n // 3 + 1).astype(np.uint64)]))
+        a, b = jaccard.sketch_of(x), jaccard.sketch_of(y)
+        size = min(len(a), len(b))
+        for words in (size, 8):
+            apart = int(np.bitwise_count((jaccard.folded(a, words) ^ jaccard.folded(b, words)).view(np.uint64)).sum())
+            assert apart <= len(np.setxor1d(x, y))
+    small = jaccard.sketch_of(np.arange(7000, dtype=np.uint64))
+    assert len(small) == 8 * 64 and np.array_equal(jaccard.folded(small, 512), small)
