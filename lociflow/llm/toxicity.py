@@ -14,13 +14,16 @@ length alone, so k stays positive definite).
 
 Classifier.  A linear machine with squared hinge loss runs on the Nyström map of ``LANDMARKS``
 units.  Labels belong to documents, so the sentences of a labelled document are its bag:
-every unit of a clean document is negative, and in a toxic one at least the best-scoring unit
-of its best sentence is positive (the witness, chosen anew each round).  A unit can be a witness
-when it is at least ``MIN_ODDS`` times as frequent among toxic documents as among clean ones, so
+every unit of a clean document is negative, and in a toxic one the best-scoring units are
+positive (its witnesses, at most ``TOP_UNITS``, chosen anew each round; the first ones by the odds
+of their triples and of the unit itself).  A witness weighs by the square root of the documents
+that show it, so the insults of a rare language are learnt too.  A unit can be a witness when it is at least ``MIN_ODDS`` times as frequent among toxic documents as among clean ones, so
 a wrong clean label does not bar an insult.  Witnesses are chosen in two folds: the machine
 that scores a document's units has not seen that document, and a label whose best unit finds
-no support in the other fold teaches nothing.  A document scores like its best unit; a logistic
-curve fitted on the same out-of-fold margins maps that to 0..1.
+no support in the other fold teaches nothing.  A document's margin is that of its best unit mixed
+with the mean of the next ones, which start with other words and do not overlap; the mix is the one
+of ``BREADTHS`` with the least log loss on out-of-fold margins (0: the best unit alone), and a
+logistic curve fitted on the same margins maps it to 0..1.
 
 Because the kernel is a dot product of explicit features, the trained machine folds into one
 weight per character triple: f(s) = <phi(s), w> / sqrt(c(s)) + b.  Scoring is then a table
@@ -55,6 +58,7 @@ SAMPLE_DOCS, SAMPLE_CHARS = 1500, 2_000_000
 CLASSES, SPAN, DECAY = 64, 5, 0.6
 LANDMARKS, ROUNDS, NEGATIVES = 320, 3, 8_000
 UNIT_WORDS, MIN_JOINED, MIN_ODDS = 2, 5, 2.7
+TOP_UNITS, BREADTHS, SHRINK = 3, (0.0, 0.25, 0.5, 0.75), 4.0
 #: Signs and digits read as letters (fixed values).
 LOOKALIKE = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
 _PAIRS = [(a, b) for a in range(1, SPAN) for b in range(1, SPAN) if a + b < SPAN]
@@ -175,14 +179,35 @@ def unit_scores(f: Folded, weights: np.ndarray, bias: float) -> list[np.ndarray]
     return out
 
 
-def document_margins(texts: list[str | None], weights: np.ndarray, bias: float) -> np.ndarray:
+def top_margins(texts: list[str | None], weights: np.ndarray, bias: float) -> np.ndarray:
+    """Per text the scores of its ``TOP_UNITS`` best units that start with different words and do not overlap."""
     f = fold(texts)
-    out = np.full(len(texts), _LOW)
-    if len(f.starts):
-        np.maximum.at(out, f.doc, np.max(unit_scores(f, weights, bias), axis=0))
+    out = np.full((len(texts), TOP_UNITS), _LOW)
+    if not len(f.starts):
+        return out
+    score = np.max(unit_scores(f, weights, bias), axis=0)
+    same = f.doc[1:] == f.doc[:-1]
+    peak = np.append(~same | (score[:-1] >= score[1:]), True) & np.append(True, ~same | (score[1:] > score[:-1]))
+    at = np.flatnonzero(peak)
+    word, doc, score = _word_hash(f)[at], f.doc[at], score[at]
+    order = np.lexsort((-score, word, doc))
+    once = order[np.append(True, (word[order][1:] != word[order][:-1]) | (doc[order][1:] != doc[order][:-1]))]
+    once = once[np.lexsort((-score[once], doc[once]))]
+    docs, first, counts = np.unique(doc[once], return_index=True, return_counts=True)
+    for k in range(TOP_UNITS):  # a text with fewer units repeats its last
+        out[docs, k] = score[once[first + np.minimum(k, counts - 1)]]
     return out
 
 
+def document_margins(texts: list[str | None], weights: np.ndarray, bias: float, breadth: float = 0.0) -> np.ndarray:
+    """The best unit's score, mixed with the mean of the next ones by ``breadth``."""
+    return _mixed(top_margins(texts, weights, bias), breadth)
+
+
+def _mixed(top: np.ndarray, breadth: float) -> np.ndarray:
+    return (1 - breadth) * top[:, 0] + breadth * top[:, 1:].mean(axis=1)
+
+
 def units(f: Folded) -> Folded:
     """Every unit as a word of its own."""
     parts = []
@@ -252,6 +277,7 @@ class Model:
     bias: float
     slope: float
     offset: float
+    breadth: float = 0.0
 
     def probabilities(self, margins: np.ndarray) -> np.ndarray:
         return 1.0 / (1.0 + np.exp(-np.clip(self.slope * margins + self.offset, -40, 40)))
@@ -329,13 +355,14 @@ def _logistic(margins: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tup
     return max(a, 0.5), b
 
 
-def _document_shares(hashes: np.ndarray, docs: np.ndarray, label: np.ndarray) -> np.ndarray:
-    """Per unit: how many times as frequent its text is among toxic documents as among clean ones (smoothed)."""
+def _document_shares(hashes: np.ndarray, docs: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per unit: how many times as frequent its text is among toxic documents as among clean ones (smoothed), and how many toxic ones have it."""
     _, of = np.unique(hashes, return_inverse=True)
     seen = np.unique(np.stack([of, docs]), axis=1)
     y = label[seen[1]]
-    rate = [(np.bincount(seen[0][y == v], minlength=of.max() + 1) + 0.5) / (int((label == v).sum()) + 1) for v in (0, 1)]
-    return (rate[1] / rate[0])[of]
+    df = [np.bincount(seen[0][y == v], minlength=of.max() + 1) for v in (0, 1)]
+    rate = [(df[v] + 0.5) / (int((label == v).sum()) + 1) for v in (0, 1)]
+    return (rate[1] / rate[0])[of], df[1][of]
 
 
 def _train(f: Folded, hashes: np.ndarray, witness: np.ndarray, negatives: np.ndarray, hard: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, float]:
@@ -347,7 +374,7 @@ def _train(f: Folded, hashes: np.ndarray, witness: np.ndarray, negatives: np.nda
     gapped = _with_insertions(_subset(f, positive), rng)
     train = _joined([_subset(f, positive), gapped, _subset(f, negative)])
     y = np.concatenate([np.ones(2 * len(positive)), -np.ones(len(negative))])
-    share = times / times.sum()
+    share = np.sqrt(times) / np.sqrt(times).sum()  # insults of a rare language count too
     weight = np.concatenate([share, share / 2, np.full(len(negative), 2.0 / len(negative))]) * len(y) / 2
     top = positive[np.argsort(-times, kind="stable")][: LANDMARKS * 3 // 4]
     other = rng.choice(negative, min(len(negative), LANDMARKS - len(top)), replace=False)
@@ -369,7 +396,7 @@ def fit_texts(texts: list[str], labels: list[int], prior: float | None = None, s
     _, once = np.unique(np.stack([hashes, f.doc.astype(np.uint64)]), axis=1, return_index=True)
     f, hashes = _subset(f, np.sort(once)), hashes[np.sort(once)]
     rng = np.random.default_rng(seed)
-    odds = _document_shares(hashes, f.doc, label)
+    odds, seen = _document_shares(hashes, f.doc, label)
     toxic = label[f.doc] == 1
     able = np.flatnonzero(toxic & (f.lengths >= 3) & (odds >= MIN_ODDS))
     negatives = np.flatnonzero(~toxic & (f.lengths >= 3) & (odds < MIN_ODDS))
@@ -381,22 +408,29 @@ def fit_texts(texts: list[str], labels: list[int], prior: float | None = None, s
 
     def best(score: np.ndarray) -> np.ndarray:
         order = able[np.lexsort((-score[able], f.doc[able]))]
-        return order[np.append(True, f.doc[order][1:] != f.doc[order][:-1])]
+        _, first, counts = np.unique(f.doc[order], return_index=True, return_counts=True)
+        rank = np.arange(len(order)) - np.repeat(first, counts)
+        return order[rank < TOP_UNITS]
 
     def scored(table: np.ndarray, bias: float) -> np.ndarray:
         return _word_scores(f, table, bias)
 
-    witness = best(_seed_scores(f, label))
+    # triples tell what variants share; a unit's own odds count the more, the more toxic documents show it
+    witness = best(_seed_scores(f, label) + np.log(odds) * seen / (seen + SHRINK))
     hard = [np.zeros(0, np.int64)] * 2
     out_of_fold = np.zeros(len(f.starts))
-    for _ in range(ROUNDS):
+    top = np.full((len(label), TOP_UNITS), _LOW)
+    for step in range(ROUNDS):
         for k in (0, 1):  # the machine of one fold's witnesses scores the other fold
             own = witness[fold_of[f.doc[witness]] != k]
             if not len(own):
                 continue
-            score = scored(*_train(f, hashes, own, negatives, hard[k], rng))
+            table, bias = _train(f, hashes, own, negatives, hard[k], rng)
+            score = scored(table, bias)
             there = fold_of[f.doc] == k
             out_of_fold[there] = score[there]
+            if step == ROUNDS - 1:
+                top[fold_of == k] = _top_margins_in_pieces([t for t, own_fold in zip(texts, fold_of, strict=True) if own_fold == k], table, bias)
             ranked = negatives[np.argsort(-score[negatives], kind="stable")]
             hard[k] = np.unique(np.concatenate([hard[k], ranked[:2000]]))
         found = best(out_of_fold)
@@ -405,13 +439,22 @@ def fit_texts(texts: list[str], labels: list[int], prior: float | None = None, s
             break
         witness = kept
     table, bias = _train(f, hashes, witness, negatives, np.union1d(*hard), rng)
-    margins = np.full(len(label), _LOW)
-    np.maximum.at(margins, f.doc, out_of_fold)
     weight = np.ones(len(label))
     if prior:
         weight = np.where(label == 1, prior / label.mean(), (1 - prior) / (1 - label.mean()))
-    slope, offset = _logistic(margins, label, weight)
-    return Model(table.astype(np.float32), bias, slope, offset)
+    curves = [(_log_loss(_mixed(top, b), label, weight, *curve), b, curve) for b in BREADTHS for curve in [_logistic(_mixed(top, b), label, weight)]]
+    _, breadth, (slope, offset) = min(curves)
+    return Model(table.astype(np.float32), bias, slope, offset, breadth)
+
+
+def _top_margins_in_pieces(texts: list[str], table: np.ndarray, bias: float) -> np.ndarray:
+    weights = table.astype(np.float32)
+    return np.concatenate([top_margins(texts[lo : lo + 100], weights, bias) for lo in range(0, len(texts), 100)])
+
+
+def _log_loss(margins: np.ndarray, label: np.ndarray, weight: np.ndarray, slope: float, offset: float) -> float:
+    z = np.clip(slope * margins + offset, -40, 40)
+    return float((weight * np.logaddexp(0, np.where(label == 1, -z, z))).sum())
 
 
 def _word_scores(f: Folded, weights: np.ndarray, bias: float) -> np.ndarray:
@@ -482,7 +525,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 while hi < len(texts) and (held < 400_000 or hi == lo):
                     held += len(texts[hi] or "")
                     hi += 1
-                out += m.probabilities(document_margins(texts[lo:hi], m.weights, m.bias)).tolist()
+                out += m.probabilities(document_margins(texts[lo:hi], m.weights, m.bias, m.breadth)).tolist()
                 lo = hi
             predicted = [int(p >= 0.5) for p in out]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.float64()), pa.array(predicted, pa.int32())], names=[*names, "score", "predicted"])

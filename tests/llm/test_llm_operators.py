@@ -436,6 +436,26 @@ def test_toxicity_kernel_by_enumeration():
                 assert abs(two[k] - kernel(pair)) < 1e-5
 
 
+def test_toxicity_margins_of_best_units():
+    rng = np.random.default_rng(3)
+    weights = rng.normal(size=toxicity.CLASSES**3).astype(np.float32)
+    words = ["abcde", "fghij", "klmno", "pqrst", "uvwxy", "edcba"]
+    texts = ["", "...", "abcde", "abcde abcde abcde.", *(" ".join(rng.choice(words, n)) + "." for n in (2, 5, 9, 30))]
+    got = toxicity.top_margins(texts, weights, 0.1)
+    for text, row in zip(texts, got, strict=True):
+        f = toxicity.fold([text])
+        score = list(np.max(toxicity.unit_scores(f, weights, 0.1), axis=0)) if len(f.starts) else []
+        best: dict = {}
+        for i, (word, s) in enumerate(zip(text.strip(".").split(), score, strict=False)):
+            if (i == 0 or s > score[i - 1]) and (i + 1 == len(score) or s >= score[i + 1]):  # no overlap with a better one
+                best[word] = max(s, best.get(word, s))
+        want = sorted(best.values(), reverse=True) or [toxicity._LOW]
+        want += want[-1:] * toxicity.TOP_UNITS
+        assert np.allclose(row, want[: toxicity.TOP_UNITS])
+    assert np.allclose(toxicity.document_margins(texts, weights, 0.1), got[:, 0])
+    assert np.allclose(toxicity.document_margins(texts, weights, 0.1, 0.5), (got[:, 0] + got[:, 1:].mean(axis=1)) / 2)
+
+
 def test_toxicity(spark, empty):
     rng = random.Random(2)
     plain = lambda: " ".join(rng.choice(WORDS) + rng.choice(["", "an", "er", "ly"]) for _ in range(30)) + ". "
