@@ -6,6 +6,7 @@ import hashlib
 import json
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -61,9 +62,16 @@ def rank_journals(rows: DataFrame, journals: DataFrame) -> DataFrame:
 
 
 def label_pathogenicity(rows: DataFrame, texts: DataFrame) -> DataFrame:
-    """Labels from the cached text of the article."""
-    out = rows.join(texts.select("pmid", "cached_text"), "pmid", "left")
-    return out.withColumn("pathogenicity", text.pathogenicity(F.col("cached_text"), F.col("gene"), F.col("variant"))).drop("cached_text")
+    """Labels from the cached text of the article, read once for all rows of one article, gene and variant.
+
+    Whole texts are never broadcast: an estimate of their size knows nothing of what a column makes of them.
+    """
+    keys = ["pmid", "gene", "variant"]
+    asked = rows.select(*keys).distinct().join(texts.select("pmid", "cached_text").hint("merge"), "pmid", "left")
+    verdict = text.pathogenicity(F.col("cached_text"), F.col("gene"), F.col("variant"))
+    labels = asked.select(*[F.col(k).alias(f"__{k}") for k in keys], verdict.alias("pathogenicity"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+    return rows.join(labels.hint("merge"), same).select("pmid", *[c for c in rows.columns if c != "pmid"], "pathogenicity")
 
 
 def _rank(column: str, table: dict) -> Column:
