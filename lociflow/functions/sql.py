@@ -1,7 +1,7 @@
 """The extractors as functions of SQL: table functions for ``LATERAL`` and scalar functions, registered by name.
 
-Table functions plan their schema from the types of their arguments, so a wrong argument fails before a row is read; they run on Arrow
-batches.  ``register`` makes all of them known to a session.
+Table functions plan their schema from the types of their arguments, so a wrong argument fails before a row is read; their rows come
+in batches of many arguments, as an Arrow batch would be one argument's.  ``register`` makes all of them known to a session.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ def _table_function(row: T.StructType, extract: Callable[..., list[dict]], n_arg
             for found in extract(*arguments):
                 yield tuple(found[n] for n in names)
 
-    return udtf(Extract, useArrow=True)
+    return udtf(Extract, useArrow=False)
 
 
 def table_functions() -> dict:

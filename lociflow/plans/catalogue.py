@@ -49,6 +49,11 @@ def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts over all cores, for what costs far more than the scan: a small file is one split or a few."""
+    return R.spread(t(spark, sf_dir, "part"))
+
+
 #: One synthetic article per part: a discovery label, an rs name and a disease name each.
 _LEADS = (
     "We identified a novel c.{k}A>G variant in GENE{s}",
@@ -65,7 +70,7 @@ def _article_sql(key: str = "p_partkey", size: str = "p_size", kind: str = "p_ty
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.spread(t(spark, sf_dir, "part")).select(F.col("p_partkey").cast("string").alias("pmid"), F.col("p_partkey").alias("ord"), F.col("p_size").alias("size"), F.expr(_article_sql()).alias("text"), F.expr("concat('c.', p_partkey, 'A>G')").alias("variant"), F.expr("concat('GENE', p_size)").alias("gene"), F.col("p_type").alias("kind"))
+    return parts(spark, sf_dir).select(F.col("p_partkey").cast("string").alias("pmid"), F.col("p_partkey").alias("ord"), F.col("p_size").alias("size"), F.expr(_article_sql()).alias("text"), F.expr("concat('c.', p_partkey, 'A>G')").alias("variant"), F.expr("concat('GENE', p_size)").alias("gene"), F.col("p_type").alias("kind"))
 
 
 _ARTICLES = f"(SELECT CAST(p_partkey AS VARCHAR) AS pmid, p_partkey AS ord, p_size AS size, {_article_sql()} AS text, concat('c.', p_partkey, 'A>G') AS variant, concat('GENE', p_size) AS gene, p_type AS kind FROM part)"
@@ -193,7 +198,7 @@ def genomic_literal(spark, sf_dir):
 )
 def pathogenicity_label(spark, sf_dir):
     words = F.expr("concat('The variant c.', p_partkey, 'A>G was classified as ', case p_size % 4 when 0 then 'likely pathogenic' when 1 then 'pathogenic or benign' when 2 then 'a VUS' else 'interesting' end, '.')")
-    rows = t(spark, sf_dir, "part").select("p_partkey", text.pathogenicity(words, F.lit("GENE"), F.expr("concat('c.', p_partkey, 'A>G')")).alias("v"))
+    rows = parts(spark, sf_dir).select("p_partkey", text.pathogenicity(words, F.lit("GENE"), F.expr("concat('c.', p_partkey, 'A>G')")).alias("v"))
     return rows.select("p_partkey", "v.label", "v.confidence", "v.anchor_kind")
 
 
@@ -232,7 +237,7 @@ SELECT id, string_agg(v, '|' ORDER BY place) AS variants FROM o GROUP BY id"""
 )
 def scanned_variants(spark, sf_dir):
     """Concrete names of a text in the order of their places (TXT-14)."""
-    found = t(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.expr(_SCANNED).alias("text"))
+    found = parts(spark, sf_dir).select(F.col("p_partkey").alias("id"), F.expr(_SCANNED).alias("text"))
     return found.select("id", F.array_join(spans.variants_scanned("text"), "|").alias("variants"))
 
 
@@ -275,7 +280,7 @@ _NEGATIVE_HITS = ", ".join(f"({i}, '{rule}', '{label}', '{role or 'same_paper_ot
 def negative_evidence_rules(spark, sf_dir):
     """Rows of all ten rules, each on texts that trigger it."""
     found = spans.negatives(F.expr(_negative_text_sql()), F.expr("concat('c.', p_partkey, 'A>G')"))
-    return t(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.explode(found).alias("n")).select("id", "n.variant", "n.label", "n.role", "n.confidence", "n.rule")
+    return parts(spark, sf_dir).select(F.col("p_partkey").alias("id"), F.explode(found).alias("n")).select("id", "n.variant", "n.label", "n.role", "n.confidence", "n.rule")
 
 
 # -- joins -----------------------------------------------------------------------------
@@ -542,7 +547,7 @@ def protein_spellings(spark, sf_dir):
     """Lookup keys of changed and of silent residues (HGV-05), in the order of their letters."""
     name = F.expr(f"if({_K} % 2 = 0, concat('p.(Arg', {_K}, 'Gln)'), concat('p.P', {_K}, '='))")
     keys = alleles.protein_key_list(name)
-    return t(spark, sf_dir, "part").select(_K, F.array_join(F.array_sort(keys), ",").alias("keys"))
+    return parts(spark, sf_dir).select(_K, F.array_join(F.array_sort(keys), ",").alias("keys"))
 
 
 _GENE_TEXTS = ("concat('In BRCA', {k}, ' c.{k}A>G was seen.')", "concat('We saw c.{k}A>G (p.Arg5Gln) in BRCA', {k}, '.')", "concat('A change, c.{k}A>G, was found. The gene was named BRCA', {k}, '.')", "concat('We saw c.{k}A>G here. The BRCA', {k}, ' mutation is rare.')", "concat('We saw c.{k}A>G, located in the BRCA', {k}, ' locus.')", "'We saw c.{k}A>G alone.'")
@@ -556,7 +561,7 @@ def _named(texts: tuple[str, ...]) -> str:
 @query(f"SELECT {_K}, CASE WHEN {_K} % 6 < 5 THEN 'BRCA' || {_K} END AS gene, {_case(tuple(repr(r) for r in _GENE_RULES), _K)} AS rule FROM part")
 def gene_ladder(spark, sf_dir):
     """Every step of the gene ladder, with the rule that found the symbol (GEN-02 to GEN-08)."""
-    rows = t(spark, sf_dir, "part").select(_K, genes.gene_for(F.expr(_named(_GENE_TEXTS)), F.expr(f"concat('c.', {_K}, 'A>G')"), F.lit(None).cast("string")).alias("g"))
+    rows = parts(spark, sf_dir).select(_K, genes.gene_for(F.expr(_named(_GENE_TEXTS)), F.expr(f"concat('c.', {_K}, 'A>G')"), F.lit(None).cast("string")).alias("g"))
     return rows.select(_K, "g.gene", "g.rule")
 
 
@@ -566,7 +571,7 @@ def gene_correction(spark, sf_dir):
     null = F.lit(None).cast("string")
     given = F.expr(f"concat(if({_K} % 2 = 0, 'OLD', 'BRCA'), {_K})")
     run = genes.gene_correction()
-    return t(spark, sf_dir, "part").select(_K, run(given, F.expr(f"concat('c.', {_K}, 'A>G')"), F.expr(f"concat('We saw BRCA', {_K}, ' c.', {_K}, 'A>G.')"), null, null, null, null).alias("g")).select(_K, "g.gene", "g.note")
+    return parts(spark, sf_dir).select(_K, run(given, F.expr(f"concat('c.', {_K}, 'A>G')"), F.expr(f"concat('We saw BRCA', {_K}, ' c.', {_K}, 'A>G.')"), null, null, null, null).alias("g")).select(_K, "g.gene", "g.note")
 
 
 _VARIANTS = ("concat('c.', {k}, 'A>G')", "concat('rs', 100000 + {k})", "concat('NM_', {k}, '.2:c.', {k}, 'A>G')", "concat('c.', {k}, 'C>T')", "concat('GRCh38 chr7:', 5000 + {k}, ' A>G')", "concat('chr7:', 50000 + {k})")
@@ -580,7 +585,7 @@ _VARIANTS = ("concat('c.', {k}, 'A>G')", "concat('rs', 100000 + {k})", "concat('
 )
 def resolver_ladder(spark, sf_dir):
     """Variants to alleles by rs name, transcript, gene, literal name, and what is left when the reference disagrees (HGV-23, JN-03, JN-04)."""
-    p = t(spark, sf_dir, "part")
+    p = parts(spark, sf_dir)
     rows = p.select(F.col(_K).alias("row_id"), F.expr(_case(tuple(v.replace("{k}", _K) for v in _VARIANTS), _K)).alias("variant"), F.expr("concat('GENE', p_size)").alias("gene"), F.lit("").alias("evidence"), F.lit(None).cast("string").alias("cached_text"))
     row = lambda assembly, pos, ref, alt: p.select(F.lit(assembly).alias("assembly"), F.expr("cast(p_size % 22 + 1 as string)").alias("chrom"), F.expr(pos).alias("pos"), F.lit(ref).alias("ref"), F.lit(alt).alias("alt"), F.expr("concat('GENE', p_size)").alias("gene"), F.expr(f"concat('NM_', {_K})").alias("nm"), F.lit("2").alias("nm_version"), F.expr(f"concat('c.', {_K}, '{ref}>{alt}')").alias("c"), F.lit(None).cast("string").alias("p"), F.expr(f"concat('rs', 100000 + {_K})").alias("rs") if ref == "A" else F.lit(None).cast("string").alias("rs"))
     table = row("GRCh38", f"1000 + {_K}", "A", "G").unionByName(row("GRCh37", f"900 + {_K}", "A", "G"))
@@ -752,7 +757,7 @@ def transcript_lift(spark, sf_dir):
     exons = F.array(*[span(200 * i + 1, 200 * i + 100) for i in range(3)])
     cds = F.array(span(51, 100), span(201, 300), span(401, 450))
     name = F.expr(_case(tuple(x.replace("{k}", _K) for x in _LIFTED), _K))
-    rows = t(spark, sf_dir, "part").select(_K, resolver.lift_names(name, exons, cds, F.expr(f"if({_K} % 2 = 1, '-', '+')")).alias("l"))
+    rows = parts(spark, sf_dir).select(_K, resolver.lift_names(name, exons, cds, F.expr(f"if({_K} % 2 = 1, '-', '+')")).alias("l"))
     return rows.select(_K, "l.kind", "l.lo", "l.hi", "l.ref", "l.alt")
 
 
@@ -763,7 +768,7 @@ SELECT id, rule, variant, CAST(strpos(evidence, variant) - 1 AS INTEGER) AS plac
 def lateral_negatives(spark, sf_dir):
     """SQL over the registered table functions: negative evidence of every text, and where its name stands in the sentence (2.11)."""
     sql.register(spark)
-    t(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.expr(_negative_text_sql()).alias("text"), F.expr("concat('c.', p_partkey, 'A>G')").alias("anchor")).createOrReplaceTempView("lociflow_texts")
+    parts(spark, sf_dir).select(F.col("p_partkey").alias("id"), F.expr(_negative_text_sql()).alias("text"), F.expr("concat('c.', p_partkey, 'A>G')").alias("anchor")).createOrReplaceTempView("lociflow_texts")
     return spark.sql("SELECT x.id, n.rule, n.variant, s.start AS place FROM lociflow_texts x, LATERAL negative_evidence(x.text, x.anchor) n, LATERAL text_spans(n.evidence) s WHERE s.kind = 'variant' AND s.norm = n.variant")
 
 
