@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from xml.parsers import expat
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lociflow.functions import hgvs
+from lociflow.operators import relational as R
 from lociflow.sources.passages import html_passages, jats_passages, plain_passages
 
 __all__ = ["html_passages", "jats_passages", "plain_passages"]
@@ -213,15 +217,76 @@ def dbsnp_movements(df: DataFrame, payload: str, rs: str) -> DataFrame:
     return rows.select(rs, o["seq_id"].alias("seq_id"), F.upper(o["deleted_sequence"]).alias("ref"), F.upper(o["inserted_sequence"]).alias("alt"), F.greatest(weight, F.lit(1)).alias("weight"))
 
 
+class _Record:
+    """One article's fields, each out of the first element of its path; an abstract out of all its pieces of text."""
+
+    PATHS = {
+        ("MedlineCitation", "PMID"): "pmid", ("Journal", "Title"): "journal", ("Journal", "ISOAbbreviation"): "journal_iso", ("Journal", "ISSN"): "issn",
+        ("JournalIssue", "PubDate", "Year"): "year", ("JournalIssue", "PubDate", "Month"): "month",
+    }
+    IDS = {"doi": "doi", "pmc": "pmcid"}
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, str | None, int]] = [("", None, 0), ("", None, 0)]  # name, field, first piece
+        self.parts: list[str] = []
+        self.fields: dict[str, str] = {}
+        self.abstract: list[str] = []
+        self.cut = True  # the next piece of an abstract is a text of its own
+
+    def start(self, tag: str, attributes: dict) -> None:
+        parent = self.stack[-1][0]
+        field = "title" if tag == "ArticleTitle" else self.IDS.get(attributes.get("IdType")) if tag == "ArticleId" else self.PATHS.get((parent, tag)) or self.PATHS.get((self.stack[-2][0], parent, tag))
+        if field in self.fields:
+            field = None
+        elif field:
+            self.fields[field] = ""
+        self.stack.append((tag, field, len(self.parts)))
+        self.cut = True
+
+    def end(self, _tag: str) -> None:
+        _, field, first = self.stack.pop()
+        if field:
+            self.fields[field] = "".join(self.parts[first:]).strip(" ")
+        self.cut = True
+
+    def text(self, data: str) -> None:
+        self.parts.append(data)
+        if self.stack[-1][0] == "AbstractText" and self.stack[-2][0] == "Abstract":
+            if self.cut:
+                self.abstract.append(data)
+            else:
+                self.abstract[-1] += data
+            self.cut = False
+
+    def between(self, *_: str) -> None:
+        self.cut = True
+
+
+def pubmed_record(xml: str | None) -> dict[str, str | None]:
+    """Fields of an article's XML by one reading; none of a null or empty text, an error on what is no XML."""
+    if not xml:
+        return {}
+    record, parser = _Record(), expat.ParserCreate()
+    parser.buffer_text = True
+    parser.StartElementHandler, parser.EndElementHandler, parser.CharacterDataHandler = record.start, record.end, record.text
+    parser.CommentHandler = parser.ProcessingInstructionHandler = record.between
+    parser.Parse(xml, True)
+    return {k: v or None for k, v in record.fields.items()} | {"abstract": " ".join(record.abstract)}
+
+
+_RECORD = T.StructType([T.StructField(n, _S) for n in ("pmid", "title", "abstract", "journal", "journal_iso", "issn", "year", "month", "doi", "pmcid")])
+
+
+@F.pandas_udf(_RECORD)
+def _pubmed_records(texts: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([pubmed_record(x) for x in texts], columns=_RECORD.fieldNames(), dtype=object)
+
+
 def efetch_articles(df: DataFrame, xml: str) -> DataFrame:
-    """Article records out of PubMed XML, one article per row (SRC-11)."""
-    one = lambda path: F.nullif(F.trim(F.expr(f"xpath_string({xml}, '{path}')")), F.lit(""))
-    return df.select(
-        one("//MedlineCitation/PMID").alias("pmid"), one("//ArticleTitle").alias("title"), F.array_join(F.expr(f"xpath({xml}, '//Abstract/AbstractText/text()')"), " ").alias("abstract"),
-        one("//Journal/Title").alias("journal"), one("//Journal/ISOAbbreviation").alias("journal_iso"), one("//Journal/ISSN").alias("issn"),
-        F.struct(one("//JournalIssue/PubDate/Year").alias("year"), one("//JournalIssue/PubDate/Month").alias("month")).alias("pub_date"),
-        one('//ArticleId[@IdType="doi"]').alias("doi"), one('//ArticleId[@IdType="pmc"]').alias("pmcid"),
-    )
+    """Article records out of PubMed XML, one article per row, read once and on all cores (SRC-11)."""
+    r = F.col("__r")
+    fields = [r[n].alias(n) for n in _RECORD.fieldNames() if n not in ("year", "month", "doi", "pmcid")]
+    return R.spread(df).select(_pubmed_records(F.expr(xml)).alias("__r")).select(*fields, F.struct(r["year"].alias("year"), r["month"].alias("month")).alias("pub_date"), r["doi"].alias("doi"), r["pmcid"].alias("pmcid"))
 
 
 def cached_source(candidates: DataFrame, key: str, stated: str = "stated_source") -> DataFrame:
