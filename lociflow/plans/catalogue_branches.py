@@ -9,7 +9,7 @@ from lociflow.operators import relational as R
 from lociflow.operators import resolver
 from lociflow.operators.tables import fresh_path
 from lociflow.plans import delivery, stages
-from lociflow.plans.catalogue import _K, _case, query, t
+from lociflow.plans.catalogue import _K, _case, parts, query, t
 from lociflow.sources import readers, sinks
 
 
@@ -176,7 +176,7 @@ SELECT {_K}, CASE WHEN {_K} % 4 = 0 THEN 'WXYZ' || p_size WHEN {_K} % 5 = 0 AND
 )
 def gene_annotations(spark, sf_dir):
     """Genes of rs names by locus phrase, annotation and corpus, and of other names by corpus and annotation (GEN-08, JN-14)."""
-    p = t(spark, sf_dir, "part")
+    p = parts(spark, sf_dir)
     null = F.lit(None).cast("string")
     variant = F.expr(f"if({_K} % 2 = 0, concat('rs', 100000 + {_K}), concat('c.', {_K}, 'A>G'))")
     evidence = F.expr(f"if({_K} % 4 = 0, concat('We saw rs', 100000 + {_K}, ' located in the WXYZ', p_size, ' locus.'), 'Nothing was said of it.')")
@@ -192,7 +192,7 @@ def evidence_names(spark, sf_dir):
     """Names of a variant completed by what its evidence writes beside them, and by nothing else (HGV-07 to HGV-10)."""
     variant = F.expr(_case((f"concat('p.Arg', {_K}, 'Gln')", f"concat('c.', {_K}, 'C>T')", f"concat('rs', 100000 + {_K})"), _K))
     said = F.expr(f"concat('We found c.', {_K}, 'A>G (p.Arg', {_K}, 'Gln) and c.', {_K}, 'C>T (p.Arg', {_K}, 'Gln), not c.9G>A.')")
-    return t(spark, sf_dir, "part").select(_K, alleles.components_with_evidence(variant, said).alias("x")).select(_K, "x.c", "x.p", "x.rs", "x.level")
+    return parts(spark, sf_dir).select(_K, alleles.components_with_evidence(variant, said).alias("x")).select(_K, "x.c", "x.p", "x.rs", "x.level")
 
 
 @query(f"SELECT {_K}, '7' AS chrom, CAST(CASE WHEN {_K} % 2 = 0 THEN 5000 + {_K} ELSE 9000 + {_K} END AS BIGINT) AS pos, 'pdf_literal_genomic' AS method, 'ok' AS status FROM part")
@@ -202,7 +202,7 @@ def nearby_literals(spark, sf_dir):
     said = F.expr(f"concat('It lies at chr7:', 5000 + {_K}, ' A>G. ', if({_K} % 2 = 0, concat('c.', {_K}, 'A>G is meant. '), ''), {far}, 'Another at chr7:', 9000 + {_K}, ' C>T. ', if({_K} % 2 = 1, concat('c.', {_K}, 'A>G is meant.'), ''))")
     null = F.lit(None).cast("string")
     found = alleles.literal_near(said, null, F.expr(f"concat('c.', {_K}, 'A>G')"), null, null)
-    return t(spark, sf_dir, "part").select(_K, found.alias("a")).select(_K, "a.chrom", "a.pos", "a.method", "a.status")
+    return parts(spark, sf_dir).select(_K, found.alias("a")).select(_K, "a.chrom", "a.pos", "a.method", "a.status")
 
 
 @query(
@@ -289,7 +289,7 @@ def distinct_spellings(spark, sf_dir):
 @query(f"SELECT {_K}, {_case(('\'rs_with_paired_c\'', '\'bare_rs\'', '\'concrete_name\''), _K)} AS site_reason, CASE WHEN {_K} % 3 = 0 THEN 'c.' || {_K} || 'A>G' END AS paired_c, {_K} % 3 <> 1 AS kept FROM part")
 def new_site_reasons(spark, sf_dir):
     """Rows that name a site: bare rs names only where the article writes a c. name beside them (FIL-07)."""
-    p = t(spark, sf_dir, "part")
+    p = parts(spark, sf_dir)
     rows = p.select(_K, F.col(_K).cast("string").alias("pmid"), F.expr(_case((f"concat('RS', 100000 + {_K})", f"concat('rs', 100000 + {_K})", f"concat('c.', {_K}, 'C>T')"), _K)).alias("variant"))
     words = p.select(F.col(_K).cast("string").alias("pmid"), F.expr(f"if({_K} % 3 = 0, concat('Of these c.', {_K}, 'A>G (rs', 100000 + {_K}, ') was new.'), 'Nothing.')").alias("text"))
     return stages.new_sites(rows, words).select(_K, "site_reason", "paired_c", "kept")
@@ -302,7 +302,7 @@ SELECT CAST(k AS VARCHAR) AS pmid, v AS variant, CASE WHEN k % 2 = 0 THEN 'benig
 )
 def negative_loci(spark, sf_dir):
     """Negative alleles of all papers: without positives, best per paper, then best per locus over papers (AGG-07, AGG-08, GEN-09)."""
-    p = t(spark, sf_dir, "part")
+    p = parts(spark, sf_dir)
     words = p.select(F.col(_K).cast("string").alias("pmid"), F.expr(f"concat('We saw c.1A>G. In G', p_size, ' c.', p_size * 7 + 1, 'C>T was later reclassified as ', if({_K} % 2 = 0, 'benign', 'likely benign'), '.')").alias("text"))
     anchors = p.select(F.col(_K).cast("string").alias("pmid"), F.lit("c.1A>G").alias("variant"), F.expr("concat('G', p_size)").alias("gene"))
     positives = p.where("p_size % 5 = 0").select(F.expr("concat('G', p_size)").alias("gene"), F.expr("concat('c.', p_size * 7 + 1, 'C>T')").alias("variant")).distinct()
