@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import contextlib
+import functools
 import tempfile
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +22,8 @@ SPACE_CLASS = "[\\x20\\x09-\\x0D]+"
 WANTED_BITS = 26
 #: Rows of a narrow table that one file should hold.
 ROWS_PER_FILE = 500_000
+#: Bytes of a row group, which a task holds whole while it writes or reads it.
+ROW_GROUP = 16 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -78,7 +82,7 @@ def materialize(df: DataFrame, tag: str, rows: int | None = None) -> DataFrame:
     if rows is not None:
         df = df.coalesce(max(spark.sparkContext.defaultParallelism, -(-rows // ROWS_PER_FILE)))
     with settings(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
-        df.write.parquet(path)
+        df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
     files, target = _file_system(spark, top)
     files.deleteOnExit(target)
     out = spark.read.schema(df.schema).parquet(path)
@@ -95,6 +99,19 @@ def discard(*tables: DataFrame | None) -> None:
             files.delete(target, True)
 
 
+def freed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for mapInArrow, which gives back what Arrow's pool holds of its batches: Spark keeps a worker and its pool for other tasks."""
+
+    @functools.wraps(run)
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return work
+
+
 def key_bit(key: Column) -> Column:
     """The bit of a key in a bitmap of ``WANTED_BITS`` bits."""
     return F.pmod(F.xxhash64(key), F.lit(1 << WANTED_BITS)).cast("int")

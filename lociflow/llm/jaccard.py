@@ -45,7 +45,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lociflow.llm.common import bitmap_of, discard, in_bitmap, key_bit, materialize, settings, small_batches, without_rows
+from lociflow.llm.common import bitmap_of, discard, freed, in_bitmap, key_bit, materialize, settings, small_batches, without_rows
 from lociflow.llm.graph import components
 
 BUCKETS, RANGES = 1 << 22, 64
@@ -55,7 +55,7 @@ SKETCH_BITS, SKETCH_SIZES, SHARED_BITS = 512, (400, 1600, 6400), 27
 #: Rows of a shingle that meet as pairs; rows and shingles of a block; levels of the suffix filter; candidates of one stream.
 SMALL, BLOCK_ROWS, BLOCK_SHINGLES, DEPTH, STREAM = 48, 4096, 2_400_000, 3, 2000
 #: Bits of a block's rows that are held at once (as bytes).
-HELD_BITS = 1 << 26
+HELD_BITS = 1 << 24
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -103,6 +103,7 @@ def shingle_counts(docs: DataFrame, words: int) -> np.ndarray:
     """Order of the hash buckets by documents over all of ``docs`` (text): 0 rare to 65,535 frequent, on a logarithmic scale."""
     width = BUCKETS // RANGES
 
+    @freed
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, total = Shingler(words), np.zeros(BUCKETS, np.uint32)
         salt = TaskContext.get().partitionId() // 16
@@ -167,6 +168,7 @@ def signatures(docs: DataFrame, order_of: np.ndarray, words: int, percent: int)
     longer one of a large set (empty for others)."""
     shared = docs.sparkSession.sparkContext.broadcast(order_of)
 
+    @freed
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, table = Shingler(words), shared.value
         for batch in batches:
@@ -204,6 +206,7 @@ def shared_tokens(members: DataFrame) -> np.ndarray:
     n_buckets = 1 << max(6, min(20, (total * 8 >> 20).bit_length()))
     shift = np.uint64(64 - n_buckets.bit_length() + 1)
 
+    @freed
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
 
@@ -251,6 +254,7 @@ def prefix_rows(members: DataFrame, shared: np.ndarray) -> DataFrame:
     """(id, n, pos, token) of the prefix shingles whose bit is set in ``shared``."""
     table = members.sparkSession.sparkContext.broadcast(shared)
 
+    @freed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = table.value
         for batch in batches:
@@ -271,6 +275,7 @@ def shingle_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
     """(id, shingles) for at least the rows in ``ids`` (one column): whole sorted sets, packed; a task gives a repeated row once."""
     bits = docs.sparkSession.sparkContext.broadcast(bitmap_of(ids.select(key_bit(F.col(ids.columns[0])).alias("b"))))
 
+    @freed
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, seen, bitmap = Shingler(words), set(), bits.value
         for batch in batches:
@@ -338,6 +343,7 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     asked = heads.unionByName(salted).withColumn("id", F.coalesce("b", "a"))
     dealt = asked.join(sets, "id").select("a", "salt", "b", "shingles").repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
 
+    @freed
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head, own = None, np.zeros(0, np.uint64)
         for batch in batches:
@@ -355,20 +361,20 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _common(a: list[np.ndarray], b: list[np.ndarray] | None) -> np.ndarray:
     """Sizes of the intersections of every set of ``a`` with every set of ``b`` (or of ``a``)."""
     sets = a + (b or [])
-    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    token, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    shared = times > 1  # others are in no intersection
-    place = np.cumsum(shared) - 1
-    keep = shared[column]
-    row, column = row[keep], place[column[keep]]
+    tokens = np.concatenate(sets)
+    tokens.sort()
+    tokens = tokens[1:][tokens[1:] == tokens[:-1]]  # others are in no intersection
+    shared = tokens[np.append(True, tokens[1:] != tokens[:-1])] if len(tokens) else tokens
     out = np.zeros((len(a), len(sets) - len(a) if b else len(a)), np.int32)
     width = max(64, HELD_BITS // len(sets) // 64 * 64)
-    for lo in range(0, int(shared.sum()), width):  # a part of the columns as bits
-        inside = (column >= lo) & (column < lo + width)
-        bits = np.zeros((len(sets), width), bool)
-        bits[row[inside], column[inside] - lo] = True
-        used = -(-(min(lo + width, int(shared.sum())) - lo) // 64) * 64
-        words = np.packbits(bits[:, :used], axis=1).view(np.uint64)
+    for lo in range(0, len(shared), width):  # a part of the columns as bits; sets ascend, so each has its part in one piece
+        part = shared[lo : lo + width]
+        bits = np.zeros((len(sets), -(-len(part) // 64) * 64), bool)
+        for k, s in enumerate(sets):
+            inside = s[np.searchsorted(s, part[0]) : np.searchsorted(s, part[-1], "right")]
+            column = np.searchsorted(part, inside)
+            bits[k, column[part[column] == inside]] = True
+        words = np.packbits(bits, axis=1).view(np.uint64)
         other = words[len(a) :] if b else words
         for k in range(len(a)):
             out[k] += np.bitwise_count(words[k] & other).sum(axis=1, dtype=np.int32)
@@ -416,9 +422,9 @@ def _blocks_of(table: pa.Table, percent: int):
     block, i, j = (table.column(c).to_numpy()[once] for c in ("block", "i", "j"))
     first, second = once[block == i], once[block == j]
     blobs = table.column("shingles")
-    a = [np.frombuffer(blobs[int(k)].as_py(), np.uint64) for k in first]
+    a = [np.frombuffer(blobs[int(k)].as_buffer(), np.uint64) for k in first]
     one = bool(len(i)) and i[0] == j[0]
-    b = None if one else [np.frombuffer(blobs[int(k)].as_py(), np.uint64) for k in second]
+    b = None if one else [np.frombuffer(blobs[int(k)].as_buffer(), np.uint64) for k in second]
     if not a or (b is not None and not b):
         return first, second, None
     sizes, others = np.array([len(s) for s in a]), np.array([len(s) for s in (a if one else b)])
