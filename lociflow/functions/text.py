@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lociflow.functions import patterns as P
+from lociflow.operators.relational import settled
 
 SENTENCE_SPLIT = r"(?<=[.!?])\s+(?=[A-Z0-9\"'(\[])"
 LOCAL_RADIUS = 180
@@ -87,7 +88,8 @@ def with_discovery(df, text: str = "text", variant: str = "variant"):
     df = df.withColumn("__v", F.element_at(F.transform(both, verdict), 1))
     df = df.withColumn("discovery_label", F.col("__v.v.label")).withColumn("discovery_confidence", F.col("__v.v.confidence"))
     df = df.withColumns({f"cue_{g}": F.col(f"__v.{g}") for g in groups})
-    return df.withColumn("keep_as_new_discovery", F.col("discovery_label").isin("novel", "phenotype_expansion")).drop("__v")
+    df = df.withColumn("keep_as_new_discovery", F.col("discovery_label").isin("novel", "phenotype_expansion")).drop("__v")
+    return settled(df)
 
 
 def search_terms(variant: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -103,6 +104,24 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if estimate < cores * split else df
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """``df`` dealt by number over several tasks a core, before a function that costs far more than moving its rows.
+
+    Spark joins the small partitions behind a join by their bytes; those dealt by number stay apart, and hot keys are spread.
+    """
+    spark = df.sparkSession
+    return df.repartition(max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` with its columns computed where they stand: filters on them, Spark's own before an explode included, stay above.
+
+    Else a filter and the costly function in it go below the deal of a small scan, into its one task, and the function runs again
+    above.  An observed count keeps them apart.
+    """
+    return df.observe(f"settled-{uuid.uuid4().hex}", F.count("*").alias("rows"))
+
+
 def anti_any_key(df: DataFrame, row_id: str, keys: list[Column], excluded: DataFrame, excluded_key: str) -> DataFrame:
     """Rows none of whose keys is excluded; rows without any key stay."""
     hit = df.select(F.col(row_id).alias("__id"), F.explode(F.array_compact(F.array(*keys))).alias("__k")).join(excluded.select(F.col(excluded_key).alias("__k")).distinct(), "__k", "left_semi").select("__id").distinct()
