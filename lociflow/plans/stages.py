@@ -169,12 +169,13 @@ def link_full_text(passages: DataFrame, articles: DataFrame, known: DataFrame |
     known variants, and the first per variant and evidence stays.  ``articles``: pmid, title, abstract, pubtator (JSON).
     """
     body = passages.where(text.usable_passage(F.col("section_type"), F.col("passage_type"), F.col("text")) & text.in_body(F.col("section_type")))
-    scanned = body.select("pmid", "idx", spans.variants_scanned("text").alias("v")).where(F.size("v") > 0)
-    # in the order of the passages
+    scanned = body.select("pmid", "idx", spans.variants_scanned("text").alias("v"))
+    # in the order of the passages; a filter on what was found would search twice, and below the deal of a small scan
     found = scanned.groupBy("pmid").agg(F.array_distinct(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("idx", "v"))), lambda x: x["v"]))).alias("found"))
     own = articles if known is None else articles.join(known, "pmid", "left")
     seeds = own.select("pmid", "title", "abstract", "pubtator", (F.coalesce("known", F.array().cast("array<string>")) if known is not None else spans.variants_scanned(F.concat_ws(" ", "title", "abstract"))).alias("own"))
     rows = body.join(seeds, "pmid").join(found, "pmid", "left").withColumn("found", F.coalesce("found", F.array().cast("array<string>")))
+    rows = R.dealt(rows)
     new = R.only_in(F.col("found"), F.col("own"))
     both = F.concat(
         F.transform(spans.links_in_passage("text"), lambda x: F.struct(F.lit(0).alias("kind"), x.alias("l"))),
@@ -183,7 +184,7 @@ def link_full_text(passages: DataFrame, articles: DataFrame, known: DataFrame |
     links = rows.select("pmid", "idx", "title", "abstract", "pubtator", F.col("section_type").alias("section"), F.col("text").alias("passage"), new.alias("new"), F.posexplode(both).alias("n", "x"))
     links = links.select("pmid", "idx", "n", "title", "abstract", "pubtator", "section", "passage", "new", "x.kind", "x.l.*")
     links = links.withColumn("variant", hgvs.variant_token(F.col("variant"))).where(text.is_concrete(F.col("variant")) | (F.col("method") == "fulltext_known_variant_sentence"))
-    once = R.dedup_links(links.withColumn("__o", F.struct("kind", "idx", "n")), "__o").drop("__o")
+    once = R.dealt(R.dedup_links(links.withColumn("__o", F.struct("kind", "idx", "n")), "__o").drop("__o"))
     better = spans.upgraded(F.struct("clinical", "clinical_subtype", "clinical_source", "tier"), "evidence_sentence", "passage", "title", "pubtator", "variant")
     once = once.withColumn("__u", better)
     once = once.withColumns({c: F.col(f"__u.{c}") for c in ("clinical", "clinical_subtype", "clinical_source", "tier")})
