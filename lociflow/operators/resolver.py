@@ -18,6 +18,8 @@ from pyspark.sql import types as T
 
 from lociflow.functions import alleles, hgvs
 from lociflow.functions import patterns as P
+from lociflow.operators.relational import dealt, settled
+from lociflow.operators.tables import written
 from lociflow.sources import readers
 
 GRCH38 = "GRCh38"
@@ -44,7 +46,7 @@ def _keys(nm: Column, version: Column, c: Column, protein: Column, rs: Column, g
 
 def reference_index(table: DataFrame) -> DataFrame:
     """(step, key, hit) of every reference row, all spellings of its p. name included; hits of the preferred assembly hide others of the same key."""
-    keyed = table.withColumn("__p", alleles.protein_key_list("p")).select(
+    keyed = settled(table.withColumn("__p", alleles.protein_key_list("p"))).select(
         F.explode(_keys(F.col("nm"), F.col("nm_version").cast("string"), F.col("c"), F.col("__p"), F.col("rs"), F.col("gene"))).alias("k"),
         F.struct(*[F.col(c).cast("string" if c != "pos" else "long").alias(c) for c in HIT]).alias("hit"),
     ).select("k.step", "k.key", "hit")
@@ -103,7 +105,7 @@ def reference_alleles(rows: DataFrame, index: DataFrame, row_id: str = "row_id")
     found = asked.join(index, ["step", "key"]).select("__id", "step", "hit").distinct()
     order = lambda k: F.sort_array(F.collect_list(F.when(F.col("step") == k, F.col("hit"))))
     hits = found.groupBy("__id").agg(*[order(k).alias(f"__h{k}") for k in (1, 2, 3, 4)])
-    df = keyed.join(hits, keyed[row_id] == hits["__id"], "left").drop("__id")
+    df = dealt(keyed.join(hits, keyed[row_id] == hits["__id"], "left").drop("__id"))
     many = lambda c: F.size(c) > 1
     df = df.withColumn("__h1", _narrowed(F.col("__h1"), lambda h: F.lower(h["c"]) == F.lower(part("c")), many("__h1")))
     df = df.withColumn("__h1", _narrowed(F.col("__h1"), lambda h: F.array_contains(F.col("__protein"), F.lower(h["p"])), many("__h1")))
@@ -315,7 +317,7 @@ def resolve(rows: DataFrame, index: DataFrame, row_id: str = "row_id", transcrip
     df = df.withColumn("__own", _from_text(alleles.literal("variant"))).withColumn("__text", F.when(F.col("parts.level") != "pro", _from_text(alleles.literal(blob))))
     df = df.withColumn("__literal", F.coalesce("__own", "__text"))
     df = df.withColumn("__near", _from_text(alleles.literal_near("cached_text", "gene", "variant", "parts.c", "parts.p")))
-    df = reference_alleles(df, index, row_id)
+    df = reference_alleles(written(df, "parts"), index, row_id)  # asks and rows both read it: names are taken apart once
     none = F.lit(None).cast(ALLELE)
     if transcripts is not None and sequence is not None:
         df = transcript_alleles(df, transcripts, sequence, row_id)
