@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from lociflow.functions import genes, hgvs, spans, text
 from lociflow.functions import patterns as P
 from lociflow.operators import relational as R
-from lociflow.operators.tables import file_system, read_text, write_text
+from lociflow.operators.tables import file_system, read_text, write_text, written
 from lociflow.plans.gates import Gate, apply_gates, gate_counts, review_gates, review_score, settings_of
 
 
@@ -92,16 +92,20 @@ def negative_alleles(articles: DataFrame, anchors: DataFrame, positives: DataFra
     ``independent`` renames the role of other sites in a paper, as for runs without positives beside them.
     """
     named = anchors.select("pmid", F.col("variant").alias("anchor"), *(["gene"] if "gene" in anchors.columns else [F.lit(None).cast("string").alias("gene")])).withColumnRenamed("gene", "anchor_gene")
-    found = articles.join(named, "pmid").select("pmid", "anchor_gene", F.explode(spans.negatives(F.col("text"), F.col("anchor"))).alias("n")).select("pmid", "anchor_gene", "n.*")
+    found = R.dealt(articles.join(named, "pmid")).select("pmid", "anchor_gene", F.explode(spans.negatives(F.col("text"), F.col("anchor"))).alias("n")).select("pmid", "anchor_gene", "n.*")
     found = found.withColumn("gene", genes.gene_of_negative("evidence", "variant", "anchor_gene")).drop("anchor_gene")
     if independent:
         found = found.withColumn("role", F.when(F.col("role") == "same_paper_other_site", "corpus_benign_mention").otherwise(F.col("role")))
     # the order of a hit: its paper and sentence, then what it says
     found = found.withColumn("row_id", F.struct("pmid", "sentence_no", "rule", "variant", "label", "role", "gene"))
+    found = written(found, "negatives")  # read twice below: texts are searched once
     low = F.lower("variant")
     keys = [F.lower(locus_key(F.col("gene"), F.col("variant"))), F.concat(F.lower("gene"), F.lit("|"), low), F.concat(F.lit("|"), low)]
     excluded = positives.select(F.explode(F.array(F.lower(locus_key(F.col("gene"), F.col("variant"))), F.concat(F.lower(F.coalesce("gene", F.lit(""))), F.lit("|"), low), F.concat(F.lit("|"), low))).alias("k"))
-    kept = R.anti_any_key(found, "row_id", keys, excluded, "k")
+    # keys are names of a gene and a variant: each pair is looked up once, not each hit
+    pairs = found.select("gene", "variant").distinct().withColumn("pair", F.struct("gene", "variant"))
+    stays = R.anti_any_key(pairs, "pair", keys, excluded, "k").select(F.col("gene").alias("__g"), F.col("variant").alias("__v"))
+    kept = found.join(stays, F.col("gene").eqNullSafe(F.col("__g")) & (F.col("variant") == F.col("__v")), "left_semi")
     sure = F.create_map(*[F.lit(x) for x in ("high", 0, "medium", 1, "low", 2)])[F.col("confidence")]
     paper = R.best_per_key(kept, ["pmid", "variant"], [_rank("role", P.ROLE_PRIORITY), _rank("label", P.LABEL_PRIORITY), sure], "row_id")
     paper = paper.withColumn("negative_locus_key", locus_key(F.col("gene"), F.col("variant")))
